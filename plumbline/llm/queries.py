@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import dedup
+from plumbline.llm import dedup, langid
 from plumbline.llm.common import table
 
 
@@ -15,6 +15,13 @@ def op3_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_components(table(spark, sf_dir, "documents"), 85, 100)
 
 
+def op7_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; learned from text and lang outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash_dedup": op3_superminhash_dedup,
+    "op7_ecoc_language": op7_ecoc_language,
 }
