@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import dedup, langid
+from plumbline.llm import dedup, langid, toxicity
 from plumbline.llm.common import table
 
 
@@ -15,6 +15,12 @@ def op3_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_components(table(spark, sf_dir, "documents"), 85, 100)
 
 
+def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document; labels are learned outside the held-out fold only."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document; learned from text and lang outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -23,5 +29,6 @@ def op7_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash_dedup": op3_superminhash_dedup,
+    "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
     "op7_ecoc_language": op7_ecoc_language,
 }
