@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import dedup, langid, toxicity
+from plumbline.llm import dedup, langid, secrets, toxicity
 from plumbline.llm.common import table
 
 
@@ -27,8 +27,14 @@ def op7_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts, digest and spans."""
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash_dedup": op3_superminhash_dedup,
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
     "op7_ecoc_language": op7_ecoc_language,
+    "op9_trigram_secrets": op9_trigram_secrets,
 }
