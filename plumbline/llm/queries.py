@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import dedup, langid, secrets, toxicity
+from plumbline.llm import dedup, langid, pii, secrets, toxicity
 from plumbline.llm.common import table
 
 
+def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts, digest and spans."""
+    return pii.report(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op3_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at a similarity of 0.85 over five-word shingles."""
     return dedup.near_components(table(spark, sf_dir, "documents"), 85, 100)
@@ -33,6 +38,7 @@ def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op3_superminhash_dedup": op3_superminhash_dedup,
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
     "op7_ecoc_language": op7_ecoc_language,
