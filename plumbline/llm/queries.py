@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import dedup, langid, pii, secrets, toxicity
+from plumbline.llm import dedup, langid, media, pii, secrets, toxicity
 from plumbline.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op3_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_components(table(spark, sf_dir, "documents"), 85, 100)
 
 
+def op4_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text as JPEG media, described from the stored bytes."""
+    return media.describe(media.media_column(table(spark, sf_dir, "documents")))
+
+
 def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document; labels are learned outside the held-out fold only."""
     docs = table(spark, sf_dir, "documents")
@@ -40,6 +45,7 @@ def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op3_superminhash_dedup": op3_superminhash_dedup,
+    "op4_jpeg_media": op4_jpeg_media,
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
     "op7_ecoc_language": op7_ecoc_language,
     "op9_trigram_secrets": op9_trigram_secrets,
