@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import dedup, langid, media, pii, secrets, toxicity
+from plumbline.llm import dedup, langid, media, pii, secrets, toxicity, warc
 from plumbline.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, read back from normalised archives."""
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op7_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document; learned from text and lang outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_superminhash_dedup": op3_superminhash_dedup,
     "op4_jpeg_media": op4_jpeg_media,
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
+    "op6_warc_normaliser": op6_warc_normaliser,
     "op7_ecoc_language": op7_ecoc_language,
     "op9_trigram_secrets": op9_trigram_secrets,
 }
