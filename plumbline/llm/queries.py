@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import dedup, langid, media, pii, secrets, toxicity, warc
+from plumbline.llm import dedup, langid, media, packing, pii, secrets, toxicity, warc
 from plumbline.llm.common import table
 
 
@@ -42,6 +42,11 @@ def op7_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op8_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 ids."""
+    return packing.sequences(table(spark, sf_dir, "documents"))
+
+
 def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: counts, digest and spans."""
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
@@ -54,5 +59,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
     "op6_warc_normaliser": op6_warc_normaliser,
     "op7_ecoc_language": op7_ecoc_language,
+    "op8_karmarkar_karp_packing": op8_karmarkar_karp_packing,
     "op9_trigram_secrets": op9_trigram_secrets,
 }
