@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import dedup, langid, media, packing, pii, secrets, toxicity, warc
+from plumbline.llm import decontaminate, dedup, langid, media, packing, pii, secrets, toxicity, warc
 from plumbline.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op2_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents, within a fifth of their words."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at a similarity of 0.85 over five-word shingles."""
     return dedup.near_components(table(spark, sf_dir, "documents"), 85, 100)
@@ -54,6 +59,7 @@ def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
+    "op2_cgk_decontamination": op2_cgk_decontamination,
     "op3_superminhash_dedup": op3_superminhash_dedup,
     "op4_jpeg_media": op4_jpeg_media,
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
