@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, dedup, langid, media, packing, pii, secrets, toxicity, warc
+from plumbline.llm import decontaminate, dedup, langid, media, packing, pii, pseudolm, secrets, toxicity, warc
 from plumbline.llm.common import table
 
 
@@ -57,6 +57,11 @@ def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pseudo-log-likelihood of every document under a network trained on all of them."""
+    return pseudolm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_cgk_decontamination": op2_cgk_decontamination,
@@ -67,4 +72,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ecoc_language": op7_ecoc_language,
     "op8_karmarkar_karp_packing": op8_karmarkar_karp_packing,
     "op9_trigram_secrets": op9_trigram_secrets,
+    "op10_pseudo_likelihood": op10_pseudo_likelihood,
 }
