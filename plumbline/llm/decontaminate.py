@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import GOLDEN, mix64, tune
-from plumbline.llm.text import lower, slices, words
+from plumbline.llm.text import Slice, Words, lower, slices, words
 
 #: An occurrence differs from the item by at most this share of the item's words, inserted, deleted or replaced.
 EDITS = 0.2
@@ -173,25 +173,30 @@ def candidates(h: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndarr
     return doc[pairs[:, 0]], pairs[:, 1], start[pairs[:, 0]]
 
 
+def nearest(s: Slice, w: Words, items: Items, edits: float = EDITS) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """(document of the slice, item) -> (edits, first word, word after the last) of every confirmed occurrence at its best."""
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    seen: set[tuple[int, int, int]] = set()
+    for d, j, p in zip(*(x.tolist() for x in candidates(w.hash, w.first, items))):
+        item = items.words[j]
+        k = allowed(len(item), edits)
+        lo, hi = max(int(w.first[d]), p - 2 * k), min(int(w.first[d + 1]), p + len(item) + 2 * k)
+        if (j, lo, hi) in seen:
+            continue
+        seen.add((j, lo, hi))
+        cost, a, b = align(item, w.hash[lo:hi])
+        if cost <= k and b > a:
+            best[d, j] = min(best.get((d, j), (cost, lo + a, lo + b)), (cost, lo + a, lo + b))
+    return best
+
+
 def _search(docs: DataFrame, items: Items, edits: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in slices(batch.column(1), 1 << 22):
                 w = words(lower(s.data), s.offsets)
-                best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                seen: set[tuple[int, int, int]] = set()
-                for d, j, p in zip(*(x.tolist() for x in candidates(w.hash, w.first, items))):
-                    item = items.words[j]
-                    k = allowed(len(item), edits)
-                    lo, hi = max(int(w.first[d]), p - 2 * k), min(int(w.first[d + 1]), p + len(item) + 2 * k)
-                    if (j, lo, hi) in seen:
-                        continue
-                    seen.add((j, lo, hi))
-                    cost, a, b = align(item, w.hash[lo:hi])
-                    if cost <= k and b > a:
-                        best[d, j] = min(best.get((d, j), (cost, lo + a, lo + b)), (cost, lo + a, lo + b))
                 rows = []
-                for (d, j), (cost, a, b) in sorted(best.items()):
+                for (d, j), (cost, a, b) in sorted(nearest(s, w, items, edits).items()):
                     begin, x, y = int(s.offsets[d]), int(w.start[a]), int(w.end[b - 1])
                     chars = lambda lo, hi: len(s.data[lo:hi].tobytes().decode("utf-8", "replace"))
                     start = chars(begin, x)
@@ -215,12 +220,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFr
     it is. No rows in, no rows out; other columns are ignored.
     """
     tune(docs.sparkSession)
+    out = None
+    for items in _passes(benchmark, edits):
+        found = _search(docs, items, edits)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _passes(benchmark: DataFrame, edits: float) -> Iterator[Items]:
+    """The benchmark in parts that a task may hold: one, unless the items outgrow that."""
     bench = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null")
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = max(1, -(-size // ITEM_CHARS))
-    out = None
-    for i in range(passes):  # one, unless the items outgrow what a task may hold
+    for i in range(passes):
         part = bench if passes == 1 else bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i)
-        found = _search(docs, Items.build([(r[0], r[1]) for r in part.collect()], edits), edits)
-        out = found if out is None else out.unionByName(found)
+        yield Items.build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()], edits)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
+    """docs without the rows in which leaks() finds an item. All columns stay; no row moves between tasks."""
+    tune(docs.sparkSession)
+    at, out = docs.columns.index("text"), docs
+    for items in _passes(benchmark, edits):
+
+        def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                for s in slices(batch.column(at), 1 << 22):
+                    for d, _ in nearest(s, words(lower(s.data), s.offsets), items, edits):
+                        keep[s.lo + d] = False
+                yield batch.filter(pa.array(keep))
+
+        out = out.mapInArrow(run, docs.schema)
     return out

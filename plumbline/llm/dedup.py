@@ -212,3 +212,12 @@ def _confirm(docs: DataFrame, clusters: DataFrame, scratch: Scratch, num: int, d
     pairs = as_rows.union(as_asks).select("cluster", "node", "shingles", "label", "p.*")
     two = pairs.groupBy("cluster", "q", "r").applyInPandas(verify, out)
     return one.union(scratch.cut(two))
+
+
+def one_of_each(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
+    """docs with one row for each component of near_components(): that of the least doc_id. All columns stay.
+
+    Rows without words have nothing to be compared by and stay, once for each doc_id; rows without a doc_id go.
+    """
+    kept = near_components(docs, num, den).filter("kept").select(F.col("doc_id").alias("k_")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long") == F.col("k_"), "left_semi").dropDuplicates(["doc_id"])

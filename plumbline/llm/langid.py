@@ -173,3 +173,20 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     held = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long"), held.alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
+
+
+def recognised(docs: DataFrame, model: Model) -> DataFrame:
+    """docs without the rows whose language identify() leaves unknown or flags as ambiguous. All columns stay."""
+    tune(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for s in slices(batch.column(at)):
+                letters = has_letter(s.data, s.offsets)
+                for d, x in enumerate(ngram_counts(s.data, s.offsets)):
+                    keep[s.lo + d] = letters[d] and not model.predict(x)[2]
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
