@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from plumbline.plans import kpi_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**kpi_queries.QUERIES}
+ORACLES: dict[str, str] = {**kpi_queries.ORACLES}
