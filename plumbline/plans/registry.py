@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from plumbline.plans import kpi_queries, order_queries, table_queries  # noqa: F401  each registers its queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-from plumbline.plans import kpi_queries
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**kpi_queries.QUERIES}
-ORACLES: dict[str, str] = {**kpi_queries.ORACLES}
+QUERIES = kpi_queries.QUERIES
+ORACLES = kpi_queries.ORACLES
