@@ -12,6 +12,10 @@ def fold(doc_id: str, of: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % of
 
 
+#: Class sizes are broadcast up to this many classes; more are joined as their size asks for.
+MANY = 10_000
+
+
 def per_class(rows: DataFrame, key: str, cls: str, most: int) -> DataFrame:
     """(key, cls) of the `most` rows of each class that come first by a hash of the key.
 
@@ -21,6 +25,9 @@ def per_class(rows: DataFrame, key: str, cls: str, most: int) -> DataFrame:
     h = F.xxhash64(key)
     rows = rows.select(key, cls)
     sizes = rows.groupBy(F.col(cls).alias("c_")).agg(F.count("*").alias("n_"))
+    known = sizes.limit(MANY + 1).collect()
+    if len(known) <= MANY:
+        sizes = F.broadcast(rows.sparkSession.createDataFrame([tuple(r) for r in known], sizes.schema))
     low = (h.cast("double") * 2.0**-64 + 0.5) * F.col("n_") <= 2 * most + 100
     near = rows.join(sizes, F.col(cls) == F.col("c_")).filter(low)
     by = W.partitionBy(cls).orderBy(h, key)
