@@ -16,8 +16,13 @@ from plumbline.functions.columns import first_match, flat_km, half_open_band, la
 from plumbline.operators.copies import first_of_key
 from plumbline.operators.tables import distinct_list, pivot_counts
 
-LATE = F.col("delay_min") > 0
-KNOWN = (F.col("status") == "delivered") & F.col("actual_delivery_at").isNotNull()
+def is_late() -> Column:
+    return F.col("delay_min") > 0
+
+
+def is_known() -> Column:
+    """Delivered, at a time that is known."""
+    return (F.col("status") == "delivered") & F.col("actual_delivery_at").isNotNull()
 
 
 def prepared(orders: DataFrame, position: str) -> DataFrame:
@@ -28,14 +33,14 @@ def prepared(orders: DataFrame, position: str) -> DataFrame:
 
 def sound(orders: DataFrame) -> DataFrame:
     """Delivered orders of known time whose times are in order."""
-    return orders.filter(KNOWN & (F.col("promised_eta") >= F.col("created_at")) & (F.col("actual_delivery_at") >= F.col("pickup_at")))
+    return orders.filter(is_known() & (F.col("promised_eta") >= F.col("created_at")) & (F.col("actual_delivery_at") >= F.col("pickup_at")))
 
 
 def staged(orders: DataFrame) -> DataFrame:
     """Sound orders with their stages in minutes, and bands of distance and hour."""
     return sound(orders).withColumns(
         {
-            "late": LATE,
+            "late": is_late(),
             "prep_min": minutes_between("created_at", "pickup_at"),
             "travel_min": minutes_between("pickup_at", "actual_delivery_at"),
             "promised_min": minutes_between("created_at", "promised_eta"),
@@ -64,7 +69,7 @@ def late_rates(orders: DataFrame, stored: DataFrame) -> DataFrame:
     """
     delivered, cancelled = F.col("status") == "delivered", F.col("status") == "cancelled"
     c = orders.agg(
-        F.count_if(KNOWN & LATE).alias("late"), F.count_if(KNOWN).alias("known"), F.count_if(KNOWN & (F.col("delay_min") > 10)).alias("late10"),
+        F.count_if(is_known() & is_late()).alias("late"), F.count_if(is_known()).alias("known"), F.count_if(is_known() & (F.col("delay_min") > 10)).alias("late10"),
         F.count_if(delivered).alias("delivered"), F.count_if(delivered & F.col("actual_delivery_at").isNull()).alias("unknown"), F.count_if(cancelled).alias("cancelled"),
     )
     exact = (F.col("final_status") == "delivered") & F.col("actual_delivery_at").isNotNull()
@@ -86,13 +91,13 @@ def late_rates(orders: DataFrame, stored: DataFrame) -> DataFrame:
 
 def outcome(orders: DataFrame) -> Column:
     """on_time, late, unknown_time or cancelled: each later label overrides the ones before."""
-    return last_match((LATE, "late"), (F.col("actual_delivery_at").isNull(), "unknown_time"), (F.col("status") == "cancelled", "cancelled"), otherwise="on_time")
+    return last_match((is_late(), "late"), (F.col("actual_delivery_at").isNull(), "unknown_time"), (F.col("status") == "cancelled", "cancelled"), otherwise="on_time")
 
 
 def outcomes(orders: DataFrame) -> DataFrame:
     """(order_id, order_outcome, final_status_norm, late_flag, delay_min): late_flag is null where it can't be known."""
     label = outcome(orders)
-    return orders.select("order_id", label.alias("order_outcome"), F.col("status").alias("final_status_norm"), F.when(KNOWN, LATE.cast("int")).alias("late_flag"), F.when(KNOWN, F.col("delay_min")).alias("delay_min"))
+    return orders.select("order_id", label.alias("order_outcome"), F.col("status").alias("final_status_norm"), F.when(is_known(), is_late().cast("int")).alias("late_flag"), F.when(is_known(), F.col("delay_min")).alias("delay_min"))
 
 
 def tickets_by_outcome(tickets: DataFrame, orders: DataFrame) -> DataFrame:
@@ -125,20 +130,21 @@ def order_level(orders: DataFrame, actions: DataFrame, tickets: DataFrame, inter
     )
 
 
-FRUSTRATED = F.col("support_opened") | F.col("cancel_attempted")
+def is_frustrated() -> Column:
+    return F.col("support_opened") | F.col("cancel_attempted")
 
 
 def journeys(level: DataFrame) -> DataFrame:
     """Orders with a support contact or an attempt to cancel that nobody acted on."""
-    return level.filter(FRUSTRATED & (F.col("intervention_count") == 0))
+    return level.filter(is_frustrated() & (F.col("intervention_count") == 0))
 
 
 def journey_rates(level: DataFrame) -> DataFrame:
     """One row of counts: late, with support, intervened, frustrated, unattended, and shares of them."""
-    late, alone = F.col("late_flag") == 1, FRUSTRATED & (F.col("intervention_count") == 0)
+    late, alone = F.col("late_flag") == 1, is_frustrated() & (F.col("intervention_count") == 0)
     c = level.agg(
         F.count_if(late).alias("late_orders"), F.count_if(late & F.col("support_opened")).alias("late_with_support"), F.count_if(F.col("intervention_count") > 0).alias("intervened"),
-        F.count_if(FRUSTRATED).alias("frustrated"), F.count_if(alone).alias("unattended"), F.count_if(alone & late).alias("unattended_late"),
+        F.count_if(is_frustrated()).alias("frustrated"), F.count_if(alone).alias("unattended"), F.count_if(alone & late).alias("unattended_late"),
     )
     return c.select("*", share("late_with_support", "late_orders").alias("support_rate_of_late"), share("unattended", "frustrated").alias("unattended_share"))
 
@@ -147,7 +153,7 @@ def phases(interventions: DataFrame, orders: DataFrame) -> DataFrame:
     """Interventions with their phase: before pickup, in transit, no delivery time, or after delivery."""
     at = F.col("intervention_at")
     label = first_match((at < F.col("pickup_at"), "before pickup"), (at <= F.col("actual_delivery_at"), "in transit"), (F.col("actual_delivery_at").isNull(), "no delivery time"), otherwise="after delivery")
-    late = F.when(KNOWN, LATE.cast("int"))
+    late = F.when(is_known(), is_late().cast("int"))
     known = orders.select("order_id", "pickup_at", "actual_delivery_at", late.alias("late_flag"))
     return interventions.join(known, "order_id").withColumn("phase", label)
 
