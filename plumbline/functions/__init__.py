@@ -1,0 +1 @@
+"""Column expressions with exact semantics; all built in."""

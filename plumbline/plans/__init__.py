@@ -1,0 +1 @@
+"""Whole runs, the warehouse, exports, and the queries by name."""

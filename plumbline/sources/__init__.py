@@ -1,0 +1 @@
+"""Sources: files and APIs fetched on the driver and preserved, and scans of them by Spark."""

@@ -1,0 +1 @@
+"""Empty: months are published as batches, and no operator keeps state between them."""
