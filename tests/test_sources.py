@@ -165,3 +165,24 @@ def test_csv_as_text_and_number_lookup(spark, tmp_path):
     rows = tables.csv(spark, str(tmp_path / "r.csv"))
     assert rows.dtypes == [("a", "string"), ("b", "string")] and rows.filter("b is null").count() == 1
     assert tables.lookup_number(rows, {"a": "2"}, "b").first()[0] == 21500
+
+
+def test_sqlite_scan(spark, tmp_path):
+    import sqlite3
+
+    from plumbline.operators.copies import first_of_key
+    from plumbline.sources import sqlite
+
+    path = str(tmp_path / "d.db")
+    with sqlite3.connect(path) as con:
+        con.execute("CREATE TABLE orders (order_id TEXT, n INTEGER, km REAL, at)")
+        con.executemany("INSERT INTO orders VALUES (?, ?, ?, ?)", [(f"O{i % 40}", i, i / 2, None if i % 7 else str(i)) for i in range(100)])
+        con.execute("CREATE TABLE empty_one (x INTEGER)")
+    assert sqlite.table_names(path) == ["empty_one", "orders"]
+    rows = sqlite.scan(spark, path, "orders", 3)
+    assert rows.dtypes == [("rowid_", "bigint"), ("order_id", "string"), ("n", "bigint"), ("km", "double"), ("at", "string")]
+    assert sorted(r["n"] for r in rows.collect()) == list(range(100)) and rows.filter("at is null").count() == 85
+    assert sorted(r["n"] for r in first_of_key(rows, ["order_id"], ["rowid_"]).collect()) == list(range(40))
+    assert sqlite.scan(spark, path, "empty_one").count() == 0
+    with pytest.raises(ValueError):
+        sqlite.scan(spark, path, "absent")
