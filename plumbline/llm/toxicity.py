@@ -95,7 +95,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -700, 700)))
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], prior: float, fairness: float = 10.0, decay: float = 1e-3, steps: int = 300, rate: float = 0.05) -> Model:
+def fit(texts: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], prior: float, fairness: float = 10.0, decay: float = 1e-3, steps: int = 400, rate: float = 0.1) -> Model:
     """texts: distinct feature numbers of each text. pairs: those of a text and of its rewriting.
 
     Telling features are kept by a two-sample test; the loss is the logistic loss, plus decay times the squared
@@ -124,19 +124,20 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarra
 
     x = dense(texts)
     change = dense([a for a, _ in pairs]) - dense([b for _, b in pairs]) if pairs else np.zeros((0, len(keep)), np.float32)
-    share = np.where(y > 0, 0.5 / n1, 0.5 / n0)
-    w, b = np.zeros(len(keep)), 0.0
+    y = y.astype(np.float32)  # float32 throughout: no product copies the matrix
+    share = np.where(y > 0, 0.5 / n1, 0.5 / n0).astype(np.float32)
+    w, b = np.zeros(len(keep), np.float32), np.float32(0)
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        slope = share * (1 / (1 + np.exp(-(x @ w + b))) - y)
-        g, gb = x.T @ slope + decay * w / len(keep), slope.sum()
+        slope = share * (1 / (1 + np.exp(-np.clip(x @ w + b, -60, 60))) - y)
+        g, gb = slope @ x + np.float32(decay / len(keep)) * w, slope.sum()
         if len(change):
-            g = g + 2 * fairness / len(change) * (change.T @ (change @ w))
-        m, v = m + 0.1 * (g - m), v + 0.01 * (g * g - v)
+            g = g + np.float32(2 * fairness / len(change)) * ((change @ w) @ change)
+        m, v = m + np.float32(0.1) * (g - m), v + np.float32(0.01) * (g * g - v)
         mb, vb = mb + 0.1 * (gb - mb), vb + 0.01 * (gb * gb - vb)
         fix1, fix2 = 1 - 0.9**t, 1 - 0.99**t
-        w = w - rate * (m / fix1) / (np.sqrt(v / fix2) + 1e-8)
-        b -= rate * (mb / fix1) / (np.sqrt(vb / fix2) + 1e-8)
+        w = w - np.float32(rate / fix1) * m / (np.sqrt(v / np.float32(fix2)) + np.float32(1e-8))
+        b = np.float32(b - rate * (mb / fix1) / (np.sqrt(vb / fix2) + 1e-8))
     weights = np.zeros(size, np.float32)
     weights[keep] = w
     return Model(weights, float(b + np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
