@@ -9,7 +9,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def later_copies(rows: DataFrame, row_id: str, columns: Sequence[str] | None = None) -> DataFrame:
+#: Up to so many keys are gathered and broadcast; more are joined by a shuffle.
+FEW = 500_000
+
+
+def broadcast_if_few(keys: DataFrame, most: int = FEW) -> DataFrame:
+    """The same rows, marked for broadcast if there are no more than `most`; otherwise the frame as it is.
+
+    One column of keys at most `most` long passes through the driver. It spares the other side of a join, which is the
+    whole data, a shuffle that Spark would plan as long as it doesn't know how few keys there are.
+    """
+    got = keys.limit(most + 1).toArrow()
+    return keys if got.num_rows > most else F.broadcast(keys.sparkSession.createDataFrame(got, schema=keys.schema))
+
+
+def later_copies(rows: DataFrame, row_id: str, columns: Sequence[str] | None = None, few: int = FEW) -> DataFrame:
     """(row_id) of every row that equals an earlier one in all columns; nulls are equal.
 
     A 64-bit hash finds candidates, and only those are grouped by their columns. The least row of a group is found by
@@ -17,7 +31,7 @@ def later_copies(rows: DataFrame, row_id: str, columns: Sequence[str] | None = N
     """
     columns = list(columns or [c for c in rows.columns if c != row_id])
     hashed = rows.select(row_id, F.xxhash64(*columns).alias("h_"))
-    twice = hashed.groupBy("h_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("h_")
+    twice = broadcast_if_few(hashed.groupBy("h_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("h_"), few)
     some = rows.select(row_id, *columns, F.xxhash64(*columns).alias("h_")).join(twice, "h_", "left_semi")
     first = some.groupBy("h_", *columns).agg(F.min(row_id).alias(row_id)).select(row_id)
     return some.select(row_id).join(first, row_id, "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import half_open_band, seconds_between
 from plumbline.operators import rules
-from plumbline.operators.copies import later_copies
+from plumbline.operators.copies import broadcast_if_few, later_copies
 from plumbline.settings import Month, Settings
 
 #: Names of the raw columns that are renamed; the others keep theirs.
@@ -35,7 +35,7 @@ def attach(staged: DataFrame, zones: DataFrame, licensees: DataFrame, copies: Da
     """Left joins to the dimensions: no row is lost or multiplied, and whether it matched is a column.
 
     zones and licensees have unique keys and a few hundred rows; Spark broadcasts them while they are small. The list
-    of copies can grow with the data and is joined by whatever its size asks for.
+    of copies can grow with the data: it is broadcast only if it was counted and found short.
     """
     z = zones.select(F.col("location_id").alias("z_id"), F.col("borough").alias("pu_borough"), F.col("service_zone").alias("pu_service_zone"))
     lic = licensees.select(F.col("hvfhs_license_num").alias("l_id"))
@@ -58,7 +58,7 @@ def attach(staged: DataFrame, zones: DataFrame, licensees: DataFrame, copies: Da
 
 def check(raw: DataFrame, zones: DataFrame, licensees: DataFrame, month: Month, settings: Settings) -> DataFrame:
     """Raw trips with source_row_id -> every row with its rule flags. Copies are judged over all raw columns."""
-    copies = later_copies(raw, "source_row_id")
+    copies = broadcast_if_few(later_copies(raw, "source_row_id"))
     joined = attach(project(raw, str(month)), zones, licensees, copies, settings["kpi.hour_bands"])
     params = rules.Params(month.start, month.after, int(settings["validation.long_response_warn_seconds"]), tuple(settings["kpi.boroughs"]))
     return rules.apply(joined, params)
