@@ -45,6 +45,11 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all that the text operators have left in the shared folder. Results not yet written are lost with it."""
+    drop_dir(spark, f"{shared_dir(spark)}/plumbline")
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage. A lost executor costs a re-read, never a recomputation.
 

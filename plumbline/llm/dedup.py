@@ -197,6 +197,7 @@ def _confirm(docs: DataFrame, clusters: DataFrame, scratch: Scratch, num: int, d
     one = scratch.cut(first.groupBy("cluster", "with").applyInPandas(verify, out))
     large = scratch.cut(placed.filter("blocks > 1"))
     if large.isEmpty():
+        scratch.drop(sets, large)
         return one
     # round two, for large clusters: all that is outside the largest component, against everything
     named = components(one, scratch).select(F.col("node").alias("n_"), "label")
@@ -210,8 +211,9 @@ def _confirm(docs: DataFrame, clusters: DataFrame, scratch: Scratch, num: int, d
     every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.col("block").alias("q"), b.alias("r"), F.lit(True).alias("ask")))
     as_asks = known.filter("label <> main").select("cluster", "node", "shingles", "label", F.explode(every).alias("p"))
     pairs = as_rows.union(as_asks).select("cluster", "node", "shingles", "label", "p.*")
-    two = pairs.groupBy("cluster", "q", "r").applyInPandas(verify, out)
-    return one.union(scratch.cut(two))
+    two = scratch.cut(pairs.groupBy("cluster", "q", "r").applyInPandas(verify, out))
+    scratch.drop(sets, large, known)
+    return one.union(two)
 
 
 def one_of_each(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Scratch, fresh_dir, tune
+from plumbline.llm.common import Scratch, drop_dir, fresh_dir, tune
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -301,4 +301,5 @@ def archive(pages: DataFrame, least: int = 0) -> DataFrame:
     written = scratch.cut(write_archives(plan_revisits(pages, scratch, least), raw))
     spread = lambda df: df.repartition(max(1, df.count()))  # noqa: E731  a row is a file's name
     normal = scratch.cut(normalise_archives(spread(written), raw, done))
+    drop_dir(spark, raw)  # the normalised archives are named in a written table by now
     return read_archives(spread(normal), done)
