@@ -124,16 +124,16 @@ def _spanning_links(nodes: np.ndarray, sets: list[np.ndarray], labels: np.ndarra
         shared = np.add.reduceat(mark[ids], at[:-1])
         mark[own] = 0
         for r in np.flatnonzero((den * shared >= num * (sizes + sizes[q] - shared)) & ~done):
-            if forest.join(int(q), int(r)):
+            if forest.join(int(q), int(r)) and nodes[q] != nodes[r]:
                 links.append((int(nodes[q]), int(nodes[r])))
     return links
 
 
 def _verifier(num: int, den: int):
-    """Confirms the links of one group of rows: node, shingles, label, ask (row is a query)."""
+    """Confirms the links of one group of rows: node, version, shingles, label, ask (row is a query)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ask", "node"], ascending=[False, True]).drop_duplicates("node")
+        pdf = pdf.sort_values(["ask", "node", "version"], ascending=[False, True, True]).drop_duplicates(["node", "version"])
         if len(pdf) < 2:
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         links = _spanning_links(pdf["node"].to_numpy(), [np.asarray(s) for s in pdf["shingles"]], pdf["label"].to_numpy(), pdf["ask"].to_numpy(dtype=bool), num, den)
@@ -166,10 +166,8 @@ def near_components(docs: DataFrame, num: int = 85, den: int = 100, bands: int =
     stars = band.drop("n_shingles").join(buckets, ["band", "key"]).filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     clusters = components(stars, scratch)
     links = _confirm(docs, clusters, scratch, num, den, size)
-    # rows that share a doc_id but not a set are linked by that id
-    same = rows_.filter("n_shingles > 0").join(classes.drop("keys"), ["fp_a", "fp_b", "n_shingles"]).filter("doc_id <> node")
-    twice = same.join(classes.select(F.col("node").alias("other")), F.col("doc_id") == F.col("other")).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    named = components(links.union(twice), scratch)
+    links = links.union(_versions(rows_, classes, scratch))
+    named = components(links, scratch)
     label = scratch.cut(
         classes.drop("keys")
         .join(named.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left")
@@ -180,12 +178,22 @@ def near_components(docs: DataFrame, num: int = 85, den: int = 100, bands: int =
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
+def _versions(rows: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): classes that are linked because one doc_id has rows of each."""
+    own = rows.filter("n_shingles > 0 and doc_id is not null")
+    twice = scratch.cut(own.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("d_")))
+    named = own.join(twice, F.col("doc_id") == F.col("d_"), "left_semi").join(classes.drop("keys"), ["fp_a", "fp_b", "n_shingles"]).select("doc_id", "node").distinct()
+    least = named.groupBy("doc_id").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
+    return named.join(least.select(F.col("doc_id").alias("e_"), "least"), F.col("doc_id") == F.col("e_")).filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+
+
 def _confirm(docs: DataFrame, clusters: DataFrame, scratch: Scratch, num: int, den: int, size: int) -> DataFrame:
     """(a, b): confirmed links that connect what is connected within each cluster."""
     wanted = clusters.select(F.col("node").alias("n_"), F.col("label").alias("cluster"))
     text = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    held = text.join(wanted, F.col("node") == F.col("n_"), "left_semi").dropDuplicates(["node"])
-    sets = scratch.cut(_sets(held, size).join(wanted, F.col("node") == F.col("n_")).drop("n_"))
+    # a doc_id may come with several texts: each is compared
+    held = text.join(wanted, F.col("node") == F.col("n_"), "left_semi").withColumn("v_", F.xxhash64("text")).dropDuplicates(["node", "v_"]).select("node", "text")
+    sets = scratch.cut(_sets(held, size).join(wanted, F.col("node") == F.col("n_")).drop("n_").withColumn("version", F.xxhash64("shingles")))
     shape = sets.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum(F.size("shingles")).alias("total"))
     blocks = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int")
     shape = scratch.cut(shape.select(F.col("cluster").alias("c_"), blocks.alias("blocks")))
@@ -193,7 +201,7 @@ def _confirm(docs: DataFrame, clusters: DataFrame, scratch: Scratch, num: int, d
     verify, out = _verifier(num, den), "a long, b long"
     # round one: every block with itself, and with block 0 as the cluster's pivots
     pivots = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
-    first = placed.select("cluster", "node", "shingles", F.col("node").alias("label"), F.explode(pivots).alias("with"), F.lit(True).alias("ask"))
+    first = placed.select("cluster", "node", "version", "shingles", F.col("node").alias("label"), F.explode(pivots).alias("with"), F.lit(True).alias("ask"))
     one = scratch.cut(first.groupBy("cluster", "with").applyInPandas(verify, out))
     large = scratch.cut(placed.filter("blocks > 1"))
     if large.isEmpty():
@@ -207,10 +215,10 @@ def _confirm(docs: DataFrame, clusters: DataFrame, scratch: Scratch, num: int, d
     asks = scratch.cut(known.filter("label <> main").groupBy("cluster", "block").count().groupBy(F.col("cluster").alias("c_")).agg(F.collect_set("block").alias("ask_blocks")))
     all_rows = known.join(asks, F.col("cluster") == F.col("c_")).drop("c_", "main", "parts")
     ranks = F.transform("ask_blocks", lambda b: F.struct(b.alias("q"), F.col("block").alias("r"), F.lit(False).alias("ask")))
-    as_rows = all_rows.select("cluster", "node", "shingles", "label", F.explode(ranks).alias("p"))
+    as_rows = all_rows.select("cluster", "node", "version", "shingles", "label", F.explode(ranks).alias("p"))
     every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.col("block").alias("q"), b.alias("r"), F.lit(True).alias("ask")))
-    as_asks = known.filter("label <> main").select("cluster", "node", "shingles", "label", F.explode(every).alias("p"))
-    pairs = as_rows.union(as_asks).select("cluster", "node", "shingles", "label", "p.*")
+    as_asks = known.filter("label <> main").select("cluster", "node", "version", "shingles", "label", F.explode(every).alias("p"))
+    pairs = as_rows.union(as_asks).select("cluster", "node", "version", "shingles", "label", "p.*")
     two = scratch.cut(pairs.groupBy("cluster", "q", "r").applyInPandas(verify, out))
     scratch.drop(sets, large, known)
     return one.union(two)

@@ -111,3 +111,13 @@ def test_awkward_rows(spark):
 
 def test_no_rows(spark):
     assert dedup.near_components(frame(spark, [])).count() == 0
+
+
+def test_one_id_with_several_texts_links_their_groups(spark):
+    a, b = (made_words(60, s) for s in (71, 72))
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(3, " ".join(a)), (5, " ".join(a)), (4, " ".join(b)), (5, " ".join(b)), (9, near(a)), (10, near(b)), (11, "quite alone in here it is")]
+    got = dedup.near_components(frame(spark, rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(3, 3), (5, 3), (4, 3), (9, 3), (10, 3), (11, 11)}
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (9, near(a)), (10, near(b))]
+    assert {r["component_id"] for r in dedup.near_components(frame(spark, rows)).collect()} == {7}
