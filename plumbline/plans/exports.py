@@ -9,9 +9,11 @@ from __future__ import annotations
 import csv
 import io
 import json
+import math
 from collections.abc import Iterable, Sequence
+from decimal import ROUND_HALF_UP, Decimal
 from pathlib import Path
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,9 +53,28 @@ def write_frame(df: DataFrame, path: Path, order: Sequence[Any], digits: int = 4
     write_rows(path, out.columns, out.collect())
 
 
-def write_metrics(found: dict[str, DataFrame], folder: Path) -> None:
-    for name, df in found.items():
-        write_frame(df, folder / f"{name}.csv", ORDER[name])
+class Gathered(NamedTuple):
+    """A metric's columns and ordered rows."""
+
+    columns: list[str]
+    rows: list[dict[str, Any]]
+
+
+def gather(found: dict[str, DataFrame]) -> dict[str, Gathered]:
+    """Every metric, computed once for all exports: a few rows for each month and dispatcher."""
+    return {name: Gathered(df.columns, [r.asDict() for r in df.orderBy(*ORDER[name]).collect()]) for name, df in found.items()}
+
+
+def half_up(v: Any, digits: int) -> Any:
+    """Doubles rounded half up on their shortest decimal form, as Spark rounds them; other values as they are."""
+    if not isinstance(v, float) or not math.isfinite(v):
+        return v
+    return float(Decimal(repr(v)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+
+
+def write_metrics(found: dict[str, Gathered], folder: Path, digits: int = 4) -> None:
+    for name, (columns, rows) in found.items():
+        write_rows(folder / f"{name}.csv", columns, [[half_up(v, digits) for v in r.values()] for r in rows])
 
 
 # --- a month's evidence ----------------------------------------------------------------------------------------------
@@ -118,14 +139,12 @@ def table(head: Sequence[str], rows: Iterable[Sequence[str]]) -> str:
     return "\n".join(["| " + " | ".join(head) + " |", "|" + "---|" * len(head), *("| " + " | ".join(map(str, r)) + " |" for r in rows)]) + "\n"
 
 
-def scorecard(engine: Any, path: Path) -> None:
+def scorecard(engine: Any, found: dict[str, Gathered], path: Path) -> None:
     """Seven sections: trust, verdicts, gap, stages, places, impossible times, rules that fired."""
     k, wh = engine.s["kpi"], engine.warehouse
-    got = engine.metrics()
-    rows = {name: [x.asDict() for x in df.orderBy(*ORDER[name]).collect()] for name, df in got.items()}
-    of = lambda name: rows.get(name, [])
-    status = {x["month"]: x for x in wh.table("month_status").collect()} if got else {}
-    recon = wh.table("reconciliation").orderBy("month", "control_source", "scope").collect() if got else []
+    of = lambda name: found[name].rows if name in found else []
+    status = {x["month"]: x for x in wh.table("month_status").collect()} if found else {}
+    recon = wh.table("reconciliation").orderBy("month", "control_source", "scope").collect() if found else []
     target = k["target_rate"]
     yes = lambda b: "Y" if b else "N"
     parts = [
@@ -156,7 +175,7 @@ def scorecard(engine: Any, path: Path) -> None:
         "## 7. Rules that fired\n",
     ]
     fired = []
-    if got:
+    if found:
         v = wh.table("validation_rule_result").filter("n_failed > 0").filter(F.col("rule_id") != rules.ANY_ERROR)
         v = v.join(rules.registry_frame(engine.spark).select("rule_id", "severity", "rule"), "rule_id").join(engine.licensees.select("hvfhs_license_num", "brand"), "hvfhs_license_num", "left")
         v = v.withColumn("who", F.coalesce("brand", "hvfhs_license_num")).orderBy("month", "rule_id", "who", "wav_requested")

@@ -292,8 +292,9 @@ def run(spark: SparkSession, months: Sequence[Month], settings: Settings, sessio
             summary["months"][str(m)] = {k: v for k, v in asdict(done).items() if k not in ("daily", "profile")}
         failed = [m for m, x in summary["months"].items() if x["status"] != "PUBLISHED"]
         summary["status"] = "OK" if not failed else "PARTIAL" if len(failed) < len(months) else "FAILED"
-        exports.write_metrics(engine.metrics(), out / "metrics")
-        exports.scorecard(engine, out / "scorecard.md")
+        found = exports.gather(engine.metrics())
+        exports.write_metrics(found, out / "metrics")
+        exports.scorecard(engine, found, out / "scorecard.md")
     summary["seconds"] = round(time.monotonic() - begun, 1)
     exports.rules_document(settings, out / "validation_rules.md")
     write_json(settings.path("logs") / f"run_{run_id}.json", summary)

@@ -122,3 +122,13 @@ def test_command_line():
     assert e.value.code == 2
     with pytest.raises(SystemExit):
         run_months.main(["--month", "2026-02", "--offline", "--refresh"])
+
+
+def test_driver_rounds_as_spark_does(spark):
+    from pyspark.sql import functions as F
+
+    from plumbline.plans.exports import half_up
+
+    values = [0.00005, 2.5, 1.00005, 0.12345, -0.00005, 1 / 3, 2 / 3, 0.89995, 1e-9, 123456.78905, 0.0, None]
+    got = spark.createDataFrame([(v,) for v in values], "x double").select(F.round("x", 4)).collect()
+    assert [r[0] for r in got] == [half_up(v, 4) for v in values]
