@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from plumbline.functions.columns import first_match
 from plumbline.operators.rules import ANY_ERROR
 from plumbline.settings import Month
+from plumbline.sources.tables import parameter_rows
 
 
 @dataclass
@@ -141,7 +142,7 @@ def footer_rows(spark: SparkSession, path: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.createDataFrame([(n,)], "footer_rows long")
+    return parameter_rows(spark, [(n,)], "footer_rows long")
 
 
 def footer_against_scan(spark: SparkSession, path: str) -> DataFrame:

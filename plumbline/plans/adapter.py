@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import metrics, rules, segments, staging
 from plumbline.session import pin
 from plumbline.settings import Month, Settings, load
+from plumbline.sources.tables import parameter_rows
 
 MONTH = Month(2024, 1)
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -75,11 +76,11 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def licensees(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LICENSEES, "hvfhs_license_num string, brand string, control_key string")
+    return parameter_rows(spark, LICENSEES, "hvfhs_license_num string, brand string, control_key string")
 
 
 def status(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(str(MONTH), "FINAL")], "month string, metric_status string")
+    return parameter_rows(spark, [(str(MONTH), "FINAL")], "month string, metric_status string")
 
 
 def final(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ class Engine:
     @property
     def licensees(self) -> DataFrame:
         rows = [(x["hvfhs_license_num"], x["brand"], x["control_key"] or None) for x in self.s["licensees"]]
-        return self.spark.createDataFrame(rows, "hvfhs_license_num string, brand string, control_key string")
+        return src.parameter_rows(self.spark, rows, "hvfhs_license_num string, brand string, control_key string")
 
     # --- shared reference --------------------------------------------------------------------------------------------
 
@@ -153,9 +153,9 @@ class Engine:
             "diag_negative_response": segments.negative_responses(final),
             "diag_segment": segments.raw_segments(final),
             "validation_rule_result": counted.withColumn("month", F.lit(str(month))),
-            "file_check": self.spark.createDataFrame([(str(month), *x.row().values()) for x in r.checks], CHECK),
-            "reconciliation": self.spark.createDataFrame([tuple(asdict(x).values()) for x in r.comparisons], RECON),
-            "month_status": self.spark.createDataFrame([(str(month), r.retrieval_status, r.metric_status, trips.manifest["sha256"], footer, run_id, datetime.now(UTC).isoformat(timespec="seconds"))], STATUS),
+            "file_check": src.parameter_rows(self.spark, [(str(month), *x.row().values()) for x in r.checks], CHECK),
+            "reconciliation": src.parameter_rows(self.spark, [tuple(asdict(x).values()) for x in r.comparisons], RECON),
+            "month_status": src.parameter_rows(self.spark, [(str(month), r.retrieval_status, r.metric_status, trips.manifest["sha256"], footer, run_id, datetime.now(UTC).isoformat(timespec="seconds"))], STATUS),
         })
         self.warehouse.drop(f"{folder}/_checked")
 

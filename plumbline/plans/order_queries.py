@@ -11,6 +11,7 @@ from plumbline.operators import tables as t
 from plumbline.plans import deliveries as x
 from plumbline.plans.kpi_queries import query
 from plumbline.plans.rounding import rounded
+from plumbline.sources.tables import parameter_rows
 
 
 @query(
@@ -278,7 +279,7 @@ def gate_table(spark: SparkSession, d: str) -> DataFrame:
     grain = t.grain(x.stored(spark, d), "orders", "order_id").select(F.lit("business grain").alias("assumption"), F.when(c("is_unique"), "PASS").otherwise("FAIL").alias("status"), (c("n_rows") - c("n_keys")).alias("evidence"))
     counted = t.checks(orders, {"completion time": (c("status") == "delivered") & c("actual_delivery_at").isNull(), "promised ETA": c("promised_eta") < c("created_at")})
     seen = counted.select(c("check_name").alias("assumption"), F.when(c("n") == 0, "PASS").otherwise("WARN").alias("status"), c("n").alias("evidence"))
-    unknown = spark.createDataFrame([("definition of late", "UNKNOWN", None)], "assumption string, status string, evidence long")
+    unknown = parameter_rows(spark, [("definition of late", "UNKNOWN", None)], "assumption string, status string, evidence long")
     return grain.unionByName(seen).unionByName(unknown)
 
 

@@ -12,9 +12,9 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from plumbline.operators.copies import assert_unique
+from plumbline.sources.tables import parameter_rows
 
 #: Table -> key. The schema of a table is that of what is written; EMPTY has those that may be read before any month is.
 KEYS: dict[str, tuple[str, ...]] = {
@@ -102,10 +102,10 @@ class Warehouse:
 
     def audit(self, row: tuple) -> None:
         """Append one attempt."""
-        self.spark.createDataFrame([row], AUDIT).coalesce(1).write.mode("append").parquet(f"{self.root}/pipeline_run")
+        parameter_rows(self.spark, [row], AUDIT).coalesce(1).write.mode("append").parquet(f"{self.root}/pipeline_run")
 
     def attempts(self) -> DataFrame:
         path = f"{self.root}/pipeline_run"
         if not self._fs.exists(self._path(path)):
-            return self.spark.createDataFrame([], T.StructType.fromDDL(AUDIT))
+            return parameter_rows(self.spark, [], AUDIT)
         return self.spark.read.schema(AUDIT).parquet(path)

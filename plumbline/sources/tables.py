@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def with_position(spark: SparkSession, path: str, name: str = "source_row_id") -> DataFrame:
@@ -45,8 +47,15 @@ def lookup_number(rows: DataFrame, where: dict[str, str], column: str) -> DataFr
 
 
 def parameter_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Literal rows of a declared schema."""
-    return spark.createDataFrame(list(rows), schema)
+    """Literal rows of a declared schema.
+
+    They go by way of Arrow, which makes a local relation: Spark then knows its size and broadcasts it. Rows given as
+    Python objects would be a frame of unknown size, and joining the data with it would shuffle the data.
+    """
+    struct = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows)) if rows else [[] for _ in struct]
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), schema=struct)
 
 
 def schema_rows(rows: DataFrame) -> list[tuple[str, str]]:
