@@ -6,6 +6,7 @@ final_status, traffic_bucket, weather_bucket and distance_km; touches and interv
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -50,11 +51,15 @@ def staged(orders: DataFrame) -> DataFrame:
     )
 
 
-def compared(stages: DataFrame, by: str) -> DataFrame:
-    """Lateness and median stages for each value of a dimension; rows without one are left out."""
-    rate = F.avg(F.col("late").cast("int"))
-    medians = [F.median(c).alias(f"median_{c}") for c in ("delay_min", "promised_min", "travel_min", "prep_min")]
-    return stages.filter(F.col(by).isNotNull()).groupBy(F.col(by).cast("string").alias("bucket")).agg(F.count("*").alias("n_orders"), rate.alias("late_rate"), *medians)
+def compared(stages: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(dimension, bucket, ...): lateness and median stages for each value of several dimensions, in one pass.
+
+    Every order counts once in each dimension that it has a value of.
+    """
+    measures = ("delay_min", "promised_min", "travel_min", "prep_min")
+    placed = F.inline(F.array(*[F.struct(F.lit(n).alias("dimension"), F.col(n).cast("string").alias("bucket")) for n in by]))
+    rows = stages.select(F.col("late").cast("int").alias("late_"), *measures, placed).filter("bucket is not null")
+    return rows.groupBy("dimension", "bucket").agg(F.count("*").alias("n_orders"), F.avg("late_").alias("late_rate"), *[F.median(c).alias(f"median_{c}") for c in measures])
 
 
 def correlations(stages: DataFrame) -> DataFrame:

@@ -92,6 +92,15 @@ def aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.aggregates(final(spark, sf_dir), 600)
 
 
+def table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregates as a table, for metrics that read them several times: a row for each segment, computed once.
+
+    A run over months reads them back from the warehouse instead.
+    """
+    agg = aggregates(spark, sf_dir)
+    return spark.createDataFrame(agg.toArrow(), schema=agg.schema)
+
+
 def kpi(spark: SparkSession, agg: DataFrame) -> DataFrame:
     return metrics.kpi(agg, licensees(spark), status(spark), standard())
 

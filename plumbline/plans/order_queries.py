@@ -37,12 +37,7 @@ _DIMENSIONS = ("traffic", "weather_bucket", "distance_band", "time_of_day", "lat
 @query("stage_by_dimension", x.sql(" UNION ALL ".join(_COMPARE.format(dim=n) for n in _DIMENSIONS)))
 def stage_by_dimension(spark: SparkSession, d: str) -> DataFrame:
     """Lateness and stages by traffic, weather, distance, hour and lateness itself."""
-    stages = o.staged(x.orders(spark, d))
-    parts = [o.compared(stages, n).select(F.lit(n).alias("dimension"), "*") for n in _DIMENSIONS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return rounded(out)
+    return rounded(o.compared(o.staged(x.orders(spark, d)), _DIMENSIONS))
 
 
 @query("delay_correlation", x.sql("SELECT round(corr(prep_min, delay_min), 6) AS corr_prep_min, round(corr(travel_min, delay_min), 6) AS corr_travel_min, round(corr(distance_km, delay_min), 6) AS corr_distance_km FROM stages"))
