@@ -11,14 +11,23 @@ from pyspark.sql import functions as F
 
 #: Up to so many keys are gathered and broadcast; more are joined by a shuffle.
 FEW = 500_000
+#: Data that Spark estimates at fewer bytes is cheaper to shuffle than to count keys for.
+WORTH = 64 << 20
 
 
-def broadcast_if_few(keys: DataFrame, most: int = FEW) -> DataFrame:
-    """The same rows, marked for broadcast if there are no more than `most`; otherwise the frame as it is.
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a plan's output; nothing is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_few(keys: DataFrame, data: DataFrame, most: int = FEW, worth: int = WORTH) -> DataFrame:
+    """The same keys, marked for broadcast if the data is large and there are no more than `most`; else as they are.
 
     One column of keys at most `most` long passes through the driver. It spares the other side of a join, which is the
     whole data, a shuffle that Spark would plan as long as it doesn't know how few keys there are.
     """
+    if estimated_bytes(data) < worth:
+        return keys
     got = keys.limit(most + 1).toArrow()
     return keys if got.num_rows > most else F.broadcast(keys.sparkSession.createDataFrame(got, schema=keys.schema))
 
@@ -31,7 +40,7 @@ def later_copies(rows: DataFrame, row_id: str, columns: Sequence[str] | None = N
     """
     columns = list(columns or [c for c in rows.columns if c != row_id])
     hashed = rows.select(row_id, F.xxhash64(*columns).alias("h_"))
-    twice = broadcast_if_few(hashed.groupBy("h_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("h_"), few)
+    twice = broadcast_if_few(hashed.groupBy("h_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("h_"), rows, few)
     some = rows.select(row_id, *columns, F.xxhash64(*columns).alias("h_")).join(twice, "h_", "left_semi")
     first = some.groupBy("h_", *columns).agg(F.min(row_id).alias(row_id)).select(row_id)
     return some.select(row_id).join(first, row_id, "left_anti")

@@ -58,7 +58,7 @@ def attach(staged: DataFrame, zones: DataFrame, licensees: DataFrame, copies: Da
 
 def check(raw: DataFrame, zones: DataFrame, licensees: DataFrame, month: Month, settings: Settings) -> DataFrame:
     """Raw trips with source_row_id -> every row with its rule flags. Copies are judged over all raw columns."""
-    copies = broadcast_if_few(later_copies(raw, "source_row_id"))
+    copies = broadcast_if_few(later_copies(raw, "source_row_id"), raw)
     joined = attach(project(raw, str(month)), zones, licensees, copies, settings["kpi.hour_bands"])
     params = rules.Params(month.start, month.after, int(settings["validation.long_response_warn_seconds"]), tuple(settings["kpi.boroughs"]))
     return rules.apply(joined, params)

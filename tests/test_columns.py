@@ -63,8 +63,16 @@ def test_literal_rows_have_a_known_size(spark):
 
 def test_few_keys_are_broadcast_and_many_are_not(spark):
     keys = spark.range(20)
-    assert copies.broadcast_if_few(keys, 5) is keys
-    assert sorted(r[0] for r in copies.broadcast_if_few(keys, 20).collect()) == list(range(20))
+    assert copies.broadcast_if_few(keys, keys, 5, 0) is keys and copies.broadcast_if_few(keys, keys) is keys
+    few = copies.broadcast_if_few(keys, keys, 20, 0)
+    assert few is not keys and sorted(r[0] for r in few.collect()) == list(range(20))
+
+
+def test_copies_are_found_by_either_way(spark, monkeypatch):
+    rows = spark.range(40).select("id", (F.col("id") % 30).alias("x"), F.when(F.col("id") % 2 == 0, "e").alias("y"))
+    lazy = sorted(r[0] for r in copies.later_copies(rows, "id").collect())
+    monkeypatch.setattr(copies.broadcast_if_few, "__defaults__", (copies.FEW, 0))
+    assert lazy == sorted(r[0] for r in copies.later_copies(rows, "id").collect()) == list(range(30, 40))
 
 
 def test_coverage_with_null_keys(spark):
