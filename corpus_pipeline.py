@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbline.llm import decontaminate, dedup, langid, packing, pii
 from plumbline.llm.common import Scratch, table
 
+#: The similarity of five-word shingle sets from which the stage links documents, as a fraction.
+NEAR = (80, 100)
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised: texts without a letter and ambiguous ones go."""
@@ -16,8 +19,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the least doc_id."""
-    return dedup.one_of_each(docs)
+    """One document of each group of near-duplicates at a similarity of 0.8: that of the least doc_id."""
+    return dedup.one_of_each(docs, *NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,3 +121,16 @@ def test_one_id_with_several_texts_links_their_groups(spark):
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(3, 3), (5, 3), (4, 3), (9, 3), (10, 3), (11, 11)}
     rows = [(7, " ".join(a)), (7, " ".join(b)), (9, near(a)), (10, near(b))]
     assert {r["component_id"] for r in dedup.near_components(frame(spark, rows)).collect()} == {7}
+
+
+def test_pipeline_stage_links_from_four_fifths(spark):
+    """Pairs planted between 0.80 and 0.85: n words with one changed in the middle share n - 9 of n + 1 shingles."""
+    import corpus_pipeline
+
+    rows = []
+    for k, n in enumerate([49, 50, 52, 54, 56, 58, 60, 48, 46]):
+        w = made_words(n, 900 + k)
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join([*w[: n // 2], "changed", *w[n // 2 + 1 :]]))]
+    want = {i for i, (_, _, kept) in brute(rows, 80, 100).items() if kept}
+    assert len(want) == len({i for i, (_, _, kept) in brute(rows).items() if kept}) - 7
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame(spark, rows), "").collect()} == want
