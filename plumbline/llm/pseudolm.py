@@ -27,8 +27,8 @@ from plumbline.llm.text import lower, slices, words
 FIRST, SECOND, OWN, REACH, HIDDEN = 64, 64, 48, 3, 32
 #: A task counts words that make up at least this share of its tokens: 4096 of them at most.
 COUNTED = 1 / 4096
-#: A round trains on every STRIDE-th token, another one each round.
-ROUNDS, STRIDE, BATCH, RATE = 3, 8, 1024, 0.01
+#: Of n rounds each trains on every n-th token, another one each round, so that every token is a target once.
+ROUNDS, BATCH, RATE = 3, 1024, 0.01
 #: Weights are summed as whole multiples of 2**-FINE.
 FINE = 20
 
@@ -209,15 +209,15 @@ def _runs(column: pa.Array, limit: int = 1 << 17) -> Iterator[tuple[int, int, li
         yield lo, lo + len(held), held
 
 
-def _round(coded: DataFrame, net: Network, k: int) -> Network:
-    """One round: every task trains from `net` on its documents, and the results are averaged by tokens."""
+def _round(coded: DataFrame, net: Network, k: int, rounds: int) -> Network:
+    """Round k of some rounds: every task trains from `net` on its documents, and the results are averaged by tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, tokens = net.filled(net.flat()), 0
         for batch in batches:
             for _, _, docs in _runs(batch.column(0)):
                 w = Windows(docs)
-                chosen = np.arange(k % STRIDE, len(w.at), STRIDE)
+                chosen = np.arange(k, len(w.at), rounds)
                 tokens += len(chosen)
                 order = np.random.default_rng(len(chosen) + k).permutation(chosen)
                 for i in range(0, len(order), BATCH):
@@ -238,10 +238,10 @@ def _round(coded: DataFrame, net: Network, k: int) -> Network:
 
 
 def train(coded: DataFrame, rounds: int = ROUNDS) -> Network:
-    """A network trained on every document of `coded`, which should be a written table as it is read in each round."""
+    """A network trained on every token of `coded`, which should be a written table as it is read in each round."""
     net = Network.begin()
     for k in range(rounds):
-        net = _round(coded, net, k)
+        net = _round(coded, net, k, rounds)
     return net
 
 

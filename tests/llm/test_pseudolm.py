@@ -74,6 +74,14 @@ def test_trained_network_prefers_texts_in_order(spark):
     assert all(good[i] > bad[i] + 0.3 for i in range(20)) and np.mean(list(good.values())) > np.mean(list(before.values())) + 1
 
 
+def test_every_token_is_a_target_once(spark):
+    """Without words of their own, given_first moves only in the rows of first digits that were predicted."""
+    for n in (1, 2, 8, 50):
+        coded = p.encode(frame(spark, [" ".join(f"t{i}" for i in range(n))]).repartition(1), np.zeros(0, np.uint64))
+        digits = np.frombuffer(coded.first()["codes"], dtype="<u2") // p.SECOND
+        assert set(np.flatnonzero(np.abs(p.train(coded).given_first).sum(axis=1))) == set(digits.tolist())
+
+
 def test_result_does_not_depend_on_the_order_of_tasks(spark):
     docs = frame(spark, sentences(40, 5)).repartition(4, "doc_id")
     one = sorted(map(tuple, p.pseudo_likelihood(docs).collect()))
