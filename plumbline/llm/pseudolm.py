@@ -2,12 +2,14 @@
 
 Tokens are lower-cased words. A word's code has two digits: the most frequent words of the corpus have a first digit of
 their own, all others a hashed first and second digit. The network sees the digits of the three words on either side,
-never the word itself, through one hidden layer, and predicts the first digit and then, given it, the second. A
+never the word itself, through one hidden layer, and predicts the first digit and then, given it, the second. The words
+that share a code divide its probability by their counts in the corpus, so that each word has one of its own. A
 document's score is the sum over all its tokens of the logarithm of the predicted probability.
 
 Training is distributed. Every round each task starts from the same weights, runs through its own share of all the
 documents, and sends its weights; the new weights are the mean by tokens. Sums are taken in whole numbers, so that the
-order in which tasks end doesn't change the result. Word counts are summed over all documents in the same way.
+order in which tasks end doesn't change the result. All words are counted exactly, in a table that grows with the
+corpus. Tasks hold the counts of words that are frequent enough to be few; those of the rest are joined.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import Scratch, tune
@@ -25,12 +27,12 @@ from plumbline.llm.text import lower, slices, words
 
 #: First and second digits; words with a first digit of their own; words on either side; hidden units.
 FIRST, SECOND, OWN, REACH, HIDDEN = 64, 64, 48, 3, 32
-#: A task counts words that make up at least this share of its tokens: 4096 of them at most.
-COUNTED = 1 / 4096
+#: Tasks hold the counts of words that make up at least one in HEAVY of all tokens: HEAVY of them at most.
+HEAVY = 1 << 16
 #: Of n rounds each trains on every n-th token, another one each round, so that every token is a target once.
 ROUNDS, BATCH, RATE = 3, 1024, 0.01
-#: Weights are summed as whole multiples of 2**-FINE.
-FINE = 20
+#: Weights are summed as whole multiples of 2**-FINE, logarithms of counts as those of 2**-LOG_FINE.
+FINE, LOG_FINE = 20, 32
 
 
 def _code(h: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -42,42 +44,92 @@ def _code(h: np.ndarray, own: np.ndarray) -> np.ndarray:
     return rest.astype(np.uint16)
 
 
-def frequent(docs: DataFrame, most: int = OWN) -> np.ndarray:
-    """Hashes of the corpus's most frequent words, ties by hash. Counts are over all documents; a word counts in each
-    task where it is at least one in 4096 of the tokens."""
+def counted(docs: DataFrame) -> DataFrame:
+    """(word, n): how often each word's hash occurs in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         for batch in batches:
-            for s in slices(batch.column(0), 1 << 22):
-                h = words(lower(s.data), s.offsets).hash
-                total += len(h)
-                k, n = np.unique(h, return_counts=True)
-                often = n * 16 >= COUNTED * len(h)  # as parts go, so that memory stays bounded
-                both, inverse = np.unique(np.concatenate((keys, k[often])), return_inverse=True)
-                counts = np.bincount(inverse, weights=np.concatenate((counts, n[often])), minlength=len(both)).astype(np.int64)
-                keys = both
-        keep = counts >= max(1, COUNTED * total)
-        yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(counts[keep])], names=["word", "n"])
-
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word long, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
+            for s in slices(batch.column(0)):
+                k, n = np.unique(words(lower(s.data), s.offsets).hash, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _most(counts: DataFrame, most: int) -> np.ndarray:
+    top = counts.orderBy(F.desc("n"), "word").limit(most).collect()
     return np.sort(np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64))
 
 
-def encode(docs: DataFrame, own: np.ndarray) -> DataFrame:
-    """(doc_id, codes): each document's words as little-endian 16-bit codes."""
+def frequent(docs: DataFrame, most: int = OWN) -> np.ndarray:
+    """Hashes of the corpus's most frequent words, ties by hash. Counts are over all documents."""
+    return _most(counted(docs), most)
+
+
+def _logs(n: np.ndarray) -> np.ndarray:
+    """Logarithms as whole numbers, whose sums don't depend on their order."""
+    return np.rint(np.log(n.astype(np.float64)) * (1 << LOG_FINE)).astype(np.int64)
+
+
+@dataclass
+class Counts:
+    """Of words by hash: the frequent ones' logarithms of counts, and those of each code's count of tokens."""
+
+    heavy: np.ndarray
+    heavy_logs: np.ndarray
+    code_logs: np.ndarray
+
+    @staticmethod
+    def of(counts: DataFrame, own: np.ndarray) -> Counts:
+        """counts: a written table of (word, n)."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                code = _code(batch.column(0).to_numpy().view(np.uint64), own)
+                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), batch.column(1)], names=["code", "n"])
+
+        by = counts.select("word", "n").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+        logs = np.zeros(FIRST * SECOND, np.int64)
+        logs[by["code"].to_numpy()] = _logs(by["n"].to_numpy())
+        least = int(by["n"].to_numpy().sum()) / HEAVY
+        held = counts.filter(F.col("n") >= F.lit(least)).toArrow()
+        word, n = held["word"].to_numpy().view(np.uint64), held["n"].to_numpy()
+        order = np.argsort(word)
+        return Counts(word[order], _logs(n[order]), logs)
+
+    def part(self, h: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The whole number for each token's word within its code, without the counts of those not held; which those are."""
+        out = -self.code_logs[codes]
+        if not len(self.heavy):
+            return out, np.ones(len(h), dtype=bool)
+        at = np.minimum(np.searchsorted(self.heavy, h), len(self.heavy) - 1)
+        held = self.heavy[at] == h
+        return out + np.where(held, self.heavy_logs[at], 0), ~held
+
+
+def encode(docs: DataFrame, own: np.ndarray, counts: Counts | None = None) -> DataFrame:
+    """(doc_id, codes): each document's words as little-endian 16-bit codes.
+
+    With counts also (within, rest): the sum of Counts.part(), and the words whose counts it lacks, as often as they occur.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in slices(batch.column(1), 1 << 22):
+            for s in slices(batch.column(1)):
                 w = words(lower(s.data), s.offsets)
-                raw = _code(w.hash, own).astype("<u2").tobytes()
+                code = _code(w.hash, own)
+                raw = code.astype("<u2").tobytes()
                 first = (2 * w.first).tolist()
-                codes = pa.array([raw[a:b] for a, b in zip(first, first[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.lo, s.hi - s.lo), codes], names=["doc_id", "codes"])
+                columns = {"doc_id": batch.column(0).slice(s.lo, s.hi - s.lo), "codes": pa.array([raw[a:b] for a, b in zip(first, first[1:])], pa.binary())}
+                if counts is not None:
+                    part, lacks = counts.part(w.hash, code)
+                    before = np.concatenate(([0], np.cumsum(part)))
+                    at = np.concatenate(([0], np.cumsum(lacks)))[w.first]
+                    columns |= {"within": pa.array(before[w.first[1:]] - before[w.first[:-1]]), "rest": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(w.hash[lacks].view(np.int64)))}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, codes binary")
+    out = "doc_id long, codes binary" + (", within long, rest array<long>" if counts is not None else "")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, out)
 
 
 @dataclass
@@ -246,7 +298,16 @@ def train(coded: DataFrame, rounds: int = ROUNDS) -> Network:
 
 
 def score(coded: DataFrame, net: Network) -> DataFrame:
-    """(doc_id, n_tokens, log_prob, mean_log_prob) for each row of (doc_id, codes)."""
+    """(doc_id, n_tokens, log_prob, mean_log_prob) for each row of (doc_id, codes): the probabilities of codes."""
+    return _scored(coded.select("doc_id", "codes", F.lit(0).cast("long").alias("row"), F.lit(0).cast("long").alias("within")), net).select("doc_id", "n_tokens", "log_prob", _mean(F.col("log_prob")))
+
+
+def _mean(total: Column) -> Column:
+    return F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob")
+
+
+def _scored(coded: DataFrame, net: Network) -> DataFrame:
+    """(row, within, doc_id, n_tokens, log_prob) for each row of (doc_id, codes, row, within)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,20 +318,36 @@ def score(coded: DataFrame, net: Network) -> DataFrame:
                 before = np.concatenate(([0.0], np.cumsum(lp)))
                 size = np.array([len(d) for d in docs])
                 total = before[w.starts + size] - before[w.starts]
-                mean = [t / s if s else None for t, s in zip(total.tolist(), size.tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(total), pa.array(mean, pa.float64())], names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo), batch.column(3).slice(lo, hi - lo), batch.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(total)], names=["row", "within", "doc_id", "n_tokens", "log_prob"])
+
+    return coded.select("doc_id", "codes", "row", "within").mapInArrow(run, "row long, within long, doc_id long, n_tokens long, log_prob double")
+
+
+def _rest(coded: DataFrame, counts: DataFrame) -> DataFrame:
+    """(r_, more): for each row, the sum of the logarithms of the counts of the words in `rest`, where it isn't zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_logs(batch.column(1).to_numpy()))], names=["w_", "log"])
 
-    return coded.select("doc_id", "codes").mapInArrow(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+    logs = counts.filter("n > 1").select("word", "n").mapInArrow(run, "w_ long, log long")
+    found = coded.select("row", F.explode("rest").alias("word")).join(logs, F.col("word") == F.col("w_"))
+    return found.groupBy(F.col("row").alias("r_")).agg(F.sum("log").alias("more"))
 
 
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_tokens, log_prob, mean_log_prob), a row for each row of docs (doc_id long, text string).
 
-    log_prob sums the log-probability of every token given up to three words on either side, over the whole text.
-    Null and blank texts have no tokens, a sum of 0 and a null mean. Repeated rows are trained on as often as they
-    occur and score alike; no rows in, no rows out; other columns are ignored.
+    log_prob sums the log-probability of every token given up to three words on either side, over the whole text: that
+    of its code in this context, and its word's share of the code's tokens in the corpus. Null and blank texts have no
+    tokens, a sum of 0 and a null mean. Repeated rows are trained on as often as they occur and score alike; no rows
+    in, no rows out; other columns are ignored.
     """
     tune(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "lm")
-    coded = scratch.cut(encode(docs, frequent(docs)))
-    return score(coded, train(coded, rounds))
+    counts = scratch.cut(counted(docs))
+    own = _most(counts, OWN)
+    coded = scratch.cut(encode(docs, own, Counts.of(counts, own)).withColumn("row", F.monotonically_increasing_id()))
+    scored = _scored(coded, train(coded, rounds)).join(_rest(coded, counts), F.col("row") == F.col("r_"), "left")
+    total = F.col("log_prob") + (F.col("within") + F.coalesce("more", F.lit(0))) / (1 << LOG_FINE)
+    return scored.select("doc_id", "n_tokens", total.alias("log_prob"), _mean(total))

@@ -103,3 +103,26 @@ def test_awkward_rows(spark):
     assert len(got) == 12 and tuple(by[0])[1:] == tuple(by[1])[1:] == tuple(by[2])[1:] == (0, 0.0, None)
     assert by[6]["n_tokens"] == 60_000 and by[3]["log_prob"] == by[4]["log_prob"] < 0
     assert p.pseudo_likelihood(frame(spark, [])).count() == 0
+
+
+def test_each_word_has_a_probability_of_its_own(spark, monkeypatch):
+    """Words that share a code differ by the logarithm of their exact counts, held by tasks or joined."""
+    from collections import Counter
+
+    from plumbline.llm.text import lower, words
+
+    names = [f"r{i}" for i in range(4000)]
+    raw = "\n".join(names).encode()
+    h = words(lower(np.frombuffer(raw, dtype=np.uint8)), np.array([0, len(raw)])).hash
+    codes = p._code(h, np.zeros(0, np.uint64))
+    a, b = next((i, j) for j in range(4000) for i in range(j) if codes[i] == codes[j])
+    common = [" ".join(f"c{i}" for i in range(60))] * 9
+    docs = frame(spark, [*common, *[names[a]] * 6, *[names[b]] * 2]).repartition(5)
+    counts = {np.int64(r["word"]).view(np.uint64): r["n"] for r in p.counted(docs).collect()}
+    assert counts[h[a]] == 6 and counts[h[b]] == 2 and Counter(counts.values()) == {9: 60, 6: 1, 2: 1}
+    for heavy in (1, 60, 1 << 16):
+        monkeypatch.setattr(p, "HEAVY", heavy)
+        got = {r["doc_id"]: r["log_prob"] for r in p.pseudo_likelihood(docs).collect()}
+        assert abs(got[9] - got[15] - np.log(3)) < 1e-5 and got[9] < 0
+        assert heavy == 1 or got == before
+        before = got
