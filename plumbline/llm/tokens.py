@@ -11,16 +11,17 @@ VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
 class Encoder:
-    """Ids as tokenizers gives them. The same vocabulary as ranks is encoded several times faster, and is used where it
-    agrees on a probe; a text that it can't take falls back."""
+    """Ids as tokenizers gives them without special tokens of its own. The same vocabulary as ranks is encoded several
+    times faster, and is used where it agrees on a probe; a text that it can't take, or that holds an added token's
+    content, falls back."""
 
-    PROBE = "It's 12½ µm\r\n  – naïve\t<|endoftext|> 日本語 ​\x1c x_y.z  "
+    PROBE = "It's 12½ µm\r\n  – naïve\t<|endofte|> 日本語 ​\x1c x_y.z  "
 
     def __init__(self, vocabulary: str, ranks: str | None, pattern: str | None) -> None:
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(vocabulary)
-        self.slow.encode_special_tokens = True
+        self.added = tuple(t.content for t in self.slow.get_added_tokens_decoder().values())
         self.fast = None
         if ranks and pattern:
             import tiktoken
@@ -35,7 +36,7 @@ class Encoder:
         return self.slow.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is not None:
+        if self.fast is not None and not any(t in text for t in self.added):
             try:
                 return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
             except BaseException as e:  # the native library panics outside Exception

@@ -44,6 +44,18 @@ def test_fast_ids_are_used():
     assert encoder().fast is not None
 
 
+def test_added_tokens_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+    from plumbline.llm.tokens import VOCABULARY
+
+    plain = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext>", "a <|endof text|>"):
+        assert encoder().ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert encoder().ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+
+
 def check(rows, texts):
     """Every id in one piece, digests right, sequences gapless."""
     enc = encoder()
