@@ -5,8 +5,8 @@ and the words beside it are its lexical patterns. Spark builds the graph of patt
 sides in turn: a pattern by the share of its instances that are believed to be of a kind, an instance by the patterns
 that it stands in. Patterns that end with high confidence mark further tokens as of their kind.
 
-Only patterns are handed to the tasks. Each carries at least a fixed share of all seeds of its kind, so their number
-is bounded whatever the corpus.
+Every pattern with enough distinct seeds takes part, however many other seeds its kind has. Patterns are a table; where
+they are counted and few they are handed to the tasks, and otherwise they are joined with the tokens.
 """
 
 from __future__ import annotations
@@ -38,9 +38,11 @@ _TRIM = ".,;:!?()[]{}<>\"'|"
 #: Words beside a token are read within so many characters.
 REACH = 80
 
-#: Confidence from which a pattern marks tokens; distinct seeds that it needs; least share of its kind's seeds;
-#: rounds of scoring; least digits of a token that is marked.
-CONFIDENT, SEEDS, SHARE, ROUNDS, DIGITS = 0.8, 5, 0.002, 3, 4
+#: Confidence from which a pattern marks tokens; distinct seeds that it needs; rounds of scoring; least digits of a
+#: token that is marked.
+CONFIDENT, SEEDS, ROUNDS, DIGITS = 0.8, 5, 3, 4
+#: So many patterns are handed to the tasks; more are joined.
+FEW = 1 << 14
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -154,24 +156,23 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _SCAN)
 
 
-def bootstrap(scanned: DataFrame, scratch: Scratch, rounds: int = ROUNDS, confident: float = CONFIDENT, seeds: int = SEEDS, share: float = SHARE) -> dict[str, str]:
-    """Pattern -> kind, of the patterns that end with at least the confidence asked for.
+def bootstrap(scanned: DataFrame, scratch: Scratch, rounds: int = ROUNDS, confident: float = CONFIDENT, seeds: int = SEEDS) -> DataFrame:
+    """(pattern, kind) of the patterns that end with at least the confidence asked for.
 
     An edge joins a pattern and an instance that it was seen with. A pattern's confidence for a kind is the mean
     belief in its distinct instances; an unlabelled instance believes in a kind as one minus the product of its
-    patterns' doubts. Seeds stay certain. A pattern needs `seeds` distinct seeds and `share` of its kind's seeds.
+    patterns' doubts. Seeds stay certain. A pattern needs `seeds` distinct seeds.
     """
     seen = scanned.select(F.explode("seen").alias("o")).select("o.kind", "o.who", F.explode("o.patterns").alias("pattern"))
     edges = scratch.cut(seen.groupBy("pattern", "who").agg(F.max("kind").alias("kind")))
     labelled = edges.filter("kind is not null")
-    total = scratch.cut(labelled.select("kind", "who").distinct().groupBy("kind").agg(F.count("*").alias("all")))
-    able = labelled.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-    able = able.join(F.broadcast(total), "kind").filter((F.col("seeds") >= seeds) & (F.col("seeds") >= share * F.col("all")))
-    # at most 1/share patterns a kind for each of the three ways to be beside a token
+    able = labelled.groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= seeds)
     able = scratch.cut(able.select(F.col("pattern").alias("p_"), F.col("kind").alias("k_")))
-    if able.isEmpty():
-        return {}
-    graph = scratch.cut(edges.join(F.broadcast(able), F.col("pattern") == F.col("p_")).select("pattern", "k_", "who", (F.col("kind") == F.col("k_")).alias("hit"), F.col("kind").isNull().alias("free")))
+    n = able.count()
+    if not n:
+        return able.toDF("pattern", "kind")
+    small = F.broadcast if n <= FEW else lambda df: df  # scores has the rows of able
+    graph = scratch.cut(edges.join(small(able), F.col("pattern") == F.col("p_")).select("pattern", "k_", "who", (F.col("kind") == F.col("k_")).alias("hit"), F.col("kind").isNull().alias("free")))
     belief = graph.select("who", "k_", F.when(F.col("hit"), 1.0).otherwise(0.0).alias("b")).groupBy("who", "k_").agg(F.max("b").alias("b"))
     belief = scratch.cut(belief)
     scores = None
@@ -179,13 +180,19 @@ def bootstrap(scanned: DataFrame, scratch: Scratch, rounds: int = ROUNDS, confid
         known = belief.select(F.col("who").alias("w_"), F.col("k_").alias("kk_"), "b")
         held = graph.join(known, (F.col("who") == F.col("w_")) & (F.col("k_") == F.col("kk_")))
         scores = scratch.cut(held.groupBy("pattern", "k_").agg(F.avg("b").alias("score")))
-        again = graph.join(F.broadcast(scores.withColumnsRenamed({"pattern": "p_", "k_": "kk_"})), (F.col("pattern") == F.col("p_")) & (F.col("k_") == F.col("kk_")))
+        again = graph.join(small(scores.withColumnsRenamed({"pattern": "p_", "k_": "kk_"})), (F.col("pattern") == F.col("p_")) & (F.col("k_") == F.col("kk_")))
         doubt = F.sum(F.log1p(-F.least("score", F.lit(0.999))))
         after = again.groupBy("who", "k_").agg(F.max("hit").alias("hit"), F.max("free").alias("free"), doubt.alias("doubt"))
         believed = F.when(F.col("hit"), 1.0).when(F.col("free"), 1 - F.exp("doubt")).otherwise(0.0)
         belief = scratch.cut(after.select("who", "k_", believed.alias("b")))
     best = scores.filter(F.col("score") >= confident).groupBy("pattern").agg(F.max_by("k_", F.struct("score", "k_")).alias("kind"))
-    return {r["pattern"]: r["kind"] for r in best.collect()}
+    return scratch.cut(best)
+
+
+def _held(patterns: DataFrame) -> dict[str, str] | None:
+    """Pattern -> kind where patterns are few, else None."""
+    rows = patterns.limit(FEW + 1).collect()
+    return {r["pattern"]: r["kind"] for r in rows} if len(rows) <= FEW else None
 
 
 def _marked(seen: list[dict], patterns: dict[str, str]) -> list[tuple[str, int, int]]:
@@ -196,6 +203,15 @@ def _marked(seen: list[dict], patterns: dict[str, str]) -> list[tuple[str, int,
     return out
 
 
+def _joined(scanned: DataFrame, row: str, patterns: DataFrame) -> DataFrame:
+    """(r_, added): what _marked() finds in each row of `scanned`, by joins; rows without any are left out."""
+    seen = scanned.select(F.col(row).alias("r_"), F.explode("seen").alias("o")).filter("o.eligible").select("r_", "o.start", "o.end", F.explode("o.patterns").alias("p_"))
+    votes = seen.join(patterns, F.col("p_") == F.col("pattern")).groupBy("r_", "start", "end", "kind").agg(F.count("*").alias("n"))
+    spans = votes.groupBy("r_", "start", "end").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"))
+    by = spans.groupBy("r_").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("added"))
+    return by.select("r_", F.transform("added", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("added"))
+
+
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, base, added), a row for each row of docs: spans of the base patterns and those that the method adds.
 
@@ -203,8 +219,12 @@ def find(docs: DataFrame) -> DataFrame:
     repeat, and count once as instances; no rows in, no rows out; other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "pii")
-    scanned = scratch.cut(scan(docs))
-    patterns = bootstrap(scanned, scratch)
+    scanned = scratch.cut(scan(docs).withColumn("row", F.monotonically_increasing_id()))
+    table = bootstrap(scanned, scratch)
+    patterns = _held(table)
+    if patterns is None:
+        joined = scanned.join(_joined(scanned, "row", table), F.col("row") == F.col("r_"), "left")
+        return joined.select("doc_id", "base", F.coalesce("added", F.array().cast(joined.schema["added"].dataType)).alias("added"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +232,7 @@ def find(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(added, _FOUND)], names=["doc_id", "base", "added"])
 
     out = "doc_id long, base array<struct<kind: string, start: long, end: long>>, added array<struct<kind: string, start: long, end: long>>"
-    return scanned.mapInArrow(run, out)
+    return scanned.drop("row").mapInArrow(run, out)
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -231,15 +251,16 @@ def redact(docs: DataFrame) -> DataFrame:
     All columns and all rows stay. Of overlapping spans the first and longest is replaced, and the rest falls with it.
     """
     scratch = Scratch(docs.sparkSession, "redact")
-    patterns = bootstrap(scratch.cut(scan(docs)), scratch)
+    table = bootstrap(scratch.cut(scan(docs)), scratch)
+    patterns = _held(table)
     schema = docs.schema
     at = docs.columns.index("text")
 
-    def clean(text: str | None) -> str | None:
+    def clean(text: str | None, added: list[dict] | None = None) -> str | None:
         if not text:
             return text
         base = base_spans(text)
-        more = []
+        more = [(o["kind"], o["start"], o["end"]) for o in added or []]
         if patterns:
             for k, a, b, p in occurrences(text, base):
                 more += _marked([{"eligible": k is None and _identifier(text[a:b]), "patterns": p, "start": a, "end": b}], patterns)
@@ -252,8 +273,14 @@ def redact(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = pa.array([clean(t) for t in batch.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([text if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
-
-    out = docs.mapInArrow(run, schema)
+            more = batch.column(len(schema)).to_pylist() if patterns is None else [None] * batch.num_rows
+            text = pa.array([clean(t, m) for t, m in zip(batch.column(at).to_pylist(), more)], pa.string())
+            yield pa.RecordBatch.from_arrays([text if i == at else c for i, c in enumerate(batch.columns[: len(schema)])], names=schema.names)
+
+    rows = docs
+    if patterns is None:
+        rows = scratch.cut(docs.withColumn("redacted_row_", F.monotonically_increasing_id()))
+        added = _joined(scan(rows.select(F.col("redacted_row_").alias("doc_id"), "text")), "doc_id", table).toDF("redacted_r_", "redacted_added_")
+        rows = rows.join(added, F.col("redacted_row_") == F.col("redacted_r_"), "left").drop("redacted_row_", "redacted_r_")
+    out = rows.mapInArrow(run, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -4,6 +4,7 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from plumbline.llm import pii
 from tests.llm.made import awkward, frame
@@ -71,3 +72,20 @@ def test_awkward_rows_and_none(spark):
     red = pii.redact(awkward(spark))
     assert red.columns == awkward(spark).columns and red.count() == 12
     assert pii.report(pii.find(frame(spark, []))).count() == 0
+
+
+def test_a_context_counts_whatever_other_sources_hold(spark):
+    """Six seeds are a thousandth of their kind's; they mark an unseen identifier as they would alone."""
+    own = [f"please ring me on +1 (555) 01{i:02d}-99{i:02d} about lot {i}" for i in range(6)] + ["please ring me on 555-7700-1004 today"]
+    others = [f"w{i} x{i} +1 (555) {i:04d}-1{i % 1000:03d} y{i}" for i in range(6000)]
+    for texts in (own, own + others):
+        got = {r["doc_id"]: r for r in pii.report(pii.find(frame(spark, texts))).collect()}
+        assert got[6]["spans"] == "phone:18:31" and got[6]["n_added"] == 1
+
+
+def test_many_patterns_are_joined_to_the_same_result(spark, monkeypatch):
+    docs = context(spark).withColumns({"r_": F.lit(1), "row": F.lit(2)})
+    every = lambda: [sorted(map(tuple, x.collect())) for x in (pii.report(pii.find(docs)), pii.redact(docs))]
+    few = every()
+    monkeypatch.setattr(pii, "FEW", 0)
+    assert every() == few and few[0][41][-2:] == ("phone:18:31", 1)
