@@ -19,8 +19,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates at a similarity of 0.8: that of the least doc_id."""
-    return dedup.one_of_each(docs, *NEAR)
+    """One row of each group of near-duplicate texts at a similarity of 0.8: that of the least doc_id, if it has any."""
+    return dedup.survivors(docs, *NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -231,3 +231,26 @@ def one_of_each(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     """
     kept = near_components(docs, num, den).filter("kept").select(F.col("doc_id").alias("k_")).distinct()
     return docs.join(kept, F.col("doc_id").cast("long") == F.col("k_"), "left_semi").dropDuplicates(["doc_id"])
+
+
+def survivors(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
+    """docs with one row for each component of near-duplicate rows. All columns stay, a doc_id plays no part in links.
+
+    Rows are linked by their texts alone, as near_components() links documents, so rows that share a doc_id are two
+    where their texts are. The row of the least doc_id stays, one without an id only where none of its component has
+    one; ties are broken by a hash of the text and then by position. Rows without words have nothing to be compared by
+    and all stay, but for repeated ones of the same doc_id and text.
+    """
+    scratch = Scratch(docs.sparkSession, "survivors")
+    rows = scratch.cut(docs.withColumn("near_row_", F.monotonically_increasing_id()))
+    named = near_components(rows.select(F.col("near_row_").alias("doc_id"), "text"), num, den)
+    named = scratch.cut(named.select(F.col("doc_id").alias("n_"), "component_id", "n_shingles"))
+    own = rows.select("near_row_", F.col("doc_id").cast("long").alias("d_"), F.xxhash64("text").alias("h_")).join(named, F.col("near_row_") == F.col("n_"))
+    order = F.struct(F.col("d_").isNull().alias("none"), "d_", "h_", "near_row_")
+    worded = own.filter("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("o")).select(F.col("o.near_row_").alias("k_"))
+    texts = rows.select("near_row_", F.col("doc_id").cast("long").alias("d_"), "text")
+    blank = texts.join(named.filter("n_shingles = 0").select("n_"), F.col("near_row_") == F.col("n_"), "left_semi")
+    unnamed = blank.filter("d_ is null").select("near_row_")
+    blank = blank.filter("d_ is not null").groupBy("d_", "text").agg(F.min("near_row_").alias("k_")).select("k_")
+    kept = worded.union(unnamed).union(blank).toDF("near_kept_")
+    return rows.join(kept, F.col("near_row_") == F.col("near_kept_"), "left_semi").drop("near_row_")

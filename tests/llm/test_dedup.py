@@ -134,3 +134,18 @@ def test_pipeline_stage_links_from_four_fifths(spark):
     want = {i for i, (_, _, kept) in brute(rows, 80, 100).items() if kept}
     assert len(want) == len({i for i, (_, _, kept) in brute(rows).items() if kept}) - 7
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame(spark, rows), "").collect()} == want
+
+
+def test_pipeline_stage_keeps_rows_without_an_id_and_unlike_rows_of_one_id(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(made_words(60, s)) for s in (81, 82, 83, 84))
+    near = lambda t: t.rsplit(" ", 1)[0] + " other"
+    rows = [(None, a), (None, near(a)), (None, b), (7, near(b)), (3, c), (3, d), (3, near(d)), (9, near(c)), (None, "alone"), (4, ""), (4, ""), (4, " "), (5, None), (None, ""), (None, "")]
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, frame(spark, rows), "").collect()]
+    fixed = [(7, near(b)), (3, c), (None, "alone"), (4, ""), (4, " "), (5, None), (None, ""), (None, "")]
+    assert len(got) == len(fixed) + 2 and all(got.count(x) == fixed.count(x) for x in fixed)
+    assert sum(x in ((None, a), (None, near(a))) for x in got) == 1 and sum(x in ((3, d), (3, near(d))) for x in got) == 1
+    whole = awkward(spark)
+    out = corpus_pipeline.near_duplicates(spark, whole, "")
+    assert out.columns == whole.columns and sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out.collect()) == [(False, i) for i in (0, 1, 2, 3, 5, 6, 7, 9)] + [(True, 0)]
