@@ -1,47 +1,49 @@
-"""Masked pseudo-likelihood: a bidirectional window network in numpy predicts every token from both of its sides.
+"""Masked pseudo-likelihood: a bidirectional window network predicts every token from both of its sides.
 
-Tokens are lower-cased words. A word's code has two digits: the most frequent words of the corpus have a first digit of
-their own, all others a hashed first and second digit. The network sees the digits of the three words on either side,
-never the word itself, through one hidden layer, and predicts the first digit and then, given it, the second. The words
-that share a code divide its probability by their counts in the corpus, so that each word has one of its own. A
+Tokens are lower-cased words. The corpus's most frequent words have codes of their own; all others share hashed ones.
+The network (windownet) gives a token's code a probability given the codes of three words on either side. The words that
+share a code divide its probability by their exact counts in the corpus, so that each word has one of its own. A
 document's score is the sum over all its tokens of the logarithm of the predicted probability.
 
-Training is distributed. Every round each task starts from the same weights, runs through its own share of all the
-documents, and sends its weights; the new weights are the mean by tokens. Sums are taken in whole numbers, so that the
-order in which tasks end doesn't change the result. All words are counted exactly, in a table that grows with the
-corpus. Tasks hold the counts of words that are frequent enough to be few; those of the rest are joined.
+Scores are a function of the rows alone, however they are laid out. Documents are dealt into shards by a hash of id and
+text, as many as the corpus's tokens ask for, and stand in each in the order of that hash. A round trains on another
+part of every shard from the same weights, and the new weights are the mean over shards, summed in whole numbers, so
+that neither partitions nor the order of tasks matter. Every token is a target once. Tasks hold the counts of words that
+are frequent enough to be few; those of the rest are joined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import Scratch, tune
 from plumbline.llm.text import lower, slices, words
+from plumbline.llm.windownet import CODES, REACH, Learner, Network, joined, parts
 
-#: First and second digits; words with a first digit of their own; words on either side; hidden units.
-FIRST, SECOND, OWN, REACH, HIDDEN = 64, 64, 48, 3, 32
+#: Words with a code of their own; all others are hashed into the rest of the codes.
+OWN = CODES - 1024
 #: Tasks hold the counts of words that make up at least one in HEAVY of all tokens: HEAVY of them at most.
-HEAVY = 1 << 16
-#: Of n rounds each trains on every n-th token, another one each round, so that every token is a target once.
-ROUNDS, BATCH, RATE = 3, 1024, 0.01
+HEAVY = 1 << 18
+#: Tokens of a shard, of which a document without tokens counts as some.
+SHARD, BARE = 1 << 18, 16
+#: Rounds, each on another part of every shard; tokens of a step; step width; tokens that are scored at once.
+ROUNDS, BATCH, RATE, AT_ONCE = 3, 2048, 0.2, 1 << 14
 #: Weights are summed as whole multiples of 2**-FINE, logarithms of counts as those of 2**-LOG_FINE.
 FINE, LOG_FINE = 20, 32
+#: Weights travel in pieces of so many; so many tasks' sums are added up at first.
+PIECE, FAN = 1 << 13, 64
 
 
-def _code(h: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Codes first * SECOND + second of word hashes; own: sorted hashes of the words with a first digit of their own."""
-    rest = (OWN + (h >> np.uint64(40)).astype(np.int64) % (FIRST - OWN)) * SECOND + (h & np.uint64(SECOND - 1)).astype(np.int64)
-    if len(own):
-        at = np.minimum(np.searchsorted(own, h), len(own) - 1)
-        rest = np.where(own[at] == h, at * SECOND, rest)
-    return rest.astype(np.uint16)
+def hashed(h: np.ndarray) -> np.ndarray:
+    """The shared codes of word hashes."""
+    return OWN + (h >> np.uint64(40)).astype(np.int64) % (CODES - OWN)
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -56,14 +58,10 @@ def counted(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _most(counts: DataFrame, most: int) -> np.ndarray:
-    top = counts.orderBy(F.desc("n"), "word").limit(most).collect()
-    return np.sort(np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64))
-
-
-def frequent(docs: DataFrame, most: int = OWN) -> np.ndarray:
-    """Hashes of the corpus's most frequent words, ties by hash. Counts are over all documents."""
-    return _most(counted(docs), most)
+def frequent(counts: DataFrame, most: int = OWN) -> np.ndarray:
+    """Hashes of the most frequent words, ties by hash."""
+    top = counts.orderBy(F.desc("n"), "word").limit(most).toArrow()
+    return top["word"].to_numpy().view(np.uint64)
 
 
 def _logs(n: np.ndarray) -> np.ndarray:
@@ -72,258 +70,194 @@ def _logs(n: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Counts:
-    """Of words by hash: the frequent ones' logarithms of counts, and those of each code's count of tokens."""
+class Vocabulary:
+    """The words that tasks know: sorted hashes, codes and whole logarithms of counts; and how often each code occurs."""
 
-    heavy: np.ndarray
-    heavy_logs: np.ndarray
-    code_logs: np.ndarray
+    words: np.ndarray
+    codes: np.ndarray
+    logs: np.ndarray
+    by_code: np.ndarray
 
     @staticmethod
-    def of(counts: DataFrame, own: np.ndarray) -> Counts:
+    def of(counts: DataFrame) -> Vocabulary:
         """counts: a written table of (word, n)."""
+        own = frequent(counts)
+        rank = np.argsort(own)
+        ranked = own[rank]
+
+        def code(h: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(ranked, h), max(0, len(ranked) - 1))
+            return np.where(ranked[at] == h, rank[at], hashed(h)) if len(ranked) else hashed(h)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                code = _code(batch.column(0).to_numpy().view(np.uint64), own)
-                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), batch.column(1)], names=["code", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(code(batch.column(0).to_numpy().view(np.uint64))), batch.column(1)], names=["code", "n"])
 
         by = counts.select("word", "n").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-        logs = np.zeros(FIRST * SECOND, np.int64)
-        logs[by["code"].to_numpy()] = _logs(by["n"].to_numpy())
-        least = int(by["n"].to_numpy().sum()) / HEAVY
-        held = counts.filter(F.col("n") >= F.lit(least)).toArrow()
+        by_code = np.zeros(CODES, np.int64)
+        by_code[by["code"].to_numpy()] = by["n"].to_numpy()
+        held = counts.filter(F.col("n") >= F.lit(int(by_code.sum()) / HEAVY)).toArrow()
         word, n = held["word"].to_numpy().view(np.uint64), held["n"].to_numpy()
+        rare = np.flatnonzero(~np.isin(own, word))  # of the most frequent, in a corpus of words that are all rare
+        word, n = np.concatenate((word, own[rare])), np.concatenate((n, by_code[rare]))
         order = np.argsort(word)
-        return Counts(word[order], _logs(n[order]), logs)
+        return Vocabulary(word[order], code(word[order]), _logs(n[order]), by_code)
 
-    def part(self, h: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The whole number for each token's word within its code, without the counts of those not held; which those are."""
-        out = -self.code_logs[codes]
-        if not len(self.heavy):
-            return out, np.ones(len(h), dtype=bool)
-        at = np.minimum(np.searchsorted(self.heavy, h), len(self.heavy) - 1)
-        held = self.heavy[at] == h
-        return out + np.where(held, self.heavy_logs[at], 0), ~held
+    def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For word hashes: codes; the whole logarithm of each word's share of its code, without the counts of those not held; which those are."""
+        whole = _logs(np.maximum(self.by_code, 1))
+        if not len(self.words):
+            code = hashed(h)
+            return code.astype(np.uint16), -whole[code], np.ones(len(h), dtype=bool)
+        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        held = self.words[at] == h
+        code = np.where(held, self.codes[at], hashed(h))
+        return code.astype(np.uint16), np.where(held, self.logs[at], 0) - whole[code], ~held
 
 
-def encode(docs: DataFrame, own: np.ndarray, counts: Counts | None = None) -> DataFrame:
-    """(doc_id, codes): each document's words as little-endian 16-bit codes.
-
-    With counts also (within, rest): the sum of Counts.part(), and the words whose counts it lacks, as often as they occur.
-    """
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, h, codes, within, rest) of each row: a hash of its text, its words as little-endian 16-bit codes, the sum
+    of the logarithms of their shares of their codes, and the words whose counts that lacks, as often as they occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in slices(batch.column(1)):
                 w = words(lower(s.data), s.offsets)
-                code = _code(w.hash, own)
-                raw = code.astype("<u2").tobytes()
-                first = (2 * w.first).tolist()
-                columns = {"doc_id": batch.column(0).slice(s.lo, s.hi - s.lo), "codes": pa.array([raw[a:b] for a, b in zip(first, first[1:])], pa.binary())}
-                if counts is not None:
-                    part, lacks = counts.part(w.hash, code)
-                    before = np.concatenate(([0], np.cumsum(part)))
-                    at = np.concatenate(([0], np.cumsum(lacks)))[w.first]
-                    columns |= {"within": pa.array(before[w.first[1:]] - before[w.first[:-1]]), "rest": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(w.hash[lacks].view(np.int64)))}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                code, part, lacks = vocabulary.look(w.hash)
+                raw, first = code.astype("<u2").tobytes(), (2 * w.first).tolist()
+                before = np.concatenate(([0], np.cumsum(part)))
+                at = np.concatenate(([0], np.cumsum(lacks)))[w.first]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(s.lo, s.hi - s.lo),
+                        batch.column(2).slice(s.lo, s.hi - s.lo),
+                        pa.array([raw[a:b] for a, b in zip(first, first[1:])], pa.binary()),
+                        pa.array(before[w.first[1:]] - before[w.first[:-1]]),
+                        pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(w.hash[lacks].view(np.int64))),
+                    ],
+                    names=["doc_id", "h", "codes", "within", "rest"],
+                )
+
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("h"))
+    return rows.mapInArrow(run, "doc_id long, h long, codes binary, within long, rest array<long>")
+
+
+def coded(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch) -> DataFrame:
+    """A written table of encode() with a number for each row."""
+    return scratch.cut(encode(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
+
+
+def sharded(rows: DataFrame, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
+    """A written table (shard, part, rows, doc_ids, within, sizes, codes): documents dealt into shards, each in parts.
+
+    Shards and the order in them follow from a hash of id, text and, for equal rows, a count, so equal rows spread too.
+    """
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("codes")), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
+    shards = max(1, -(-(size["bytes"] // 2 + BARE * size["n"]) // SHARD))
+    slim = rows.select("doc_id", "h", "row", "codes", "within").withColumn("copy", F.lit(1).cast("long"))
+    again = scratch.cut(rows.groupBy("doc_id", "h").agg(F.count("*").alias("n"), F.min("row").alias("of")).filter("n > 1").select(F.col("doc_id").alias("d_"), F.col("h").alias("h_"), "n", "of"))
+    if not again.isEmpty():
+        single = slim.join(again.select("d_", "h_"), F.col("doc_id").eqNullSafe(F.col("d_")) & (F.col("h") == F.col("h_")), "left_anti")
+        first = slim.join(again.select("of", "n"), F.col("row") == F.col("of"))
+        slim = single.unionByName(first.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select(*slim.columns))
+    placed = slim.withColumn("order", F.xxhash64("doc_id", "h", "copy")).withColumn("shard", F.pmod("order", F.lit(shards)))
 
-    out = "doc_id long, codes binary" + (", within long, rest array<long>" if counts is not None else "")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, out)
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("order", "doc_id", "h", "copy")])
+        codes = table["codes"].to_pylist()
+        tokens = np.array([len(c) // 2 for c in codes], dtype=np.int64)
+        part = (np.cumsum(tokens) - tokens) * rounds // max(1, int(tokens.sum()))
+        out = []
+        for k in range(rounds):
+            lo, hi = (int(x) for x in np.searchsorted(part, (k, k + 1)))
+            if hi > lo:
+                column = lambda c: table[c].slice(lo, hi - lo).to_pylist()  # noqa: B023, E731
+                out.append({"shard": table["shard"][0].as_py(), "part": k, "rows": column("row"), "doc_ids": column("doc_id"), "within": column("within"), "sizes": tokens[lo:hi].tolist(), "codes": b"".join(codes[lo:hi])})
+        return pa.Table.from_pylist(out, _SHARD)
 
+    return scratch.cut(placed.groupBy("shard").applyInArrow(pack, "shard long, part int, rows array<long>, doc_ids array<long>, within array<long>, sizes array<long>, codes binary"))
 
-@dataclass
-class Network:
-    """Weights. Digit FIRST or SECOND in a context stands for a place outside the document."""
-
-    first: np.ndarray
-    second: np.ndarray
-    bias: np.ndarray
-    to_first: np.ndarray
-    first_bias: np.ndarray
-    to_second: np.ndarray
-    given_first: np.ndarray
-    _moments: list = field(default_factory=list, repr=False)
 
-    @staticmethod
-    def begin(seed: int = 5) -> Network:
-        rng = np.random.default_rng(seed)
-        draw = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-        zero = lambda *shape: np.zeros(shape, np.float32)
-        return Network(draw(2 * REACH, FIRST + 1, HIDDEN), draw(2 * REACH, SECOND + 1, HIDDEN), zero(HIDDEN), draw(HIDDEN, FIRST), zero(FIRST), draw(HIDDEN, SECOND), zero(FIRST, SECOND))
-
-    def parts(self) -> list[np.ndarray]:
-        return [self.first, self.second, self.bias, self.to_first, self.first_bias, self.to_second, self.given_first]
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts()])
-
-    def filled(self, values: np.ndarray) -> Network:
-        out, at = [], 0
-        for p in self.parts():
-            out.append(values[at : at + p.size].reshape(p.shape).astype(np.float32))
-            at += p.size
-        return Network(*out)
-
-    def _forward(self, ctx_a: np.ndarray, ctx_b: np.ndarray) -> np.ndarray:
-        z = np.repeat(self.bias[None, :], len(ctx_a), axis=0)
-        for p in range(2 * REACH):
-            z += self.first[p][ctx_a[:, p]]
-            z += self.second[p][ctx_b[:, p]]
-        return np.tanh(z, out=z)
-
-    def log_probs(self, ctx_a: np.ndarray, ctx_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The log-probability of each token's digits. A word with a first digit of its own has no second to predict."""
-        h = self._forward(ctx_a, ctx_b)
-        out = _log_softmax_at(h @ self.to_first + self.first_bias, a)
-        rare = np.flatnonzero(a >= OWN)
-        out[rare] += _log_softmax_at(h[rare] @ self.to_second + self.given_first[a[rare]], b[rare])
-        return out
-
-    def step(self, ctx_a: np.ndarray, ctx_b: np.ndarray, a: np.ndarray, b: np.ndarray, rate: float) -> None:
-        """One Adam step on the mean negative log-probability."""
-        n = len(a)
-        h = self._forward(ctx_a, ctx_b)
-        ga = _softmax(h @ self.to_first + self.first_bias)
-        ga[np.arange(n), a] -= 1
-        ga /= n
-        rare = np.flatnonzero(a >= OWN)
-        hr = h[rare]
-        gb = _softmax(hr @ self.to_second + self.given_first[a[rare]])
-        gb[np.arange(len(rare)), b[rare]] -= 1
-        gb /= n
-        gh = ga @ self.to_first.T
-        gh[rare] += gb @ self.to_second.T
-        gz = gh * (1 - h * h)
-        grads = [np.stack([_rows_sum(ctx_a[:, p], gz, FIRST + 1) for p in range(2 * REACH)]), np.stack([_rows_sum(ctx_b[:, p], gz, SECOND + 1) for p in range(2 * REACH)]), gz.sum(axis=0), h.T @ ga, ga.sum(axis=0), hr.T @ gb, _rows_sum(a[rare], gb, FIRST)]
-        if not self._moments:
-            self._moments = [0, [np.zeros_like(p) for p in self.parts()], [np.zeros_like(p) for p in self.parts()]]
-        self._moments[0] += 1
-        t = self._moments[0]
-        for p, g, m, v in zip(self.parts(), grads, *self._moments[1:]):
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            p -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
-
-
-def _rows_sum(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """The sum of the rows with each index, by a product with the indicator matrix."""
-    hot = np.zeros((size, len(index)), dtype=np.float32)
-    hot[index, np.arange(len(index))] = 1
-    return hot @ rows
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
-
-
-def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    picked = x[np.arange(len(x)), at]
-    return picked - np.log(np.exp(x, out=x).sum(axis=1))
-
-
-class Windows:
-    """The tokens of some documents in a row, parted by places outside, so that contexts can be read by position."""
-
-    def __init__(self, docs: list[np.ndarray]) -> None:
-        gap = np.full(REACH, FIRST * SECOND, np.int64)
-        joined = np.concatenate([gap, *(x for d in docs for x in (d, gap))])
-        size = np.array([len(d) for d in docs])
-        self.starts = np.cumsum(size) - size
-        self.at = np.arange(int(size.sum())) + np.repeat(REACH * np.arange(1, len(docs) + 1), size)
-        outside = joined == FIRST * SECOND
-        self.a = np.where(outside, FIRST, joined // SECOND)
-        self.b = np.where(outside, SECOND, joined % SECOND)
-
-    OFFSETS = np.array([*range(-REACH, 0), *range(1, REACH + 1)])
-
-    def pick(self, which: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        at = self.at[which]
-        near = at[:, None] + self.OFFSETS
-        return self.a[near], self.b[near], self.a[at], self.b[at]
-
-
-def _runs(column: pa.Array, limit: int = 1 << 17) -> Iterator[tuple[int, int, list[np.ndarray]]]:
-    """Neighbouring rows of about `limit` tokens: (first row, row after the last, codes of each)."""
-    lo, size, held = 0, 0, []
-    for i, v in enumerate(column):
-        codes = np.frombuffer(v.as_py() or b"", dtype="<u2").astype(np.int64)
-        if held and size + len(codes) > limit:
-            yield lo, i, held
-            lo, size, held = i, 0, []
-        held.append(codes)
-        size += len(codes)
-    if held:
-        yield lo, lo + len(held), held
-
-
-def _round(coded: DataFrame, net: Network, k: int, rounds: int) -> Network:
-    """Round k of some rounds: every task trains from `net` on its documents, and the results are averaged by tokens."""
+_LONGS = pa.list_(pa.int64())
+_SHARD = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("rows", _LONGS), ("doc_ids", _LONGS), ("within", _LONGS), ("sizes", _LONGS), ("codes", pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, tokens = net.filled(net.flat()), 0
-        for batch in batches:
-            for _, _, docs in _runs(batch.column(0)):
-                w = Windows(docs)
-                chosen = np.arange(k, len(w.at), rounds)
-                tokens += len(chosen)
-                order = np.random.default_rng(len(chosen) + k).permutation(chosen)
-                for i in range(0, len(order), BATCH):
-                    own.step(*w.pick(order[i : i + BATCH]), RATE / (1 + k))
-        if tokens:
-            whole = np.rint(own.flat().astype(np.float64) * (1 << FINE)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([whole.tolist()], pa.list_(pa.int64()))], names=["tokens", "weights"])
-
-    sent = coded.select("codes").mapInArrow(run, "tokens long, weights array<long>")
-    by = sent.select("tokens", F.posexplode("weights").alias("i", "w"))
-    total = by.groupBy("i").agg(F.sum(F.col("w").cast("decimal(38,0)") * F.col("tokens")).alias("w"), F.sum("tokens").alias("n"))
-    rows = total.select("i", (F.col("w") / F.col("n")).cast("double").alias("w")).toArrow()
-    if not rows.num_rows:
-        return net
-    out = np.zeros(rows.num_rows)
-    out[rows["i"].to_numpy()] = rows["w"].to_numpy()
-    return net.filled(out / (1 << FINE))
-
-
-def train(coded: DataFrame, rounds: int = ROUNDS) -> Network:
-    """A network trained on every token of `coded`, which should be a written table as it is read in each round."""
-    net = Network.begin()
-    for k in range(rounds):
-        net = _round(coded, net, k, rounds)
-    return net
 
+def _documents(sizes: pa.Scalar, codes: pa.Scalar) -> tuple[np.ndarray, list[np.ndarray]]:
+    size = np.array(sizes.as_py(), dtype=np.int64)
+    ends = np.cumsum(size)
+    return size, np.split(np.frombuffer(codes.as_py(), dtype="<u2"), ends[:-1])
 
-def score(coded: DataFrame, net: Network) -> DataFrame:
-    """(doc_id, n_tokens, log_prob, mean_log_prob) for each row of (doc_id, codes): the probabilities of codes."""
-    return _scored(coded.select("doc_id", "codes", F.lit(0).cast("long").alias("row"), F.lit(0).cast("long").alias("within")), net).select("doc_id", "n_tokens", "log_prob", _mean(F.col("log_prob")))
 
+def _round(shards: DataFrame, flat: np.ndarray, k: int) -> np.ndarray:
+    """The mean, by steps, of the weights to which part k of each shard leads from `flat`."""
 
-def _mean(total: Column) -> Column:
-    return F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, steps = np.zeros(Network.SIZE, np.int64), 0
+        for batch in batches:
+            for sizes, codes in zip(batch.column(0), batch.column(1)):
+                learner = Learner(Network.of(flat), RATE)
+                own = sum(map(learner.step, parts(joined(_documents(sizes, codes)[1])[0], BATCH)))
+                total += np.rint(learner.net.flat().astype(np.float64) * (1 << FINE)).astype(np.int64) * own
+                steps += own
+        if steps:
+            task = TaskContext.get().partitionId() // FAN
+            for i in range(0, Network.SIZE, PIECE):
+                yield pa.RecordBatch.from_pylist([{"piece": i, "task": task, "steps": steps, "sums": total[i : i + PIECE].tobytes()}], _SUMS)
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(len(table["sums"][0].as_py()) // 8, np.int64)
+        for x in table["sums"]:
+            total += np.frombuffer(x.as_py(), dtype=np.int64)
+        return pa.Table.from_pylist([{"piece": table["piece"][0].as_py(), "task": 0, "steps": sum(table["steps"].to_pylist()), "sums": total.tobytes()}], _SUMS)
+
+    schema = "piece long, task long, steps long, sums binary"
+    sent = shards.filter(F.col("part") == k).select("sizes", "codes").mapInArrow(run, schema)
+    found = sent.groupBy("piece", "task").applyInArrow(add, schema).groupBy("piece").applyInArrow(add, schema).collect()
+    out = flat.copy()
+    for r in found:
+        sums = np.frombuffer(r["sums"], dtype=np.int64)
+        out[r["piece"] : r["piece"] + len(sums)] = sums / r["steps"] / (1 << FINE)
+    return out
+
+
+_SUMS = pa.schema([("piece", pa.int64()), ("task", pa.int64()), ("steps", pa.int64()), ("sums", pa.binary())])
+
+
+def train(shards: DataFrame, by_code: np.ndarray, rounds: int = ROUNDS) -> Network:
+    """A network for which every token of a table of sharded() has been a target once; by_code: how often codes occur."""
+    flat = Network.begin(by_code).flat()
+    for k in range(rounds):
+        flat = _round(shards, flat, k)
+    return Network.of(flat)
 
 
-def _scored(coded: DataFrame, net: Network) -> DataFrame:
-    """(row, within, doc_id, n_tokens, log_prob) for each row of (doc_id, codes, row, within)."""
+def score(rows: DataFrame, shards: DataFrame, counts: DataFrame, net: Network) -> DataFrame:
+    """(doc_id, n_tokens, log_prob, mean_log_prob) for each row of a table of coded() and what sharded() made of it."""
+    flat = net.flat()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Network.of(flat)
         for batch in batches:
-            for lo, hi, docs in _runs(batch.column(1)):
-                w = Windows(docs)
-                n = len(w.at)
-                lp = np.concatenate([np.zeros(0), *(net.log_probs(*w.pick(slice(i, i + 4 * BATCH))).astype(np.float64) for i in range(0, n, 4 * BATCH))])
-                before = np.concatenate(([0.0], np.cumsum(lp)))
-                size = np.array([len(d) for d in docs])
-                total = before[w.starts + size] - before[w.starts]
-                yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo), batch.column(3).slice(lo, hi - lo), batch.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(total)], names=["row", "within", "doc_id", "n_tokens", "log_prob"])
+            for ids, doc_ids, within, sizes, codes in zip(*batch.columns):
+                size, docs = _documents(sizes, codes)
+                stream, first = joined(docs)
+                lp = np.concatenate([np.zeros(0, np.float32), *(own.log_probs(x) for x in parts(stream, AT_ONCE))])
+                before = np.concatenate(([0.0], np.cumsum(lp.astype(np.float64))))
+                at = first - REACH
+                yield pa.RecordBatch.from_arrays([pa.array(ids.as_py(), pa.int64()), pa.array(within.as_py(), pa.int64()), pa.array(doc_ids.as_py(), pa.int64()), pa.array(size), pa.array(before[at + size] - before[at])], names=["row", "within", "doc_id", "n_tokens", "log_prob"])
+
+    found = shards.select("rows", "doc_ids", "within", "sizes", "codes").mapInArrow(run, "row long, within long, doc_id long, n_tokens long, log_prob double")
+    found = found.join(_rest(rows, counts), F.col("row") == F.col("r_"), "left")
+    total = F.col("log_prob") + (F.col("within") + F.coalesce("more", F.lit(0))) / (1 << LOG_FINE)
+    return found.select("doc_id", "n_tokens", total.alias("log_prob"), _mean(total))
 
-    return coded.select("doc_id", "codes", "row", "within").mapInArrow(run, "row long, within long, doc_id long, n_tokens long, log_prob double")
 
+def _mean(total: Column) -> Column:
+    return F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob")
 
-def _rest(coded: DataFrame, counts: DataFrame) -> DataFrame:
+
+def _rest(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """(r_, more): for each row, the sum of the logarithms of the counts of the words in `rest`, where it isn't zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,7 +265,7 @@ def _rest(coded: DataFrame, counts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_logs(batch.column(1).to_numpy()))], names=["w_", "log"])
 
     logs = counts.filter("n > 1").select("word", "n").mapInArrow(run, "w_ long, log long")
-    found = coded.select("row", F.explode("rest").alias("word")).join(logs, F.col("word") == F.col("w_"))
+    found = rows.select("row", F.explode("rest").alias("word")).join(logs, F.col("word") == F.col("w_"))
     return found.groupBy(F.col("row").alias("r_")).agg(F.sum("log").alias("more"))
 
 
@@ -340,14 +274,13 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     log_prob sums the log-probability of every token given up to three words on either side, over the whole text: that
     of its code in this context, and its word's share of the code's tokens in the corpus. Null and blank texts have no
-    tokens, a sum of 0 and a null mean. Repeated rows are trained on as often as they occur and score alike; no rows
-    in, no rows out; other columns are ignored.
+    tokens, a sum of 0 and a null mean. Repeated rows are trained on as often as they occur and each have a row; no rows
+    in, no rows out; other columns are ignored. The layout of the rows makes no difference.
     """
     tune(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "lm")
     counts = scratch.cut(counted(docs))
-    own = _most(counts, OWN)
-    coded = scratch.cut(encode(docs, own, Counts.of(counts, own)).withColumn("row", F.monotonically_increasing_id()))
-    scored = _scored(coded, train(coded, rounds)).join(_rest(coded, counts), F.col("row") == F.col("r_"), "left")
-    total = F.col("log_prob") + (F.col("within") + F.coalesce("more", F.lit(0))) / (1 << LOG_FINE)
-    return scored.select("doc_id", "n_tokens", total.alias("log_prob"), _mean(total))
+    vocabulary = Vocabulary.of(counts)
+    rows = coded(docs, vocabulary, scratch)
+    shards = sharded(rows, scratch, rounds)
+    return score(rows, shards, counts, train(shards, vocabulary.by_code, rounds))
