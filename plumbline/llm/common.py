@@ -17,11 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tune(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts fits a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+#: An Arrow batch has at most so many rows and about so many bytes; a longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
+
+
+def tune(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session, so that a batch of long texts fits a Python worker; limits only fall.
+
+    Spark takes the limits when a result is run, after its operator has returned it, so they stay with the session.
+    """
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if not 0 < int(spark.conf.get(key).rstrip("bB")) <= most:
+            spark.conf.set(key, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:

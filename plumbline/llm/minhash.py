@@ -51,37 +51,49 @@ def fingerprints(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     return a.view(np.int64), b.view(np.int64)
 
 
+#: Elements that take their steps together; a larger set takes them alone.
+TOGETHER = 1 << 17
+
+
 def signatures(values: np.ndarray, at: np.ndarray, slots: int) -> np.ndarray:
     """SuperMinHash (Ertl 2017) of each set: one row of `slots` doubles a set; an empty set's row is infinite.
 
     An element visits the slots in the order of a random permutation of its own; at step j it offers j + u, u uniform
     in [0, 1). A slot keeps the least offer. Offers of later steps are larger, so a set stops once no slot holds
-    more than the next step's least offer. All sets of the call take a step together, and sets that have stopped
-    leave. The permutation is a Fisher-Yates shuffle whose swaps are replayed, so that it takes no memory.
+    more than the next step's least offer. Sets take their steps together, about TOGETHER elements at a time, and those
+    that have stopped leave. The permutation is a Fisher-Yates shuffle whose swaps, a byte each, are replayed.
     """
     n = len(at) - 1
-    best = np.full(n * slots, np.inf)
-    owner = np.repeat(np.arange(n), np.diff(at))
-    x = values
-    swaps: list[np.ndarray] = []
+    out = np.full((n, slots), np.inf)
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + TOGETHER, "right")) - 1)
+        _visit(values[at[lo] : at[hi]], np.repeat(np.arange(hi - lo), np.diff(at[lo : hi + 1])), out[lo:hi])
+        lo = hi
+    return out
+
+
+def _visit(x: np.ndarray, owner: np.ndarray, best: np.ndarray) -> None:
+    """Lower the slots `best` of some sets to the offers of their elements x."""
+    slots = best.shape[1]
+    place = np.uint8 if slots <= 256 else np.int64
+    flat, swaps = best.reshape(-1), []
     for j in range(slots):
         if not len(x):
             break
         with np.errstate(over="ignore"):
             seed = x + np.uint64(2 * j + 1) * GOLDEN
             u, v = unit(mix64(seed)), unit(mix64(seed + GOLDEN))
-        k = j + (v * (slots - j)).astype(np.int64)
+        k = (j + (v * (slots - j)).astype(np.int64)).astype(place)
         q = k.copy()
         for i in range(j - 1, -1, -1):
             other = swaps[i]
-            q = np.where(q == i, other, np.where(q == other, i, q))
-        np.minimum.at(best, owner * slots + q, j + u)
+            q = np.where(q == i, other, np.where(q == other, place(i), q))
+        np.minimum.at(flat, owner * slots + q, j + u)
         swaps.append(k)
-        open_ = best.reshape(n, slots).max(axis=1) > j + 1
-        stay = open_[owner]
+        stay = (best.max(axis=1) > j + 1)[owner]
         if not stay.all():
             x, owner, swaps = x[stay], owner[stay], [s[stay] for s in swaps]
-    return best.reshape(n, slots)
 
 
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:

@@ -27,17 +27,40 @@ def _byte_values() -> np.ndarray:
     return mix64((np.arange(1, 257, dtype=np.uint64)) * GOLDEN)
 
 
-_POWERS = np.ones(1, dtype=np.uint64)
+#: Powers of RADIX up to this are held; a longer word's are products of two of them.
+HELD = 1 << 12
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        with np.errstate(over="ignore"):
-            steps = np.full(max(n, 256), RADIX, dtype=np.uint64)
+@cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """RADIX to the powers 0 to HELD - 1, and RADIX**HELD to as many."""
+    out = []
+    with np.errstate(over="ignore"):
+        for base in (RADIX, np.uint64(pow(int(RADIX), HELD, 1 << 64))):
+            steps = np.full(HELD, base, dtype=np.uint64)
             steps[0] = 1
-            _POWERS = np.cumprod(steps)
-    return _POWERS
+            out.append(np.cumprod(steps))
+    return out[0], out[1]
+
+
+def _power(k: np.ndarray, most: int) -> np.ndarray:
+    """RADIX to the powers k, of which none exceeds `most`."""
+    low, high = _powers()
+    if most < HELD:
+        return low[k]
+    with np.errstate(over="ignore"):
+        out, k = low[k % HELD], k // HELD
+        while k.any():
+            out *= high[k % HELD]
+            k, high = k // HELD, _raised(high)
+    return out
+
+
+def _raised(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        steps = np.full(HELD, x[-1] * x[1], dtype=np.uint64)
+        steps[0] = 1
+        return np.cumprod(steps)
 
 
 class Slice(NamedTuple):
@@ -104,6 +127,6 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     firsts = np.zeros(len(start), dtype=np.int64)
     np.cumsum(length[:-1], out=firsts[1:])
     with np.errstate(over="ignore"):
-        value = _byte_values()[data[at]] * _powers(int(length.max()))[np.arange(len(at)) - np.repeat(firsts, length)]
+        value = _byte_values()[data[at]] * _power(np.arange(len(at)) - np.repeat(firsts, length), int(length.max()))
         h = mix64(np.add.reduceat(value, firsts) + length.astype(np.uint64))
     return Words(start, end, h, np.searchsorted(start, offsets, "left"))

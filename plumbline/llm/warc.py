@@ -295,7 +295,7 @@ def archive(pages: DataFrame, least: int = 0) -> DataFrame:
     No rows in, no rows out; other columns are ignored.
     """
     spark = pages.sparkSession
-    tune(spark, 500)
+    tune(spark)
     scratch = Scratch(spark, "warc")
     raw, done = fresh_dir(spark, "warc-raw"), fresh_dir(spark, "warc")
     written = scratch.cut(write_archives(plan_revisits(pages, scratch, least), raw))
