@@ -23,18 +23,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Scratch, tune
+from plumbline.llm.common import Scratch, keep_freed, tune
 from plumbline.llm.text import lower, slices, words
 from plumbline.llm.windownet import CODES, REACH, Learner, Network, joined, parts
 
 #: Words with a code of their own; all others are hashed into the rest of the codes.
-OWN = CODES - 1024
+OWN = CODES - 768
 #: Tasks hold the counts of words that make up at least one in HEAVY of all tokens: HEAVY of them at most.
-HEAVY = 1 << 18
+HEAVY = 1 << 19
 #: Tokens of a shard, of which a document without tokens counts as some.
 SHARD, BARE = 1 << 18, 16
 #: Rounds, each on another part of every shard; tokens of a step; step width; tokens that are scored at once.
-ROUNDS, BATCH, RATE, AT_ONCE = 3, 2048, 0.2, 1 << 14
+ROUNDS, BATCH, RATE, AT_ONCE = 3, 4096, 0.2, 1 << 12
 #: Weights are summed as whole multiples of 2**-FINE, logarithms of counts as those of 2**-LOG_FINE.
 FINE, LOG_FINE = 20, 32
 #: Weights travel in pieces of so many; so many tasks' sums are added up at first.
@@ -106,12 +106,12 @@ class Vocabulary:
     def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For word hashes: codes; the whole logarithm of each word's share of its code, without the counts of those not held; which those are."""
         whole = _logs(np.maximum(self.by_code, 1))
+        code = hashed(h)
         if not len(self.words):
-            code = hashed(h)
             return code.astype(np.uint16), -whole[code], np.ones(len(h), dtype=bool)
         at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
         held = self.words[at] == h
-        code = np.where(held, self.codes[at], hashed(h))
+        code = np.where(held, self.codes[at], code)
         return code.astype(np.uint16), np.where(held, self.logs[at], 0) - whole[code], ~held
 
 
@@ -193,6 +193,7 @@ def _round(shards: DataFrame, flat: np.ndarray, k: int) -> np.ndarray:
     """The mean, by steps, of the weights to which part k of each shard leads from `flat`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         total, steps = np.zeros(Network.SIZE, np.int64), 0
         for batch in batches:
             for sizes, codes in zip(batch.column(0), batch.column(1)):
@@ -237,6 +238,7 @@ def score(rows: DataFrame, shards: DataFrame, counts: DataFrame, net: Network) -
     flat = net.flat()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         own = Network.of(flat)
         for batch in batches:
             for ids, doc_ids, within, sizes, codes in zip(*batch.columns):

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Classes, members of a class, words on either side, hidden units.
-CLASSES, MEMBERS, REACH, HIDDEN = 64, 64, 3, 32
+CLASSES, MEMBERS, REACH, HIDDEN = 48, 64, 3, 24
 CODES = CLASSES * MEMBERS
 #: The code of a place outside a document; it has a vector and is never predicted.
 OUTSIDE = CODES
@@ -64,9 +64,9 @@ class Network:
     def hidden(self, near: np.ndarray) -> np.ndarray:
         """The hidden layer at places REACH to len(near) - REACH of the neighbours' vectors `near`."""
         n = len(near) - 2 * REACH
-        z = np.tile(self.bias, (n, 1))
+        z, part = np.tile(self.bias, (n, 1)), np.empty((n, HIDDEN), np.float32)
         for o, d in zip(OFFSETS, self.scale):
-            z += near[REACH + o : REACH + o + n] * d
+            z += np.multiply(near[REACH + o : REACH + o + n], d, out=part)
         return np.tanh(z, out=z)
 
     def log_probs(self, stream: np.ndarray) -> np.ndarray:
@@ -76,7 +76,12 @@ class Network:
         t = _Targets.of(goal)
         out = np.zeros(len(goal), np.float32)
         h = h[t.places]
-        out[t.places] = _log_softmax_at(h @ self.to_class + self.class_bias, t.cls) + _log_softmax_at(self._members(h, t), t.member)
+        out[t.places] = _log_softmax_at(self._classes(h), t.cls) + _log_softmax_at(self._members(h, t), t.member)
+        return out
+
+    def _classes(self, h: np.ndarray) -> np.ndarray:
+        out = h @ self.to_class
+        out += self.class_bias
         return out
 
     def _members(self, h: np.ndarray, t: _Targets) -> np.ndarray:
@@ -97,7 +102,7 @@ class Network:
         if not len(t.places):
             return None
         h = h_all[t.places]
-        g = _error(h @ self.to_class + self.class_bias, t.cls)
+        g = _error(self._classes(h), t.cls)
         g_class, g_class_bias, gh = h.T @ g, g.sum(axis=0), g @ self.to_class.T
         g = _error(self._members(h, t), t.member)
         g_member, g_member_bias = np.zeros_like(self.to_member), np.zeros_like(self.member_bias)
@@ -108,9 +113,10 @@ class Network:
         gz = np.zeros_like(h_all)
         gz[t.places] = gh * (1 - h * h)
         g_near, g_scale = np.zeros_like(near), np.empty_like(self.scale)
+        part = np.empty_like(gz)
         for i, o in enumerate(OFFSETS):
             at = slice(REACH + o, REACH + o + len(gz))
-            g_near[at] += gz * self.scale[i]
+            g_near[at] += np.multiply(gz, self.scale[i], out=part)
             g_scale[i] = np.einsum("ij,ij->j", gz, near[at])
         order = np.argsort(stream, kind="stable")
         codes, first = np.unique(stream[order], return_index=True)
@@ -155,8 +161,12 @@ class Learner:
         self.squares[0][codes] = seen
         self.net.vectors[codes] -= self.rate * first / np.sqrt(seen)
         for p, s, g in zip(self.net.parts()[1:], self.squares[1:], grads[1:]):
-            s += g * g
-            p -= self.rate * g / np.sqrt(s)
+            width = g * g
+            s += width
+            np.sqrt(s, out=width)
+            g /= width
+            g *= self.rate
+            p -= g
         return True
 
 

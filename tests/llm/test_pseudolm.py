@@ -40,7 +40,7 @@ def test_probabilities_add_up_to_one():
 def test_steps_follow_the_gradient():
     """Each part's gradient against finite differences of the loss."""
     net = noisy(3)
-    stream, _ = stream_of([np.random.default_rng(4).integers(0, 300, 40), [5], np.random.default_rng(5).integers(0, 4000, 30)])
+    stream, _ = stream_of([np.random.default_rng(4).integers(0, 300, 40), [5], np.random.default_rng(5).integers(0, w.CODES, 30)])
     loss = lambda n: -n.log_probs(stream).astype(float).sum() / 71
     codes, grads = net.gradients(stream)
     grads = [*grads]
