@@ -1,29 +1,46 @@
-"""Why a month may not be published. One class for each thing an operator would do next."""
+"""Refusals. A month that can't be published stops with one exception; its fault tells what to do about it."""
 
+from __future__ import annotations
 
-class MonthRefused(Exception):
-    """The month can't be published; what was published before stays."""
+from enum import StrEnum
+
+
+class Fault(StrEnum):
+    """The name of a refusal in audits and evidence."""
 
+    TOO_MANY_ERRORS = "TooManyErrors"
+    CONTROL_MISMATCH = "ControlMismatch"
+    INCOMPLETE = "Incomplete"
+    CONTRACT_BROKEN = "ContractBroken"
+    RAW_TAMPERED = "RawTampered"
+    SOURCE_UNAVAILABLE = "SourceUnavailable"
 
-class SourceUnavailable(MonthRefused):
-    """An input can't be fetched whole: network, cut-off body or bad status."""
+    @property
+    def later(self) -> bool:
+        """Whether the same run may succeed later with nothing changed here; all others need someone to look."""
+        return self in (Fault.SOURCE_UNAVAILABLE, Fault.INCOMPLETE)
 
 
-class RawTampered(MonthRefused):
-    """A preserved input no longer has the digest of its manifest."""
+class MonthRefused(Exception):
+    """Nothing of the month is published, and what was published before stands."""
+
+    def __init__(self, message: str, fault: Fault) -> None:
+        super().__init__(message)
+        self.fault = fault
 
 
-class ContractBroken(MonthRefused):
-    """A needed column is missing or has another type."""
+class _Source(MonthRefused):
+    """A refusal that sources raise and callers of sources may handle."""
 
+    FAULT: Fault
 
-class Incomplete(MonthRefused):
-    """Readable, but not all of it or not the right file."""
+    def __init__(self, message: str) -> None:
+        super().__init__(message, self.FAULT)
 
 
-class ControlMismatch(MonthRefused):
-    """Counts differ from independently published totals."""
+class SourceUnavailable(_Source):
+    FAULT = Fault.SOURCE_UNAVAILABLE
 
 
-class TooManyErrors(MonthRefused):
-    """So many rows fail rules that the file isn't to be trusted."""
+class RawTampered(_Source):
+    FAULT = Fault.RAW_TAMPERED

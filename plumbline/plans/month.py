@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import subprocess
 import time
 import uuid
 from collections.abc import Sequence
@@ -14,15 +15,15 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.errors import Incomplete, ContractBroken, ControlMismatch, MonthRefused, SourceUnavailable, TooManyErrors
+from plumbline.errors import Fault, MonthRefused, SourceUnavailable
 from plumbline.operators import checks as c
 from plumbline.operators import metrics, profile, rules, segments, staging
 from plumbline.plans import exports
-from plumbline.plans.store import CHECK, RECON, STATUS, Warehouse
+from plumbline.plans.store import CHECK, RECON, STATUS, Shared, Warehouse
 from plumbline.session import pin
-from plumbline.settings import Month, Settings
+from plumbline.settings import HOME, Month, Settings
 from plumbline.sources import tables as src
-from plumbline.sources.files import Fetched, FileStore, write_json
+from plumbline.sources.files import Fetched, FileStore, digest, write_json
 from plumbline.sources.pages import CountedPages
 
 log = logging.getLogger("plumbline")
@@ -62,7 +63,8 @@ class Engine:
         self.files = FileStore(settings["http"], session, offline, refresh, sleep)
         self.raw = settings.path("raw")
         self.pages = CountedPages(self.files, settings["sources.base_aggregate.endpoint"], settings["sources.base_aggregate.page_size"], self.raw / "base_aggregate")
-        self.warehouse = Warehouse(spark, f"file://{settings.path('warehouse')}")
+        self.shared = Shared(spark, settings.uri("shared"))
+        self.warehouse = Warehouse(spark, settings.uri("warehouse"))
         self.standard = metrics.Standard(settings["kpi.target_rate"], settings["kpi.measurability_gate"], settings["kpi.min_cell_requests"], tuple(settings["kpi.boroughs"]))
         self.zones: DataFrame | None = None
 
@@ -76,7 +78,7 @@ class Engine:
     def load_zones(self, result: MonthResult) -> Fetched:
         """The zone table, or no run at all."""
         got = self.files.fetch("zones", self.s["sources.zones.url"], self.raw / "zones" / "taxi_zone_lookup.csv")
-        path = str(got.path)
+        path = self.shared.of(got.path, got.manifest["sha256"])
         inferred = src.csv_inferred(self.spark, path)
         # CSV has no declared integers: a column that reads as whole numbers is a bigint of the contract
         missing, _, extra = c.schema_drift(inferred.schema, c.ZONES)
@@ -87,7 +89,7 @@ class Engine:
         ok = n == ids and n > 0
         result.record("ZON02", "Zone numbers are unique", "FATAL", "PASS" if ok else "FAIL", f"{n} rows, {ids} numbers", "rows == numbers")
         if not ok:
-            raise ContractBroken("zone numbers repeat: joins would multiply trips")
+            raise MonthRefused("zone numbers repeat: joins would multiply trips", Fault.CONTRACT_BROKEN)
         self.zones = zones.select(F.col("LocationID").cast("int").alias("location_id"), F.col("Borough").alias("borough"), F.col("Zone").alias("zone"), "service_zone")
         return got
 
@@ -97,7 +99,7 @@ class Engine:
         seen = f"missing={missing} changed={changed}" if bad else f"{n} contracted columns"
         result.record(check_id, f"{label}: contract", "FATAL", "FAIL" if bad else "PASS", seen, f"{n} columns of fixed types", f"{len(extra)} further columns: {', '.join(extra)}" if extra and not bad else "")
         if bad:
-            raise ContractBroken(f"{label}: missing {missing}, changed {changed}")
+            raise MonthRefused(f"{label}: missing {missing}, changed {changed}", Fault.CONTRACT_BROKEN)
 
     # --- one month ---------------------------------------------------------------------------------------------------
 
@@ -110,7 +112,7 @@ class Engine:
             self._month(month, run_id, folder, r, allow_unreconciled)
             published, r.status = True, "PUBLISHED"
         except Exception as e:
-            r.error_type, r.error = type(e).__name__, str(e)
+            r.error_type, r.error = str(e.fault) if isinstance(e, MonthRefused) else type(e).__name__, str(e)
             if not isinstance(e, MonthRefused):
                 log.exception("unexpected error in %s", month)
             self.warehouse.drop(folder)
@@ -129,7 +131,7 @@ class Engine:
         base = self.pages.fetch(month)
         report, report_status = self._report(month)
         r.inputs = {"trips": {"status": trips.status, **trips.manifest}, "base_aggregate": {"status": base.status, **{k: v for k, v in base.manifest.items() if k != "pages"}}, "monthly_report": {"status": report_status}}
-        path = str(trips.path)
+        path = self.shared.of(trips.path, trips.manifest["sha256"])
         raw = src.with_position(self.spark, path)
         plain = raw.drop("source_row_id")
         r.profile = [row.asDict() for row in profile.columns(plain).collect()]
@@ -173,51 +175,52 @@ class Engine:
     def _report_total(self, path: Path | None, month: Month) -> int | None:
         if path is None or not path.exists():
             return None
-        rows = src.csv(self.spark, str(path))
+        rows = src.csv(self.spark, self.shared.of(path, digest(path)))
         rows = rows.toDF(*[n.lstrip("﻿") for n in rows.columns])
         found = src.lookup_number(rows, {"Month/Year": str(month), "License Class": self.s["sources.monthly_reports.license_class"]}, "Trips Per Day").first()
         return None if found is None else found[0] * month.days
 
     def _days(self, raw: DataFrame, month: Month, r: MonthResult) -> None:
-        floor = self.s["validation.min_day_share_of_median"]
-        days = [d.asDict() for d in c.day_coverage(c.daily_volume(raw, month), month, floor).orderBy("day").collect()]
+        """FIL03, FIL04, FIL07 and FIL08 from one count by licensee and day, which is a few rows for each licensee."""
+        counted = c.daily_volume(raw, month, by_licensee=True).collect()
+        daily = src.parameter_rows(self.spark, [tuple(x) for x in counted], "hvfhs_license_num string, day long, trips long")
+        floor, share = self.s["validation.min_day_share_of_median"], self.s["validation.min_licensee_day_share_of_median"]
+        days = [d.asDict() for d in c.day_coverage(daily.groupBy("day").agg(F.sum("trips").alias("trips")), month, floor).orderBy("day").collect()]
         gone = [d["day"] for d in days if d["missing"]]
         r.record("FIL03", "Every day has pickups", "FATAL", "FAIL" if gone else "PASS", f"missing days {gone}" if gone else f"{len(days)} days", f"days 1-{month.days}")
         if gone:
-            raise Incomplete(f"{month}: no pickups on days {gone}")
+            raise MonthRefused(f"{month}: no pickups on days {gone}", Fault.INCOMPLETE)
         low = {d["day"]: d["trips"] for d in days if d["low"]}
         r.record("FIL04", f"No day below {floor:.0%} of the median day", "WARN", "WARN" if low else "PASS", f"low days {low}" if low else f"least {min(d['trips'] for d in days):,}", f">= {floor * days[0]['median_trips']:,.0f}")
-        share = self.s["validation.min_licensee_day_share_of_median"]
-        daily = c.daily_volume(raw, month, by_licensee=True)
         rows = c.licensee_days(daily, share).orderBy("hvfhs_license_num", "day").collect()
         r.daily = [(x["hvfhs_license_num"], x["day"], x["trips"]) for x in rows]
         few = [x for x in rows if x["low"]]
         r.record("FIL07", f"No licensee-day below {share:.0%} of its median", "WARN", "WARN" if few else "PASS", f"{len(few)} low licensee-days", "0", ", ".join(f"{x['hvfhs_license_num']} day {x['day']}: {x['trips']:,}" for x in few[:12]))
-        present = daily.select("hvfhs_license_num").distinct().filter("hvfhs_license_num is not null").join(self.licensees.select("hvfhs_license_num"), "hvfhs_license_num", "left_semi")
-        gaps = c.licensee_day_gaps(daily, present, month).orderBy("hvfhs_license_num", "day").collect()
+        known, seen = {x["hvfhs_license_num"] for x in self.s["licensees"]}, {(x["hvfhs_license_num"], x["day"]) for x in counted}
+        gaps = [(lic, day) for lic in sorted({x for x, _ in seen} & known) for day in range(1, month.days + 1) if (lic, day) not in seen]
         r.record("FIL08", "Every licensee of the file has pickups on every day", "WARN", "WARN" if gaps else "PASS", f"{len(gaps)} empty licensee-days", "0", ", ".join(f"{x[0]} day {x[1]}" for x in gaps[:12]))
 
     def _thresholds(self, rows: list[dict[str, Any]], footer: int, r: MonthResult) -> None:
         of = lambda rule, k: sum(x[k] for x in rows if x["rule_id"] == rule)
         scanned = of(rules.ANY_ERROR, "n_checked")
 
-        def gate(check_id: str, name: str, ok: bool, seen: str, limit: str, error: type[MonthRefused]) -> None:
+        def gate(check_id: str, name: str, ok: bool, seen: str, limit: str, fault: Fault) -> None:
             r.record(check_id, name, "FATAL", "PASS" if ok else "FAIL", seen, limit)
             if not ok:
-                raise error(f"{name}: {seen}, not {limit}")
+                raise MonthRefused(f"{name}: {seen}, not {limit}", fault)
 
-        gate("FIL02", "Rows of the scan equal those of the footers", scanned == footer, f"{scanned:,}", f"{footer:,}", Incomplete)
-        for check_id, name, rule, key, error in (("FIL05", "Pickups outside the month", "TMP01", "max_out_of_month_pct", Incomplete), ("FIL06", "Rows that fail an ERROR rule", rules.ANY_ERROR, "max_error_row_pct", TooManyErrors)):
+        gate("FIL02", "Rows of the scan equal those of the footers", scanned == footer, f"{scanned:,}", f"{footer:,}", Fault.INCOMPLETE)
+        for check_id, name, rule, key, fault in (("FIL05", "Pickups outside the month", "TMP01", "max_out_of_month_pct", Fault.INCOMPLETE), ("FIL06", "Rows that fail an ERROR rule", rules.ANY_ERROR, "max_error_row_pct", Fault.TOO_MANY_ERRORS)):
             n, limit = of(rule, "n_failed"), self.s[f"validation.{key}"]
             pct = 100 * n / scanned if scanned else 100.0
-            gate(check_id, name, pct <= limit, f"{n:,} rows ({pct:.3f}%)", f"<= {limit}%", error)
+            gate(check_id, name, pct <= limit, f"{n:,} rows ({pct:.3f}%)", f"<= {limit}%", fault)
 
     def _reconcile(self, month: Month, counts: dict[str, int], base: Fetched, report: Path | None, r: MonthResult, allow: bool) -> None:
         """Compare with both controls. Comparisons stay in r, so that a refusal keeps its evidence."""
         tolerance, whole = self.s["reconciliation.tolerance_pct"], base.manifest.get("status") == "complete"
         totals: dict[str, int] = {}
         if whole:
-            pages = [str(base.path / p["file"]) for p in base.manifest["pages"]]
+            pages = [self.shared.of(base.path / p["file"], p["sha256"]) for p in base.manifest["pages"]]
             control = src.json_pages(self.spark, pages, "base_license_number string, total_dispatched_trips string")
             listed = [(x[0], int(float(x[1]))) for x in control.collect()]  # a few hundred bases
             twice = c.repeated([x[0] for x in listed])
@@ -235,7 +238,7 @@ class Engine:
         bad = [x for x in r.comparisons if x.status == "MISMATCH"]
         first = [x.status for x in r.comparisons if x.control_source == PRIMARY]
         if bad and not allow:
-            raise ControlMismatch("; ".join(f"{x.scope}: {x.file_trips:,} against {x.control_trips:,} of {x.control_source}" for x in bad))
+            raise MonthRefused("; ".join(f"{x.scope}: {x.file_trips:,} against {x.control_trips:,} of {x.control_source}" for x in bad), Fault.CONTROL_MISMATCH)
         if bad:
             r.retrieval_status = "UNRECONCILED"
         elif first and set(first) == {"MATCH"}:
@@ -273,19 +276,28 @@ def _comparison(month: Month, source: str, scope: str, n: int, control: int | No
     return c.Comparison(str(month), source, scope, n, control, n - control, pct, "MATCH" if pct is not None and abs(pct) <= tolerance else "MISMATCH")
 
 
+def revision() -> str | None:
+    """What revision of the code runs, with a plus sign if files differ from it; None outside of a working copy."""
+    git = lambda *args: subprocess.run(["git", "-C", str(HOME), *args], capture_output=True, text=True, timeout=10, check=True).stdout.strip()
+    try:
+        return git("rev-parse", "HEAD") + "+" * bool(git("status", "--porcelain", "--untracked-files=no"))
+    except (OSError, subprocess.SubprocessError):
+        return None
+
+
 def run(spark: SparkSession, months: Sequence[Month], settings: Settings, session: Any = None, offline: bool = False, refresh: bool = False, allow_unreconciled: bool = False, run_id: str | None = None, sleep=time.sleep) -> dict[str, Any]:
     """Run months in order and write all outputs; returns the summary. Without the zone table nothing runs."""
     run_id = run_id or f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"
     begun = time.monotonic()
     engine = Engine(spark, settings, session, offline, refresh, sleep)
-    summary: dict[str, Any] = {"run_id": run_id, "args": {"months": [str(m) for m in months], "offline": offline, "refresh": refresh, "allow_unreconciled": allow_unreconciled}, "kpi_settings": settings["kpi"], "months": {}}
+    summary: dict[str, Any] = {"run_id": run_id, "args": {"months": [str(m) for m in months], "offline": offline, "refresh": refresh, "allow_unreconciled": allow_unreconciled}, "code_revision": revision(), "kpi_settings": settings["kpi"], "months": {}}
     shared = MonthResult("reference")
     out = settings.path("outputs")
     try:
         zones = engine.load_zones(shared)
         summary["reference"] = {"zones": {"status": zones.status, **zones.manifest}, "checks": [x.row() for x in shared.checks]}
     except MonthRefused as e:
-        summary |= {"status": "FAILED", "error": f"{type(e).__name__}: {e}"}
+        summary |= {"status": "FAILED", "error": f"{e.fault}: {e}"}
     else:
         for m in months:
             done = engine.run_month(m, run_id, allow_unreconciled)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,15 +34,40 @@ CHECK = "month string, check_id string, name string, severity string, status str
 RECON = "month string, control_source string, scope string, file_trips long, control_trips long, diff long, diff_pct double, status string"
 
 
+class Shared:
+    """Copies of the driver's preserved files where every machine can read them, named by digest.
+
+    Where the shared folder's file system is the driver's own disk, files are read where they are.
+    """
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        jvm = spark.sparkContext._jvm
+        self._path, conf = jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path(root).getFileSystem(conf)
+        self.root = str(self._fs.makeQualified(self._path(root)))
+
+    def of(self, path: Path, sha256: str) -> str:
+        """The URI of a file's content; it is copied there unless a copy is there."""
+        if self.root.startswith("file:"):
+            return path.resolve().as_uri()
+        name = self._path(f"{self.root}/{sha256[:16]}-{path.name}")
+        if not self._fs.exists(name):
+            side = self._path(f"{self.root}/.{uuid.uuid4().hex}")
+            self._fs.copyFromLocalFile(False, True, self._path(path.resolve().as_uri()), side)
+            if not self._fs.rename(side, name):  # another run was first
+                self._fs.delete(side, False)
+        return str(name)
+
+
 class Warehouse:
     """Tables below one folder of any Hadoop file system."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._path(self.root).getFileSystem(self._conf)
+        self._fs = self._path(root).getFileSystem(self._conf)
+        self.spark, self.root = spark, str(self._fs.makeQualified(self._path(root)))
         self._jvm = jvm
 
     # --- small files -------------------------------------------------------------------------------------------------
@@ -79,10 +105,14 @@ class Warehouse:
         return f"{self.root}/runs/{run_id}/{month}"
 
     def publish(self, folder: str, month: str, tables: Mapping[str, DataFrame]) -> None:
-        """Write a month's tables to `folder`, hold their keys to be unique, then name the folder for the month."""
+        """Write a month's tables to `folder`, hold their keys to be unique, then name the folder for the month.
+
+        The fact's key is a row's position in one file, which is unique by construction; all other tables are small.
+        """
         for name, df in tables.items():
             df.write.mode("overwrite").parquet(f"{folder}/{name}")
-            assert_unique(self.spark.read.parquet(f"{folder}/{name}"), KEYS[name])
+            if name != "fct_wav_trip":
+                assert_unique(self.spark.read.parquet(f"{folder}/{name}"), KEYS[name])
         named = self.published()
         before = named.get(month)
         self._replace("published.json", json.dumps(named | {month: folder}, indent=1, sort_keys=True))

@@ -77,7 +77,13 @@ class Settings:
             node[leaf] = value
         return out
 
+    def uri(self, name: str) -> str:
+        """A folder that all machines see: a URI as it stands, a path below root on the cluster's default file system."""
+        value = str(self[f"paths.{name}"])
+        return value if "://" in value else str(self.path(name))
+
     def path(self, name: str) -> Path:
+        """A folder of the machine that runs months."""
         p = Path(self[f"paths.{name}"])
         return p if p.is_absolute() else self.root / p
 

@@ -1,4 +1,8 @@
-"""Paginated APIs, fetched whole or not at all, every page preserved with its digest."""
+"""Paginated APIs, taken whole or not at all.
+
+An API is an iterator of pages; a Ledger preserves each page as it comes and adds up what a proof needs; only a ledger
+that proves whole takes the place of what was held.
+"""
 
 from __future__ import annotations
 
@@ -6,25 +10,51 @@ import hashlib
 import json
 import os
 import shutil
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
 from plumbline.errors import RawTampered, SourceUnavailable
 from plumbline.settings import Month
-from plumbline.sources.files import TRANSIENT, Fetched, FileStore, Transient, digest, now, retrying, write_json
+from plumbline.sources.files import TRANSIENT, Fetched, FileStore, Patience, Transient, compact, digest, now, write_json
 
 
-def _body(answer: Any) -> Any:
+def _json(answer: Any, kind: type) -> Any:
+    """An answer's JSON, which must be of a kind."""
     if answer.status_code in TRANSIENT:
         raise Transient(f"status {answer.status_code}")
     if answer.status_code != 200:
         raise SourceUnavailable(f"status {answer.status_code}: {str(getattr(answer, 'text', ''))[:200]}")
-    return answer.json()
+    if not isinstance(body := answer.json(), kind):
+        raise SourceUnavailable(f"not a {kind.__name__}: {str(body)[:200]}")
+    return body
+
+
+@dataclass
+class Ledger:
+    """Pages written to a folder, with the rows and digest of each."""
+
+    folder: Path
+    pages: list[dict[str, Any]] = field(default_factory=list)
+
+    def add(self, name: str, body: Any, rows: int, **more: Any) -> Path:
+        text = json.dumps(body, indent=1, sort_keys=True) + "\n"
+        path = self.folder / name
+        path.write_text(text)
+        self.pages.append({"file": name, "rows": rows, "sha256": hashlib.sha256(text.encode()).hexdigest(), **more})
+        return path
+
+    @property
+    def rows(self) -> int:
+        return sum(p["rows"] for p in self.pages)
+
+
+# --- an API that counts ----------------------------------------------------------------------------------------------
 
 
 class CountedPages:
-    """An API that counts rows for a filter and pages through them by limit and offset in a total order."""
+    """An API that counts the rows of a filter and hands them out by limit and offset in a total order."""
 
     SOURCE, ORDER = "base_aggregate", "base_license_number,:id"
 
@@ -34,104 +64,125 @@ class CountedPages:
     def fetch(self, month: Month) -> Fetched:
         """The month's rows, if as many came as the server counts. Failing that: preserved pages, else unavailable."""
         home = self.folder / str(month)
-        at = home / "manifest.json"
-        held = json.loads(at.read_text()) if at.exists() else None
-        whole = held is not None and held["status"] == "complete"
-        if whole:
-            for page in held["pages"]:
-                if digest(home / page["file"]) != page["sha256"]:
-                    raise RawTampered(f"{home / page['file']} differs from its manifest")
-        if self.store.offline or (whole and not self.store.refresh):
-            return Fetched(self.SOURCE, home, "cached", held) if held else Fetched(self.SOURCE, home, "unavailable", {"status": "unavailable"})
+        held = self._held(home)
+        complete = held if held and held["status"] == "complete" else None
+        if self.store.offline:
+            return self._as("cached", home, held) if held else self._as("unavailable", home, {"status": "unavailable"})
+        if complete and not self.store.refresh:
+            return self._as("cached", home, complete)
         try:
-            return self._renew(month, home, held if whole else None)
+            return self._take(month, home, complete)
         except SourceUnavailable as e:
-            if whole:
-                return Fetched(self.SOURCE, home, "cached_after_failure", held)
-            return Fetched(self.SOURCE, home, "unavailable", {"status": "unavailable", "error": str(e)})
+            return self._as("cached_after_failure", home, complete) if complete else self._as("unavailable", home, {"status": "unavailable", "error": str(e)})
+
+    def _as(self, status: str, home: Path, manifest: dict[str, Any]) -> Fetched:
+        return Fetched(self.SOURCE, home, status, manifest)
 
-    def _renew(self, month: Month, home: Path, held: dict[str, Any] | None) -> Fetched:
+    @staticmethod
+    def _held(home: Path) -> dict[str, Any] | None:
+        """What an earlier run has left, every page of it as its manifest says."""
+        try:
+            held = json.loads((home / "manifest.json").read_text())
+        except FileNotFoundError:
+            return None
+        changed = [p["file"] for p in held["pages"] if digest(home / p["file"]) != p["sha256"]]
+        if changed:
+            raise RawTampered(f"{home}: {', '.join(changed)} differ from the manifest")
+        return held
+
+    def _take(self, month: Month, home: Path, held: dict[str, Any] | None) -> Fetched:
         where = f"year={month.year} AND month={month.month}"
-        expected = int(self._get({"$select": "count(*) AS n", "$where": where})[0]["n"])
-        manifest: dict[str, Any] = {"source": self.SOURCE, "endpoint": self.endpoint, "where": where, "order": self.ORDER, "page_size": self.page_size, "retrieved_at": now(), "expected_rows": expected, "retrieved_rows": 0, "pages": []}
-        if not expected:  # asked again in the next run
-            manifest["status"] = "not_published"
-            write_json(home / "manifest.json", manifest)
-            return Fetched(self.SOURCE, home, "not_published", manifest)
-        fresh = home.with_name(f"{home.name}.staging")
-        shutil.rmtree(fresh, ignore_errors=True)
-        fresh.mkdir(parents=True)
-        for i, offset in enumerate(range(0, expected, self.page_size)):
-            rows = self._get({"$where": where, "$order": self.ORDER, "$limit": self.page_size, "$offset": offset})
+        promised = int(self._ask({"$select": "count(*) AS n", "$where": where})[0]["n"])
+        facts = {"source": self.SOURCE, "endpoint": self.endpoint, "where": where, "order": self.ORDER, "page_size": self.page_size, "retrieved_at": now(), "expected_rows": promised}
+        if promised == 0:  # asked again in the next run
+            facts |= {"status": "not_published", "retrieved_rows": 0, "pages": []}
+            write_json(home / "manifest.json", facts)
+            return self._as("not_published", home, facts)
+        side = home.with_name(f"{home.name}.staging")
+        shutil.rmtree(side, ignore_errors=True)
+        side.mkdir(parents=True)
+        ledger = Ledger(side)
+        for offset, rows in self._walk(where, promised):
+            ledger.add(f"page_{offset // self.page_size:04d}.json", rows, len(rows), offset=offset)
+        if ledger.rows != promised:
+            raise SourceUnavailable(f"{month}: {ledger.rows} rows came of {promised}")
+        facts |= {"status": "complete", "retrieved_rows": ledger.rows, "pages": ledger.pages}
+        write_json(side / "manifest.json", facts)
+        self._replace(home, side, held, facts)
+        return self._as("downloaded", home, facts)
+
+    def _walk(self, where: str, promised: int) -> Iterator[tuple[int, list[dict[str, Any]]]]:
+        """(offset, rows) of pages until the promised rows are asked for or a page is empty."""
+        for offset in range(0, promised, self.page_size):
+            rows = self._ask({"$where": where, "$order": self.ORDER, "$limit": self.page_size, "$offset": offset})
             if not rows:
-                break
-            text = json.dumps(rows, indent=1, sort_keys=True) + "\n"
-            (fresh / f"page_{i:04d}.json").write_text(text)
-            manifest["pages"].append({"file": f"page_{i:04d}.json", "offset": offset, "rows": len(rows), "sha256": hashlib.sha256(text.encode()).hexdigest()})
-            manifest["retrieved_rows"] += len(rows)
-        if manifest["retrieved_rows"] != expected:
-            raise SourceUnavailable(f"{month}: {manifest['retrieved_rows']} rows came of {expected}")
-        manifest["status"] = "complete"
-        write_json(fresh / "manifest.json", manifest)
-        if held and [p["sha256"] for p in held["pages"]] != [p["sha256"] for p in manifest["pages"]]:
-            old = home.parent / "superseded"
-            old.mkdir(exist_ok=True)
-            shutil.move(home, old / f"{month}.{held['retrieved_at'].replace(':', '').replace('-', '')}")
-        else:
-            shutil.rmtree(home, ignore_errors=True)
-        os.replace(fresh, home)
-        return Fetched(self.SOURCE, home, "downloaded", manifest)
-
-    def _get(self, params: dict[str, Any]) -> list[dict[str, Any]]:
-        def attempt(_: int) -> list[dict[str, Any]]:
-            body = _body(self.store.session.get(self.endpoint, params=params, headers=self.store.headers, timeout=self.store.http["timeout_s"]))
-            if not isinstance(body, list):
-                raise SourceUnavailable(f"not a list: {str(body)[:200]}")
-            return body
-
+                return
+            yield offset, rows
+
+    @staticmethod
+    def _replace(home: Path, side: Path, held: dict[str, Any] | None, facts: dict[str, Any]) -> None:
+        """Put `side` in the place of `home`; complete pages that say something else are kept among the superseded."""
+        digests = lambda m: [p["sha256"] for p in m["pages"]]
+        if held and digests(held) != digests(facts):
+            shelf = home.parent / "superseded"
+            shelf.mkdir(exist_ok=True)
+            os.replace(home, shelf / f"{home.name}.{compact(held['retrieved_at'])}")
+        elif home.exists():
+            shutil.rmtree(home)
+        os.replace(side, home)
+
+    def _ask(self, params: dict[str, Any]) -> list[dict[str, Any]]:
         http = self.store.http
-        return retrying(attempt, http["retries"], lambda n, _: http["backoff_s"] * 2 ** (n - 1), self.endpoint, self.store.sleep)
+        return self.store.patience.until_done(lambda: _json(self.store.session.get(self.endpoint, params=params, headers=self.store.headers, timeout=http["timeout_s"]), list), self.endpoint)
+
+
+# --- an API that numbers its pages -----------------------------------------------------------------------------------
+
 
+@dataclass
+class Numbered:
+    """Pages 1, 2, ... of an API that says has_more and total_records, and that may ask to wait."""
 
-class _Wait(Transient):
-    def __init__(self, text: str, seconds: float | None) -> None:
-        super().__init__(text)
-        self.seconds = seconds
+    session: Any
+    url: str
+    page_size: int
+    timeout: float
+    patience: Patience
+    waits: int = 0
+
+    def __iter__(self) -> Iterator[dict[str, Any]]:
+        number, more = 1, True
+        while more:
+            body = self.patience.until_done(lambda: self._page(number), f"page {number}")  # noqa: B023
+            yield body
+            number, more = number + 1, body["has_more"]
+
+    def _page(self, number: int) -> dict[str, Any]:
+        answer = self.session.get(self.url, params={"page": number, "page_size": self.page_size}, timeout=self.timeout)
+        try:
+            return _json(answer, dict)
+        except Transient as e:
+            self.waits += 1
+            asked = answer.json().get("retry_after_seconds") if answer.status_code == 429 else None
+            raise Transient(str(e), None if asked is None else float(asked)) from e
 
 
 def fetch_listed_pages(session: Any, url: str, folder: Path, key: str, page_size: int = 50, tries: int = 4, timeout: float = 10, sleep: Callable[[float], None] | None = None) -> tuple[list[Path], dict[str, Any]]:
-    """(page files, proof) of an API that numbers its pages and says has_more and total_records.
+    """(page files, proof) of a Numbered API.
 
-    A status of 429 is waited out for as long as the server asks. Every page is preserved as it came. Unless the rows
-    are as many as the server says, keys are unique and the pages are as many as the total needs, it raises.
+    A status of 429 is waited out for as long as the server asks. Every page is preserved. Unless the rows are as many
+    as the server says, keys are unique and the pages are as many as the total needs, it raises.
     """
-    import time
-
     folder.mkdir(parents=True, exist_ok=True)
-    paths: list[Path] = []
-    ids: list[Any] = []
-    retries, page, more = 0, 0, True
-    while more:
-        page += 1
-
-        def attempt(n: int, page: int = page) -> dict[str, Any]:
-            nonlocal retries
-            answer = session.get(url, params={"page": page, "page_size": page_size}, timeout=timeout)
-            if answer.status_code in TRANSIENT:
-                retries += 1
-                asked = answer.json().get("retry_after_seconds") if answer.status_code == 429 else None
-                raise _Wait(f"status {answer.status_code}", None if asked is None else float(asked))
-            return _body(answer)
-
-        pause = lambda n, e: e.seconds if isinstance(e, _Wait) and e.seconds is not None else float(2 ** (n - 1))
-        body = retrying(attempt, tries, pause, f"page {page}", sleep or time.sleep)
-        path = folder / f"page_{page:03d}.json"
-        path.write_text(json.dumps(body, indent=1))
-        paths.append(path)
-        ids += [r[key] for r in body["data"]]
-        total, more = body["total_records"], body["has_more"]
-    proof = {"pages_fetched": page, "expected_pages": -(-total // page_size), "records_retrieved": len(ids), "api_total_records": total, "unique_keys": len(set(ids)), "retries": retries}
-    problems = [name for name, bad in (("rows differ from the total", len(ids) != total), ("keys repeat", len(set(ids)) != len(ids)), ("pages differ from what the total needs", page != max(1, proof["expected_pages"]))) if bad]
+    api = Numbered(session, url, page_size, timeout, Patience(tries, 1.0, *([sleep] if sleep else [])))
+    ledger, keys, paths, total = Ledger(folder), [], [], 0
+    for n, body in enumerate(api, 1):
+        paths.append(ledger.add(f"page_{n:03d}.json", body, len(body["data"])))
+        keys += [row[key] for row in body["data"]]
+        total = body["total_records"]
+    proof = {"pages_fetched": len(paths), "expected_pages": -(-total // page_size), "records_retrieved": ledger.rows, "api_total_records": total, "unique_keys": len(set(keys)), "retries": api.waits}
+    claims = {"rows differ from the total": ledger.rows == total, "keys repeat": len(set(keys)) == len(keys), "pages differ from what the total needs": len(paths) == max(1, proof["expected_pages"])}
+    problems = [claim for claim, holds in claims.items() if not holds]
     write_json(folder / "_manifest.json", {"proof": proof, "problems": problems})
     if problems:
         raise SourceUnavailable(f"not whole: {problems} {proof}")
