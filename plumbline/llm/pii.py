@@ -1,24 +1,27 @@
 """Personal data by bootstrapped contextual extraction.
 
 Seeds are what four base patterns find. Every identifier-shaped token (one with digits or an at sign) is an instance,
-and the words beside it are its lexical patterns. Spark builds the graph of patterns and instances and scores both
-sides in turn: a pattern by the share of its instances that are believed to be of a kind, an instance by the patterns
-that it stands in. Patterns that end with high confidence mark further tokens as of their kind.
-
-Every pattern with enough distinct seeds takes part, however many other seeds its kind has. Patterns are a table; where
-they are counted and few they are handed to the tasks, and otherwise they are joined with the tokens.
+and what stands beside it gives its lexical patterns: words, pairs of words, a label before a colon, a word with the
+token's shape. Spark scores the graph of patterns and instances in rounds. A pattern's confidence for a kind is the mean
+belief in its instances: 1 for seeds, the best confidence of their patterns for tokens that confident ones hold, a prior
+for tokens that might be of the kind, 0 for all else. Tokens found in one round count as support in the next, so that
+patterns which no seed has are induced from them. Patterns that end with high confidence mark tokens as of their kind.
+
+Every pattern with enough support takes part, however many other seeds its kind has. Patterns are a table; where they
+are counted and few they are handed to the tasks, and otherwise they are joined with the tokens.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.llm.common import Scratch, tune
 
@@ -38,9 +41,9 @@ _TRIM = ".,;:!?()[]{}<>\"'|"
 #: Words beside a token are read within so many characters.
 REACH = 80
 
-#: Confidence from which a pattern marks tokens; distinct seeds that it needs; rounds of scoring; least digits of a
-#: token that is marked.
-CONFIDENT, SEEDS, ROUNDS, DIGITS = 0.8, 5, 3, 4
+#: Confidence from which a pattern marks tokens; distinct believed instances that it needs; rounds of scoring; belief in
+#: a token that no confident pattern holds; least digits of a token that is marked.
+CONFIDENT, SEEDS, ROUNDS, PRIOR, DIGITS = 0.8, 5, 4, 0.5, 4
 #: So many patterns are handed to the tasks; more are joined.
 FEW = 1 << 14
 
@@ -90,16 +93,31 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+_LABEL = re.compile(r"[:=#]\s*[\"'(<\[]?\s*\Z")
+_RUNS = re.compile(r"(.)\1+", re.DOTALL)
+_CLASSES = {**dict.fromkeys(map(ord, "0123456789"), "9"), **{c: "a" for c in range(97, 123)}, **{c: "A" for c in range(65, 91)}}
+
+
+def shape(token: str) -> str:
+    """A token with a sign for each run of digits, capitals or small letters, and of equal other characters."""
+    return _RUNS.sub(r"\1", token[:64].translate(_CLASSES))
+
+
+def _names(text: str) -> list[str]:
+    return [w for w in (x.strip(_TRIM + "=#") for x in text.lower().split()) if w]
+
+
 def _beside(text: str, start: int, end: int) -> list[str]:
-    """A span's lexical patterns: the word before, the two words before, the word after."""
-    left = text[max(0, start - REACH) : start].lower().split()
-    right = text[end : end + REACH].lower().split()
-    out = [f"L {left[-1].strip(_TRIM)}"] if left else []
-    if len(left) > 1:
-        out.append(f"LL {left[-2].strip(_TRIM)} {left[-1].strip(_TRIM)}")
-    if right:
-        out.append(f"R {right[0].strip(_TRIM)}")
-    return [p for p in out if p.split()[1:]]
+    """A span's lexical patterns: L and LL the words before, R the word after, LR both, C a label, S the word before with the span's shape."""
+    before = text[max(0, start - REACH) : start]
+    left, right = _names(before)[-2:], _names(text[end : end + REACH])[:1]
+    out = [f"R {right[0]}"] if right else []
+    if left:
+        out += [f"L {left[-1]}", f"S {left[-1]} {shape(text[start:end])}"]
+        out += [f"C {left[-1]}"] if _LABEL.search(before) else []
+        out += [f"LR {left[-1]} {right[0]}"] if right else []
+        out += [f"LL {left[0]} {left[1]}"] if len(left) > 1 else []
+    return out
 
 
 def occurrences(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str | None, int, int, list[str]]]:
@@ -121,72 +139,99 @@ def occurrences(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str |
     return out
 
 
-def _identifier(token: str) -> bool:
-    return len(token) <= 64 and sum(c in "0123456789@" for c in token) >= DIGITS
+_WORDY = re.compile(r"[^\W\d_]")
+_ADDRESS = re.compile(r"[0-9A-Fa-f]+(?:[.:][0-9A-Fa-f]*){2,}")
+
+
+def may_be(token: str) -> list[str]:
+    """The kinds that a token's characters allow, however it fails the base patterns; none for a token of few digits."""
+    digits = sum(c in "0123456789" for c in token)
+    if len(token) > 64 or digits + token.count("@") < DIGITS:
+        return ["email"] if "@" in token and len(token) <= 64 else []
+    out = ["email"] if "@" in token else []
+    out += ["ip"] if _ADDRESS.fullmatch(token) else []
+    if not _WORDY.search(token):
+        out += ["card"] if digits >= 8 else []
+        out += ["phone"] if digits >= 6 else []
+    return out
 
 
 _FOUND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_SEEN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("who", pa.int64()), ("eligible", pa.bool_()), ("patterns", pa.list_(pa.string()))]))
-_SCAN = "doc_id long, base array<struct<kind: string, start: long, end: long>>, seen array<struct<kind: string, start: long, end: long, who: long, eligible: boolean, patterns: array<string>>>"
+_SEEN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("who", pa.int64()), ("may", pa.list_(pa.string())), ("patterns", pa.list_(pa.string()))]))
+_SPANS = "array<struct<kind: string, start: long, end: long>>"
+_TOKENS = "array<struct<kind: string, start: long, end: long, who: long, may: array<string>, patterns: array<string>>>"
 
 
 def _who(token: str) -> int:
     return int.from_bytes(hashlib.blake2b(token.lower().encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, seen): each row's base spans and its seeds and identifier-shaped tokens with their patterns."""
+def scan(docs: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """The carried columns, base spans in pii_base_, and in pii_seen_ seeds and identifier-shaped tokens with their patterns."""
+    rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col("text").cast("string").alias("pii_text_"))
+    schema = rows.drop("pii_text_").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base, seen = [], []
-            for text in batch.column(1).to_pylist():
-                text = text or ""
+            for text in batch.column(batch.num_columns - 1):
+                text = text.as_py() or ""
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                seen.append(
-                    [
-                        {"kind": k, "start": a, "end": b, "who": _who(text[a:b]), "eligible": k is None and _identifier(text[a:b]), "patterns": p}
-                        for k, a, b, p in occurrences(text, spans)
-                    ]
-                )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, _FOUND), pa.array(seen, _SEEN)], names=["doc_id", "base", "seen"])
+                seen.append([{"kind": k, "start": a, "end": b, "who": _who(text[a:b]), "may": [] if k else may_be(text[a:b]), "patterns": p} for k, a, b, p in occurrences(text, spans)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(base, _FOUND), pa.array(seen, _SEEN)], names=[*schema.names, "pii_base_", "pii_seen_"])
 
     tune(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _SCAN)
+    out = T.StructType([*schema, *T.StructType.fromDDL(f"pii_base_ {_SPANS}, pii_seen_ {_TOKENS}")])
+    return rows.mapInArrow(run, out)
 
 
-def bootstrap(scanned: DataFrame, scratch: Scratch, rounds: int = ROUNDS, confident: float = CONFIDENT, seeds: int = SEEDS) -> DataFrame:
-    """(pattern, kind) of the patterns that end with at least the confidence asked for.
+def graph_of(scanned: DataFrame, scratch: Scratch, confident: float = CONFIDENT, seeds: int = SEEDS, hidden: Column | None = None) -> DataFrame:
+    """A written table (pattern, k, who, hit, n): the instances that are or may be of kind k, and how many the pattern has.
 
-    An edge joins a pattern and an instance that it was seen with. A pattern's confidence for a kind is the mean
-    belief in its distinct instances; an unlabelled instance believes in a kind as one minus the product of its
-    patterns' doubts. Seeds stay certain. A pattern needs `seeds` distinct seeds.
+    Left out are patterns that can't become confident of a kind: too few instances, or too many that can't be of it.
+    hidden: a condition on `who` by which seeds are taken for tokens of which nothing is known.
     """
-    seen = scanned.select(F.explode("seen").alias("o")).select("o.kind", "o.who", F.explode("o.patterns").alias("pattern"))
-    edges = scratch.cut(seen.groupBy("pattern", "who").agg(F.max("kind").alias("kind")))
-    labelled = edges.filter("kind is not null")
-    able = labelled.groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= seeds)
-    able = scratch.cut(able.select(F.col("pattern").alias("p_"), F.col("kind").alias("k_")))
-    n = able.count()
-    if not n:
-        return able.toDF("pattern", "kind")
-    small = F.broadcast if n <= FEW else lambda df: df  # scores has the rows of able
-    graph = scratch.cut(edges.join(small(able), F.col("pattern") == F.col("p_")).select("pattern", "k_", "who", (F.col("kind") == F.col("k_")).alias("hit"), F.col("kind").isNull().alias("free")))
-    belief = graph.select("who", "k_", F.when(F.col("hit"), 1.0).otherwise(0.0).alias("b")).groupBy("who", "k_").agg(F.max("b").alias("b"))
-    belief = scratch.cut(belief)
-    scores = None
+    seen = scanned.select(F.explode("pii_seen_").alias("o")).select("o.kind", "o.who", "o.may", F.explode("o.patterns").alias("pattern"))
+    if hidden is not None:
+        seen = seen.withColumn("may", F.when(hidden & F.col("kind").isNotNull(), F.array("kind")).otherwise(F.col("may"))).withColumn("kind", F.when(~hidden, F.col("kind")))
+    edges = scratch.cut(seen.groupBy("pattern", "who").agg(F.collect_set("kind").alias("kinds"), F.max("may").alias("may")))
+    hits = edges.select("pattern", F.explode("kinds").alias("k"), "who", F.lit(True).alias("hit"))
+    open_ = edges.filter(F.size("kinds") == 0).select("pattern", F.explode("may").alias("k"), "who", F.lit(False).alias("hit"))
+    able = hits.unionByName(open_)
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
+    some = able.groupBy("pattern", "k").agg(F.count("*").alias("c")).filter(F.col("c") >= seeds).join(sizes, "pattern").filter(F.col("c") >= confident * F.col("n"))
+    out = scratch.cut(able.join(some.drop("c"), ["pattern", "k"]))
+    scratch.drop(edges)
+    return out
+
+
+def bootstrap(graph: DataFrame, scratch: Scratch, rounds: int = ROUNDS, confident: float = CONFIDENT, seeds: int = SEEDS) -> DataFrame:
+    """(pattern, kind) of the patterns that end confident, from a table of graph_of()."""
+    known = scores = None
     for _ in range(rounds):
-        known = belief.select(F.col("who").alias("w_"), F.col("k_").alias("kk_"), "b")
-        held = graph.join(known, (F.col("who") == F.col("w_")) & (F.col("k_") == F.col("kk_")))
-        scores = scratch.cut(held.groupBy("pattern", "k_").agg(F.avg("b").alias("score")))
-        again = graph.join(small(scores.withColumnsRenamed({"pattern": "p_", "k_": "kk_"})), (F.col("pattern") == F.col("p_")) & (F.col("k_") == F.col("kk_")))
-        doubt = F.sum(F.log1p(-F.least("score", F.lit(0.999))))
-        after = again.groupBy("who", "k_").agg(F.max("hit").alias("hit"), F.max("free").alias("free"), doubt.alias("doubt"))
-        believed = F.when(F.col("hit"), 1.0).when(F.col("free"), 1 - F.exp("doubt")).otherwise(0.0)
-        belief = scratch.cut(after.select("who", "k_", believed.alias("b")))
-    best = scores.filter(F.col("score") >= confident).groupBy("pattern").agg(F.max_by("k_", F.struct("score", "k_")).alias("kind"))
-    return scratch.cut(best)
+        belief = F.when(F.col("hit"), 1.0).otherwise(F.lit(PRIOR))
+        held = graph
+        if known is not None:
+            held = graph.join(known.toDF("who", "k", "b"), ["who", "k"], "left")
+            belief = F.when(F.col("hit"), 1.0).otherwise(F.coalesce("b", F.lit(PRIOR)))
+        scored = held.withColumn("v", belief).groupBy("pattern", "k").agg((F.sum("v") / F.first("n")).alias("score"), F.count_if(F.col("v") >= confident).alias("support"))
+        scores = scratch.cut(scored.filter((F.col("score") >= confident) & (F.col("support") >= seeds)))
+        known = scratch.cut(graph.filter(~F.col("hit")).join(scores, ["pattern", "k"]).groupBy("who", "k").agg(F.max("score").alias("b")))
+    return scratch.cut(scores.groupBy("pattern").agg(F.max_by("k", F.struct("score", "k")).alias("kind")))
+
+
+def held_out(docs: DataFrame, share: int = 5) -> DataFrame:
+    """(kind, n_hidden, n_found, n_right): how the method does on distinct seeds that it isn't told of, one in `share`.
+
+    n_found of them stand in a pattern that ended confident, and n_right in one of their own kind.
+    """
+    scratch = Scratch(docs.sparkSession, "pii-trial")
+    scanned, hidden = scratch.cut(scan(docs)), F.pmod(F.xxhash64("who"), F.lit(share)) == 0
+    patterns = bootstrap(graph_of(scanned, scratch, hidden=hidden), scratch).toDF("p_", "marked")
+    seen = scanned.select(F.explode("pii_seen_").alias("o")).select("o.kind", "o.who", F.explode_outer("o.patterns").alias("p_")).filter(hidden & F.col("kind").isNotNull())
+    each = seen.join(patterns, "p_", "left").groupBy("kind", "who").agg(F.max(F.col("marked").isNotNull()).alias("found"), F.max(F.coalesce(F.col("marked") == F.col("kind"), F.lit(False))).alias("right"))
+    return each.groupBy("kind").agg(F.count("*").alias("n_hidden"), F.count_if("found").alias("n_found"), F.count_if("right").alias("n_right"))
 
 
 def _held(patterns: DataFrame) -> dict[str, str] | None:
@@ -198,18 +243,38 @@ def _held(patterns: DataFrame) -> dict[str, str] | None:
 def _marked(seen: list[dict], patterns: dict[str, str]) -> list[tuple[str, int, int]]:
     out = []
     for o in seen:
-        if o["eligible"] and (kinds := [patterns[p] for p in o["patterns"] if p in patterns]):
+        if kinds := [k for p in o["patterns"] if (k := patterns.get(p)) in o["may"]]:
             out.append((max(set(kinds), key=lambda k: (kinds.count(k), k)), o["start"], o["end"]))
     return out
 
 
 def _joined(scanned: DataFrame, row: str, patterns: DataFrame) -> DataFrame:
-    """(r_, added): what _marked() finds in each row of `scanned`, by joins; rows without any are left out."""
-    seen = scanned.select(F.col(row).alias("r_"), F.explode("seen").alias("o")).filter("o.eligible").select("r_", "o.start", "o.end", F.explode("o.patterns").alias("p_"))
-    votes = seen.join(patterns, F.col("p_") == F.col("pattern")).groupBy("r_", "start", "end", "kind").agg(F.count("*").alias("n"))
-    spans = votes.groupBy("r_", "start", "end").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"))
-    by = spans.groupBy("r_").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("added"))
-    return by.select("r_", F.transform("added", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("added"))
+    """(pii_r_, pii_added_): what _marked() finds in each row of `scanned`, by joins; rows without any are left out."""
+    seen = scanned.select(F.col(row).alias("pii_r_"), F.explode("pii_seen_").alias("o")).filter(F.size("o.may") > 0).select("pii_r_", "o.start", "o.end", "o.may", F.explode("o.patterns").alias("p_"))
+    votes = seen.join(patterns, F.col("p_") == F.col("pattern")).filter(F.array_contains("may", F.col("kind"))).groupBy("pii_r_", "start", "end", "kind").agg(F.count("*").alias("n"))
+    spans = votes.groupBy("pii_r_", "start", "end").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"))
+    by = spans.groupBy("pii_r_").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("added"))
+    return by.select("pii_r_", F.transform("added", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("pii_added_"))
+
+
+def _found(docs: DataFrame, carried: Sequence[str], scratch: Scratch) -> DataFrame:
+    """The carried columns with base spans in pii_base_ and those that the method adds in pii_added_. Texts are scanned once."""
+    scanned = scratch.cut(scan(docs, carried).withColumn("pii_row_", F.monotonically_increasing_id()))
+    table = bootstrap(graph_of(scanned, scratch), scratch)
+    patterns = _held(table)
+    if patterns is None:
+        joined = scanned.drop("pii_seen_").join(_joined(scanned, "pii_row_", table), F.col("pii_row_") == F.col("pii_r_"), "left").drop("pii_r_", "pii_row_")
+        return joined.withColumn("pii_added_", F.coalesce("pii_added_", F.array().cast(_SPANS)))
+    rows = scanned.drop("pii_row_")
+    schema = T.StructType([*rows.drop("pii_seen_").schema, *T.StructType.fromDDL(f"pii_added_ {_SPANS}")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = batch.column(batch.num_columns - 1)
+            added = [[{"kind": k, "start": a, "end": b} for k, a, b in _marked(s.as_py(), patterns)] if patterns else [] for s in seen]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(added, _FOUND)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -218,21 +283,8 @@ def find(docs: DataFrame) -> DataFrame:
     Positions count code points of the whole text, end exclusive. Null and empty texts have no spans. Repeated rows
     repeat, and count once as instances; no rows in, no rows out; other columns are ignored.
     """
-    scratch = Scratch(docs.sparkSession, "pii")
-    scanned = scratch.cut(scan(docs).withColumn("row", F.monotonically_increasing_id()))
-    table = bootstrap(scanned, scratch)
-    patterns = _held(table)
-    if patterns is None:
-        joined = scanned.join(_joined(scanned, "row", table), F.col("row") == F.col("r_"), "left")
-        return joined.select("doc_id", "base", F.coalesce("added", F.array().cast(joined.schema["added"].dataType)).alias("added"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            added = [[{"kind": k, "start": a, "end": b} for k, a, b in _marked(s, patterns)] for s in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(added, _FOUND)], names=["doc_id", "base", "added"])
-
-    out = "doc_id long, base array<struct<kind: string, start: long, end: long>>, added array<struct<kind: string, start: long, end: long>>"
-    return scanned.drop("row").mapInArrow(run, out)
+    found = _found(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"], Scratch(docs.sparkSession, "pii"))
+    return found.select("doc_id", F.col("pii_base_").alias("base"), F.col("pii_added_").alias("added"))
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -250,37 +302,22 @@ def redact(docs: DataFrame) -> DataFrame:
 
     All columns and all rows stay. Of overlapping spans the first and longest is replaced, and the rest falls with it.
     """
-    scratch = Scratch(docs.sparkSession, "redact")
-    table = bootstrap(scratch.cut(scan(docs)), scratch)
-    patterns = _held(table)
-    schema = docs.schema
-    at = docs.columns.index("text")
-
-    def clean(text: str | None, added: list[dict] | None = None) -> str | None:
-        if not text:
-            return text
-        base = base_spans(text)
-        more = [(o["kind"], o["start"], o["end"]) for o in added or []]
-        if patterns:
-            for k, a, b, p in occurrences(text, base):
-                more += _marked([{"eligible": k is None and _identifier(text[a:b]), "patterns": p, "start": a, "end": b}], patterns)
+    schema, at = docs.schema, docs.columns.index("text")
+    rows = _found(docs, docs.columns, Scratch(docs.sparkSession, "redact"))
+
+    def clean(text: str, spans: list[dict]) -> str:
         parts, end = [], 0
-        for k, a, b in sorted(base + more, key=lambda s: (s[1], -s[2])):
-            if a >= end:
-                parts += [text[end:a], f"[{k.upper()}]"]
-            end = max(end, b)
-        return "".join(parts) + text[end:] if parts else text
+        for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
+            if s["start"] >= end:
+                parts += [text[end : s["start"]], f"[{s['kind'].upper()}]"]
+            end = max(end, s["end"])
+        return "".join(parts) + text[end:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            more = batch.column(len(schema)).to_pylist() if patterns is None else [None] * batch.num_rows
-            text = pa.array([clean(t, m) for t, m in zip(batch.column(at).to_pylist(), more)], pa.string())
-            yield pa.RecordBatch.from_arrays([text if i == at else c for i, c in enumerate(batch.columns[: len(schema)])], names=schema.names)
+            base, added = batch.columns[len(schema) :]
+            text = [clean(t.as_py(), spans) if (spans := b.as_py() + a.as_py()) else t.as_py() for t, b, a in zip(batch.column(at), base, added)]
+            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if i == at else c for i, c in enumerate(batch.columns[: len(schema)])], names=schema.names)
 
-    rows = docs
-    if patterns is None:
-        rows = scratch.cut(docs.withColumn("redacted_row_", F.monotonically_increasing_id()))
-        added = _joined(scan(rows.select(F.col("redacted_row_").alias("doc_id"), "text")), "doc_id", table).toDF("redacted_r_", "redacted_added_")
-        rows = rows.join(added, F.col("redacted_row_") == F.col("redacted_r_"), "left").drop("redacted_row_", "redacted_r_")
     out = rows.mapInArrow(run, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

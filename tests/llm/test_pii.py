@@ -89,3 +89,77 @@ def test_many_patterns_are_joined_to_the_same_result(spark, monkeypatch):
     few = every()
     monkeypatch.setattr(pii, "FEW", 0)
     assert every() == few and few[0][41][-2:] == ("phone:18:31", 1)
+
+
+def test_patterns_are_induced_from_what_was_found(spark):
+    """Tokens of a context that seeds give are the only support of a second one, which then marks others."""
+    seeds = [f"please ring me on +1 (555) 01{i:02d}-99{i:02d} about lot {i}" for i in range(40)]
+    bridge = [f"please ring me on 555-77{i:02d}-1{i:02d}4 today" for i in range(8)] + [f"our fax number 555-77{i:02d}-1{i:02d}4 works" for i in range(8)]
+    only = [f"our fax number 555-88{i:02d}-4444 works" for i in range(2)]
+    clean = [f"the lot {i} has 12{i:03d} parts and 3{i:03d} screws" for i in range(40)]
+    got = {r["doc_id"]: r["spans"] for r in pii.report(pii.find(frame(spark, seeds + bridge + only + clean))).collect()}
+    assert all(got[i] == "phone:15:28" for i in range(48, 58)) and all(got[i] == "" for i in range(58, 98))
+    alone = {r["doc_id"]: r["spans"] for r in pii.report(pii.find(frame(spark, seeds + only + clean))).collect()}
+    assert alone[40] == alone[41] == ""
+
+
+def plain_patterns(texts, rounds=pii.ROUNDS):
+    """The confident patterns by the definition, over dictionaries."""
+    kinds, may, held = {}, {}, {}
+    for t in texts:
+        for k, a, b, patterns in pii.occurrences(t, pii.base_spans(t)):
+            for p in patterns:
+                who = t[a:b].lower()
+                held.setdefault(p, set()).add(who)
+                kinds.setdefault((p, who), set()).update([k] if k else [])
+                may[p, who] = max(may.get((p, who), []), [] if k else pii.may_be(t[a:b]))
+    belief, scores = {}, {}
+    for _ in range(rounds):
+        scores = {}
+        for p, whos in held.items():
+            for k in pii.KINDS:
+                hits = [w for w in whos if k in kinds[p, w]]
+                free = [w for w in whos if not kinds[p, w] and k in may[p, w]]
+                values = [1.0] * len(hits) + [belief.get((w, k), pii.PRIOR) for w in free]
+                if len(hits) + len(free) >= max(pii.SEEDS, pii.CONFIDENT * len(whos)) and sum(values) / len(whos) >= pii.CONFIDENT and sum(v >= pii.CONFIDENT for v in values) >= pii.SEEDS:
+                    scores[p, k] = sum(values) / len(whos)
+        belief = {}
+        for (p, k), s in scores.items():
+            for w in held[p]:
+                if not kinds[p, w] and k in may[p, w]:
+                    belief[w, k] = max(s, belief.get((w, k), 0))
+    best = {}
+    for (p, k), s in scores.items():
+        best[p] = max(best.get(p, (0, "")), (s, k))
+    return {p: k for p, (_, k) in best.items()}
+
+
+def test_patterns_equal_those_of_the_definition(spark):
+    import random
+
+    from plumbline.llm.common import Scratch
+
+    rng = random.Random(4)
+    token = [lambda i: f"+1 555 0{i:03d}-11{i % 90 + 10}", lambda i: f"55{i:03d}-2222", lambda i: f"u{i}@x{i % 7}.org", lambda i: f"10.0.{i % 200}.{i % 250}", lambda i: f"10.0.{i % 200}", lambda i: f"a{i}b{i}", lambda i: f"4{i:012d}"]
+    texts = []
+    for _ in range(400):
+        w, kind = rng.choice(["call", "mail", "host", "fax no:", "ref", "id ="]), rng.randrange(len(token))
+        kind = {"call": rng.choice([0, 0, 0, 1]), "mail": 2, "host": rng.choice([3, 3, 3, 4]), "fax no:": rng.choice([0, 1, 1])}.get(w, kind)
+        texts.append(f"{rng.choice('xyz')} {w} {token[kind](rng.randrange(60))} {rng.choice(['now', 'then', 'please'])}")
+    scratch = Scratch(spark, "t")
+    got = pii.bootstrap(pii.graph_of(scratch.cut(pii.scan(frame(spark, texts))), scratch), scratch)
+    want = plain_patterns(texts)
+    assert {r["pattern"]: r["kind"] for r in got.collect()} == want and {"phone", "email", "ip"} <= set(want.values())
+
+
+def test_hidden_seeds_are_found_where_contexts_tell_and_never_as_another_kind(spark):
+    import random
+
+    rng = random.Random(5)
+    noise = lambda: " ".join(f"w{rng.choice('abcdefgh')}{rng.choice('klmnop')}" for _ in range(3))
+    told = [f"{noise()} please ring me on +1 (555) {i:04d}-{i * 7 % 10000:04d} {noise()}" for i in range(100)]
+    told += [f"{noise()} server at 10.{i % 256}.3.{i * 3 % 256} {noise()}" for i in range(100)]
+    untold = [f"q{i}x +44 555 {i:04d}-{i * 3 % 10000:04d} z{i}y" for i in range(100)]
+    got = {r["kind"]: r for r in pii.held_out(frame(spark, told + untold)).collect()}
+    assert got["ip"]["n_right"] == got["ip"]["n_found"] == got["ip"]["n_hidden"] > 10
+    assert got["phone"]["n_right"] == got["phone"]["n_found"] and 0.3 < got["phone"]["n_found"] / got["phone"]["n_hidden"] < 0.7
