@@ -1,12 +1,14 @@
-"""Benchmark passages in documents: CGK embeddings of item-sized windows, bit-sampling LSH, exact edit verification.
+"""Benchmark passages in documents: CGK embeddings of windows, bit-sampling LSH, exact edit verification.
 
 A window walks through its words, one symbol out a step, and moves on when a random function of word and step says so
 (Chakraborty, Goldenberg, Koucky 2016). Two texts of small edit distance that walk by the same functions fall into step
 again soon after an edit, so their outputs differ in few places. Some sampled places of the output make an LSH key;
 several walks with several samples each reach the recall, and what they bring together is aligned exactly.
 
-Windows are as long as an item and begin where a run of words of that item, shorter than what the allowed edits can
-break everywhere, puts the item's begin. By the pigeonhole principle no occurrence is without such a run.
+An item has windows from some of its words on, the rarest of the benchmark, so that some of them begin in step however
+an occurrence is edited. Their length is the power of two up to half the item's and at most 16, so that few edits fall
+into one. The first place of a walk is the window's first word and is part of every key: a window of a document whose
+first word begins no window of an item has no key to share, and needs no walk. No other index proposes anything.
 """
 
 from __future__ import annotations
@@ -16,112 +18,108 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import GOLDEN, mix64, tune
+from plumbline.llm.common import GOLDEN, mix64, tune, unit
 from plumbline.llm.text import Slice, Words, lower, slices, words
 
 #: An occurrence differs from the item by at most this share of the item's words, inserted, deleted or replaced.
 EDITS = 0.2
-#: Walks, samples of each walk, and places in a sample. With three in eight places of a walk disturbed, a sample agrees
-#: once in four, and one of the 32 does with a probability of 0.9999.
-WALKS, SAMPLES, PLACES = 8, 4, 3
-#: Items are held by every task while they are at most so many characters; more are searched in several passes.
-ITEM_CHARS = 16 << 20
+#: Walks, samples of each walk, and places in a sample beside the first. With half of a walk's places disturbed, one of
+#: the 32 keys of a window agrees with a probability of about 0.99, and an item has up to BEGINS windows.
+WALKS, SAMPLES, PLACES = 8, 4, 2
+#: Words of a window, and windows of an item.
+LENGTHS, BEGINS = (16, 8, 4, 2, 1), 12
+#: Items that a task holds at a time have at most so many characters; more are searched in several passes.
+ITEM_CHARS = 8 << 20
 
 
 def allowed(n: int, edits: float = EDITS) -> int:
     return int(n * edits + 1e-9)
 
 
-def run_length(n: int, edits: float = EDITS) -> int:
-    """The longest run, of three words at most, of which some survive any allowed edits of n words."""
-    k = allowed(n, edits)
-    return max(q for q in (1, 2, 3) if q == 1 or (q <= n and n - q + 1 > q * k))
+def window_length(n: int) -> int:
+    """The words of a window of an item of n words."""
+    return next(c for c in LENGTHS if c <= max(1, n // 2))
 
 
-def _run_hashes(h: np.ndarray, q: int) -> np.ndarray:
-    if len(h) < q:
-        return h[:0]
-    with np.errstate(over="ignore"):
-        out = h[: len(h) - q + 1] * np.uint64(0x9E3779B97F4A7C15)
-        for i in range(1, q):
-            out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + h[i : len(h) - q + 1 + i]
-        return mix64(out + np.uint64(q))
+@dataclass
+class Windows:
+    """The windows of one length: their first words, sorted, and keys, sorted, with the item and offset that each is from."""
+
+    first: np.ndarray
+    keys: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
 
 
 @dataclass
 class Items:
-    """The benchmark as every task holds it: word hashes, anchors by run length, and LSH tables."""
+    """A part of the benchmark as every task holds it: ids, word hashes, windows by length, and a sieve for first words."""
 
     ids: list[int]
     words: list[np.ndarray]
-    anchors: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    keys: np.ndarray
-    owners: np.ndarray
+    windows: dict[int, Windows]
+    sieve: np.ndarray
 
     @staticmethod
-    def build(rows: list[tuple[int, str]], edits: float = EDITS) -> Items:
-        kept, hashes = [], []
+    def build(rows: list[tuple[int, str]]) -> Items:
+        ids, hashes = [], []
         for ident, text in rows:
             raw = np.frombuffer((text or "").encode("utf-8", "replace"), dtype=np.uint8)
             h = words(lower(raw), np.array([0, len(raw)])).hash
             if len(h):
-                kept.append(ident)
+                ids.append(ident)
                 hashes.append(h)
-        found: dict[int, list[tuple[np.ndarray, int]]] = {}
-        for j, h in enumerate(hashes):
-            q = run_length(len(h), edits)
-            found.setdefault(q, []).append((_run_hashes(h, q), j))
-        anchors = {}
-        for q, parts in found.items():
-            key = np.concatenate([r for r, _ in parts])
-            item = np.concatenate([np.full(len(r), j) for r, j in parts])
-            at = np.concatenate([np.arange(len(r)) for r, _ in parts])
-            order = np.argsort(key, kind="stable")
-            sieve = np.zeros(1 << 20, dtype=bool)
-            sieve[(key & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            anchors[q] = (key[order], item[order], at[order], sieve)
-        if not hashes:
-            return Items([], [], {}, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        sieve = np.zeros(1 << 20, dtype=bool)
+        if not ids:
+            return Items([], [], {}, sieve)
         flat = np.concatenate(hashes)
-        size = np.array([len(h) for h in hashes])
-        start = np.cumsum(size) - size
-        keys = embed_keys(flat, start, start + size, size)
-        order = np.argsort(keys.ravel(), kind="stable")
-        return Items(kept, hashes, anchors, keys.ravel()[order], np.repeat(np.arange(len(kept)), keys.shape[1])[order])
-
-
-def embed_keys(h: np.ndarray, start: np.ndarray, end: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """LSH keys, WALKS * SAMPLES a row, of the CGK walks over h[start:end]; a walk has two steps for each of `size` words.
-
-    Keys hold the size, the walk and the sample, so that equal keys come from equal ones of each.
+        known, n = np.unique(flat, return_counts=True)
+        begin = np.cumsum([0, *map(len, hashes)])
+        starts: dict[int, list[tuple[int, int]]] = {}
+        for j, h in enumerate(hashes):
+            c = window_length(len(h))
+            able = h[: len(h) - c + 1]
+            rare = np.lexsort((able, n[np.searchsorted(known, able)]))[:BEGINS]
+            starts.setdefault(c, []).extend((j, int(o)) for o in np.sort(rare))
+        windows = {}
+        for c, found in starts.items():
+            item, offset = (np.array(x, dtype=np.int64) for x in zip(*found))
+            at = begin[item] + offset
+            keys = embed_keys(flat, at, begin[item + 1], c)
+            order = np.argsort(keys.ravel(), kind="stable")
+            spread = lambda x: np.repeat(x, keys.shape[1])[order].astype(np.int32)  # noqa: B023, E731
+            windows[c] = Windows(np.unique(flat[at]), keys.ravel()[order], spread(item), spread(offset))
+            sieve[(flat[at] & np.uint64(len(sieve) - 1)).astype(np.int64)] = True
+        return Items(ids, hashes, windows, sieve)
+
+
+def embed_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, c: int) -> np.ndarray:
+    """LSH keys, WALKS * SAMPLES a row, of the CGK walks of 2 * c steps over the c words of h from `start`, or up to `stop`.
+
+    Keys hold the length, the walk, the sample and the first word, so that equal keys come from equal ones of each.
     """
-    n = len(start)
-    walk = np.tile(np.arange(WALKS, dtype=np.uint64), n)
-    pos, stop, steps = (np.repeat(x, WALKS).astype(np.int64) for x in (start, end, 2 * size))
-    sample = np.arange(SAMPLES, dtype=np.uint64)
+    n, steps = len(start), 2 * c
+    walk, sample = np.arange(WALKS, dtype=np.uint64), np.arange(SAMPLES, dtype=np.uint64)
+    padded = np.append(h, np.uint64(0))
     with np.errstate(over="ignore"):
-        acc = mix64((np.repeat(size, WALKS).astype(np.uint64)[:, None] * np.uint64(1000003) + walk[:, None] * np.uint64(SAMPLES) + sample) * GOLDEN)
-        # the places of a sample are fixed shares of the walk, drawn once for each walk and sample
-        draw = mix64((walk[:WALKS, None, None] * np.uint64(64) + sample[:, None] * np.uint64(8) + np.arange(PLACES, dtype=np.uint64)) * GOLDEN + np.uint64(99))
-        share = (draw >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        places = np.tile(share, (n, 1, 1))
-        places = (places * steps[:, None, None]).astype(np.int64)
-        live = np.arange(n * WALKS)
-        padded = np.append(h, np.uint64(0))
-        for t in range(int(steps.max()) if n else 0):
-            live = live[steps[live] > t]
-            inside = pos[live] < stop[live]
-            symbol = np.where(inside, padded[np.minimum(pos[live], len(h))], np.uint64(0x5BD1E995))
-            hit = (places[live] == t).any(axis=2)
-            row, col = np.nonzero(hit)
-            if len(row):
-                r = live[row]
-                acc[r, col] = mix64((acc[r, col] ^ symbol[row]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-            coin = mix64(symbol + (walk[live] * np.uint64(1 << 20) + np.uint64(t + 1)) * GOLDEN) & np.uint64(1)
-            pos[live] += coin.astype(np.int64) & inside
+        # places are drawn once for each length, walk and sample, beyond where a walk is still at its first word
+        name = (np.uint64(c) * np.uint64(WALKS) + walk[:, None]) * np.uint64(SAMPLES) + sample
+        draw = unit(mix64((name[:, :, None] * np.uint64(PLACES) + np.arange(PLACES, dtype=np.uint64)) * GOLDEN + np.uint64(99)))
+        least = min(4, steps - 1)
+        places = np.sort((least + draw * (steps - least)).astype(np.int64), axis=2)
+        acc = mix64(padded[start][:, None, None] + mix64(name * GOLDEN))
+        pos, end = np.repeat(start[:, None], WALKS, axis=1), np.minimum(start + c, stop)[:, None]
+        for t in range(int(places.max()) + 1 if n else 0):
+            inside = pos < end
+            symbol = np.where(inside, padded[np.minimum(pos, len(h))], np.uint64(0x5BD1E995))
+            for w, k in zip(*np.nonzero((places == t).any(axis=2))):
+                acc[:, w, k] = mix64((acc[:, w, k] ^ symbol[:, w]) * GOLDEN + np.uint64(1))
+            coin = mix64(symbol + (walk * np.uint64(1 << 20) + np.uint64(t + 1)) * GOLDEN) & np.uint64(1)
+            pos = pos + (coin.astype(bool) & inside)
     return acc.reshape(n, WALKS * SAMPLES)
 
 
@@ -145,32 +143,23 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 def candidates(h: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, item, window's first word) that share an LSH key, for the documents of a slice."""
-    found = []
-    for q, (keys, item, at, sieve) in items.anchors.items():
-        runs = _run_hashes(h, q)
-        p = np.flatnonzero(sieve[(runs & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        if not len(p):
-            continue
-        lo, hi = np.searchsorted(keys, runs[p], "left"), np.searchsorted(keys, runs[p], "right")
-        p, lo, n = p[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-        which = np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        p = np.repeat(p, n)
-        doc = np.searchsorted(first, p, "right") - 1
-        inside = p + q <= first[doc + 1]
-        size = np.array([len(w) for w in items.words])[item[which]]
-        found.append(np.stack((doc, size, np.maximum(p - at[which], first[doc])), axis=1)[inside])
-    none = np.zeros(0, np.int64)
-    if not found or not sum(map(len, found)):
-        return none, none, none
-    doc, size, start = np.unique(np.concatenate(found), axis=0).T
-    keys = embed_keys(h, start, np.minimum(start + size, first[doc + 1]), size)
-    lo, hi = np.searchsorted(items.keys, keys.ravel(), "left"), np.searchsorted(items.keys, keys.ravel(), "right")
-    n = hi - lo
-    which = np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    window = np.repeat(np.repeat(np.arange(len(doc)), keys.shape[1]), n)
-    pairs = np.unique(np.stack((window, items.owners[which]), axis=1), axis=0)
-    return doc[pairs[:, 0]], pairs[:, 1], start[pairs[:, 0]]
+    """(document, item, word at which the item would begin) of windows that share an LSH key, for the documents of a slice."""
+    found = [np.zeros((0, 3), np.int64)]
+    sifted = np.flatnonzero(items.sieve[(h & np.uint64(len(items.sieve) - 1)).astype(np.int64)])
+    for c, w in items.windows.items():
+        at = np.minimum(np.searchsorted(w.first, h[sifted]), len(w.first) - 1)
+        every = sifted[w.first[at] == h[sifted]]
+        for i in range(0, len(every), 1 << 13):
+            p = every[i : i + (1 << 13)]
+            doc = np.searchsorted(first, p, "right") - 1
+            keys = embed_keys(h, p, first[doc + 1], c).ravel()
+            lo, hi = np.searchsorted(w.keys, keys, "left"), np.searchsorted(w.keys, keys, "right")
+            n = hi - lo
+            which = np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            own = np.repeat(np.arange(len(keys)) // (WALKS * SAMPLES), n)
+            found.append(np.unique(np.stack((doc[own], w.item[which], p[own] - w.offset[which]), axis=1), axis=0))
+    doc, item, begin = np.unique(np.concatenate(found), axis=0).T
+    return doc, item, begin
 
 
 def nearest(s: Slice, w: Words, items: Items, edits: float = EDITS) -> dict[tuple[int, int], tuple[int, int, int]]:
@@ -180,7 +169,7 @@ def nearest(s: Slice, w: Words, items: Items, edits: float = EDITS) -> dict[tupl
     for d, j, p in zip(*(x.tolist() for x in candidates(w.hash, w.first, items))):
         item = items.words[j]
         k = allowed(len(item), edits)
-        lo, hi = max(int(w.first[d]), p - 2 * k), min(int(w.first[d + 1]), p + len(item) + 2 * k)
+        lo, hi = max(int(w.first[d]), p - 2 * k), max(int(w.first[d]), min(int(w.first[d + 1]), p + len(item) + 2 * k))
         if (j, lo, hi) in seen:
             continue
         seen.add((j, lo, hi))
@@ -190,8 +179,9 @@ def nearest(s: Slice, w: Words, items: Items, edits: float = EDITS) -> dict[tupl
     return best
 
 
-def _search(docs: DataFrame, items: Items, edits: float) -> DataFrame:
+def _search(docs: DataFrame, shared: Broadcast, edits: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = shared.value
         for batch in batches:
             for s in slices(batch.column(1)):
                 w = words(lower(s.data), s.offsets)
@@ -221,29 +211,33 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFr
     """
     tune(docs.sparkSession)
     out = None
-    for items in _passes(benchmark, edits):
-        found = _search(docs, items, edits)
+    for shared in _passes(benchmark):
+        found = _search(docs, shared, edits)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _passes(benchmark: DataFrame, edits: float) -> Iterator[Items]:
-    """The benchmark in parts that a task may hold: one, unless the items outgrow that."""
+def _passes(benchmark: DataFrame) -> Iterator[Broadcast]:
+    """The benchmark in parts that a task may hold, each as a broadcast of Items: one, unless the items outgrow that.
+
+    The driver holds one part at a time; what is broadcast it keeps as a file.
+    """
     bench = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null")
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = max(1, -(-size // ITEM_CHARS))
     for i in range(passes):
         part = bench if passes == 1 else bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i)
-        yield Items.build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()], edits)
+        yield bench.sparkSession.sparkContext.broadcast(Items.build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()]))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
     """docs without the rows in which leaks() finds an item. All columns stay; no row moves between tasks."""
     tune(docs.sparkSession)
     at, out = docs.columns.index("text"), docs
-    for items in _passes(benchmark, edits):
+    for shared in _passes(benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
+            items = shared.value
             for batch in batches:
                 keep = np.ones(batch.num_rows, dtype=bool)
                 for s in slices(batch.column(at)):

@@ -93,15 +93,34 @@ def test_alignment_against_brute_force():
 
 
 @pytest.mark.parametrize("n", range(1, 70))
-def test_some_run_survives_any_allowed_edits(n):
-    q, k = d.run_length(n), d.allowed(n)
-    assert 1 <= q <= 3 and (q == 1 and (n > k) or n - q + 1 > q * k)
+def test_items_have_windows_that_fit(n):
+    items = d.Items.build([(1, " ".join(f"w{i % 40}" for i in range(n)))])
+    (c, w), = items.windows.items()
+    assert c == d.window_length(n) and 0 <= w.offset.min() and w.offset.max() + c <= n
+    assert len(set(w.offset.tolist())) == min(d.BEGINS, n - c + 1) and len(w.keys) == d.WALKS * d.SAMPLES * len(set(w.offset.tolist()))
+
+
+def test_share_of_occurrences_that_windows_propose():
+    """Recall of the LSH alone, at the most edits that are allowed, against occurrences whose place is known."""
+    rng = random.Random(8)
+    items = [words(rng.randrange(10, 60), 500 + i, 3000) for i in range(60)]
+    built = d.Items.build([(i, " ".join(w)) for i, w in enumerate(items)])
+    hit = total = 0
+    for _ in range(5):
+        for j, item in enumerate(items):
+            part = edit(item, d.allowed(len(item)), rng)
+            raw = np.frombuffer(" ".join([*words(20, rng.randrange(10**6), 3000), *part, *words(20, rng.randrange(10**6), 3000)]).encode(), dtype=np.uint8)
+            w = d.words(d.lower(raw), np.array([0, len(raw)]))
+            near = [b for _, i, b in zip(*(x.tolist() for x in d.candidates(w.hash, w.first, built))) if i == j]
+            hit += any(abs(b - 20) <= 2 * d.allowed(len(item)) for b in near)
+            total += 1
+    assert hit >= 0.97 * total
 
 
 def test_walks_agree_on_equal_texts_and_differ_on_others():
     h = np.random.default_rng(1).integers(0, 2**63, 100).astype(np.uint64)
     two = np.concatenate((h[:40], h[50:55], h[:40]))
-    keys = d.embed_keys(two, np.array([0, 45, 5]), np.array([40, 85, 45]), np.array([40, 40, 40]))
+    keys = d.embed_keys(two, np.array([0, 45, 5]), np.array([40, 85, 45]), 16)
     assert (keys[0] == keys[1]).all() and not (keys[0] == keys[2]).all()
 
 
