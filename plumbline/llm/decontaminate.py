@@ -28,10 +28,10 @@ from plumbline.llm.text import Slice, Words, lower, slices, words
 #: An occurrence differs from the item by at most this share of the item's words, inserted, deleted or replaced.
 EDITS = 0.2
 #: Walks, samples of each walk, and places in a sample beside the first. With half of a walk's places disturbed, one of
-#: the 32 keys of a window agrees with a probability of about 0.99, and an item has up to BEGINS windows.
-WALKS, SAMPLES, PLACES = 8, 4, 2
-#: Words of a window, and windows of an item.
-LENGTHS, BEGINS = (16, 8, 4, 2, 1), 12
+#: the 30 keys of a window agrees with a probability of about 0.9, and an item has several windows.
+WALKS, SAMPLES, PLACES = 5, 6, 3
+#: Words of a window; windows of an item beside one for each edit that it allows.
+LENGTHS, MORE = (16, 8, 4, 2, 1), 3
 #: Items that a task holds at a time have at most so many characters; more are searched in several passes.
 ITEM_CHARS = 8 << 20
 
@@ -45,12 +45,24 @@ def window_length(n: int) -> int:
     return next(c for c in LENGTHS if c <= max(1, n // 2))
 
 
+def _places(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64((1 << 20) - 1)).astype(np.int64)
+
+
+def _sieve(h: np.ndarray) -> np.ndarray:
+    """Where it is false at _places() of a hash, the hash is none of h."""
+    out = np.zeros(1 << 20, dtype=bool)
+    out[_places(h)] = True
+    return out
+
+
 @dataclass
 class Windows:
     """The windows of one length: their first words, sorted, and keys, sorted, with the item and offset that each is from."""
 
     first: np.ndarray
     keys: np.ndarray
+    sieve: np.ndarray
     item: np.ndarray
     offset: np.ndarray
 
@@ -63,9 +75,10 @@ class Items:
     words: list[np.ndarray]
     windows: dict[int, Windows]
     sieve: np.ndarray
+    plain: list[list[int]]
 
     @staticmethod
-    def build(rows: list[tuple[int, str]]) -> Items:
+    def build(rows: list[tuple[int, str]], edits: float = EDITS) -> Items:
         ids, hashes = [], []
         for ident, text in rows:
             raw = np.frombuffer((text or "").encode("utf-8", "replace"), dtype=np.uint8)
@@ -73,9 +86,9 @@ class Items:
             if len(h):
                 ids.append(ident)
                 hashes.append(h)
-        sieve = np.zeros(1 << 20, dtype=bool)
+        sieve = _sieve(np.zeros(0, np.uint64))
         if not ids:
-            return Items([], [], {}, sieve)
+            return Items([], [], {}, sieve, [])
         flat = np.concatenate(hashes)
         known, n = np.unique(flat, return_counts=True)
         begin = np.cumsum([0, *map(len, hashes)])
@@ -83,7 +96,7 @@ class Items:
         for j, h in enumerate(hashes):
             c = window_length(len(h))
             able = h[: len(h) - c + 1]
-            rare = np.lexsort((able, n[np.searchsorted(known, able)]))[:BEGINS]
+            rare = np.lexsort((able, n[np.searchsorted(known, able)]))[: allowed(len(h), edits) + MORE]
             starts.setdefault(c, []).extend((j, int(o)) for o in np.sort(rare))
         windows = {}
         for c, found in starts.items():
@@ -92,9 +105,9 @@ class Items:
             keys = embed_keys(flat, at, begin[item + 1], c)
             order = np.argsort(keys.ravel(), kind="stable")
             spread = lambda x: np.repeat(x, keys.shape[1])[order].astype(np.int32)  # noqa: B023, E731
-            windows[c] = Windows(np.unique(flat[at]), keys.ravel()[order], spread(item), spread(offset))
-            sieve[(flat[at] & np.uint64(len(sieve) - 1)).astype(np.int64)] = True
-        return Items(ids, hashes, windows, sieve)
+            windows[c] = Windows(np.unique(flat[at]), keys.ravel()[order], _sieve(keys.ravel()), spread(item), spread(offset))
+            sieve |= _sieve(flat[at])
+        return Items(ids, hashes, windows, sieve, [h.tolist() for h in hashes])
 
 
 def embed_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, c: int) -> np.ndarray:
@@ -145,7 +158,7 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 def candidates(h: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, item, word at which the item would begin) of windows that share an LSH key, for the documents of a slice."""
     found = [np.zeros((0, 3), np.int64)]
-    sifted = np.flatnonzero(items.sieve[(h & np.uint64(len(items.sieve) - 1)).astype(np.int64)])
+    sifted = np.flatnonzero(items.sieve[_places(h)])
     for c, w in items.windows.items():
         at = np.minimum(np.searchsorted(w.first, h[sifted]), len(w.first) - 1)
         every = sifted[w.first[at] == h[sifted]]
@@ -153,10 +166,11 @@ def candidates(h: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndarr
             p = every[i : i + (1 << 13)]
             doc = np.searchsorted(first, p, "right") - 1
             keys = embed_keys(h, p, first[doc + 1], c).ravel()
-            lo, hi = np.searchsorted(w.keys, keys, "left"), np.searchsorted(w.keys, keys, "right")
+            likely = np.flatnonzero(w.sieve[_places(keys)])
+            lo, hi = (np.searchsorted(w.keys, keys[likely], side) for side in ("left", "right"))
             n = hi - lo
             which = np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            own = np.repeat(np.arange(len(keys)) // (WALKS * SAMPLES), n)
+            own = np.repeat(likely // (WALKS * SAMPLES), n)
             found.append(np.unique(np.stack((doc[own], w.item[which], p[own] - w.offset[which]), axis=1), axis=0))
     doc, item, begin = np.unique(np.concatenate(found), axis=0).T
     return doc, item, begin
@@ -173,6 +187,9 @@ def nearest(s: Slice, w: Words, items: Items, edits: float = EDITS) -> dict[tupl
         if (j, lo, hi) in seen:
             continue
         seen.add((j, lo, hi))
+        near = set(w.hash[lo:hi].tolist())
+        if sum(x not in near for x in items.plain[j]) > k:  # each of them costs an edit
+            continue
         cost, a, b = align(item, w.hash[lo:hi])
         if cost <= k and b > a:
             best[d, j] = min(best.get((d, j), (cost, lo + a, lo + b)), (cost, lo + a, lo + b))
@@ -211,13 +228,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFr
     """
     tune(docs.sparkSession)
     out = None
-    for shared in _passes(benchmark):
+    for shared in _passes(benchmark, edits):
         found = _search(docs, shared, edits)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _passes(benchmark: DataFrame) -> Iterator[Broadcast]:
+def _passes(benchmark: DataFrame, edits: float) -> Iterator[Broadcast]:
     """The benchmark in parts that a task may hold, each as a broadcast of Items: one, unless the items outgrow that.
 
     The driver holds one part at a time; what is broadcast it keeps as a file.
@@ -227,14 +244,14 @@ def _passes(benchmark: DataFrame) -> Iterator[Broadcast]:
     passes = max(1, -(-size // ITEM_CHARS))
     for i in range(passes):
         part = bench if passes == 1 else bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i)
-        yield bench.sparkSession.sparkContext.broadcast(Items.build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()]))
+        yield bench.sparkSession.sparkContext.broadcast(Items.build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()], edits))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
     """docs without the rows in which leaks() finds an item. All columns stay; no row moves between tasks."""
     tune(docs.sparkSession)
     at, out = docs.columns.index("text"), docs
-    for shared in _passes(benchmark):
+    for shared in _passes(benchmark, edits):
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
             items = shared.value

@@ -97,7 +97,7 @@ def test_items_have_windows_that_fit(n):
     items = d.Items.build([(1, " ".join(f"w{i % 40}" for i in range(n)))])
     (c, w), = items.windows.items()
     assert c == d.window_length(n) and 0 <= w.offset.min() and w.offset.max() + c <= n
-    assert len(set(w.offset.tolist())) == min(d.BEGINS, n - c + 1) and len(w.keys) == d.WALKS * d.SAMPLES * len(set(w.offset.tolist()))
+    assert len(set(w.offset.tolist())) == min(d.allowed(n) + d.MORE, n - c + 1) and len(w.keys) == d.WALKS * d.SAMPLES * len(set(w.offset.tolist()))
 
 
 def test_share_of_occurrences_that_windows_propose():
