@@ -13,7 +13,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +22,8 @@ from plumbline.llm.tokens import encoder
 
 CAPACITY, END = 2048, 1
 PARTS = (1024, 512)
-#: A group has about so many pieces.
-GROUP = 2048
+#: A group has about so many pieces, a task so many groups up to so many tasks, and equal pieces go to groups by so many.
+GROUP, TASK, MOST, COPIES = 2048, 8, 20_000, 64
 
 
 def cuts(n: int, capacity: int = CAPACITY, parts: tuple[int, ...] = PARTS) -> list[int]:
@@ -118,27 +117,34 @@ def sequences(docs: DataFrame, vocabulary: str | None = None, ranks: str | None
 
     A row for each piece; the pieces of a row of docs cover its ids and the end mark once. A sequence holds at most
     2048 ids, without gaps from offset 0. A null or empty text is one piece, the end mark. Repeated rows are packed
-    each by itself; no rows in, no rows out; other columns are ignored.
+    each by itself; no rows in, no rows out; other columns are ignored. Where a piece lies follows from the rows alone,
+    however they are laid out: equal pieces are counted, and groups are told by a hash of a piece and a block of copies.
     """
     scratch = Scratch(docs.sparkSession, "pack")
-    cut = scratch.cut(pieces(docs, vocabulary, ranks)).withColumn("n_", F.monotonically_increasing_id())
-    whole = cut.filter(F.col("length") == CAPACITY).withColumn("sequence_id", F.col("n_") * 2).withColumn("offset", F.lit(0).cast("long")).drop("n_")
-    rest = cut.filter(F.col("length") < CAPACITY)
-    groups = max(1, -(-rest.count() // GROUP))
-    rest = rest.withColumn("group", F.pmod(F.xxhash64("n_"), F.lit(groups)))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "n_"], ascending=[False, True, True, True], ignore_index=True)
-        length = pdf["length"].to_numpy()
-        seq, off = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-        for i, items in enumerate(pack(length.tolist())):
-            items = np.sort(np.array(items))
-            seq[items] = (int(pdf["group"].iat[0]) << 24 | i) * 2 + 1
+    counted = scratch.cut(pieces(docs, vocabulary, ranks).groupBy(*PIECE).agg(F.count("*").alias("n")))
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    groups = max(1, -(-total // GROUP))
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    blocks = blocks.withColumn("copies", F.least(F.lit(COPIES).cast("long"), F.col("n") - F.col("block") * COPIES)).drop("n")
+    dealt = blocks.withColumn("group", F.pmod(F.xxhash64(*PIECE, "block"), F.lit(groups)))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("length", "descending"), *((c, "ascending") for c in (*PIECE, "block"))])
+        table = table.take(pa.array(np.repeat(np.arange(table.num_rows), table["copies"].to_numpy())))
+        length = table["length"].to_numpy()
+        whole = int((length == CAPACITY).sum())
+        seq, off = np.arange(len(length)), np.zeros(len(length), np.int64)
+        for i, items in enumerate(pack(length[whole:].tolist())):
+            items = whole + np.sort(np.array(items))
+            seq[items] = whole + i
             off[items] = np.cumsum(length[items]) - length[items]
-        return pdf.assign(sequence_id=seq, offset=off)[list(COLUMNS)]
+        first = table["group"][0].as_py() << 24
+        return table.select(PIECE).append_column("sequence_id", pa.array(first + seq)).append_column("offset", pa.array(off))
 
-    packed = rest.groupBy("group").applyInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
-    return whole.select(*COLUMNS).unionByName(packed)
+    # a group costs time rather than bytes, which adaptive execution would go by
+    spread = dealt.repartition(max(1, min(-(-groups // TASK), MOST)), "group")
+    return spread.groupBy("group").applyInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+COLUMNS = (*PIECE, "sequence_id", "offset")

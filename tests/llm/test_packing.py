@@ -103,3 +103,36 @@ def test_awkward_rows(spark):
     enc = encoder()
     assert {r["doc_id"]: r["doc_tokens"] for r in one} == {i: len(enc._plain(t or "")) + 1 for i, t in texts.items()}
     assert packing.sequences(frame(spark, [])).count() == 0
+
+
+def test_places_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 60)
+    monkeypatch.setattr(packing, "COPIES", 8)
+    rng = random.Random(9)
+    texts = [" ".join(f"word{rng.randrange(999)}" for _ in range(int(rng.expovariate(1 / 300)))) for i in range(200)]
+    rows = [*enumerate(texts), *[(7, "the same row")] * 150, *[(None, "no id")] * 5, (None, None), (2**62 + 1, "an id of many digits")]
+    docs = frame(spark, rows)
+    got = [sorted(packing.sequences(docs.repartition(n) if n else docs.orderBy(docs["text"].desc()).coalesce(1)).collect(), key=str) for n in (0, 1, 3, 8)]
+    assert all(g == got[0] for g in got) and (2**62 + 1) in {r["doc_id"] for r in got[0]}
+    same = [r["sequence_id"] >> 24 for r in got[0] if r["doc_id"] == 7 and r["length"] < 10]
+    assert len(same) == 150 and len(set(same)) > 2  # equal rows aren't one group's
+    by = {}
+    for r in got[0]:
+        by.setdefault(r["sequence_id"], []).append(r)
+    for own in by.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 2048
+
+
+def test_fast_ids_of_whole_documents(spark):
+    """All documents of a test folder, and a text of a megabyte."""
+    import os
+
+    enc = encoder()
+    texts = [r[0] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()] if os.path.isdir("/root/testdata/sf0.01") else []
+    texts.append((" ".join(texts) or "Grüße, 日本語 x_y.z 12½ " * 40_000)[: 1 << 20])
+    for text in texts:
+        assert enc.ids(text).tolist() == enc._plain(text)
