@@ -53,13 +53,27 @@ def keep_freed(top: int = 64 << 20, block: int = 32 << 20) -> None:
     mallopt(_MAP, block)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores behind it as it takes to be none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: the one the cluster names in spark.checkpoint.dir.
+    """The URI of the folder that the driver and all executors share: the one the cluster names in spark.checkpoint.dir.
 
-    Only where that is unset (tests on one machine) a folder below the warehouse is taken.
+    Only where that is unset and all runs on one machine, as in tests, a folder below the warehouse is taken.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    path = context._jvm.org.apache.hadoop.fs.Path(named.rstrip("/"))
+    return str(path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path))
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

@@ -17,12 +17,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Scratch, mix64, tune
+from plumbline.llm.common import Scratch, tune, unused
 from plumbline.llm.components import components
 from plumbline.llm.minhash import SHINGLE, band_keys, fingerprints, shingles, signatures
 from plumbline.llm.text import lower, slices, words
@@ -30,7 +29,9 @@ from plumbline.llm.text import lower, slices, words
 #: 24 bands of 5 slots: two sets of similarity 0.85 share no band once in 10^6, of 0.8 once in 14,000.
 BANDS, ROWS = 24, 5
 #: A block of a cluster holds about so many documents and so many shingles.
-BLOCK_DOCS, BLOCK_SHINGLES = 256, 1 << 20
+BLOCK_DOCS, BLOCK_SHINGLES = 256, 1 << 19
+#: Row numbers to leave out are broadcast if they are at most so many; more are joined.
+FEW = 1 << 20
 
 
 def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
@@ -129,15 +130,24 @@ def _spanning_links(nodes: np.ndarray, sets: list[np.ndarray], labels: np.ndarra
     return links
 
 
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
 def _verifier(num: int, den: int):
     """Confirms the links of one group of rows: node, version, shingles, label, ask (row is a query)."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ask", "node", "version"], ascending=[False, True, True]).drop_duplicates(["node", "version"])
-        if len(pdf) < 2:
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        links = _spanning_links(pdf["node"].to_numpy(), [np.asarray(s) for s in pdf["shingles"]], pdf["label"].to_numpy(), pdf["ask"].to_numpy(dtype=bool), num, den)
-        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+    def run(table: pa.Table) -> pa.Table:
+        node, version, label = (table[c].to_numpy() for c in ("node", "version", "label"))
+        ask = table["ask"].to_numpy(zero_copy_only=False)
+        order = np.lexsort((version, node, ~ask))
+        _, first = np.unique(np.stack((node[order], version[order])), axis=1, return_index=True)
+        rows = order[np.sort(first)]
+        if len(rows) < 2:
+            return _LINKS.empty_table()
+        lists = table["shingles"].combine_chunks()
+        values, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+        links = _spanning_links(node[rows], [values[at[i] : at[i + 1]] for i in rows], label[rows], ask[rows], num, den)
+        return pa.table([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], schema=_LINKS)
 
     return run
 
@@ -202,7 +212,7 @@ def _confirm(docs: DataFrame, clusters: DataFrame, scratch: Scratch, num: int, d
     # round one: every block with itself, and with block 0 as the cluster's pivots
     pivots = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     first = placed.select("cluster", "node", "version", "shingles", F.col("node").alias("label"), F.explode(pivots).alias("with"), F.lit(True).alias("ask"))
-    one = scratch.cut(first.groupBy("cluster", "with").applyInPandas(verify, out))
+    one = scratch.cut(first.groupBy("cluster", "with").applyInArrow(verify, out))
     large = scratch.cut(placed.filter("blocks > 1"))
     if large.isEmpty():
         scratch.drop(sets, large)
@@ -219,38 +229,33 @@ def _confirm(docs: DataFrame, clusters: DataFrame, scratch: Scratch, num: int, d
     every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.col("block").alias("q"), b.alias("r"), F.lit(True).alias("ask")))
     as_asks = known.filter("label <> main").select("cluster", "node", "version", "shingles", "label", F.explode(every).alias("p"))
     pairs = as_rows.union(as_asks).select("cluster", "node", "version", "shingles", "label", "p.*")
-    two = scratch.cut(pairs.groupBy("cluster", "q", "r").applyInPandas(verify, out))
+    two = scratch.cut(pairs.groupBy("cluster", "q", "r").applyInArrow(verify, out))
     scratch.drop(sets, large, known)
     return one.union(two)
 
 
-def one_of_each(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
-    """docs with one row for each component of near_components(): that of the least doc_id. All columns stay.
-
-    Rows without words have nothing to be compared by and stay, once for each doc_id; rows without a doc_id go.
-    """
-    kept = near_components(docs, num, den).filter("kept").select(F.col("doc_id").alias("k_")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long") == F.col("k_"), "left_semi").dropDuplicates(["doc_id"])
-
-
 def survivors(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     """docs with one row for each component of near-duplicate rows. All columns stay, a doc_id plays no part in links.
 
     Rows are linked by their texts alone, as near_components() links documents, so rows that share a doc_id are two
     where their texts are. The row of the least doc_id stays, one without an id only where none of its component has
     one; ties are broken by a hash of the text and then by position. Rows without words have nothing to be compared by
-    and all stay, but for repeated ones of the same doc_id and text.
+    and all stay, but for repeated ones of the same doc_id and text. Rows that go are told by number; while they are
+    counted and few, no document moves between tasks.
     """
-    scratch = Scratch(docs.sparkSession, "survivors")
-    rows = scratch.cut(docs.withColumn("near_row_", F.monotonically_increasing_id()))
-    named = near_components(rows.select(F.col("near_row_").alias("doc_id"), "text"), num, den)
+    scratch, row = Scratch(docs.sparkSession, "survivors"), unused("near_row_", docs.columns)
+    rows = scratch.cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    named = near_components(rows.select(F.col(row).alias("doc_id"), "text"), num, den)
     named = scratch.cut(named.select(F.col("doc_id").alias("n_"), "component_id", "n_shingles"))
-    own = rows.select("near_row_", F.col("doc_id").cast("long").alias("d_"), F.xxhash64("text").alias("h_")).join(named, F.col("near_row_") == F.col("n_"))
-    order = F.struct(F.col("d_").isNull().alias("none"), "d_", "h_", "near_row_")
-    worded = own.filter("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("o")).select(F.col("o.near_row_").alias("k_"))
-    texts = rows.select("near_row_", F.col("doc_id").cast("long").alias("d_"), "text")
-    blank = texts.join(named.filter("n_shingles = 0").select("n_"), F.col("near_row_") == F.col("n_"), "left_semi")
-    unnamed = blank.filter("d_ is null").select("near_row_")
-    blank = blank.filter("d_ is not null").groupBy("d_", "text").agg(F.min("near_row_").alias("k_")).select("k_")
-    kept = worded.union(unnamed).union(blank).toDF("near_kept_")
-    return rows.join(kept, F.col("near_row_") == F.col("near_kept_"), "left_semi").drop("near_row_")
+    ids = rows.select(F.col(row).alias("r_"), F.col("doc_id").cast("long").alias("d_"), F.xxhash64("text").alias("h_"))
+    own = ids.join(named, F.col("r_") == F.col("n_"))
+    order = F.struct(F.col("d_").isNull().alias("none"), "d_", "h_", "r_")
+    worded = own.filter("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("o")).select(F.col("o.r_").alias("k_"))
+    texts = rows.select(F.col(row).alias("r_"), F.col("doc_id").cast("long").alias("d_"), F.col("text").alias("t_"))
+    blank = texts.join(named.filter("n_shingles = 0").select("n_"), F.col("r_") == F.col("n_"), "left_semi")
+    unnamed = blank.filter("d_ is null").select("r_")
+    blank = blank.filter("d_ is not null").groupBy("d_", "t_").agg(F.min("r_").alias("k_")).select("k_")
+    kept = worded.union(unnamed).union(blank)
+    gone = scratch.cut(named.select("n_").join(kept, F.col("n_") == F.col("k_"), "left_anti").toDF(unused("near_gone_", rows.columns)))
+    leave = F.broadcast(gone) if gone.count() <= FEW else gone
+    return rows.join(leave, rows[row] == leave[gone.columns[0]], "left_anti").drop(row)

@@ -96,7 +96,7 @@ def test_long_chains_connect(spark):
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
 
 
-def test_awkward_rows(spark):
+def test_awkward_rows(spark, monkeypatch):
     rows = dedup.near_components(awkward(spark)).collect()
     assert len(rows) == 12
     got = {}
@@ -105,8 +105,13 @@ def test_awkward_rows(spark):
     assert got[0] == {(0, 0, True)} and got[1] == {(0, 1, True)} and got[2] == {(0, 2, True)}
     assert got[3] == {(1, 3, True)} and got[4] == {(1, 3, False)} and got[5] == {(2, 5, True)} and got[8] == {(2, 5, False)}
     assert got[None] == {(2, None, False)} and got[9] == {(1, 9, True)}
-    kept = dedup.one_of_each(awkward(spark))
-    assert kept.columns == awkward(spark).columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 5, 6, 7, 9]
+    from pyspark.sql import functions as F
+
+    clashing = awkward(spark).withColumns({c: F.lit(1) for c in ("k_", "n_", "r_", "d_", "h_", "o", "near_row_", "NEAR_GONE_", "a", "b")})
+    for few in (dedup.FEW, 0):
+        monkeypatch.setattr(dedup, "FEW", few)
+        kept = dedup.survivors(clashing)
+        assert kept.columns == clashing.columns and sorted(r["doc_id"] for r in kept.filter("doc_id is not null").collect()) == [0, 1, 2, 3, 5, 6, 7, 9] and kept.count() == 9
 
 
 def test_no_rows(spark):

@@ -33,7 +33,7 @@ def test_columns_and_order(spark, stages):
 def test_decisions_take_effect(spark, stages):
     got = dict(stages)
     kept = {r["doc_id"] for r in got["language"].collect()}
-    near = {r["doc_id"] for r in dedup.near_components(got["language"]).filter("kept").collect()}
+    near = {r["doc_id"] for r in dedup.near_components(got["language"], *c.NEAR).filter("kept").collect()}
     assert {r["doc_id"] for r in got["near_duplicates"].collect()} == near <= kept
     leaky = {r["doc_id"] for r in decontaminate.leaks(got["near_duplicates"], table(spark, DATA, "benchmark")).collect()}
     assert leaky and {r["doc_id"] for r in got["decontamination"].collect()} == near - leaky
