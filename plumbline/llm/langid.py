@@ -129,16 +129,18 @@ def fit(x: np.ndarray, langs: np.ndarray, steps: int = 150, rate: float = 0.5, d
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on text and lang of a bounded sample: rows with both, outside the held-out fold, first by a hash of doc_id."""
+    """Fit on text and lang of a bounded sample: rows with both, outside the held-out fold, first by a hash of doc_id.
+
+    The sample is put in order before it is fitted, so that the layout of the rows makes no difference.
+    """
     usable = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     usable = usable.filter("text is not null and lang is not null and doc_id is not null").filter(fold("doc_id", 5) != 0)
-    picked = per_class(usable, "doc_id", "lang", per_language)
-    # at most per_language rows for each language: a few thousand ids
-    edge = picked.groupBy("lang").agg(F.max(F.xxhash64("doc_id")).alias("edge")).collect()
-    if not edge:
+    # at most per_language rows of each language: a few thousand ids
+    picked = per_class(usable, "doc_id", "lang", per_language).toDF("l_", "of_").toArrow()
+    if not picked.num_rows:
         return Model([], np.ones((0, 0)), np.zeros((1 << BITS, 0)), np.zeros(0), np.zeros(0))
-    within = F.create_map(*[F.lit(v) for r in edge for v in (r["lang"], r["edge"])])
-    sample = usable.filter(F.xxhash64("doc_id") <= within[F.col("lang")])
+    picked = docs.sparkSession.createDataFrame(picked)
+    sample = usable.join(F.broadcast(picked), (F.col("doc_id") == F.col("l_")) & (F.col("lang") == F.col("of_")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +148,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
                 rows = [x.astype(np.float16).tobytes() for x in ngram_counts(s.data, s.offsets)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.lo, s.hi - s.lo), pa.array(rows, pa.binary())], names=["lang", "x"])
 
-    got = sample.select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow()
+    got = sample.select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow().sort_by([("lang", "ascending"), ("x", "ascending")])
     x = np.stack([np.frombuffer(v.as_buffer(), dtype=np.float16) for v in got["x"]]).astype(np.float32)
     return fit(x, np.array(got["lang"].to_pylist()))
 

@@ -12,23 +12,22 @@ def fold(doc_id: str, of: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % of
 
 
-#: Class sizes are broadcast up to this many classes; more are joined as their size asks for.
-MANY = 10_000
+#: A sample is made of parts of a class's hashes, each expected to hold one in PARTS of the rows asked for. Of the first
+#: REACHED parts those are left out that hold so many that a repeated key must be in them.
+PARTS, REACHED, HEAVY = 64, 192, 8
 
 
 def per_class(rows: DataFrame, key: str, cls: str, most: int) -> DataFrame:
-    """(key, cls) of the `most` rows of each class that come first by a hash of the key.
+    """Distinct (key, cls) of at most `most` rows of each class, those that come first by a hash of the key.
 
-    Only rows whose hash is low enough for about twice as many are ranked, so that no task ranks a whole class.
-    Where a class's keys repeat so often that fewer pass, the sample is that much smaller.
+    The hashes are cut into parts, whose rows are counted, repeated ones included; the first parts that together hold
+    no more than asked for are the sample, so nothing ranks a class in one task.
     """
-    h = F.xxhash64(key)
     rows = rows.select(key, cls)
     sizes = rows.groupBy(F.col(cls).alias("c_")).agg(F.count("*").alias("n_"))
-    known = sizes.limit(MANY + 1).collect()
-    if len(known) <= MANY:
-        sizes = F.broadcast(rows.sparkSession.createDataFrame([tuple(r) for r in known], sizes.schema))
-    low = (h.cast("double") * 2.0**-64 + 0.5) * F.col("n_") <= 2 * most + 100
-    near = rows.join(sizes, F.col(cls) == F.col("c_")).filter(low)
-    by = W.partitionBy(cls).orderBy(h, key)
-    return near.withColumn("_r", F.row_number().over(by)).filter(F.col("_r") <= most).select(key, cls)
+    share = F.xxhash64(key).cast("double") * 2.0**-64 + 0.5
+    placed = rows.join(sizes, F.col(cls) == F.col("c_")).select(key, cls, F.floor(share * F.greatest(F.lit(1.0), F.col("n_") / most) * PARTS).alias("p_")).filter(F.col("p_") < REACHED)
+    parts = placed.groupBy(F.col(cls).alias("c_"), F.col("p_").alias("q_")).agg(F.count("*").alias("n_")).filter(F.col("n_") <= max(1, most // HEAVY))
+    held = F.sum("n_").over(W.partitionBy("c_").orderBy("q_"))  # a few parts for each class
+    first = parts.withColumn("held_", held).filter(F.col("held_") <= most).drop("held_", "n_")
+    return placed.join(first, (F.col(cls) == F.col("c_")) & (F.col("p_") == F.col("q_"))).select(key, cls).distinct()

@@ -14,19 +14,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import tune
+from plumbline.llm.common import Scratch, tune
 from plumbline.llm.sampling import fold, per_class
 from plumbline.llm.text import lower, slices, words
 
-#: Terms that may stand for each other, by kind. A parameter of training.
+#: Terms that may stand for each other, by kind and language; single words, in the forms that texts use. A parameter of
+#: training.
 IDENTITY: dict[str, tuple[str, ...]] = {
-    "gender": ("women", "men", "girls", "boys", "female", "male", "nonbinary", "transgender"),
+    "gender": ("women", "men", "girls", "boys"),
+    "gender, one": ("woman", "man", "girl", "boy"),
+    "gender, kind": ("female", "male", "nonbinary", "transgender"),
     "orientation": ("gay", "lesbian", "bisexual", "straight", "heterosexual", "homosexual", "queer"),
+    "orientation, people": ("gays", "lesbians", "bisexuals", "heterosexuals", "homosexuals"),
     "faith": ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist", "catholic", "sikh"),
+    "faith, people": ("christians", "muslims", "jews", "hindus", "buddhists", "atheists", "catholics", "sikhs"),
     "origin": ("african", "asian", "european", "american", "arab", "mexican", "indian", "chinese", "immigrant"),
+    "origin, people": ("africans", "asians", "europeans", "americans", "arabs", "mexicans", "indians", "immigrants"),
     "colour": ("black", "white", "brown"),
     "age": ("young", "old", "elderly", "teenage"),
     "ability": ("disabled", "deaf", "blind", "autistic"),
+    "Geschlecht": ("frauen", "männer", "mädchen", "jungen"),
+    "Geschlecht, eins": ("frau", "mann"),
+    "Neigung": ("schwule", "lesben", "bisexuelle", "homosexuelle", "heterosexuelle"),
+    "Glaube": ("christen", "muslime", "juden", "hindus", "buddhisten", "atheisten", "katholiken"),
+    "Herkunft": ("afrikaner", "asiaten", "europäer", "amerikaner", "araber", "türken", "ausländer", "einwanderer"),
+    "genre": ("femmes", "hommes", "filles", "garçons"),
+    "genre, un": ("femme", "homme", "fille", "garçon"),
+    "orientation, fr": ("gais", "lesbiennes", "bisexuels", "homosexuels", "hétérosexuels"),
+    "foi": ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées", "catholiques"),
+    "origine": ("africains", "asiatiques", "européens", "américains", "arabes", "étrangers", "immigrés"),
+    "género": ("mujeres", "hombres", "chicas", "chicos"),
+    "género, uno": ("mujer", "hombre", "chica", "chico"),
+    "orientación": ("gais", "lesbianas", "bisexuales", "homosexuales", "heterosexuales"),
+    "fe": ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    "origen": ("africanos", "asiáticos", "europeos", "americanos", "árabes", "extranjeros", "inmigrantes"),
 }
 #: Features of a text are its words, and its words' first four, five and six bytes, hashed to BITS bits.
 PREFIXES, BITS = (4, 5, 6), 18
@@ -95,6 +116,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -700, 700)))
 
 
+def telling(one: np.ndarray, none: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Which features a two-sample test keeps, by their shares among n1 texts of label 1 and n0 of label 0."""
+    pool = (one * n1 + none * n0) / (n1 + n0)
+    z = np.abs(one - none) / np.sqrt(pool * (1 - pool) * (1 / n1 + 1 / n0) + 1e-12)
+    return (z >= SIGMAS) & (pool * (n1 + n0) >= 3)
+
+
 def fit(texts: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], prior: float, fairness: float = 10.0, decay: float = 1e-3, steps: int = 400, rate: float = 0.1) -> Model:
     """texts: distinct feature numbers of each text. pairs: those of a text and of its rewriting.
 
@@ -109,9 +137,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarra
         return Model(np.zeros(size, np.float32), float(np.log((prior + 1e-3) / (1 - prior + 1e-3))))
     one = np.bincount(np.concatenate([t for t, v in zip(texts, y) if v]).astype(np.int64), minlength=size) / n1
     none = np.bincount(np.concatenate([t for t, v in zip(texts, y) if not v]).astype(np.int64), minlength=size) / n0
-    pool = (one * n1 + none * n0) / (n1 + n0)
-    z = np.abs(one - none) / np.sqrt(pool * (1 - pool) * (1 / n1 + 1 / n0) + 1e-12)
-    keep = np.flatnonzero((z >= SIGMAS) & (pool * (n1 + n0) >= 3))
+    keep = np.flatnonzero(telling(one, none, n1, n0))
     column = np.full(size, -1)
     column[keep] = np.arange(len(keep))
 
@@ -155,10 +181,11 @@ def train(docs: DataFrame, labels: DataFrame, identity: dict[str, tuple[str, ...
     share = known.agg(F.avg("y")).first()[0]
     if share is None:
         return fit([], np.zeros(0), [], 0.0)
-    # at most per_class_rows of each of two classes are broadcast
-    sample = F.broadcast(per_class(known, "doc_id", "y", per_class_rows).withColumnRenamed("doc_id", "l_"))
     rows = docs.select(F.col("doc_id").cast("long").alias("d_"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(sample, F.col("d_") == F.col("l_")).select("y", "text")
+    labelled = rows.select("d_").join(known, F.col("d_") == F.col("doc_id")).select("d_", "y")
+    # at most per_class_rows rows of each of two classes
+    sample = per_class(labelled, "d_", "y", per_class_rows).toDF("l_", "y").toArrow()
+    rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame(sample, "l_ long, y int")), F.col("d_") == F.col("l_")).select("y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,12 +202,29 @@ def train(docs: DataFrame, labels: DataFrame, identity: dict[str, tuple[str, ...
                     names=["y", "own", "swaps"],
                 )
 
-    got = rows.mapInArrow(run, "y int, own array<int>, swaps array<array<int>>").toArrow()
-    if not got.num_rows:
-        return fit([], np.zeros(0), [], 0.0)
-    own = [v.values.to_numpy() for v in got["own"]]
-    pairs = [(own[i], np.asarray(o)) for i, v in enumerate(got["swaps"].to_pylist()) for o in v]
-    return fit(own, np.array(got["y"].to_pylist()), pairs, share, fairness)
+    kind = "y int, own array<int>, swaps array<array<int>>"
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sets = scratch.cut(rows.mapInArrow(run, kind))
+    by = sets.select("y", F.explode("own").alias("f")).groupBy("f").agg(F.count_if(F.col("y") == 1).alias("n1"), F.count_if(F.col("y") == 0).alias("n0")).toArrow()
+    n1, n0 = sets.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
+    kept = np.zeros(1 << BITS, dtype=bool)
+    if n1 and n0:
+        f, one, none = (by[c].to_numpy() for c in ("f", "n1", "n0"))
+        kept[f[telling(one / n1, none / n0, n1, n0)]] = True
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = lambda x: [f for f in x if kept[f]]
+        for batch in batches:
+            own = [left(x.as_py()) for x in batch.column(1)]
+            others = [[left(o) for o in x.as_py()] for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int32())), pa.array(others, pa.list_(pa.list_(pa.int32())))], names=["y", "own", "swaps"])
+
+    got = sets.mapInArrow(prune, kind).toArrow()
+    # in an order of their own, so that the layout of the rows makes no difference
+    texts = sorted(zip(got["y"].to_pylist(), got["own"].to_pylist(), got["swaps"].to_pylist()))
+    own = [np.array(x, dtype=np.int32) for _, x, _ in texts]
+    pairs = [(own[i], np.array(o, dtype=np.int32)) for i, (_, _, swaps) in enumerate(texts) for o in swaps]
+    return fit(own, np.array([y for y, _, _ in texts]), pairs, share, fairness)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

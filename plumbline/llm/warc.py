@@ -193,8 +193,9 @@ def _page(urn: str | None) -> int | None:
 
 
 def _store(uri: str) -> tuple[pafs.FileSystem, str]:
-    fs, path = pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-    return fs, path
+    """The file system of a qualified URI and the path in it."""
+    scheme, _, path = uri.partition(":")
+    return pafs.FileSystem.from_uri(f"file:///{path.lstrip('/')}" if scheme == "file" else uri)
 
 
 def plan_revisits(pages: DataFrame, scratch: Scratch, least: int = 0) -> DataFrame:

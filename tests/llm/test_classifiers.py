@@ -121,3 +121,78 @@ def test_toxicity_of_awkward_rows(spark):
     none = toxicity.train(docs, labels.limit(0))
     assert len(set(scores(spark, none, ["a", "b c"]))) == 1
     assert len(set(scores(spark, toxicity.train(docs, labels.filter("toxic = 0")), ["a", "vilescum"]))) == 1
+
+
+def test_language_scores_are_those_of_the_weights(spark):
+    """Plain recomputation of each document's decoding from n-grams, weights and codewords."""
+    import math
+    from collections import Counter
+
+    rng = random.Random(6)
+    kinds = {"en": ["the", "cat", "sat", "on", "mat"], "de": ["der", "hund", "läuft", "über", "straße"], "fr": ["le", "chat", "était", "sous", "table"]}
+    train = None
+    for k, (lang, ws) in enumerate(kinds.items()):
+        part = frame(spark, [" ".join(rng.choices(ws, k=9)) for _ in range(40)], 1000 * k, lang)
+        train = part if train is None else train.unionByName(part)
+    model = langid.train(train)
+    texts = ["The cat, the mat!", "Der Hund und le chat", "é", "x1y2 ...", " ".join(rng.choices(sum(kinds.values(), []), k=400)), "straße \U0001f600 table"]
+    got = {r["doc_id"]: r for r in langid.identify(frame(spark, texts), model).collect()}
+    for i, text in enumerate(texts):
+        raw = [b if b >= 128 else b | 32 if chr(b).isalpha() else 0 for b in text.encode()]
+        grams = Counter()
+        for n in langid.ORDERS:
+            for at in range(len(raw) - n + 1):
+                code = int.from_bytes(bytes(raw[at : at + n]), "big")
+                grams[((code + n - 1) * 0x9E3779B1 % 2**32) >> (32 - langid.BITS)] += 1
+        total = sum(grams.values())
+        x = {g: math.sqrt(c / total) for g, c in grams.items()}
+        loss = {}
+        for c, lang in enumerate(model.langs):
+            loss[lang] = sum(model.trust[j] * math.log1p(math.exp(-model.code[c, j] * (model.bias[j] + sum(v * float(model.weights[g, j]) for g, v in x.items())))) for j in range(model.code.shape[1]))
+        best = min(loss, key=lambda k: loss[k])
+        assert got[i]["lang_pred"] == best and abs(got[i]["score"] - 1 / sum(math.exp(loss[best] - v) for v in loss.values())) < 1e-4
+
+
+def test_toxicity_scores_are_those_of_the_weights(spark):
+    """Plain recomputation of each document's score from its distinct words and word beginnings."""
+    import math
+    import re
+
+    from plumbline.llm.text import _byte_values, RADIX
+    from plumbline.llm.common import mix64
+
+    docs, labels = labelled(spark)[:2]
+    model = toxicity.train(docs, labels)
+    value = [int(v) for v in _byte_values()]
+
+    def number(part, extra):
+        h = (sum(value[b] * pow(int(RADIX), i, 2**64) for i, b in enumerate(part)) + len(part)) % 2**64
+        h = (int(mix64(np.array([h], dtype=np.uint64))[0]) + extra) % 2**64
+        return (h * 0x9E3779B97F4A7C15 % 2**64) >> (64 - toxicity.BITS)
+
+    rows = docs.limit(60).collect() + frame(spark, [(10**6, "It's a-b ÉÉ x, yy; zzz"), (10**6 + 1, ""), (10**6 + 2, None)]).collect()
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(rows), model).collect()}
+    for r in rows:
+        features = set()
+        for word in re.findall(rb"[a-z0-9\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (r["text"] or "").encode())):
+            features |= {number(word, 0)} | {number(word[:k], k) for k in toxicity.PREFIXES}
+        assert abs(got[r["doc_id"]] - 1 / (1 + math.exp(-model.bias - sum(float(model.weights[f]) for f in features)))) < 1e-5
+
+
+def test_samples_are_bounded_and_do_not_rank_repeated_keys(spark):
+    from plumbline.llm.sampling import per_class
+
+    rows = spark.range(0, 6000).selectExpr("id", "id % 2 as c").union(spark.range(0, 3000).selectExpr("cast(77 as bigint)", "cast(1 as bigint)"))
+    got = per_class(rows.repartition(5), "id", "c", 200).collect()
+    n = {c: sum(r["c"] == c for r in got) for c in (0, 1)}
+    assert 180 <= n[0] <= 200 and 80 <= n[1] <= 200 and len(set(map(tuple, got))) == len(got) and (77, 1) not in set(map(tuple, got))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, per_class(rows.coalesce(1), "id", "c", 200).collect()))
+    assert per_class(rows, "id", "c", 10**6).count() == 6000 and per_class(rows.limit(0), "id", "c", 5).count() == 0
+
+
+def test_training_does_not_depend_on_the_layout(spark):
+    docs, labels = labelled(spark)[:2]
+    a, b = toxicity.train(docs.repartition(1), labels), toxicity.train(docs.repartition(7), labels.repartition(3))
+    assert (a.weights == b.weights).all() and a.bias == b.bias
+    a, b = langid.train(docs.repartition(1)), langid.train(docs.repartition(6))
+    assert (a.weights == b.weights).all()
