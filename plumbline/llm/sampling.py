@@ -15,6 +15,8 @@ def fold(doc_id: str, of: int) -> Column:
 #: A sample is made of parts of a class's hashes, each expected to hold one in PARTS of the rows asked for. Of the first
 #: REACHED parts those are left out that hold so many that a repeated key must be in them.
 PARTS, REACHED, HEAVY = 64, 192, 8
+#: The counts of at most so many parts are summed on the driver, those of more in Spark.
+FEW = 1 << 17
 
 
 def per_class(rows: DataFrame, key: str, cls: str, most: int) -> DataFrame:
@@ -28,6 +30,15 @@ def per_class(rows: DataFrame, key: str, cls: str, most: int) -> DataFrame:
     share = F.xxhash64(key).cast("double") * 2.0**-64 + 0.5
     placed = rows.join(sizes, F.col(cls) == F.col("c_")).select(key, cls, F.floor(share * F.greatest(F.lit(1.0), F.col("n_") / most) * PARTS).alias("p_")).filter(F.col("p_") < REACHED)
     parts = placed.groupBy(F.col(cls).alias("c_"), F.col("p_").alias("q_")).agg(F.count("*").alias("n_")).filter(F.col("n_") <= max(1, most // HEAVY))
-    held = F.sum("n_").over(W.partitionBy("c_").orderBy("q_"))  # a few parts for each class
-    first = parts.withColumn("held_", held).filter(F.col("held_") <= most).drop("held_", "n_")
+    counts = parts.limit(FEW + 1).collect()
+    if len(counts) > FEW:  # thousands of classes, each with a few parts
+        held = F.sum("n_").over(W.partitionBy("c_").orderBy("q_"))
+        first = parts.withColumn("held_", held).filter(F.col("held_") <= most).select("c_", "q_")
+    else:
+        taken, sums = [], {}
+        for c, q, n in sorted(map(tuple, counts), key=lambda x: x[1]):
+            sums[c] = sums.get(c, 0) + n
+            if sums[c] <= most:
+                taken.append((c, q))
+        first = F.broadcast(rows.sparkSession.createDataFrame(taken, parts.select("c_", "q_").schema))
     return placed.join(first, (F.col(cls) == F.col("c_")) & (F.col("p_") == F.col("q_"))).select(key, cls).distinct()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -88,11 +89,18 @@ def term_features(terms: list[str]) -> np.ndarray:
     return word_features(data, np.concatenate(([0], np.cumsum([len(p) for p in parts]))))[0]
 
 
+@cache
+def _forms(terms: tuple[str, ...]) -> np.ndarray:
+    return term_features(list(terms))
+
+
 def swapped(rows: np.ndarray, identity: dict[str, tuple[str, ...]], turn: int) -> np.ndarray | None:
     """The word rows with each identity term replaced by the `turn`-th next one of its kind; None without a term."""
     out = None
+    if not np.isin(rows[:, 0], np.concatenate([_forms(t)[:, 0] for t in identity.values()] or [rows[:0, 0]])).any():
+        return None
     for terms in identity.values():
-        forms = term_features(list(terms))
+        forms = _forms(terms)
         where, which = np.nonzero(rows[:, :1] == forms[None, :, 0])
         if len(where):
             out = rows.copy() if out is None else out

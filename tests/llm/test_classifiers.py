@@ -179,7 +179,8 @@ def test_toxicity_scores_are_those_of_the_weights(spark):
         assert abs(got[r["doc_id"]] - 1 / (1 + math.exp(-model.bias - sum(float(model.weights[f]) for f in features)))) < 1e-5
 
 
-def test_samples_are_bounded_and_do_not_rank_repeated_keys(spark):
+def test_samples_are_bounded_and_do_not_rank_repeated_keys(spark, monkeypatch):
+    from plumbline.llm import sampling
     from plumbline.llm.sampling import per_class
 
     rows = spark.range(0, 6000).selectExpr("id", "id % 2 as c").union(spark.range(0, 3000).selectExpr("cast(77 as bigint)", "cast(1 as bigint)"))
@@ -187,6 +188,8 @@ def test_samples_are_bounded_and_do_not_rank_repeated_keys(spark):
     n = {c: sum(r["c"] == c for r in got) for c in (0, 1)}
     assert 180 <= n[0] <= 200 and 80 <= n[1] <= 200 and len(set(map(tuple, got))) == len(got) and (77, 1) not in set(map(tuple, got))
     assert sorted(map(tuple, got)) == sorted(map(tuple, per_class(rows.coalesce(1), "id", "c", 200).collect()))
+    monkeypatch.setattr(sampling, "FEW", 0)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, per_class(rows, "id", "c", 200).collect()))
     assert per_class(rows, "id", "c", 10**6).count() == 6000 and per_class(rows.limit(0), "id", "c", 5).count() == 0
 
 
