@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import share
+from plumbline.operators.quantiles import with_quantiles
 
 
 def key_coverage(child: DataFrame, key: str, parent: DataFrame, parent_key: str, relationship: str) -> DataFrame:
@@ -48,9 +49,9 @@ def frequencies(rows: DataFrame, column: str) -> DataFrame:
 
 def describe(rows: DataFrame, by: str, column: str) -> DataFrame:
     """Count, quartiles and extremes of a column for each group; nulls don't count."""
-    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    d = rows.groupBy(by).agg(F.count(column).alias("n"), q.alias("q_"), F.min(column).alias("min"), F.max(column).alias("max"))
-    return d.select(by, "n", *[F.col("q_")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))], "min", "max")
+    found = rows.groupBy(by).agg(F.count(column).alias("n"), F.min(column).alias("min"), F.max(column).alias("max"))
+    out = with_quantiles(found, rows, [by], {"p25": (column, 0.25), "p50": (column, 0.5), "p75": (column, 0.75)})
+    return out.select(by, "n", "p25", "p50", "p75", "min", "max")
 
 
 def top_k(rows: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -151,6 +151,8 @@ def scorecard(engine: Any, found: dict[str, Gathered], path: Path) -> None:
         "# Accessible dispatch service scorecard\n",
         f"Standard: at least {target:.0%} of accessible requests served in under {k['threshold_seconds'] // 60} minutes, from request to arrival.\n",
         "## 1. Can these numbers be trusted?\n",
+        "A month is RECONCILED when every licensee's trips match the totals that were filed independently, and RECONCILED_FALLBACK when only the city-wide total does. "
+        "UNRECONCILED months were published by explicit permission or for want of any control. Figures are FINAL only after a full reconciliation; all others may still change.\n",
         table(("Month", "Trips", "Control", "Scope", "Comparison", "Retrieval", "Metrics"), [(x["month"], whole(status[x["month"]]["trips_rows"]), x["control_source"], x["scope"], x["status"] if x["diff_pct"] is None else f"{x['status']} ({x['diff_pct']:+.3f}%)", status[x["month"]]["retrieval_status"], status[x["month"]]["metric_status"]) for x in recon]),
     ]
     last = copies.latest_of_key(wh.attempts(), ["month"], ["finished_at"])
@@ -160,19 +162,28 @@ def scorecard(engine: Any, found: dict[str, Gathered], path: Path) -> None:
     parts += [
         "## 2. Service rate (M1) and evidence coverage (M2)\n",
         table(("Month", "Dispatcher", "Requests", "Coverage", "Naive rate", "Clean rate", "Bounds", "Status", "Basis"), [(x["month"], f"{x['brand']} ({x['hvfhs_license_num']})", whole(x["wav_requests"]), pct(x["m2_evidence_coverage"]), pct(x["naive_rate_unvalidated"]), pct(x["clean_record_rate"]) + ("" if x["measurable"] else " (not decision-grade)"), f"{pct(x['m1_bound_low'])} to {pct(x['m1_bound_high'])}", f"**{x['kpi_status']}**", x["verdict_basis"]) for x in of("m1_m2_kpi_dispatcher_month")]),
+        f"- Coverage is the share of requests whose record passes all ERROR rules: how much of the month can be judged at all.\n"
+        f"- The naive rate takes every record as it stands, so an impossible negative response counts as a fast one; it is shown to be compared, never to be quoted.\n"
+        f"- The clean rate counts clean records alone. The bounds count all others once as late and once as in time.\n"
+        f"- MEETS and BELOW without more are proven: both bounds are on one side of {target:.0%}. (estimate) rests on the clean rate. NOT MEASURABLE withholds a verdict.\n",
         f"Proven verdicts hold whatever the quarantined records were. Estimates need a coverage of {k['measurability_gate']:.0%}. Otherwise nothing is claimed.\n",
         table(("Year", "Dispatcher", "Months", "Requests", "Coverage", "M1", "Bounds", "Status", "All final"), [(x["year"], x["brand"], x["months_included"], whole(x["wav_requests"]), pct(x["m2_evidence_coverage"]), pct(x["m1_service_rate_10min"]), f"{pct(x['m1_bound_low'])} to {pct(x['m1_bound_high'])}", x["kpi_status"], "yes" if x["all_months_final"] else "no") for x in of("m1_m2_kpi_ytd")]),
         "## 3. Gap to standard service (M3)\n",
+        "Minutes from request to arrival on clean records. The gap is between ninth deciles, since a rider plans for a bad day; a dash on the accessible side means that its coverage is below the gate.\n",
         table(("Month", "Dispatcher", "P50 / P90 accessible", "P50 / P90 standard", "P90 gap", "Standard rate"), [(x["month"], x["brand"], f"{num(x['wav_response_p50_min'])} / {num(x['wav_response_p90_min'])}", f"{num(x['nonwav_response_p50_min'])} / {num(x['nonwav_response_p90_min'])}", num(x["m3_p90_gap_min"], 2), pct(x["nonwav_service_rate_10min"])) for x in of("m3_response_gap")]),
         "## 4. Where the extra wait lies (M4)\n",
+        "Means add up, so the extra wait is the sum of its part before arrival and its part at the kerb. The kerb share can pass 100% or be negative when the two parts have opposite signs.\n",
         table(("Month", "Dispatcher", "Mean wait accessible / standard", "Extra wait", "Before arrival", "At the kerb", "Kerb share", "Median kerb accessible / standard"), [(x["month"], x["brand"], f"{num(x['wav_wait_mean_min'], 2)} / {num(x['nonwav_wait_mean_min'], 2)}", num(x["extra_wait_min"], 2), num(x["extra_response_min"], 2), num(x["extra_curbside_min"], 2), pct(x["m4_curbside_share_of_extra_wait"]), f"{num(x['wav_curbside_p50_min'], 2)} / {num(x['nonwav_curbside_p50_min'], 2)}") for x in of("m4_stage_decomposition")]),
         "## 5. Places and hours below the standard (M5)\n",
+        f"A cell is a borough and a band of hours with at least {k['min_cell_requests']} clean requests. It is significantly below when even the upper end of its 95% interval misses the standard; below by point estimate alone may be chance.\n",
         table(("Month", "Dispatcher", "Cells judged", "Significantly below", "Share of demand there", "Share of late arrivals", "Below by point estimate only", "Requests in small cells"), [(x["month"], x["brand"], whole(x["cells_judged"]), whole(x["cells_significantly_below"]), pct(x["m5_share_of_demand_in_below_target_cells"]), pct(x["share_of_late_arrivals_in_those_cells"]), whole(x["cells_below_point_estimate"] - x["cells_significantly_below"]), whole(x["requests_in_low_volume_cells"])) for x in of("m5_service_gap_summary")]),
         table(("Month", "Dispatcher", "Borough", "Band", "Requests", "Rate (95%)", "Significant", "P90", "Late", "Standard rate"), [(x["month"], x["brand"], x["pu_borough"], x["hour_band"], whole(x["wav_requests_clean"]), f"{pct(x['wav_service_rate_10min'])} ({pct(x['wilson_low'])} to {pct(x['wilson_high'])})", "yes" if x["significantly_below"] else "no", num(x["wav_response_p90_min"]), whole(x["wav_late_arrivals"]), pct(x["nonwav_service_rate_10min"])) for x in sorted((x for x in of("m5_service_gap_cells") if x["below_target"]), key=lambda x: (x["month"], x["hvfhs_license_num"], not x["significantly_below"], -x["wav_late_arrivals"], x["pu_borough"], x["hour_band"]))]),
         "## 6. Impossible response times\n",
+        "A vehicle can't arrive before it is called for. Where nearly all such requests fall on whole minutes and valid ones don't, the request time is likely a booked time; where they don't, another cause has to be found.\n",
         table(("Month", "Dispatcher", "Accessible", "Negative", "Share", "On a whole minute", "On a fifth minute", "Valid on a whole minute", "Signature"), [(x["month"], x["brand"], yes(x["wav_requested"]), whole(x["n_negative"]), pct(x["negative_share"]), pct(x["negative_whole_minute_share"]), pct(x["negative_5min_mark_share"]), pct(x["valid_whole_minute_share"]), x["signature"]) for x in of("dq_negative_response_signature") if x["n_negative"]]),
         table(("Month", "Dispatcher", "Accessible", "Records", "Bases", "Originating base set", "Arrival = pickup: airports / elsewhere", "Raw P01 / P50 / P99", "Clean P50 / P90"), [(x["month"], x["brand"], yes(x["wav_requested"]), whole(x["n_records"]), whole(x["n_dispatching_bases"]), pct(x["originating_base_present_share"]), f"{pct(x['onscene_eq_pickup_share_airports'])} / {pct(x['onscene_eq_pickup_share_elsewhere'])}", f"{num(x['raw_response_p01_min'])} / {num(x['raw_response_p50_min'])} / {num(x['raw_response_p99_min'])}", f"{num(x['clean_response_p50_min'])} / {num(x['clean_response_p90_min'])}") for x in of("dq_segment_profile")]),
         "## 7. Rules that fired\n",
+        "ERROR rules set rows aside, and the bounds of section 2 account for them. WARN rules leave figures as they are.\n",
     ]
     fired = []
     if found:

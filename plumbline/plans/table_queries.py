@@ -51,9 +51,9 @@ def key_coverage(spark: SparkSession, d: str) -> DataFrame:
 @query("dedup_all_columns", "SELECT count(*) AS n_rows, CAST(sum(c - 1) AS BIGINT) AS n_copies FROM (SELECT l_orderkey, l_linenumber, count(*) AS c FROM lineitem GROUP BY ALL)")
 def dedup_all_columns(spark: SparkSession, d: str) -> DataFrame:
     """Rows that repeat an earlier one in both columns, found by hash and then by value."""
-    rows = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber").withColumn("source_row_id", F.monotonically_increasing_id())
-    kept = rows.join(copies.later_copies(rows, "source_row_id"), "source_row_id", "left_anti").agg(F.count("*").alias("n_rows"))
-    return kept.crossJoin(copies.later_copies(rows, "source_row_id").agg(F.count("*").alias("n_copies")))  # one row each
+    rows = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.struct("_metadata.file_path", "_metadata.row_index").alias("source_row_id"))
+    total, later = rows.agg(F.count("*").alias("n")), copies.later_copies(rows, "source_row_id").agg(F.count("*").alias("n_copies"))
+    return total.crossJoin(later).select((F.col("n") - F.col("n_copies")).alias("n_rows"), "n_copies")  # one row each
 
 
 @query("dup_groups", "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")
