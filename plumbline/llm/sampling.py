@@ -15,7 +15,7 @@ def fold(doc_id: str, of: int) -> Column:
 #: A sample is made of parts of a class's hashes, each expected to hold one in PARTS of the rows asked for. Of the first
 #: REACHED parts those are left out that hold so many that a repeated key must be in them.
 PARTS, REACHED, HEAVY = 64, 192, 8
-#: The counts of at most so many parts are summed on the driver, those of more in Spark.
+#: At most so many classes are broadcast, and the counts of at most so many parts summed on the driver.
 FEW = 1 << 17
 
 
@@ -27,6 +27,9 @@ def per_class(rows: DataFrame, key: str, cls: str, most: int) -> DataFrame:
     """
     rows = rows.select(key, cls)
     sizes = rows.groupBy(F.col(cls).alias("c_")).agg(F.count("*").alias("n_"))
+    known = sizes.limit(FEW + 1).collect()
+    if len(known) <= FEW:  # else a join would deal the rows out by class
+        sizes = F.broadcast(rows.sparkSession.createDataFrame([tuple(r) for r in known], sizes.schema))
     share = F.xxhash64(key).cast("double") * 2.0**-64 + 0.5
     placed = rows.join(sizes, F.col(cls) == F.col("c_")).select(key, cls, F.floor(share * F.greatest(F.lit(1.0), F.col("n_") / most) * PARTS).alias("p_")).filter(F.col("p_") < REACHED)
     parts = placed.groupBy(F.col(cls).alias("c_"), F.col("p_").alias("q_")).agg(F.count("*").alias("n_")).filter(F.col("n_") <= max(1, most // HEAVY))
