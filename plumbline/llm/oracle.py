@@ -29,5 +29,34 @@ reach AS (
 lab AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sized JOIN lab USING (doc_id)
+""",
+    "op13_source_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+flat AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS all_n FROM flat GROUP BY ALL HAVING count(DISTINCT d) >= 30),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM flat SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+tot AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS n FROM grp LEFT JOIN cnt USING (lang, source) GROUP BY ALL),
+voc AS (SELECT lang, count(*)::HUGEINT AS v, sum(all_n)::HUGEINT AS n FROM kept GROUP BY lang),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (g.n + 5 * v.v) AS p,
+    1 + 1000000000::HUGEINT * (k.all_n + 5) // (v.n + 5 * v.v) AS q
+  FROM tot g JOIN voc v USING (lang) JOIN kept k USING (lang) LEFT JOIN cnt c USING (lang, source, term)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM dense WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
 """,
 }

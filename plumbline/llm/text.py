@@ -20,6 +20,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SOLID = np.ones(256, dtype=bool)
 _SOLID[list(SPACES)] = False
+#: Bytes of terms: A-Z, a-z and all of letters beyond ASCII.
+LETTERS = np.arange(256) >= 128
+LETTERS[65:91] = LETTERS[97:123] = True
 
 
 @cache
@@ -104,13 +107,13 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Runs of bytes other than ASCII white space; no word crosses from one document to the next."""
+def words(data: np.ndarray, offsets: np.ndarray, solid_bytes: np.ndarray = _SOLID) -> Words:
+    """Runs of solid bytes, by default all but ASCII white space; no word crosses from one document to the next."""
     n = len(data)
     none = np.zeros(0, dtype=np.int64)
     if not n:
         return Words(none, none, none.astype(np.uint64), np.zeros(len(offsets), np.int64))
-    solid = _SOLID[data]
+    solid = solid_bytes[data]
     begins = np.empty(n, dtype=bool)
     begins[0] = True
     begins[1:] = ~solid[:-1]
@@ -130,3 +133,10 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
         value = _byte_values()[data[at]] * _power(np.arange(len(at)) - np.repeat(firsts, length), int(length.max()))
         h = mix64(np.add.reduceat(value, firsts) + length.astype(np.uint64))
     return Words(start, end, h, np.searchsorted(start, offsets, "left"))
+
+
+def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The pieces of the bytes from each start to its end as strings."""
+    at = np.concatenate(([0], np.cumsum(end - start)))
+    take = np.arange(at[-1]) + np.repeat(start - at[:-1], end - start)
+    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data[take]))
