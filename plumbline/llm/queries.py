@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, dedup, divergence, langid, media, packing, pii, pseudolm, runs, secrets, toxicity, warc
+from plumbline.llm import decontaminate, dedup, divergence, langid, media, packing, pii, pseudolm, runs, secrets, toxicity, vectors, warc
 from plumbline.llm.common import table
 
 
@@ -62,6 +62,11 @@ def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudolm.pseudo_likelihood(table(spark, sf_dir, "documents"))
 
 
+def op11_collision_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all vectors at a cosine of 0.95, and how many vectors each is linked with."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_block_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document, and a digest of what is left without their repeats."""
     return runs.report(runs.find(table(spark, sf_dir, "documents"), rewrite=runs.planted))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_karmarkar_karp_packing": op8_karmarkar_karp_packing,
     "op9_trigram_secrets": op9_trigram_secrets,
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
+    "op11_collision_vectors": op11_collision_vectors,
     "op12_block_runs": op12_block_runs,
     "op13_source_divergence": op13_source_divergence,
 }
