@@ -34,7 +34,7 @@ FROM sized JOIN lab USING (doc_id)
 WITH RECURSIVE rows AS (SELECT row_number() OVER () AS i, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 good AS (
   SELECT i, v, len(v) AS d FROM rows
-  WHERE len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0),
+  WHERE len(v) > 0 AND len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN v IF x <> 0]) > 0),
 links AS (SELECT a.i AS a, b.i AS b FROM good a JOIN good b ON a.d = b.d AND a.i <> b.i WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
 reach AS (SELECT i AS a, i AS b FROM rows UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 lab AS (SELECT r.a AS i, min(s.vec_id) AS component_id FROM reach r JOIN rows s ON r.b = s.i GROUP BY r.a),
