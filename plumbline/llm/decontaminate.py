@@ -248,7 +248,11 @@ def _passes(benchmark: DataFrame, edits: float) -> Iterator[Broadcast]:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
-    """docs without the rows in which leaks() finds an item. All columns stay; no row moves between tasks."""
+    """docs without the rows in which leaks() finds an item. No row moves between tasks.
+
+    All columns, whatever their names, stay as they are. Null, empty and blank texts hold no item and stay, and so do rows
+    without a doc_id if they hold none. Repeated rows stay or go together. No rows or no items in: all rows out.
+    """
     tune(docs.sparkSession)
     at, out = docs.columns.index("text"), docs
     for shared in _passes(benchmark, edits):

@@ -178,7 +178,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def recognised(docs: DataFrame, model: Model) -> DataFrame:
-    """docs without the rows whose language identify() leaves unknown or flags as ambiguous. All columns stay."""
+    """docs without the rows whose language identify() leaves unknown or flags as ambiguous.
+
+    All columns, whatever their names, stay as they are. Null, empty and blank texts and texts without a letter go, a null
+    doc_id or lang plays no part, repeated rows stay or go together. No rows in, no rows out.
+    """
     tune(docs.sparkSession)
     at = docs.columns.index("text")
 

@@ -38,7 +38,7 @@ _DIGIT = re.compile(r"[0-9]")
 #: A token that may be an identifier: no white space, with a digit or an at sign.
 _TOKEN = re.compile(r"(?<!\S)(?=[^\s0-9@]*[0-9@])\S++")
 _TRIM = ".,;:!?()[]{}<>\"'|"
-#: Words beside a token are read within so many characters.
+#: A token's context: the words that stand within so many characters of it. What is further away is no context.
 REACH = 80
 
 #: Confidence from which a pattern marks tokens; distinct believed instances that it needs; rounds of scoring; belief in
@@ -99,8 +99,12 @@ _CLASSES = {**dict.fromkeys(map(ord, "0123456789"), "9"), **{c: "a" for c in ran
 
 
 def shape(token: str) -> str:
-    """A token with a sign for each run of digits, capitals or small letters, and of equal other characters."""
-    return _RUNS.sub(r"\1", token[:64].translate(_CLASSES))
+    """A token with a sign for each run of digits, capitals or small letters, and of equal other characters.
+
+    A shape of more than 64 signs is told by its digest.
+    """
+    out = _RUNS.sub(r"\1", token.translate(_CLASSES))
+    return out if len(out) <= 64 else hashlib.blake2b(out.encode("utf-8", "replace"), digest_size=16).hexdigest()
 
 
 def _names(text: str) -> list[str]:
@@ -140,15 +144,18 @@ def occurrences(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str |
 
 
 _WORDY = re.compile(r"[^\W\d_]")
-_ADDRESS = re.compile(r"[0-9A-Fa-f]+(?:[.:][0-9A-Fa-f]*){2,}")
+_ADDRESS = re.compile(r"[0-9A-Fa-f]++(?:[.:][0-9A-Fa-f]*+){2,}+")
 
 
 def may_be(token: str) -> list[str]:
-    """The kinds that a token's characters allow, however it fails the base patterns; none for a token of few digits."""
+    """The kinds that a token's characters allow, however it fails the base patterns and however long it is.
+
+    None but email for a token of few digits. Every test takes time in proportion to the token.
+    """
     digits = sum(c in "0123456789" for c in token)
-    if len(token) > 64 or digits + token.count("@") < DIGITS:
-        return ["email"] if "@" in token and len(token) <= 64 else []
     out = ["email"] if "@" in token else []
+    if digits + token.count("@") < DIGITS:
+        return out
     out += ["ip"] if _ADDRESS.fullmatch(token) else []
     if not _WORDY.search(token):
         out += ["card"] if digits >= 8 else []
@@ -300,10 +307,13 @@ def report(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every span replaced by its kind in brackets, and n_chars, where there is one, counted again.
 
-    All columns and all rows stay. Of overlapping spans the first and longest is replaced, and the rest falls with it.
+    All columns, whatever their names, and all rows stay. Of overlapping spans the first and longest is replaced, and the
+    rest falls with it. A null text stays null, and so does its n_chars; an empty text stays empty. Repeated rows repeat,
+    a null doc_id plays no part. No rows in, no rows out.
     """
     schema, at = docs.schema, docs.columns.index("text")
-    rows = _found(docs, docs.columns, Scratch(docs.sparkSession, "redact"))
+    plain = [f"c{i}" if i != at else "text" for i in range(len(schema))]  # none of the names that are used within
+    rows = _found(docs.toDF(*plain), plain, Scratch(docs.sparkSession, "redact"))
 
     def clean(text: str, spans: list[dict]) -> str:
         parts, end = [], 0
