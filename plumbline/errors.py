@@ -1,46 +1,42 @@
-"""Refusals. A month that can't be published stops with one exception; its fault tells what to do about it."""
+"""Refusals. What can't be published stops with one exception that carries the check it failed.
+
+The check alone tells what a caller does: which stage stopped, and whether the same run may pass later with nothing
+changed here. Audits and evidence name the check.
+"""
 
 from __future__ import annotations
 
-from enum import StrEnum
+#: Stages by the letters of a check's id.
+STAGES = {"SRC": "retrieval", "ZON": "reference", "FIL": "file", "REC": "reconciliation"}
+#: Checks whose subject may change by itself: a server that is down, a file that isn't whole yet.
+PASSING = frozenset({"SRC01", "FIL03"})
 
 
-class Fault(StrEnum):
-    """The name of a refusal in audits and evidence."""
+class Refused(Exception):
+    """Nothing is published, and what was published before stands."""
 
-    TOO_MANY_ERRORS = "TooManyErrors"
-    CONTROL_MISMATCH = "ControlMismatch"
-    INCOMPLETE = "Incomplete"
-    CONTRACT_BROKEN = "ContractBroken"
-    RAW_TAMPERED = "RawTampered"
-    SOURCE_UNAVAILABLE = "SourceUnavailable"
+    def __init__(self, check: str, message: str) -> None:
+        super().__init__(message)
+        self.check = check
 
     @property
-    def later(self) -> bool:
-        """Whether the same run may succeed later with nothing changed here; all others need someone to look."""
-        return self in (Fault.SOURCE_UNAVAILABLE, Fault.INCOMPLETE)
-
-
-class MonthRefused(Exception):
-    """Nothing of the month is published, and what was published before stands."""
-
-    def __init__(self, message: str, fault: Fault) -> None:
-        super().__init__(message)
-        self.fault = fault
+    def stage(self) -> str:
+        return STAGES[self.check[:3]]
 
+    @property
+    def may_pass_later(self) -> bool:
+        return self.check in PASSING
 
-class _Source(MonthRefused):
-    """A refusal that sources raise and callers of sources may handle."""
 
-    FAULT: Fault
+class Unavailable(Refused):
+    """A source that can't be had: not published, out of reach, or not whole."""
 
     def __init__(self, message: str) -> None:
-        super().__init__(message, self.FAULT)
+        super().__init__("SRC01", message)
 
 
-class SourceUnavailable(_Source):
-    FAULT = Fault.SOURCE_UNAVAILABLE
+class Altered(Refused):
+    """A preserved copy that isn't what its manifest says."""
 
-
-class RawTampered(_Source):
-    FAULT = Fault.RAW_TAMPERED
+    def __init__(self, message: str) -> None:
+        super().__init__("SRC02", message)

@@ -47,6 +47,8 @@ class Comparison:
 
 #: (id, what it tests, severity, why, what happens): every check that a run can record.
 CHECKS: tuple[tuple[str, str, str, str, str], ...] = (
+    ("SRC01", "The source can be had", "FATAL", "Nothing can be said of what isn't there.", "The month stops; a later run may pass"),
+    ("SRC02", "Preserved copies are as their manifests say", "FATAL", "Altered inputs can't be reproduced.", "The month stops"),
     ("ZON01", "The zone table has the columns and types of its contract", "FATAL", "Places are told by these columns.", "The run stops"),
     ("ZON02", "Zone numbers are unique", "FATAL", "A repeated key would multiply trips.", "The run stops"),
     ("FIL01", "The trip file has the columns and types of its contract", "FATAL", "A retyped time would spoil every duration.", "The month stops; further columns are noted"),

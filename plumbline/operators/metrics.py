@@ -49,10 +49,16 @@ def _bounds(n: str, clean: str, under: str) -> dict[str, Column]:
     }
 
 
+def _named(rows: DataFrame, licensees: DataFrame) -> DataFrame:
+    """rows with their licensee's brand; where licensees come by month, the brand as of the row's own month."""
+    keys = [c for c in ("month", "hvfhs_license_num") if c in licensees.columns]
+    return rows.join(licensees.select(*keys, "brand"), keys)
+
+
 def kpi(agg: DataFrame, licensees: DataFrame, status: DataFrame, s: Standard) -> DataFrame:
     """M1 and M2: service rate, evidence coverage, bounds and verdict, for each dispatcher and published month."""
     w = agg.filter((F.col("level") == "dispatcher") & F.col("wav_requested"))
-    w = w.join(licensees.select("hvfhs_license_num", "brand"), "hvfhs_license_num").join(status.select("month", "metric_status"), "month")
+    w = _named(w, licensees).join(status.select("month", "metric_status"), "month")
     w = w.withColumns(_bounds("n_records", "n_clean", "n_clean_under"))
     c, r, low, high = (F.col(x) for x in ("coverage_", "rate_", "low_", "high_"))
     return w.select(
@@ -76,10 +82,11 @@ def kpi(agg: DataFrame, licensees: DataFrame, status: DataFrame, s: Standard) ->
 
 
 def year_to_date(agg: DataFrame, licensees: DataFrame, status: DataFrame, s: Standard) -> DataFrame:
-    """The same verdict on counts added over a year's published months."""
+    """The same verdict on counts added over a year's published months, under the brand of the last of them."""
     w = agg.filter((F.col("level") == "dispatcher") & F.col("wav_requested"))
-    w = w.join(licensees.select("hvfhs_license_num", "brand"), "hvfhs_license_num").join(status.select("month", "metric_status"), "month")
-    y = w.groupBy(F.substring("month", 1, 4).alias("year"), "hvfhs_license_num", "brand").agg(
+    w = _named(w, licensees).join(status.select("month", "metric_status"), "month")
+    y = w.groupBy(F.substring("month", 1, 4).alias("year"), "hvfhs_license_num").agg(
+        F.max_by("brand", "month").alias("brand"),
         F.array_join(F.array_sort(F.collect_list("month")), " ").alias("months_included"),
         F.count("*").alias("n_months"),
         F.sum("n_records").alias("wav_requests"),
@@ -192,7 +199,7 @@ def cells_summary(cell: DataFrame) -> DataFrame:
 
 def negative_signature(neg: DataFrame, licensees: DataFrame, status: DataFrame) -> DataFrame:
     """Whether impossible responses look like pre-booked rides: whole-minute requests far above the chance rate."""
-    rows = neg.join(licensees.select("hvfhs_license_num", "brand"), "hvfhs_license_num").join(status.select("month"), "month")
+    rows = _named(neg, licensees).join(status.select("month"), "month")
     bad, good = share("n_negative_whole_minute", "n_negative"), share("n_valid_whole_minute", "n_valid")
     label = first_match(
         (F.col("n_negative") == 0, "none"),
@@ -215,7 +222,7 @@ def segment_profile(raw: DataFrame, agg: DataFrame, licensees: DataFrame, status
     """Raw against clean distributions, and where arrival equals pickup."""
     keys = ["month", "hvfhs_license_num", "wav_requested"]
     clean = agg.filter(F.col("level") == "dispatcher").select(*keys, "response_p50_s", "response_p90_s")
-    rows = raw.join(licensees.select("hvfhs_license_num", "brand"), "hvfhs_license_num").join(status.select("month"), "month").join(clean, keys, "left")
+    rows = _named(raw, licensees).join(status.select("month"), "month").join(clean, keys, "left")
     return rows.select(
         "month", "hvfhs_license_num", "brand", "wav_requested", "n_records", "n_dispatching_bases",
         share("n_originating_base_present", "n_records").alias("originating_base_present_share"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import first_match, flat_km, half_open_band, last_match, minutes_between, normalised, right_closed_band, share
 from plumbline.operators.copies import first_of_key
 from plumbline.operators.tables import distinct_list, pivot_counts
-from plumbline.operators.quantiles import with_quantiles
+from plumbline.operators.quantiles import exact
 
 def is_late() -> Column:
     return F.col("delay_min") > 0
@@ -61,8 +61,7 @@ def compared(stages: DataFrame, by: Sequence[str]) -> DataFrame:
     placed = F.inline(F.array(*[F.struct(F.lit(n).alias("dimension"), F.col(n).cast("string").alias("bucket")) for n in by]))
     rows = stages.select(F.col("late").cast("int").alias("late_"), *measures, placed).filter("bucket is not null")
     keys = ["dimension", "bucket"]
-    grouped = rows.groupBy(*keys).agg(F.count("*").alias("n_orders"), F.avg("late_").alias("late_rate"))
-    return with_quantiles(grouped, rows, keys, {f"median_{c}": (c, 0.5) for c in measures})
+    return exact(rows, keys, {f"median_{c}": (c, 0.5) for c in measures}, [F.count("*").alias("n_orders"), F.avg("late_").alias("late_rate")])
 
 
 def correlations(stages: DataFrame) -> DataFrame:
@@ -201,8 +200,8 @@ def freshness(status: DataFrame, orders: DataFrame) -> DataFrame:
     joined = status.join(orders.select("order_id", "created_at", "pickup_at"), "order_id")
     rows = joined.withColumns({"s_": normalised("status_label"), "vs_pickup": minutes_between("pickup_at", "last_updated_at"), "vs_created": minutes_between("created_at", "last_updated_at")})
     after = F.col("vs_pickup") > 0
-    found = rows.agg(
+    facts = [
         F.count("*").alias("n_rows"), F.avg((F.second("last_updated_at") == 0).cast("int")).alias("whole_minute_share"), F.count_if(F.col("vs_created") < 0).alias("before_order"),
         F.count_if(F.col("s_") == "preparing").alias("still_preparing"), F.count_if((F.col("s_") == "ready") & after).alias("ready_after_pickup"), F.count_if(after).alias("any_after_pickup"),
-    )
-    return with_quantiles(found, rows, [], {"median_vs_pickup_min": ("vs_pickup", 0.5)})
+    ]
+    return exact(rows, [], {"median_vs_pickup_min": ("vs_pickup", 0.5)}, facts)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import share
-from plumbline.operators.quantiles import with_quantiles
+from plumbline.operators.quantiles import exact
 
 
 def key_coverage(child: DataFrame, key: str, parent: DataFrame, parent_key: str, relationship: str) -> DataFrame:
@@ -43,14 +43,15 @@ def distinct_list(rows: DataFrame, key: str, column: str, bar: str = "|") -> Dat
 
 def frequencies(rows: DataFrame, column: str) -> DataFrame:
     """(value, n, pct): nulls are a value."""
-    n = rows.count()
-    return rows.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("(null)")).alias("value")).agg(F.count("*").alias("n")).withColumn("pct", F.round(100.0 * F.col("n") / F.lit(n), 2).cast("double"))
+    counted = rows.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("(null)")).alias("value")).agg(F.count("*").alias("n"))
+    whole = counted.agg(F.sum("n").alias("all_"))  # one row
+    return counted.crossJoin(whole).withColumn("pct", F.round(100.0 * F.col("n") / F.col("all_"), 2).cast("double")).drop("all_")
 
 
 def describe(rows: DataFrame, by: str, column: str) -> DataFrame:
     """Count, quartiles and extremes of a column for each group; nulls don't count."""
-    found = rows.groupBy(by).agg(F.count(column).alias("n"), F.min(column).alias("min"), F.max(column).alias("max"))
-    out = with_quantiles(found, rows, [by], {"p25": (column, 0.25), "p50": (column, 0.5), "p75": (column, 0.75)})
+    facts = [F.count(column).alias("n"), F.min(column).alias("min"), F.max(column).alias("max")]
+    out = exact(rows, [by], {"p25": (column, 0.25), "p50": (column, 0.5), "p75": (column, 0.75)}, facts)
     return out.select(by, "n", "p25", "p50", "p75", "min", "max")
 
 

@@ -88,7 +88,7 @@ def _profile(rows: list[dict[str, Any]], path: Path) -> None:
 def month_evidence(engine: Any, month: Any, r: Any, out: Path) -> None:
     """Rule results, checks, comparisons, quarantine and daily volume of a published month."""
     here, wh, spark = out / "validation" / str(month), engine.warehouse, engine.spark
-    results = wh.table("validation_rule_result", str(month)).join(rules.registry_frame(spark), "rule_id").join(engine.licensees.select("hvfhs_license_num", "brand"), "hvfhs_license_num", "left")
+    results = wh.table("validation_rule_result", str(month)).join(rules.registry_frame(spark), "rule_id").join(wh.reference("dim_licensee").select("month", "hvfhs_license_num", "brand"), ["month", "hvfhs_license_num"], "left")
     pct = F.round(F.try_divide(100.0 * F.col("n_failed"), F.col("n_checked").cast("double")), 4).alias("pct_failed")
     write_frame(results.select("rule_id", "category", "severity", "rule", "hvfhs_license_num", "brand", "wav_requested", "n_checked", "n_failed", pct, "why", "action"), here / "rule_results.csv", ("rule_id", "hvfhs_license_num", "wav_requested"))
     write_frame(wh.table("file_check", str(month)).drop("month"), here / "file_checks.csv", ("check_id",))
@@ -105,7 +105,7 @@ def month_evidence(engine: Any, month: Any, r: Any, out: Path) -> None:
 
 def refusal(r: Any, here: Path) -> None:
     """Why a month that never stood was refused, with the figures behind it."""
-    write_atomic(here / "REFUSED.json", json.dumps({"month": r.month, "status": "REFUSED", "stopped_by": r.error_type, "reason": r.error, "note": "Nothing of this month was published."}, indent=2) + "\n")
+    write_atomic(here / "REFUSED.json", json.dumps({"month": r.month, "status": "REFUSED", "stopped_by": r.error_type, "stage": r.stage, "may_pass_later": r.again, "reason": r.error, "note": "Nothing of this month was published."}, indent=2) + "\n")
     head = ("check_id", "name", "severity", "status", "observed", "expected", "detail")
     write_rows(here / "file_checks.csv", head, [x.row().values() for x in sorted(r.checks, key=lambda x: x.check_id)])
     write_rows(here / "reconciliation.csv", ("control_source", "scope", "file_trips", "control_trips", "diff", "diff_pct", "status"), [(x.control_source, x.scope, x.file_trips, x.control_trips, x.diff, None if x.diff_pct is None else round(x.diff_pct, 5), x.status) for x in r.comparisons])
@@ -188,7 +188,7 @@ def scorecard(engine: Any, found: dict[str, Gathered], path: Path) -> None:
     fired = []
     if found:
         v = wh.table("validation_rule_result").filter("n_failed > 0").filter(F.col("rule_id") != rules.ANY_ERROR)
-        v = v.join(rules.registry_frame(engine.spark).select("rule_id", "severity", "rule"), "rule_id").join(engine.licensees.select("hvfhs_license_num", "brand"), "hvfhs_license_num", "left")
+        v = v.join(rules.registry_frame(engine.spark).select("rule_id", "severity", "rule"), "rule_id").join(engine.warehouse.reference("dim_licensee").select("month", "hvfhs_license_num", "brand"), ["month", "hvfhs_license_num"], "left")
         v = v.withColumn("who", F.coalesce("brand", "hvfhs_license_num")).orderBy("month", "rule_id", "who", "wav_requested")
         fired = [(x["month"], x["rule_id"], x["severity"], x["rule"], x["who"], x["wav_requested"], whole(x["n_failed"]), f"{100 * x['n_failed'] / x['n_checked']:.3f}%") for x in v.collect()]
     parts.append(table(("Month", "Rule", "Severity", "Text", "Dispatcher", "Accessible", "Rows", "Share"), fired))

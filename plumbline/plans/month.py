@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.errors import Fault, MonthRefused, SourceUnavailable
+from plumbline.errors import Refused, Unavailable
 from plumbline.operators import checks as c
 from plumbline.operators import metrics, profile, rules, segments, staging
 from plumbline.plans import exports
@@ -39,6 +39,8 @@ class MonthResult:
     status: str = "FAILED"
     error_type: str | None = None
     error: str | None = None
+    stage: str | None = None
+    again: bool = False
     retrieval_status: str | None = None
     metric_status: str | None = None
     seconds: float = 0.0
@@ -67,6 +69,7 @@ class Engine:
         self.warehouse = Warehouse(spark, settings.uri("warehouse"))
         self.standard = metrics.Standard(settings["kpi.target_rate"], settings["kpi.measurability_gate"], settings["kpi.min_cell_requests"], tuple(settings["kpi.boroughs"]))
         self.zones: DataFrame | None = None
+        self.reference: dict[str, str] = {}
 
     @property
     def licensees(self) -> DataFrame:
@@ -89,8 +92,11 @@ class Engine:
         ok = n == ids and n > 0
         result.record("ZON02", "Zone numbers are unique", "FATAL", "PASS" if ok else "FAIL", f"{n} rows, {ids} numbers", "rows == numbers")
         if not ok:
-            raise MonthRefused("zone numbers repeat: joins would multiply trips", Fault.CONTRACT_BROKEN)
+            raise Refused("ZON02", "zone numbers repeat: joins would multiply trips")
         self.zones = zones.select(F.col("LocationID").cast("int").alias("location_id"), F.col("Borough").alias("borough"), F.col("Zone").alias("zone"), "service_zone")
+        # stored anew with each run; months name the content that they were built with
+        self.reference = {"dim_zone": self.warehouse.snapshot("dim_zone", self.zones), "dim_licensee": self.warehouse.snapshot("dim_licensee", self.licensees)}
+        self.zones = self.spark.read.parquet(self.reference["dim_zone"])
         return got
 
     @staticmethod
@@ -99,7 +105,7 @@ class Engine:
         seen = f"missing={missing} changed={changed}" if bad else f"{n} contracted columns"
         result.record(check_id, f"{label}: contract", "FATAL", "FAIL" if bad else "PASS", seen, f"{n} columns of fixed types", f"{len(extra)} further columns: {', '.join(extra)}" if extra and not bad else "")
         if bad:
-            raise MonthRefused(f"{label}: missing {missing}, changed {changed}", Fault.CONTRACT_BROKEN)
+            raise Refused(check_id, f"{label}: missing {missing}, changed {changed}")
 
     # --- one month ---------------------------------------------------------------------------------------------------
 
@@ -112,8 +118,10 @@ class Engine:
             self._month(month, run_id, folder, r, allow_unreconciled)
             published, r.status = True, "PUBLISHED"
         except Exception as e:
-            r.error_type, r.error = str(e.fault) if isinstance(e, MonthRefused) else type(e).__name__, str(e)
-            if not isinstance(e, MonthRefused):
+            r.error_type, r.error = type(e).__name__, str(e)
+            if isinstance(e, Refused):
+                r.error_type, r.stage, r.again = e.check, e.stage, e.may_pass_later
+            else:
                 log.exception("unexpected error in %s", month)
             self.warehouse.drop(folder)
         r.seconds = round(time.monotonic() - clock, 1)
@@ -158,7 +166,7 @@ class Engine:
             "file_check": src.parameter_rows(self.spark, [(str(month), *x.row().values()) for x in r.checks], CHECK),
             "reconciliation": src.parameter_rows(self.spark, [tuple(asdict(x).values()) for x in r.comparisons], RECON),
             "month_status": src.parameter_rows(self.spark, [(str(month), r.retrieval_status, r.metric_status, trips.manifest["sha256"], footer, run_id, datetime.now(UTC).isoformat(timespec="seconds"))], STATUS),
-        })
+        }, self.reference)
         self.warehouse.drop(f"{folder}/_checked")
 
     def _report(self, month: Month) -> tuple[Path | None, str]:
@@ -169,7 +177,7 @@ class Engine:
             if not self.files.offline and self._report_total(got.path, month) is None:
                 got = self.files.fetch("monthly_reports", url, dest, recheck=True)
             return got.path, got.status
-        except SourceUnavailable:
+        except Unavailable:
             return (dest if dest.exists() else None), "unavailable"
 
     def _report_total(self, path: Path | None, month: Month) -> int | None:
@@ -189,7 +197,7 @@ class Engine:
         gone = [d["day"] for d in days if d["missing"]]
         r.record("FIL03", "Every day has pickups", "FATAL", "FAIL" if gone else "PASS", f"missing days {gone}" if gone else f"{len(days)} days", f"days 1-{month.days}")
         if gone:
-            raise MonthRefused(f"{month}: no pickups on days {gone}", Fault.INCOMPLETE)
+            raise Refused("FIL03", f"{month}: no pickups on days {gone}")
         low = {d["day"]: d["trips"] for d in days if d["low"]}
         r.record("FIL04", f"No day below {floor:.0%} of the median day", "WARN", "WARN" if low else "PASS", f"low days {low}" if low else f"least {min(d['trips'] for d in days):,}", f">= {floor * days[0]['median_trips']:,.0f}")
         rows = c.licensee_days(daily, share).orderBy("hvfhs_license_num", "day").collect()
@@ -204,16 +212,16 @@ class Engine:
         of = lambda rule, k: sum(x[k] for x in rows if x["rule_id"] == rule)
         scanned = of(rules.ANY_ERROR, "n_checked")
 
-        def gate(check_id: str, name: str, ok: bool, seen: str, limit: str, fault: Fault) -> None:
+        def gate(check_id: str, name: str, ok: bool, seen: str, limit: str) -> None:
             r.record(check_id, name, "FATAL", "PASS" if ok else "FAIL", seen, limit)
             if not ok:
-                raise MonthRefused(f"{name}: {seen}, not {limit}", fault)
+                raise Refused(check_id, f"{name}: {seen}, not {limit}")
 
-        gate("FIL02", "Rows of the scan equal those of the footers", scanned == footer, f"{scanned:,}", f"{footer:,}", Fault.INCOMPLETE)
-        for check_id, name, rule, key, fault in (("FIL05", "Pickups outside the month", "TMP01", "max_out_of_month_pct", Fault.INCOMPLETE), ("FIL06", "Rows that fail an ERROR rule", rules.ANY_ERROR, "max_error_row_pct", Fault.TOO_MANY_ERRORS)):
+        gate("FIL02", "Rows of the scan equal those of the footers", scanned == footer, f"{scanned:,}", f"{footer:,}")
+        for check_id, name, rule, key in (("FIL05", "Pickups outside the month", "TMP01", "max_out_of_month_pct"), ("FIL06", "Rows that fail an ERROR rule", rules.ANY_ERROR, "max_error_row_pct")):
             n, limit = of(rule, "n_failed"), self.s[f"validation.{key}"]
             pct = 100 * n / scanned if scanned else 100.0
-            gate(check_id, name, pct <= limit, f"{n:,} rows ({pct:.3f}%)", f"<= {limit}%", fault)
+            gate(check_id, name, pct <= limit, f"{n:,} rows ({pct:.3f}%)", f"<= {limit}%")
 
     def _reconcile(self, month: Month, counts: dict[str, int], base: Fetched, report: Path | None, r: MonthResult, allow: bool) -> None:
         """Compare with both controls. Comparisons stay in r, so that a refusal keeps its evidence."""
@@ -238,7 +246,7 @@ class Engine:
         bad = [x for x in r.comparisons if x.status == "MISMATCH"]
         first = [x.status for x in r.comparisons if x.control_source == PRIMARY]
         if bad and not allow:
-            raise MonthRefused("; ".join(f"{x.scope}: {x.file_trips:,} against {x.control_trips:,} of {x.control_source}" for x in bad), Fault.CONTROL_MISMATCH)
+            raise Refused("REC01" if bad[0].control_source == PRIMARY else "REC02", "; ".join(f"{x.scope}: {x.file_trips:,} against {x.control_trips:,} of {x.control_source}" for x in bad))
         if bad:
             r.retrieval_status = "UNRECONCILED"
         elif first and set(first) == {"MATCH"}:
@@ -254,7 +262,7 @@ class Engine:
         agg, status = self.warehouse.table("agg_segment_month"), self.warehouse.table("month_status")
         if agg is None:
             return {}
-        lic = self.licensees
+        lic = self.warehouse.reference("dim_licensee")
         kpi = metrics.kpi(agg, lic, status, self.standard)
         cells = metrics.cells(agg, kpi, self.standard)
         return {
@@ -296,13 +304,14 @@ def run(spark: SparkSession, months: Sequence[Month], settings: Settings, sessio
     try:
         zones = engine.load_zones(shared)
         summary["reference"] = {"zones": {"status": zones.status, **zones.manifest}, "checks": [x.row() for x in shared.checks]}
-    except MonthRefused as e:
-        summary |= {"status": "FAILED", "error": f"{e.fault}: {e}"}
+    except Refused as e:
+        summary |= {"status": "FAILED", "error": f"{e.check}: {e}", "try_again": ["reference"] if e.may_pass_later else []}
     else:
         for m in months:
             done = engine.run_month(m, run_id, allow_unreconciled)
             summary["months"][str(m)] = {k: v for k, v in asdict(done).items() if k not in ("daily", "profile")}
         failed = [m for m, x in summary["months"].items() if x["status"] != "PUBLISHED"]
+        summary["try_again"] = [m for m in failed if summary["months"][m]["again"]]
         summary["status"] = "OK" if not failed else "PARTIAL" if len(failed) < len(months) else "FAILED"
         found = exports.gather(engine.metrics())
         exports.write_metrics(found, out / "metrics")

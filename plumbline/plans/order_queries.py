@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import minutes_between
 from plumbline.operators import orders as o
 from plumbline.operators import tables as t
-from plumbline.operators.quantiles import with_quantiles
+from plumbline.operators.quantiles import exact
 from plumbline.plans import deliveries as x
 from plumbline.plans.kpi_queries import query
 from plumbline.plans.rounding import rounded
@@ -51,7 +51,7 @@ def delay_correlation(spark: SparkSession, d: str) -> DataFrame:
 def late_quantiles(spark: SparkSession, d: str) -> DataFrame:
     """Median and ninth decile of late orders."""
     late = o.outcomes(x.orders(spark, d)).filter("late_flag = 1")
-    return rounded(with_quantiles(late.agg(F.count("*").alias("n_late")), late, [], {"median_delay": ("delay_min", 0.5), "p90_delay": ("delay_min", 0.9)}))
+    return rounded(exact(late, [], {"median_delay": ("delay_min", 0.5), "p90_delay": ("delay_min", 0.9)}, [F.count("*").alias("n_late")]))
 
 
 @query(
@@ -263,8 +263,8 @@ def eta_revision(spark: SparkSession, d: str) -> DataFrame:
     dispatch = orders.select(F.col("order_id").alias("d_"), F.expr("promised_eta + make_dt_interval(0, 0, CAST(customer_id % 21 - 8 AS INT), 0)").alias("current_eta"), F.expr("created_at + INTERVAL '20' MINUTE").alias("estimated_pickup_at"))
     rows = orders.join(dispatch, F.col("order_id") == F.col("d_")).withColumns({"rev": minutes_between("promised_eta", "current_eta"), "slip": minutes_between("estimated_pickup_at", "pickup_at")})
     rows = rows.withColumn("order_outcome", o.outcome(orders))
-    grouped = rows.groupBy("order_outcome").agg(F.count("*").alias("n"), F.count_if(F.abs("rev") > 5).alias("moved_over_5_min"))
-    return rounded(with_quantiles(grouped, rows, ["order_outcome"], {"eta_revision_min": ("rev", 0.5), "pickup_slip_min": ("slip", 0.5)}))
+    facts = [F.count("*").alias("n"), F.count_if(F.abs("rev") > 5).alias("moved_over_5_min")]
+    return rounded(exact(rows, ["order_outcome"], {"eta_revision_min": ("rev", 0.5), "pickup_slip_min": ("slip", 0.5)}, facts))
 
 
 @query("gate_table", x.sql("""SELECT 'business grain' AS assumption, CASE WHEN count(*) = count(DISTINCT order_id) THEN 'PASS' ELSE 'FAIL' END AS status, count(*) - count(DISTINCT order_id) AS evidence FROM stored

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
-from plumbline.errors import RawTampered, SourceUnavailable
+from plumbline.errors import Altered, Unavailable
 from plumbline.settings import Month
 from plumbline.sources.files import TRANSIENT, Fetched, FileStore, Patience, Transient, compact, digest, now, write_json
 
@@ -25,9 +25,9 @@ def _json(answer: Any, kind: type) -> Any:
     if answer.status_code in TRANSIENT:
         raise Transient(f"status {answer.status_code}")
     if answer.status_code != 200:
-        raise SourceUnavailable(f"status {answer.status_code}: {str(getattr(answer, 'text', ''))[:200]}")
+        raise Unavailable(f"status {answer.status_code}: {str(getattr(answer, 'text', ''))[:200]}")
     if not isinstance(body := answer.json(), kind):
-        raise SourceUnavailable(f"not a {kind.__name__}: {str(body)[:200]}")
+        raise Unavailable(f"not a {kind.__name__}: {str(body)[:200]}")
     return body
 
 
@@ -72,7 +72,7 @@ class CountedPages:
             return self._as("cached", home, complete)
         try:
             return self._take(month, home, complete)
-        except SourceUnavailable as e:
+        except Unavailable as e:
             return self._as("cached_after_failure", home, complete) if complete else self._as("unavailable", home, {"status": "unavailable", "error": str(e)})
 
     def _as(self, status: str, home: Path, manifest: dict[str, Any]) -> Fetched:
@@ -87,7 +87,7 @@ class CountedPages:
             return None
         changed = [p["file"] for p in held["pages"] if digest(home / p["file"]) != p["sha256"]]
         if changed:
-            raise RawTampered(f"{home}: {', '.join(changed)} differ from the manifest")
+            raise Altered(f"{home}: {', '.join(changed)} differ from the manifest")
         return held
 
     def _take(self, month: Month, home: Path, held: dict[str, Any] | None) -> Fetched:
@@ -105,7 +105,7 @@ class CountedPages:
         for offset, rows in self._walk(where, promised):
             ledger.add(f"page_{offset // self.page_size:04d}.json", rows, len(rows), offset=offset)
         if ledger.rows != promised:
-            raise SourceUnavailable(f"{month}: {ledger.rows} rows came of {promised}")
+            raise Unavailable(f"{month}: {ledger.rows} rows came of {promised}")
         facts |= {"status": "complete", "retrieved_rows": ledger.rows, "pages": ledger.pages}
         write_json(side / "manifest.json", facts)
         self._replace(home, side, held, facts)
@@ -185,5 +185,5 @@ def fetch_listed_pages(session: Any, url: str, folder: Path, key: str, page_size
     problems = [claim for claim, holds in claims.items() if not holds]
     write_json(folder / "_manifest.json", {"proof": proof, "problems": problems})
     if problems:
-        raise SourceUnavailable(f"not whole: {problems} {proof}")
+        raise Unavailable(f"not whole: {problems} {proof}")
     return paths, proof

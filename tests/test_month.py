@@ -64,9 +64,9 @@ def _without_day(t: pa.Table) -> pa.Table:
 @pytest.mark.parametrize(
     "change,error,check",
     [
-        (lambda t: t.drop_columns(["wav_match_flag"]), "ContractBroken", "FIL01"),
-        (lambda t: t.set_column(t.schema.get_field_index("PULocationID"), "PULocationID", t["PULocationID"].cast(pa.string())), "ContractBroken", "FIL01"),
-        (_without_day, "Incomplete", "FIL03"),
+        (lambda t: t.drop_columns(["wav_match_flag"]), "FIL01", "FIL01"),
+        (lambda t: t.set_column(t.schema.get_field_index("PULocationID"), "PULocationID", t["PULocationID"].cast(pa.string())), "FIL01", "FIL01"),
+        (_without_day, "FIL03", "FIL03"),
     ],
 )
 def test_broken_files_are_refused(spark, settings, tmp_path, change, error, check):
@@ -78,13 +78,13 @@ def test_broken_files_are_refused(spark, settings, tmp_path, change, error, chec
 
 def test_too_many_errors_and_extra_columns(spark, settings, tmp_path):
     got = go(spark, settings.override({"validation.max_error_row_pct": 1.0}), serve(settings, tmp_path, lambda t: t.append_column("new_fee", pa.array([0.0] * len(t)))))
-    assert got["months"]["2026-02"]["error_type"] == "TooManyErrors" and checks_of(got)["FIL01"] == "PASS"
+    assert got["months"]["2026-02"]["error_type"] == "FIL06" and checks_of(got)["FIL01"] == "PASS"
 
 
 def test_control_mismatch_refuses_unless_allowed(spark, settings, tmp_path):
     server = serve(settings, tmp_path, control={"UBER": 1, "LYFT": m.counts()["HV0005"]})
     got = go(spark, settings, server)
-    assert got["months"]["2026-02"]["error_type"] == "ControlMismatch" and got["months"]["2026-02"]["comparisons"]
+    assert got["months"]["2026-02"]["error_type"] == "REC01" and got["months"]["2026-02"]["comparisons"]
     assert (settings.path("outputs") / "validation/2026-02/reconciliation.csv").read_text().count("MISMATCH") == 1
     got = go(spark, settings, server, allow_unreconciled=True)
     assert got["status"] == "OK" and got["months"]["2026-02"]["retrieval_status"] == "UNRECONCILED" and not (settings.path("outputs") / "validation/2026-02/REFUSED.json").exists()
@@ -98,7 +98,7 @@ def test_fallback_control(spark, settings, tmp_path):
 def test_failed_months_leave_others_and_the_last_good_one(spark, settings, tmp_path):
     server = serve(settings, tmp_path)
     got = go(spark, settings, server, months=(m.MONTH, Month(2026, 3)))
-    assert got["status"] == "PARTIAL" and got["months"]["2026-03"]["error_type"] == "SourceUnavailable"
+    assert got["status"] == "PARTIAL" and got["months"]["2026-03"]["error_type"] == "SRC01" and got["try_again"] == ["2026-03"]
     assert "2026-03" in (settings.path("outputs") / "scorecard.md").read_text()
     good = (settings.path("outputs") / "validation/2026-02/rule_results.csv").read_text()
     server.files[settings["sources.trips.url_template"].format(month=m.MONTH)] = m.parquet(tmp_path / "bad.parquet", _without_day)
@@ -111,7 +111,7 @@ def test_without_zones_nothing_runs(spark, settings, tmp_path):
     server = serve(settings, tmp_path)
     server.files[settings["sources.zones.url"]] = b"LocationID,Borough,Zone,service_zone\n1,a,b,c\n1,a,b,c\n"
     got = go(spark, settings, server)
-    assert got["status"] == "FAILED" and got["months"] == {} and "ContractBroken" in got["error"]
+    assert got["status"] == "FAILED" and got["months"] == {} and got["error"].startswith("ZON02") and got["try_again"] == []
 
 
 def test_command_line():

@@ -6,7 +6,7 @@ import json
 
 import pytest
 
-from plumbline.errors import RawTampered, SourceUnavailable
+from plumbline.errors import Altered, Unavailable
 from plumbline.settings import load
 from plumbline.sources import tables
 from plumbline.sources.files import FileStore, digest, manifest_of
@@ -41,14 +41,14 @@ def test_transient_failures_are_retried(server, tmp_path, bad):
 @pytest.mark.parametrize("status", [403, 404])
 def test_final_answers_are_not_retried(server, tmp_path, status):
     server.fail = [m.Answer(status)] * 3
-    with pytest.raises(SourceUnavailable):
+    with pytest.raises(Unavailable):
         store(server).fetch("x", URL, tmp_path / "f")
     assert len(server.calls) == 1 and not list(tmp_path.iterdir())
 
 
 def test_gives_up_and_leaves_nothing(server, tmp_path):
     server.fail = [m.Answer(503)] * 3
-    with pytest.raises(SourceUnavailable, match="gave up"):
+    with pytest.raises(Unavailable, match="gave up"):
         store(server).fetch("x", URL, tmp_path / "f")
     assert not list(tmp_path.iterdir())
 
@@ -66,12 +66,12 @@ def test_cached_copy_is_verified(server, tmp_path):
     store(server).fetch("x", URL, tmp_path / "f")
     assert store(server).fetch("x", URL, tmp_path / "f").status == "cached" and len(server.calls) == 1
     (tmp_path / "f").write_bytes(b"changed")
-    with pytest.raises(RawTampered):
+    with pytest.raises(Altered):
         store(server, offline=True).fetch("x", URL, tmp_path / "f")
 
 
 def test_offline_without_a_copy(server, tmp_path):
-    with pytest.raises(SourceUnavailable, match="offline"):
+    with pytest.raises(Unavailable, match="offline"):
         store(server, offline=True).fetch("x", URL, tmp_path / "f")
 
 
@@ -129,7 +129,7 @@ def test_changed_pages_are_superseded_and_tampered_ones_refused(server, tmp_path
     pages(server, tmp_path, refresh=True).fetch(m.MONTH)
     assert len(list((tmp_path / "superseded").iterdir())) == 1
     (tmp_path / "2026-02" / "page_0000.json").write_text("[]")
-    with pytest.raises(RawTampered):
+    with pytest.raises(Altered):
         pages(server, tmp_path).fetch(m.MONTH)
 
 
@@ -156,7 +156,7 @@ def test_listed_pages(spark, tmp_path):
 
 @pytest.mark.parametrize("rows,total", [([{"order_id": 1}] * 2, None), ([{"order_id": 1}], 2)])
 def test_listed_pages_that_are_not_whole(tmp_path, rows, total):
-    with pytest.raises(SourceUnavailable, match="not whole"):
+    with pytest.raises(Unavailable, match="not whole"):
         fetch_listed_pages(Listed(rows, total, False), URL, tmp_path, "order_id", 5, sleep=lambda _: None)
 
 
