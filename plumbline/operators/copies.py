@@ -3,47 +3,65 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
-
-#: Up to so many keys are gathered and broadcast; more are joined by a shuffle.
-FEW = 500_000
-#: Data that Spark estimates at fewer bytes is cheaper to shuffle than to count keys for.
-WORTH = 64 << 20
-
+from pyspark.sql import types as T
 
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own estimate of a plan's output; nothing is run."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_few(keys: DataFrame, data: DataFrame, most: int = FEW, worth: int = WORTH) -> DataFrame:
-    """The same keys, marked for broadcast if the data is large and there are no more than `most`; else as they are.
+def _prints(rows: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row with different seeds. Rows that agree in both are taken for equal: 128 bits.
+
+    A hash passes over nulls, so which columns are null goes into it as well. Nested columns would hide theirs.
+    """
+    if nested := [c for c in columns if isinstance(rows.schema[c].dataType, (T.ArrayType, T.StructType, T.MapType, T.VariantType))]:
+        raise ValueError(f"copies are told by columns of plain types, not by {nested}")
+    masks = [reduce(lambda a, b: a + b, [F.when(F.col(f"`{c}`").isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(columns[lo : lo + 60])]) for lo in range(0, len(columns), 60)]
+    named = [F.col(f"`{c}`") for c in columns]
+    return [F.xxhash64(*masks, *named).alias("h_"), F.xxhash64(F.lit(0x5EED), *masks, *named).alias("g_")]
+
+
+def copy_counts(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row (n_rows, n_copies): all rows, and those that equal another one which is counted already; one scan."""
+    each = rows.select(*_prints(rows, columns or rows.columns)).groupBy("h_", "g_").agg(F.count("*").alias("n_"))
+    return each.agg(F.coalesce(F.sum("n_"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("n_") - 1), F.lit(0)).alias("n_copies"))
+
 
-    One column of keys at most `most` long passes through the driver. It spares the other side of a join, which is the
-    whole data, a shuffle that Spark would plan as long as it doesn't know how few keys there are.
+def repeated(rows: DataFrame, row_id: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """(h_, g_, first_): prints of rows that occur more than once, each with its least row_id.
+
+    Tasks combine equal prints before they are dealt out, so a row that is copied a million times makes no large task.
     """
-    if estimated_bytes(data) < worth:
-        return keys
-    got = keys.limit(most + 1).toArrow()
-    return keys if got.num_rows > most else F.broadcast(keys.sparkSession.createDataFrame(got, schema=keys.schema))
+    columns = list(columns or [c for c in rows.columns if c != row_id])
+    return rows.select(F.col(row_id).alias("id_"), *_prints(rows, columns)).groupBy("h_", "g_").agg(F.count("*").alias("n_"), F.min("id_").alias("first_")).filter("n_ > 1").drop("n_")
 
 
-def later_copies(rows: DataFrame, row_id: str, columns: Sequence[str] | None = None, few: int = FEW) -> DataFrame:
-    """(row_id) of every row that equals an earlier one in all columns; nulls are equal.
+def flagged(rows: DataFrame, row_id: str, columns: Sequence[str] | None = None, name: str = "is_copy", keep: str | None = None) -> DataFrame:
+    """rows with a column that tells whether an earlier row by row_id is equal in all columns; nulls are equal.
 
-    A 64-bit hash finds candidates, and only those are grouped by their columns. The least row of a group is found by
-    an aggregation that combines on the map side, so a row that is copied a million times makes no large task.
+    Rows are read twice: once for the prints that repeat, and once to look up each row's own. keep is a folder to which
+    the repeated prints are written first: Spark then knows their size, and doesn't shuffle the rows if they are few.
     """
     columns = list(columns or [c for c in rows.columns if c != row_id])
-    hashed = rows.select(row_id, F.xxhash64(*columns).alias("h_"))
-    twice = broadcast_if_few(hashed.groupBy("h_").agg(F.count("*").alias("n_")).filter("n_ > 1").select("h_"), rows, few)
-    some = rows.select(row_id, *columns, F.xxhash64(*columns).alias("h_")).join(twice, "h_", "left_semi")
-    first = some.groupBy("h_", *columns).agg(F.min(row_id).alias(row_id)).select(row_id)
-    return some.select(row_id).join(first, row_id, "left_anti")
+    twice = repeated(rows, row_id, columns)
+    if keep:
+        twice.write.mode("overwrite").parquet(keep)
+        twice = rows.sparkSession.read.schema(twice.schema).parquet(keep)
+    looked = rows.select("*", *[p.alias(f"{n}r_") for p, n in zip(_prints(rows, columns), ("h_", "g_"), strict=True)])
+    same = (F.col("h_r_") == F.col("h_")) & (F.col("g_r_") == F.col("g_"))
+    copy = F.coalesce(F.col(row_id) > F.col("first_"), F.lit(False)).alias(name)
+    return looked.join(twice, same, "left").select(*rows.columns, copy)
+
+
+def later_copies(rows: DataFrame, row_id: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """(row_id) of every row that equals an earlier one in all columns; nulls are equal."""
+    return flagged(rows, row_id, columns, "copy_").filter("copy_").select(row_id)
 
 
 def first_of_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import first_match, flat_km, half_open_band, last_match, minutes_between, normalised, right_closed_band, share
 from plumbline.operators.copies import first_of_key
 from plumbline.operators.tables import distinct_list, pivot_counts
+from plumbline.operators.neighbours import with_before
 from plumbline.operators.quantiles import exact
 
 def is_late() -> Column:
@@ -179,14 +180,14 @@ def long_times(rows: DataFrame, labels: dict[str, str]) -> DataFrame:
 
 def gaps(rows: DataFrame, group: str, time: str, tie: str) -> DataFrame:
     """Minutes since the row before in the same group; null for a group's first."""
-    before = F.lag(time).over(W.partitionBy(group).orderBy(time, tie))
-    return rows.withColumn("gap_min", minutes_between(before, F.col(time)))
+    found = with_before(rows, group, [time, tie], [time], "before_")
+    return found.withColumn("gap_min", minutes_between(F.col(f"before_.{time}"), F.col(time))).drop("before_")
 
 
 def backward_pairs(rows: DataFrame, group: str, position: str, time: str) -> DataFrame:
     """(group, n_backwards): neighbours in stored order whose time goes back."""
-    before = F.lag(time).over(W.partitionBy(group).orderBy(position))
-    return rows.withColumn("back_", F.col(time) < before).groupBy(group).agg(F.count_if("back_").alias("n_backwards"))
+    found = with_before(rows, group, [position], [time], "before_")
+    return found.groupBy(group).agg(F.count_if(F.col(time) < F.col(f"before_.{time}")).alias("n_backwards"))
 
 
 def closest(pings: DataFrame, places: DataFrame, key: str) -> DataFrame:

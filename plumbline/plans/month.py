@@ -147,7 +147,7 @@ class Engine:
         footer = c.footer_rows(self.spark, path).first()[0]
         self._days(raw, month, r)
         # checked rows feed five tables: they are written once, and each table reads only its columns
-        staging.check(raw, self.zones, self.licensees, month, self.s).write.mode("overwrite").parquet(f"{folder}/_checked")
+        staging.check(raw, self.zones, self.licensees, month, self.s, keep=f"{folder}/_copies").write.mode("overwrite").parquet(f"{folder}/_checked")
         final = self.spark.read.parquet(f"{folder}/_checked")
         counted = rules.counts(final)
         rows = [row.asDict() for row in counted.collect()]
@@ -167,7 +167,8 @@ class Engine:
             "reconciliation": src.parameter_rows(self.spark, [tuple(asdict(x).values()) for x in r.comparisons], RECON),
             "month_status": src.parameter_rows(self.spark, [(str(month), r.retrieval_status, r.metric_status, trips.manifest["sha256"], footer, run_id, datetime.now(UTC).isoformat(timespec="seconds"))], STATUS),
         }, self.reference)
-        self.warehouse.drop(f"{folder}/_checked")
+        for side in ("_checked", "_copies"):
+            self.warehouse.drop(f"{folder}/{side}")
 
     def _report(self, month: Month) -> tuple[Path | None, str]:
         """The report with the fallback totals; asked for again when the copy at hand lacks the month."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import lenient_time, normalised, right_closed_band
 from plumbline.operators import copies
 from plumbline.operators import tables as t
+from plumbline.operators.neighbours import with_before
 from plumbline.plans.adapter import read
 from plumbline.plans.kpi_queries import query
 from plumbline.plans.rounding import rounded
@@ -50,10 +51,8 @@ def key_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 @query("dedup_all_columns", "SELECT count(*) AS n_rows, CAST(sum(c - 1) AS BIGINT) AS n_copies FROM (SELECT l_orderkey, l_linenumber, count(*) AS c FROM lineitem GROUP BY ALL)")
 def dedup_all_columns(spark: SparkSession, d: str) -> DataFrame:
-    """Rows that repeat an earlier one in both columns, found by hash and then by value."""
-    rows = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.struct("_metadata.file_path", "_metadata.row_index").alias("source_row_id"))
-    total, later = rows.agg(F.count("*").alias("n")), copies.later_copies(rows, "source_row_id").agg(F.count("*").alias("n_copies"))
-    return total.crossJoin(later).select((F.col("n") - F.col("n_copies")).alias("n_rows"), "n_copies")  # one row each
+    """How many rows repeat an earlier one in both columns, from one scan."""
+    return copies.copy_counts(read(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
 
 
 @query("dup_groups", "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -129,10 +128,8 @@ def json_props(spark: SparkSession, d: str) -> DataFrame:
 @query("conversation_order", "SELECT conv_id, count(*) AS n_turns, count(*) FILTER (WHERE turn <> p + 1) AS n_jumps FROM (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) GROUP BY 1")
 def conversation_order(spark: SparkSession, d: str) -> DataFrame:
     """Turns that don't follow the one before."""
-    from pyspark.sql import Window as W
-
-    rows = read(spark, d, "conversations").select("conv_id", "turn", F.lag("turn").over(W.partitionBy("conv_id").orderBy("turn")).alias("p"))
-    return rows.groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.count_if(F.col("turn") != F.col("p") + 1).alias("n_jumps"))
+    rows = with_before(read(spark, d, "conversations").select("conv_id", "turn", "role"), "conv_id", ["turn", "role"], ["turn"], "p")
+    return rows.groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.count_if(F.col("turn") != F.col("p.turn") + 1).alias("n_jumps"))
 
 
 @query("control_lookup", "SELECT CAST(21500 * 31 AS BIGINT) AS control_total")

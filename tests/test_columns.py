@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions import columns as c
-from plumbline.operators import checks, copies, tables
+from plumbline.operators import checks, copies, neighbours, tables
 from plumbline.operators import orders as o
 from plumbline.sources.tables import parameter_rows
 
@@ -61,18 +62,51 @@ def test_literal_rows_have_a_known_size(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_few_keys_are_broadcast_and_many_are_not(spark):
-    keys = spark.range(20)
-    assert copies.broadcast_if_few(keys, keys, 5, 0) is keys and copies.broadcast_if_few(keys, keys) is keys
-    few = copies.broadcast_if_few(keys, keys, 20, 0)
-    assert few is not keys and sorted(r[0] for r in few.collect()) == list(range(20))
+def test_copies_are_found_with_and_without_a_folder(spark, tmp_path):
+    rows = spark.range(40).select("id", (F.col("id") % 30).alias("x"), F.when(F.col("id") % 2 == 0, "e").alias("y"))
+    assert sorted(r[0] for r in copies.later_copies(rows, "id").collect()) == list(range(30, 40))
+    kept = copies.flagged(rows, "id", keep=f"file://{tmp_path}/prints")
+    assert kept.columns == ["id", "x", "y", "is_copy"] and {r["id"] for r in kept.collect() if r["is_copy"]} == set(range(30, 40)) and kept.count() == 40
+    assert copies.copy_counts(rows.drop("id")).first() == (40, 10) and copies.copy_counts(rows.limit(0)).first() == (0, 0)
 
 
-def test_copies_are_found_by_either_way(spark, monkeypatch):
-    rows = spark.range(40).select("id", (F.col("id") % 30).alias("x"), F.when(F.col("id") % 2 == 0, "e").alias("y"))
-    lazy = sorted(r[0] for r in copies.later_copies(rows, "id").collect())
-    monkeypatch.setattr(copies.broadcast_if_few, "__defaults__", (copies.FEW, 0))
-    assert lazy == sorted(r[0] for r in copies.later_copies(rows, "id").collect()) == list(range(30, 40))
+def test_where_the_nulls_are_tells_rows_apart(spark):
+    rows = spark.createDataFrame([(0, None, "a"), (1, "a", None), (2, "", "a"), (3, None, "a"), (4, "a", ""), (5, None, None), (6, None, None)], "id int, `x y` string, z string")
+    assert sorted(r[0] for r in copies.later_copies(rows, "id").collect()) == [3, 6]
+    with pytest.raises(ValueError, match="plain types"):
+        copies.later_copies(rows.select("id", F.array("z").alias("a")), "id")
+
+
+def test_copies_take_two_scans(spark, tmp_path):
+    spark.range(9).select("id", (F.col("id") % 4).alias("x")).write.parquet(f"{tmp_path}/t")
+    plan = copies.flagged(spark.read.parquet(f"{tmp_path}/t"), "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
+@pytest.fixture
+def crowded(spark):
+    """Ten thousand events, nine in ten of one user; times with many ties, which positions break."""
+    rows = spark.range(10_000).select(F.col("id").alias("pos"), F.when(F.col("id") % 10 > 0, 7).when(F.col("id") % 20 > 0, F.col("id") % 5).cast("int").alias("user"), (F.xxhash64("id") % 300).alias("t"))
+    return rows.withColumn("t", F.when(F.col("pos") % 50 > 0, F.col("t")))
+
+
+@pytest.mark.parametrize("crowd", [10**9, 200, 3000])
+def test_the_row_before_in_crowded_groups(spark, crowded, crowd):
+    want = crowded.withColumn("b", F.lag(F.struct("t", "pos")).over(W.partitionBy("user").orderBy("t", "pos")))
+    got = neighbours.with_before(crowded, "user", ["t", "pos"], ["t", "pos"], "b", small=0, crowd=crowd)
+    assert got.columns == ["pos", "user", "t", "b"]
+    assert sorted(got.collect(), key=lambda r: r["pos"]) == sorted(want.collect(), key=lambda r: r["pos"])
+
+
+def test_a_crowded_group_keeps_several_tasks_busy(spark, crowded):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = lambda df: sorted((r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count("b")).collect()), reverse=True)
+        whole = neighbours.with_before(crowded, "user", ["t", "pos"], ["t"], "b")
+        parts = neighbours.with_before(crowded, "user", ["t", "pos"], ["t"], "b", small=0, crowd=500)
+        assert rows(whole)[0] >= 9000 and len(rows(parts)) >= 4 and rows(parts)[0] < 5000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_coverage_with_null_keys(spark):
