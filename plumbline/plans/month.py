@@ -12,7 +12,7 @@ from datetime import UTC, datetime
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.errors import Refused, Unavailable
@@ -145,17 +145,19 @@ class Engine:
         r.profile = [row.asDict() for row in profile.columns(plain).collect()]
         self._contract(r, "FIL01", "Trip file", *c.schema_drift(plain.schema, c.TRIPS), len(c.TRIPS))
         footer = c.footer_rows(self.spark, path).first()[0]
-        self._days(raw, month, r)
-        # checked rows feed five tables: they are written once, and each table reads only its columns
-        staging.check(raw, self.zones, self.licensees, month, self.s, keep=f"{folder}/_copies").write.mode("overwrite").parquet(f"{folder}/_checked")
+        # checked rows feed five tables: they are written once, and each table reads only its columns. What the thresholds
+        # need is gathered on the way, so the raw file isn't read for it again
+        seen = Observation("checked")
+        checked = staging.check(raw, self.zones, self.licensees, month, self.s, keep=f"{folder}/_copies")
+        checked.observe(seen, *rules.totals()).write.mode("overwrite").parquet(f"{folder}/_checked")
         final = self.spark.read.parquet(f"{folder}/_checked")
-        counted = rules.counts(final)
-        rows = [row.asDict() for row in counted.collect()]
-        self._thresholds(rows, footer, r)
-        by_licensee: dict[str, int] = {}
-        for x in rows:
-            if x["rule_id"] == rules.ANY_ERROR:
-                by_licensee[x["hvfhs_license_num"]] = by_licensee.get(x["hvfhs_license_num"], 0) + x["n_checked"]
+        held = rules.tallies(final, month)
+        held.write.mode("overwrite").parquet(f"{folder}/_tally")
+        tally = self.spark.read.schema(held.schema).parquet(f"{folder}/_tally")
+        self._days(tally, month, r)
+        self._thresholds(seen.get, footer, r)
+        counted = rules.counts_of(tally)
+        by_licensee = {x[0]: x[1] for x in tally.groupBy(F.coalesce("hvfhs_license_num", F.lit("(null)"))).agg(F.sum("n_checked")).collect()}
         self._reconcile(month, by_licensee, base, report, r, allow)
         self.warehouse.publish(folder, str(month), {
             "fct_wav_trip": segments.fact(final),
@@ -167,7 +169,7 @@ class Engine:
             "reconciliation": src.parameter_rows(self.spark, [tuple(asdict(x).values()) for x in r.comparisons], RECON),
             "month_status": src.parameter_rows(self.spark, [(str(month), r.retrieval_status, r.metric_status, trips.manifest["sha256"], footer, run_id, datetime.now(UTC).isoformat(timespec="seconds"))], STATUS),
         }, self.reference)
-        for side in ("_checked", "_copies"):
+        for side in ("_checked", "_copies", "_tally"):
             self.warehouse.drop(f"{folder}/{side}")
 
     def _report(self, month: Month) -> tuple[Path | None, str]:
@@ -189,9 +191,9 @@ class Engine:
         found = src.lookup_number(rows, {"Month/Year": str(month), "License Class": self.s["sources.monthly_reports.license_class"]}, "Trips Per Day").first()
         return None if found is None else found[0] * month.days
 
-    def _days(self, raw: DataFrame, month: Month, r: MonthResult) -> None:
-        """FIL03, FIL04, FIL07 and FIL08 from one count by licensee and day, which is a few rows for each licensee."""
-        counted = c.daily_volume(raw, month, by_licensee=True).collect()
+    def _days(self, tally: DataFrame, month: Month, r: MonthResult) -> None:
+        """FIL03, FIL04, FIL07 and FIL08 from the counts by licensee and day, which is a few rows for each licensee."""
+        counted = tally.filter("day is not null").groupBy("hvfhs_license_num", "day").agg(F.sum("n_checked").alias("trips")).collect()
         daily = src.parameter_rows(self.spark, [tuple(x) for x in counted], "hvfhs_license_num string, day long, trips long")
         floor, share = self.s["validation.min_day_share_of_median"], self.s["validation.min_licensee_day_share_of_median"]
         days = [d.asDict() for d in c.day_coverage(daily.groupBy("day").agg(F.sum("trips").alias("trips")), month, floor).orderBy("day").collect()]
@@ -209,9 +211,9 @@ class Engine:
         gaps = [(lic, day) for lic in sorted({x for x, _ in seen} & known) for day in range(1, month.days + 1) if (lic, day) not in seen]
         r.record("FIL08", "Every licensee of the file has pickups on every day", "WARN", "WARN" if gaps else "PASS", f"{len(gaps)} empty licensee-days", "0", ", ".join(f"{x[0]} day {x[1]}" for x in gaps[:12]))
 
-    def _thresholds(self, rows: list[dict[str, Any]], footer: int, r: MonthResult) -> None:
-        of = lambda rule, k: sum(x[k] for x in rows if x["rule_id"] == rule)
-        scanned = of(rules.ANY_ERROR, "n_checked")
+    def _thresholds(self, seen: dict[str, int], footer: int, r: MonthResult) -> None:
+        """FIL02, FIL05 and FIL06 from what was gathered while the checked rows were written."""
+        scanned = seen["scanned"]
 
         def gate(check_id: str, name: str, ok: bool, seen: str, limit: str) -> None:
             r.record(check_id, name, "FATAL", "PASS" if ok else "FAIL", seen, limit)
@@ -220,7 +222,7 @@ class Engine:
 
         gate("FIL02", "Rows of the scan equal those of the footers", scanned == footer, f"{scanned:,}", f"{footer:,}")
         for check_id, name, rule, key in (("FIL05", "Pickups outside the month", "TMP01", "max_out_of_month_pct"), ("FIL06", "Rows that fail an ERROR rule", rules.ANY_ERROR, "max_error_row_pct")):
-            n, limit = of(rule, "n_failed"), self.s[f"validation.{key}"]
+            n, limit = seen[rule], self.s[f"validation.{key}"]
             pct = 100 * n / scanned if scanned else 100.0
             gate(check_id, name, pct <= limit, f"{n:,} rows ({pct:.3f}%)", f"<= {limit}%")
 
