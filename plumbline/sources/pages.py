@@ -1,189 +1,244 @@
-"""Paginated APIs, taken whole or not at all.
+"""Paginated APIs as a Spark source: pages are asked for by tasks, and what they add up to decides whether they count.
 
-An API is an iterator of pages; a Ledger preserves each page as it comes and adds up what a proof needs; only a ledger
-that proves whole takes the place of what was held.
+Pages come as rows (page, n_rows, sha256, body, waits, error): a page that can't be had is a row with an error, so a server
+isn't asked again by retried tasks, and every retrieval ends with a table that says what happened. A retrieval is written
+to a folder of its own below the shared root. It is the one that holds only once a note names it, and that is written
+when the table proves whole: no error, as many rows as the server counts, and whatever else the API promises.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
-import shutil
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
 from plumbline.errors import Altered, Unavailable
 from plumbline.settings import Month
-from plumbline.sources.files import TRANSIENT, Fetched, FileStore, Patience, Transient, compact, digest, now, write_json
-
+from plumbline.sources.files import TRANSIENT, Fetched, FileStore, Patience, Transient, now, write_json
 
-def _json(answer: Any, kind: type) -> Any:
-    """An answer's JSON, which must be of a kind."""
-    if answer.status_code in TRANSIENT:
-        raise Transient(f"status {answer.status_code}")
-    if answer.status_code != 200:
-        raise Unavailable(f"status {answer.status_code}: {str(getattr(answer, 'text', ''))[:200]}")
-    if not isinstance(body := answer.json(), kind):
-        raise Unavailable(f"not a {kind.__name__}: {str(body)[:200]}")
-    return body
+PAGE = "page long, n_rows long, sha256 string, body string, waits long, error string"
+#: Tasks that ask a server at the same time.
+TASKS = 4
 
 
 @dataclass
-class Ledger:
-    """Pages written to a folder, with the rows and digest of each."""
+class Asking:
+    """How to ask an API for a page; it is sent to the tasks, so its session must pickle."""
+
+    session: Any
+    url: str
+    params: Callable[[int], dict[str, Any]]
+    rows_of: Callable[[Any], list]
+    patience: Patience
+    options: dict[str, Any] = field(default_factory=dict)
+
+    def ask(self, params: dict[str, Any]) -> tuple[str, Any, int]:
+        """(text, parsed body, tries that failed) of an answer; Unavailable if there is none."""
+        waits = 0
+
+        def once() -> tuple[str, Any]:
+            nonlocal waits
+            answer = self.session.get(self.url, params=params, **self.options)
+            if answer.status_code in TRANSIENT:
+                waits += 1
+                asked = answer.json().get("retry_after_seconds") if answer.status_code == 429 and answer.text else None
+                raise Transient(f"status {answer.status_code}", None if asked is None else float(asked))
+            if answer.status_code != 200:
+                raise Unavailable(f"status {answer.status_code}: {answer.text[:200]}")
+            body = answer.json()
+            if not isinstance(self.rows_of(body), list):
+                raise Unavailable(f"no list of rows: {answer.text[:200]}")
+            return answer.text, body
+
+        text, body = self.patience.until_done(once, self.url)
+        return text, body, waits
+
+    def page(self, n: int) -> tuple:
+        """A row of PAGE."""
+        try:
+            text, body, waits = self.ask(self.params(n))
+        except (Unavailable, LookupError, AttributeError, TypeError) as e:
+            return n, 0, None, None, 0, f"page {n}: {e}"
+        return n, len(self.rows_of(body)), hashlib.sha256(text.encode()).hexdigest(), text, waits, None
+
+
+class _Pages(InputPartition):
+    def __init__(self, pages: range) -> None:
+        super().__init__(None)
+        self.pages = pages
 
-    folder: Path
-    pages: list[dict[str, Any]] = field(default_factory=list)
 
-    def add(self, name: str, body: Any, rows: int, **more: Any) -> Path:
-        text = json.dumps(body, indent=1, sort_keys=True) + "\n"
-        path = self.folder / name
-        path.write_text(text)
-        self.pages.append({"file": name, "rows": rows, "sha256": hashlib.sha256(text.encode()).hexdigest(), **more})
-        return path
+def read_pages(spark: SparkSession, how: Asking, pages: range, tasks: int = TASKS) -> DataFrame:
+    """PAGE rows of some pages, asked for by so many tasks at most, each of neighbouring pages."""
+    step = max(1, -(-len(pages) // tasks))
 
-    @property
-    def rows(self) -> int:
-        return sum(p["rows"] for p in self.pages)
+    class Reader(DataSourceReader):
+        def partitions(self) -> list[InputPartition]:
+            return [_Pages(pages[i : i + step]) for i in range(0, len(pages), step)]
+
+        def read(self, partition: InputPartition) -> Iterator[tuple]:
+            return map(how.page, partition.pages)
+
+    class Source(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "plumbline_pages"
+
+        def schema(self) -> str:
+            return PAGE
+
+        def reader(self, schema: Any) -> DataSourceReader:
+            return Reader()
+
+    spark.dataSource.register(Source)
+    return spark.read.format("plumbline_pages").load() if pages else spark.createDataFrame([], PAGE)
+
+
+def bodies(rows: DataFrame, schema: str) -> DataFrame:
+    """The rows of pages whose bodies are JSON arrays."""
+    return rows.select(F.inline(F.from_json("body", f"array<struct<{schema}>>")))
 
 
 # --- an API that counts ----------------------------------------------------------------------------------------------
 
 
 class CountedPages:
-    """An API that counts the rows of a filter and hands them out by limit and offset in a total order."""
+    """An API that counts the rows of a filter and hands them out by limit and offset in a total order.
+
+    Notes lie in `folder` on the driver's disk, one for each month, pages below `root`, which all machines share.
+    """
 
     SOURCE, ORDER = "base_aggregate", "base_license_number,:id"
 
-    def __init__(self, store: FileStore, endpoint: str, page_size: int, folder: Path) -> None:
-        self.store, self.endpoint, self.page_size, self.folder = store, endpoint, page_size, folder
+    def __init__(self, spark: SparkSession, store: FileStore, endpoint: str, page_size: int, folder: Path, root: str) -> None:
+        self.spark, self.store, self.endpoint, self.page_size, self.folder, self.root = spark, store, endpoint, page_size, folder, root
 
     def fetch(self, month: Month) -> Fetched:
         """The month's rows, if as many came as the server counts. Failing that: preserved pages, else unavailable."""
-        home = self.folder / str(month)
-        held = self._held(home)
-        complete = held if held and held["status"] == "complete" else None
-        if self.store.offline:
-            return self._as("cached", home, held) if held else self._as("unavailable", home, {"status": "unavailable"})
-        if complete and not self.store.refresh:
-            return self._as("cached", home, complete)
+        held = self._held(month)
+        whole = held is not None and held["status"] == "complete"
+        if self.store.offline or (whole and not self.store.refresh):
+            return self._as("cached", held) if held else self._as("unavailable", {"status": "unavailable"})
         try:
-            return self._take(month, home, complete)
+            found = self._retrieve(month)
         except Unavailable as e:
-            return self._as("cached_after_failure", home, complete) if complete else self._as("unavailable", home, {"status": "unavailable", "error": str(e)})
+            return self._as("cached_after_failure", held) if whole else self._as("unavailable", {"status": "unavailable", "error": str(e)})
+        if found["status"] == "complete" and whole:
+            same = held["digest"] == found["digest"]
+            found["superseded"] = held["superseded"] if same else [{k: held[k] for k in ("pages_at", "retrieved_at", "digest")}, *held["superseded"]]
+        self.folder.mkdir(parents=True, exist_ok=True)
+        write_json(self._note(month), found)  # from here on the retrieval holds
+        return self._as("downloaded" if found["status"] == "complete" else found["status"], found)
 
-    def _as(self, status: str, home: Path, manifest: dict[str, Any]) -> Fetched:
-        return Fetched(self.SOURCE, home, status, manifest)
+    def rows(self, got: Fetched, schema: str) -> DataFrame:
+        return bodies(self.spark.read.parquet(got.manifest["pages_at"]), schema)
 
-    @staticmethod
-    def _held(home: Path) -> dict[str, Any] | None:
-        """What an earlier run has left, every page of it as its manifest says."""
+    def _note(self, month: Month) -> Path:
+        return self.folder / f"{month}.json"
+
+    def _as(self, status: str, note: dict[str, Any]) -> Fetched:
+        return Fetched(self.SOURCE, self.folder, status, note)
+
+    def _held(self, month: Month) -> dict[str, Any] | None:
+        """The note of an earlier run, if the pages that it names are as they were."""
         try:
-            held = json.loads((home / "manifest.json").read_text())
+            note = json.loads(self._note(month).read_text())
         except FileNotFoundError:
             return None
-        changed = [p["file"] for p in held["pages"] if digest(home / p["file"]) != p["sha256"]]
-        if changed:
-            raise Altered(f"{home}: {', '.join(changed)} differ from the manifest")
-        return held
-
-    def _take(self, month: Month, home: Path, held: dict[str, Any] | None) -> Fetched:
-        where = f"year={month.year} AND month={month.month}"
-        promised = int(self._ask({"$select": "count(*) AS n", "$where": where})[0]["n"])
-        facts = {"source": self.SOURCE, "endpoint": self.endpoint, "where": where, "order": self.ORDER, "page_size": self.page_size, "retrieved_at": now(), "expected_rows": promised}
-        if promised == 0:  # asked again in the next run
-            facts |= {"status": "not_published", "retrieved_rows": 0, "pages": []}
-            write_json(home / "manifest.json", facts)
-            return self._as("not_published", home, facts)
-        side = home.with_name(f"{home.name}.staging")
-        shutil.rmtree(side, ignore_errors=True)
-        side.mkdir(parents=True)
-        ledger = Ledger(side)
-        for offset, rows in self._walk(where, promised):
-            ledger.add(f"page_{offset // self.page_size:04d}.json", rows, len(rows), offset=offset)
-        if ledger.rows != promised:
-            raise Unavailable(f"{month}: {ledger.rows} rows came of {promised}")
-        facts |= {"status": "complete", "retrieved_rows": ledger.rows, "pages": ledger.pages}
-        write_json(side / "manifest.json", facts)
-        self._replace(home, side, held, facts)
-        return self._as("downloaded", home, facts)
-
-    def _walk(self, where: str, promised: int) -> Iterator[tuple[int, list[dict[str, Any]]]]:
-        """(offset, rows) of pages until the promised rows are asked for or a page is empty."""
-        for offset in range(0, promised, self.page_size):
-            rows = self._ask({"$where": where, "$order": self.ORDER, "$limit": self.page_size, "$offset": offset})
-            if not rows:
-                return
-            yield offset, rows
+        if note["status"] == "complete" and (found := self._proof(self.spark.read.schema(PAGE).parquet(note["pages_at"])))["digest"] != note["digest"]:
+            raise Altered(f"{note['pages_at']} has digest {found['digest'][:12]}, its note {note['digest'][:12]}")
+        return note
 
     @staticmethod
-    def _replace(home: Path, side: Path, held: dict[str, Any] | None, facts: dict[str, Any]) -> None:
-        """Put `side` in the place of `home`; complete pages that say something else are kept among the superseded."""
-        digests = lambda m: [p["sha256"] for p in m["pages"]]
-        if held and digests(held) != digests(facts):
-            shelf = home.parent / "superseded"
-            shelf.mkdir(exist_ok=True)
-            os.replace(home, shelf / f"{home.name}.{compact(held['retrieved_at'])}")
-        elif home.exists():
-            shutil.rmtree(home)
-        os.replace(side, home)
-
-    def _ask(self, params: dict[str, Any]) -> list[dict[str, Any]]:
+    def _proof(pages: DataFrame) -> dict[str, Any]:
+        """What written pages add up to. The digest is of the page bodies' own digests, taken from what is there."""
+        own = F.concat_ws(":", F.lpad(F.col("page").cast("string"), 12, "0"), F.sha2(F.col("body").cast("binary"), 256))
+        r = pages.agg(F.count("*").alias("n_pages"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.sha2(F.array_join(F.sort_array(F.collect_list(own)), ","), 256).alias("digest"), F.max("error").alias("error")).first()
+        return r.asDict()
+
+    def _retrieve(self, month: Month) -> dict[str, Any]:
+        """A note on the pages that the server has now."""
+        where = f"year={month.year} AND month={month.month}"
         http = self.store.http
-        return self.store.patience.until_done(lambda: _json(self.store.session.get(self.endpoint, params=params, headers=self.store.headers, timeout=http["timeout_s"]), list), self.endpoint)
+        how = Asking(
+            self.store.session, self.endpoint, _Offsets(where, self.ORDER, self.page_size), _whole, self.store.patience, {"headers": self.store.headers, "timeout": http["timeout_s"]}
+        )
+        try:
+            promised = int(how.ask({"$select": "count(*) AS n", "$where": where})[1][0]["n"])
+        except (LookupError, TypeError, ValueError) as e:
+            raise Unavailable(f"no count of {where}: {e}") from e
+        facts = {"source": self.SOURCE, "endpoint": self.endpoint, "where": where, "order": self.ORDER, "page_size": self.page_size, "retrieved_at": now(), "expected_rows": promised, "superseded": []}
+        if not promised:  # asked again in the next run
+            return facts | {"status": "not_published", "retrieved_rows": 0}
+        at = f"{self.root}/{self.SOURCE}/{month}-{uuid.uuid4().hex[:12]}"
+        read_pages(self.spark, how, range(-(-promised // self.page_size))).write.parquet(at)
+        proof = self._proof(self.spark.read.schema(PAGE).parquet(at))
+        if proof["error"] or proof["n_rows"] != promised:
+            raise Unavailable(proof["error"] or f"{month}: {proof['n_rows']} rows came of {promised}")
+        return facts | {"status": "complete", "retrieved_rows": proof["n_rows"], "n_pages": proof["n_pages"], "digest": proof["digest"], "pages_at": at}
+
+
+@dataclass(frozen=True)
+class _Offsets:
+    """Parameters of a page of an API that takes limit and offset."""
+
+    where: str
+    order: str
+    size: int
+
+    def __call__(self, n: int) -> dict[str, Any]:
+        return {"$where": self.where, "$order": self.order, "$limit": self.size, "$offset": n * self.size}
+
+
+def _whole(body: Any) -> Any:
+    return body
 
 
 # --- an API that numbers its pages -----------------------------------------------------------------------------------
 
 
-@dataclass
-class Numbered:
-    """Pages 1, 2, ... of an API that says has_more and total_records, and that may ask to wait."""
+@dataclass(frozen=True)
+class _Numbers:
+    """Parameters of a page of an API whose pages are numbered from 1."""
 
-    session: Any
-    url: str
-    page_size: int
-    timeout: float
-    patience: Patience
-    waits: int = 0
+    size: int
 
-    def __iter__(self) -> Iterator[dict[str, Any]]:
-        number, more = 1, True
-        while more:
-            body = self.patience.until_done(lambda: self._page(number), f"page {number}")  # noqa: B023
-            yield body
-            number, more = number + 1, body["has_more"]
+    def __call__(self, n: int) -> dict[str, Any]:
+        return {"page": n + 1, "page_size": self.size}
 
-    def _page(self, number: int) -> dict[str, Any]:
-        answer = self.session.get(self.url, params={"page": number, "page_size": self.page_size}, timeout=self.timeout)
-        try:
-            return _json(answer, dict)
-        except Transient as e:
-            self.waits += 1
-            asked = answer.json().get("retry_after_seconds") if answer.status_code == 429 else None
-            raise Transient(str(e), None if asked is None else float(asked)) from e
+
+def _data(body: Any) -> Any:
+    return body["data"]
 
 
-def fetch_listed_pages(session: Any, url: str, folder: Path, key: str, page_size: int = 50, tries: int = 4, timeout: float = 10, sleep: Callable[[float], None] | None = None) -> tuple[list[Path], dict[str, Any]]:
-    """(page files, proof) of a Numbered API.
+def listed_pages(spark: SparkSession, session: Any, url: str, at: str, key: str, page_size: int = 50, tries: int = 4, timeout: float = 10, sleep: Callable[[float], None] | None = None) -> tuple[DataFrame, dict[str, Any]]:
+    """(PAGE rows below `at`, proof) of an API that says total_records and has_more, and that may ask to wait.
 
-    A status of 429 is waited out for as long as the server asks. Every page is preserved. Unless the rows are as many
-    as the server says, keys are unique and the pages are as many as the total needs, it raises.
+    The first page is asked for by the driver, as it tells how many there are, and all of them by tasks. A status of 429 is
+    waited out for as long as the server asks. Unless the rows are as many as the server says, keys are unique, and only
+    the last page says that no more follow, it raises; the pages stay as evidence.
     """
-    folder.mkdir(parents=True, exist_ok=True)
-    api = Numbered(session, url, page_size, timeout, Patience(tries, 1.0, *([sleep] if sleep else [])))
-    ledger, keys, paths, total = Ledger(folder), [], [], 0
-    for n, body in enumerate(api, 1):
-        paths.append(ledger.add(f"page_{n:03d}.json", body, len(body["data"])))
-        keys += [row[key] for row in body["data"]]
-        total = body["total_records"]
-    proof = {"pages_fetched": len(paths), "expected_pages": -(-total // page_size), "records_retrieved": ledger.rows, "api_total_records": total, "unique_keys": len(set(keys)), "retries": api.waits}
-    claims = {"rows differ from the total": ledger.rows == total, "keys repeat": len(set(keys)) == len(keys), "pages differ from what the total needs": len(paths) == max(1, proof["expected_pages"])}
+    how = Asking(session, url, _Numbers(page_size), _data, Patience(tries, 1.0, *([sleep] if sleep else [])), {"timeout": timeout})
+    first = how.ask(how.params(0))
+    total = int(first[1]["total_records"])
+    pages = max(1, -(-total // page_size))
+    read_pages(spark, how, range(pages)).write.parquet(at)
+    rows = spark.read.schema(PAGE).parquet(at)
+    ends = F.get_json_object("body", "$.has_more") == "false"
+    seen = rows.agg(F.sum("n_rows").alias("n"), F.sum("waits").alias("waits"), F.max("error").alias("error"), F.count_if(ends != (F.col("page") == pages - 1)).alias("odd_ends")).first()
+    keys = rows.select(F.explode(F.from_json(F.get_json_object("body", "$.data"), "array<string>")).alias("row")).select(F.get_json_object("row", f"$.{key}").alias("k"))
+    unique = keys.agg(F.count_distinct("k")).first()[0]
+    proof = {"pages_fetched": pages, "records_retrieved": seen["n"], "api_total_records": total, "unique_keys": unique, "retries": seen["waits"] + first[2]}
+    claims = {seen["error"] or "": seen["error"] is None, "rows differ from the total": seen["n"] == total, "keys repeat": unique == seen["n"], "pages end elsewhere than the total says": seen["odd_ends"] == 0}
     problems = [claim for claim, holds in claims.items() if not holds]
-    write_json(folder / "_manifest.json", {"proof": proof, "problems": problems})
     if problems:
         raise Unavailable(f"not whole: {problems} {proof}")
-    return paths, proof
+    return rows, proof

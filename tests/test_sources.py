@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.errors import Altered, Unavailable
 from plumbline.settings import load
 from plumbline.sources import tables
 from plumbline.sources.files import FileStore, digest, manifest_of
-from plumbline.sources.pages import CountedPages, fetch_listed_pages
+from plumbline.sources.pages import PAGE, Asking, CountedPages, _Offsets, _whole, listed_pages, read_pages
 from tests import made_month as m
 
 URL = "https://example.test/f"
@@ -95,69 +96,148 @@ def test_failed_refresh_keeps_the_copy(server, tmp_path):
     assert store(server, refresh=True).fetch("x", URL, tmp_path / "f").status == "cached_after_failure" and (tmp_path / "f").read_bytes() == b"payload"
 
 
-def pages(server, folder, size=1, **how):
-    return CountedPages(store(server, **how), load()["sources.base_aggregate.endpoint"], size, folder)
+def pages(spark, server, folder, size=1, **how):
+    return CountedPages(spark, store(server, **how), load()["sources.base_aggregate.endpoint"], size, folder / "notes", f"file://{folder}/pages")
 
 
-def test_pages_add_up_to_the_count(server, tmp_path):
-    got = pages(server, tmp_path).fetch(m.MONTH)
-    assert got.status == "downloaded" and got.manifest["retrieved_rows"] == 2 and len(got.manifest["pages"]) == 2
-    assert pages(server, tmp_path, offline=True).fetch(m.MONTH).status == "cached"
+def test_pages_add_up_to_the_count(spark, server, tmp_path):
+    got = pages(spark, server, tmp_path).fetch(m.MONTH)
+    assert got.status == "downloaded" and got.manifest["retrieved_rows"] == 2 and got.manifest["n_pages"] == 2
+    cached = pages(spark, server, tmp_path, offline=True)
+    again = cached.fetch(m.MONTH)
+    assert again.status == "cached" and {r[0] for r in cached.rows(again, "base_license_number string").collect()} == set(server.control)
+    assert pages(spark, server, tmp_path / "other", offline=True).fetch(m.MONTH).status == "unavailable"
 
 
-def test_short_pagination_is_unavailable(server, tmp_path):
-    server.fail = [None, None, m.Answer(body=b"[]")]
-    assert pages(server, tmp_path).fetch(m.MONTH).status == "unavailable"
+class Miscounting(m.Server):
+    """Says that there is a row more than it has."""
 
+    def _api(self, params):
+        return m.Answer(body=json.dumps([{"n": str(len(self.control) + 1)}]).encode()) if "$select" in params else super()._api(params)
 
-def test_unpublished_month_is_asked_again(server, tmp_path):
+
+def test_short_pagination_is_unavailable(spark, tmp_path):
+    got = pages(spark, Miscounting(load(), b""), tmp_path).fetch(m.MONTH)
+    assert got.status == "unavailable" and "2 rows came of 3" in got.manifest["error"] and not (tmp_path / "notes").exists()
+
+
+def test_unpublished_month_is_asked_again(spark, server, tmp_path):
     control, server.control = server.control, {}
-    assert pages(server, tmp_path).fetch(m.MONTH).status == "not_published"
+    assert pages(spark, server, tmp_path).fetch(m.MONTH).status == "not_published"
     server.control = control
-    assert pages(server, tmp_path).fetch(m.MONTH).status == "downloaded"
+    assert pages(spark, server, tmp_path).fetch(m.MONTH).status == "downloaded"
 
 
-def test_api_failure_falls_back_to_preserved_pages(server, tmp_path):
-    pages(server, tmp_path).fetch(m.MONTH)
-    server.fail = [m.Answer(500)] * 3
-    assert pages(server, tmp_path, refresh=True).fetch(m.MONTH).status == "cached_after_failure"
+def test_api_failure_falls_back_to_preserved_pages(spark, server, tmp_path):
+    pages(spark, server, tmp_path).fetch(m.MONTH)
+    for bad in (m.Answer(500), m.Answer(body=b"{}"), m.Answer(body=b"[]"), m.Answer(404)):
+        server.fail = [bad] * 3
+        assert pages(spark, server, tmp_path, refresh=True).fetch(m.MONTH).status == "cached_after_failure"
 
 
-def test_changed_pages_are_superseded_and_tampered_ones_refused(server, tmp_path):
-    pages(server, tmp_path).fetch(m.MONTH)
+def test_changed_pages_are_superseded_and_tampered_ones_refused(spark, server, tmp_path):
+    first = pages(spark, server, tmp_path).fetch(m.MONTH).manifest
+    assert pages(spark, server, tmp_path, refresh=True).fetch(m.MONTH).manifest["superseded"] == []
     server.control["UBER"] += 1
-    pages(server, tmp_path, refresh=True).fetch(m.MONTH)
-    assert len(list((tmp_path / "superseded").iterdir())) == 1
-    (tmp_path / "2026-02" / "page_0000.json").write_text("[]")
+    second = pages(spark, server, tmp_path, refresh=True).fetch(m.MONTH).manifest
+    assert [x["digest"] for x in second["superseded"]] == [first["digest"]] and spark.read.parquet(first["pages_at"]).count() == 2
+    spark.createDataFrame([(0, 1, "", "[]", 0, None)], PAGE).write.mode("append").parquet(second["pages_at"])
     with pytest.raises(Altered):
-        pages(server, tmp_path).fetch(m.MONTH)
+        pages(spark, server, tmp_path).fetch(m.MONTH)
+
+
+# --- over a real connection ------------------------------------------------------------------------------------------
+
+
+class Http:
+    """The part of a session that sources use, over the standard library; it pickles."""
+
+    def get(self, url, params=None, headers=None, timeout=10):
+        from urllib import error, parse, request
+
+        try:
+            with request.urlopen(request.Request(f"{url}?{parse.urlencode(params)}", headers=headers or {}), timeout=timeout) as r:
+                return m.Answer(r.status, r.read())
+        except error.HTTPError as e:
+            return m.Answer(e.code, e.read())
+
+
+@pytest.fixture
+def web():
+    """A server of 97 rows in pages that are counted or numbered; `busy` pages answer 429 once, `short` ones lack a row."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from urllib.parse import parse_qs, urlsplit
+
+    rows = [{"base_license_number": f"B{i:03d}", "total_dispatched_trips": str(i)} for i in range(97)]
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            q = {k: v[0] for k, v in parse_qs(urlsplit(self.path).query).items()}
+            state, status = self.server.state, 200
+            if "$select" in q:
+                body = [{"n": "97"}]
+            elif "page" in q:
+                size, n = int(q["page_size"]), int(q["page"])
+                body = {"data": rows[(n - 1) * size : n * size], "has_more": n * size < len(rows), "total_records": len(rows)}
+                if n in state["busy"]:
+                    state["busy"].remove(n)
+                    status, body = 429, {"retry_after_seconds": 0.01}
+            else:
+                lo = int(q["$offset"])
+                body = rows[lo : lo + int(q["$limit"])]
+                body = body[:-1] if lo in state["short"] else body
+            state["asked"].append(threading.get_ident())
+            text = json.dumps(body).encode()
+            self.send_response(status)
+            self.send_header("Content-Length", str(len(text)))
+            self.end_headers()
+            self.wfile.write(text)
+
+        def log_message(self, *_):
+            pass
+
+    web = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    web.state = {"busy": [], "short": [], "asked": []}
+    threading.Thread(target=web.serve_forever, daemon=True).start()
+    web.url = f"http://127.0.0.1:{web.server_port}/api"
+    yield web
+    web.shutdown()
+
+
+def test_twenty_pages_are_asked_for_by_several_tasks(spark, web, tmp_path):
+    source = CountedPages(spark, FileStore(load()["http"], Http(), sleep=lambda _: None), web.url, 5, tmp_path / "notes", f"file://{tmp_path}/pages")
+    got = source.fetch(m.MONTH)
+    assert got.status == "downloaded" and got.manifest["n_pages"] == 20 and got.manifest["retrieved_rows"] == 97
+    rows = source.rows(got, "base_license_number string, total_dispatched_trips string")
+    assert rows.agg({"total_dispatched_trips": "sum"}).first()[0] == 97 * 48
+    how = Asking(Http(), web.url, _Offsets("x", "y", 5), _whole, source.store.patience)
+    assert read_pages(spark, how, range(20)).rdd.getNumPartitions() == 4
+    web.state["short"] = [35]
+    refused = CountedPages(spark, source.store, web.url, 5, tmp_path / "n2", f"file://{tmp_path}/p2").fetch(m.MONTH)
+    assert refused.status == "unavailable" and "96 rows came of 97" in refused.manifest["error"]
+
+
+def test_listed_pages(spark, web, tmp_path):
+    web.state["busy"] = [3, 7]
+    rows, proof = listed_pages(spark, Http(), web.url, f"file://{tmp_path}/p", "base_license_number", 10, sleep=lambda _: None)
+    assert proof == {"pages_fetched": 10, "records_retrieved": 97, "api_total_records": 97, "unique_keys": 97, "retries": 2}
+    assert rows.select(F.explode(F.from_json(F.get_json_object("body", "$.data"), "array<struct<base_license_number: string>>"))).count() == 97
 
 
 class Listed:
-    def __init__(self, rows, total=None, limit_once=True):
-        self.rows, self.total, self.limited, self.waits = rows, total or len(rows), limit_once, []
+    def __init__(self, rows, total):
+        self.rows, self.total = rows, total
 
     def get(self, url, params, timeout):
-        if self.limited and params["page"] == 2:
-            self.limited = False
-            return m.Answer(429, json.dumps({"retry_after_seconds": 7}).encode())
         lo = (params["page"] - 1) * params["page_size"]
-        part = self.rows[lo : lo + params["page_size"]]
-        return m.Answer(body=json.dumps({"data": part, "has_more": lo + params["page_size"] < len(self.rows), "total_records": self.total}).encode())
-
-
-def test_listed_pages(spark, tmp_path):
-    waits = []
-    paths, proof = fetch_listed_pages(Listed([{"order_id": i, "driver_id": f"D{i}"} for i in range(5)]), URL, tmp_path, "order_id", 2, sleep=waits.append)
-    assert proof["pages_fetched"] == 3 and proof["retries"] == 1 and waits == [7.0]
-    rows = tables.flattened(tables.json_pages(spark, [str(p) for p in paths]), "data", [])
-    assert sorted(r["order_id"] for r in rows.collect()) == list(range(5))
+        return m.Answer(body=json.dumps({"data": self.rows[lo : lo + params["page_size"]], "has_more": lo + params["page_size"] < len(self.rows), "total_records": self.total}).encode())
 
 
-@pytest.mark.parametrize("rows,total", [([{"order_id": 1}] * 2, None), ([{"order_id": 1}], 2)])
-def test_listed_pages_that_are_not_whole(tmp_path, rows, total):
-    with pytest.raises(Unavailable, match="not whole"):
-        fetch_listed_pages(Listed(rows, total, False), URL, tmp_path, "order_id", 5, sleep=lambda _: None)
+@pytest.mark.parametrize("rows,total,problem", [([{"order_id": 1}] * 2, 2, "keys repeat"), ([{"order_id": 1}], 2, "rows differ"), ([{"order_id": i} for i in range(9)], 5, "rows differ|end elsewhere")])
+def test_listed_pages_that_are_not_whole(spark, tmp_path, rows, total, problem):
+    with pytest.raises(Unavailable, match=problem):
+        listed_pages(spark, Listed(rows, total), URL, f"file://{tmp_path}/p", "order_id", 5, sleep=lambda _: None)
 
 
 def test_csv_as_text_and_number_lookup(spark, tmp_path):
