@@ -102,3 +102,9 @@ def wilson(rate: Column, n: Column, z: float = 1.959964) -> tuple[Column, Column
 def total(flags: Sequence[Column]) -> Column:
     """How many of the flags are set."""
     return reduce(add, [F.coalesce(f.cast("int"), F.lit(0)) for f in flags])
+
+
+def holds(text: Column | str, word: str) -> Column:
+    """Whether a text holds a word in any case; false for a null text. Any text holds the empty word."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(F.contains(F.lower(c), F.lower(F.lit(word))), F.lit(False))

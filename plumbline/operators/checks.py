@@ -82,6 +82,12 @@ def schema_drift(actual: T.StructType, contract: T.StructType) -> tuple[list[str
     return missing, changed, sorted(set(have) - set(contract.names))
 
 
+def unique_numbers(rows: DataFrame, number: str, source: str) -> DataFrame:
+    """(source, n_rows, n_numbers, ok): whether a number is a key."""
+    n, ids = F.count("*"), F.count_distinct(number)
+    return rows.agg(F.lit(source).alias("source"), n.alias("n_rows"), ids.alias("n_numbers"), ((n == ids) & (n > 0)).alias("ok"))
+
+
 def in_month(rows: DataFrame, column: str, month: Month) -> DataFrame:
     """Rows whose time lies in the half-open month, as literals that a scan can push down."""
     t = F.col(column)

@@ -109,30 +109,23 @@ def kpi(spark: SparkSession, agg: DataFrame) -> DataFrame:
 
 _ALL = "hvfhs_license_num, dispatching_base_num, originating_base_num, request_datetime, on_scene_datetime, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, wav_request_flag, wav_match_flag, trip_miles"
 
-#: The verdicts, in the order in which they are tried, and what each rests on.
-VERDICTS = ("MEETS", "BELOW", "MEETS (estimate)", "BELOW (estimate)", "NOT MEASURABLE")
-BASES = (
-    "proven: holds even if every quarantined record failed",
-    "proven: holds even if every quarantined record passed",
-    *["estimate: bounds straddle target; quarantined records treated as out of scope"] * 2,
-    "withheld: bounds straddle target and coverage below gate",
-)
-
-
 def share(part: str, whole: str) -> str:
     """SQL: a quotient in doubles, null where there is nothing to divide by."""
     return f"CAST({part} AS DOUBLE) / nullif({whole}, 0)"
 
 
-def by_verdict(values: tuple[str, ...]) -> str:
-    """SQL: the value of the first verdict whose test holds for n records, c clean ones and u of these in time.
-
-    Every quarantined record is at worst late and at best in time: those are the bounds. Between them, the clean
-    records speak if they are nine in ten.
-    """
-    seen = f"{share('c', 'n')} >= 0.9"
-    tests = (f"{share('u', 'n')} >= 0.9", f"{share('u + n - c', 'n')} < 0.9", f"{seen} AND {share('u', 'c')} >= 0.9", seen, "true")
-    return f"[{', '.join(repr(v) for v in values)}][list_position([{', '.join(tests)}], true)]"
+#: For n records, c clean ones and u of these in time, the verdicts in the order in which they are tried: a
+#: test, the verdict, and what it rests on. Every quarantined record is at worst late and at best in time: those are the
+#: bounds. Between them, the clean records speak if they are nine in ten.
+VERDICTS = (
+    (f"{share('u', 'n')} >= 0.9", "MEETS", "proven: holds even if every quarantined record failed"),
+    (f"{share('u + n - c', 'n')} < 0.9", "BELOW", "proven: holds even if every quarantined record passed"),
+    (f"{share('c', 'n')} >= 0.9 AND {share('u', 'c')} >= 0.9", "MEETS (estimate)", "estimate: bounds straddle target; quarantined records treated as out of scope"),
+    (f"{share('c', 'n')} >= 0.9", "BELOW (estimate)", "estimate: bounds straddle target; quarantined records treated as out of scope"),
+    ("true", "NOT MEASURABLE", "withheld: bounds straddle target and coverage below gate"),
+)
+VERDICT = f"CASE {' '.join(f'WHEN {test} THEN {name!r}' for test, name, _ in VERDICTS)} END"
+BASIS = f"CASE {' '.join(f'WHEN {test} THEN {basis!r}' for test, _, basis in VERDICTS)} END"
 
 
 _CTES = {
@@ -196,7 +189,7 @@ agg AS (SELECT month, CASE WHEN grouping(b) = 0 THEN 'cell' ELSE 'dispatcher' EN
 tally AS (SELECT month, hvfhs_license_num, n_records AS n, n_clean AS c, n_clean_under AS u, n_naive_under AS v FROM agg WHERE level = 'dispatcher' AND wav_requested),
 kpi AS (SELECT t.month, t.hvfhs_license_num, l.brand, n AS wav_requests, c AS wav_requests_clean, n - c AS wav_requests_quarantined, {share("c", "n")} AS m2_evidence_coverage,
   {share("c", "n")} >= 0.9 AS measurable, {share("v", "n")} AS naive_rate_unvalidated, {share("u", "c")} AS clean_record_rate, if({share("c", "n")} >= 0.9, {share("u", "c")}, NULL) AS m1_service_rate_10min,
-  {share("u", "n")} AS m1_bound_low, {share("u + n - c", "n")} AS m1_bound_high, {by_verdict(VERDICTS)} AS kpi_status, {by_verdict(BASES)} AS verdict_basis, s.metric_status
+  {share("u", "n")} AS m1_bound_low, {share("u + n - c", "n")} AS m1_bound_high, {VERDICT} AS kpi_status, {BASIS} AS verdict_basis, s.metric_status
   FROM tally t, licensees l, month_status s WHERE l.hvfhs_license_num = t.hvfhs_license_num AND s.month = t.month)""",
 }
 

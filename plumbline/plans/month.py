@@ -88,8 +88,7 @@ class Engine:
         changed = [n for n, t in inferred.dtypes if n == "LocationID" and t not in ("int", "bigint")]
         self._contract(result, "ZON01", "Zone table", missing, changed, extra, len(c.ZONES))
         zones = src.csv(self.spark, path, c.ZONES)
-        n, ids = zones.agg(F.count("*"), F.count_distinct("LocationID")).first()
-        ok = n == ids and n > 0
+        _, n, ids, ok = c.unique_numbers(zones, "LocationID", "zones").first()
         result.record("ZON02", "Zone numbers are unique", "FATAL", "PASS" if ok else "FAIL", f"{n} rows, {ids} numbers", "rows == numbers")
         if not ok:
             raise Refused("ZON02", "zone numbers repeat: joins would multiply trips")

@@ -234,12 +234,14 @@ def closest_ping(spark: SparkSession, d: str) -> DataFrame:
     return rounded(o.closest(pings, places, "order_id"))
 
 
-_STATUS_ROWS = "SELECT order_id, CASE customer_id % 3 WHEN 0 THEN 'Preparing ' WHEN 1 THEN 'ready' ELSE 'READY' END AS status_label, {at} AS last_updated_at FROM {ord} WHERE order_id % 3 = 1"
+#: Every third order has a status; of the others the status source has nothing to say.
+_LABEL = "CASE WHEN order_id % 3 = 1 THEN CASE customer_id % 3 WHEN 0 THEN 'Preparing ' WHEN 1 THEN 'ready' ELSE 'READY' END END"
+_STATUS_ROWS = "SELECT order_id, " + _LABEL + " AS status_label, {at} AS last_updated_at FROM {ord}"
 
 
 @query(
     "status_freshness",
-    x.sql(", st AS (" + _STATUS_ROWS.format(at="CASE WHEN order_id % 2 = 0 THEN date_trunc('minute', pickup_at) ELSE pickup_at + to_minutes(customer_id % 40 - 30) END", ord="ord") + """),
+    x.sql(", st AS (" + _STATUS_ROWS.format(at="CASE WHEN order_id % 3 <> 1 THEN NULL WHEN order_id % 2 = 0 THEN date_trunc('minute', pickup_at) ELSE pickup_at + to_minutes(customer_id % 40 - 30) END", ord="ord") + """),
     j AS (SELECT lower(trim(status_label)) AS s, date_diff('microsecond', pickup_at, last_updated_at) / 6e7 AS vp, date_diff('microsecond', created_at, last_updated_at) / 6e7 AS vc, second(last_updated_at) = 0 AS w FROM st JOIN ord USING (order_id))
     SELECT count(*) AS n_rows, round(avg(CAST(w AS INTEGER)), 6) AS whole_minute_share, count(*) FILTER (WHERE vc < 0) AS before_order, count(*) FILTER (WHERE s = 'preparing') AS still_preparing,
     count(*) FILTER (WHERE s = 'ready' AND vp > 0) AS ready_after_pickup, count(*) FILTER (WHERE vp > 0) AS any_after_pickup, round(median(vp), 6) AS median_vs_pickup_min FROM j"""),
@@ -247,8 +249,8 @@ _STATUS_ROWS = "SELECT order_id, CASE customer_id % 3 WHEN 0 THEN 'Preparing ' W
 def status_freshness(spark: SparkSession, d: str) -> DataFrame:
     """Are status updates fresh enough to be used."""
     orders = x.orders(spark, d)
-    at = "CASE WHEN order_id % 2 = 0 THEN CAST(date_trunc('MINUTE', pickup_at) AS TIMESTAMP_NTZ) ELSE pickup_at + make_dt_interval(0, 0, CAST(customer_id % 40 - 30 AS INT), 0) END"
-    rows = orders.filter("order_id % 3 = 1").select("order_id", F.expr("CASE customer_id % 3 WHEN 0 THEN 'Preparing ' WHEN 1 THEN 'ready' ELSE 'READY' END").alias("status_label"), F.expr(at).alias("last_updated_at"))
+    at = "CASE WHEN order_id % 3 <> 1 THEN NULL WHEN order_id % 2 = 0 THEN CAST(date_trunc('MINUTE', pickup_at) AS TIMESTAMP_NTZ) ELSE pickup_at + make_dt_interval(0, 0, CAST(customer_id % 40 - 30 AS INT), 0) END"
+    rows = orders.select("order_id", F.expr(_LABEL).alias("status_label"), F.expr(at).alias("last_updated_at"))
     return rounded(o.freshness(rows, orders))
 
 
@@ -280,9 +282,9 @@ def gate_table(spark: SparkSession, d: str) -> DataFrame:
     return grain.unionByName(seen).unionByName(unknown)
 
 
-@query("source_agreement", x.sql("SELECT count(*) AS n_both, count(*) FILTER (WHERE o.pickup_at = i.pickup_at) AS n_equal FROM ord o JOIN (SELECT order_id, CASE WHEN order_id % 61 = 3 THEN pickup_at + to_minutes(1) ELSE pickup_at END AS pickup_at FROM s1 WHERE order_id % 2 = 0) i USING (order_id)"))
+@query("source_agreement", x.sql("SELECT count(*) AS n_both, count(i.pickup_at) AS n_timed, count(*) FILTER (WHERE o.pickup_at = i.pickup_at) AS n_equal FROM ord o JOIN (SELECT order_id, CASE WHEN order_id % 2 = 1 THEN NULL WHEN order_id % 61 = 3 THEN pickup_at + to_minutes(1) ELSE pickup_at END AS pickup_at FROM s1) i USING (order_id)"))
 def source_agreement(spark: SparkSession, d: str) -> DataFrame:
-    """How often two sources agree on a time."""
-    app = x.stored(spark, d).filter("pos < 100000000 and order_id % 2 = 0").select("order_id", F.expr("CASE WHEN order_id % 61 = 3 THEN pickup_at + INTERVAL '1' MINUTE ELSE pickup_at END").alias("app_at"))
+    """How often two sources agree on a time; the second one lacks every other."""
+    app = x.stored(spark, d).filter("pos < 100000000").select("order_id", F.expr("CASE WHEN order_id % 2 = 1 THEN NULL WHEN order_id % 61 = 3 THEN pickup_at + INTERVAL '1' MINUTE ELSE pickup_at END").alias("app_at"))
     both = x.orders(spark, d).join(app, "order_id")
-    return both.agg(F.count("*").alias("n_both"), F.count_if(F.col("pickup_at") == F.col("app_at")).alias("n_equal"))
+    return both.agg(F.count("*").alias("n_both"), F.count("app_at").alias("n_timed"), F.count_if(F.col("pickup_at") == F.col("app_at")).alias("n_equal"))

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.operators import checks
 from plumbline.plans.adapter import read
 from plumbline.plans.kpi_queries import query
-from plumbline.sources import tables
+from plumbline.sources import footers, sqlite, tables
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    """A new folder that all machines see."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder that all machines see: only where everything runs on one may it be below the warehouse."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/plumbline-sources/{name}-{uuid.uuid4().hex}"
 
 
@@ -36,27 +39,52 @@ def csv_text(spark: SparkSession, d: str) -> DataFrame:
     return tables.csv(spark, at)
 
 
-@query("json_array_pages", "SELECT n_nationkey AS key, n_name AS name FROM nation")
+@query("json_array_pages", "SELECT c_custkey AS key, c_name AS name FROM customer")
 def json_array_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages of an API that each hold an array, read as one frame."""
     at = _place(spark, "pages")
-    rows = read(spark, d, "nation").withColumn("page", F.floor(F.col("n_nationkey") / 10))
-    pages = rows.groupBy("page").agg(F.to_json(F.collect_list(F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name")))).alias("value"))  # ten rows a page
-    pages.write.partitionBy("page").text(at)
-    return tables.json_pages(spark, [at], T.StructType([T.StructField("key", rows.schema["n_nationkey"].dataType), T.StructField("name", T.StringType())])).select("key", "name")
+    rows = read(spark, d, "customer").withColumn("page", F.floor(F.col("c_custkey") / 100))
+    pages = rows.groupBy("page").agg(F.to_json(F.collect_list(F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")))).alias("value"))  # a hundred rows a page
+    pages.repartition(16, "page").select("value").write.text(at)
+    return tables.json_texts(spark.read.text(at), "key long, name string")
+
+
+#: A contract that some files of the table below keep.
+CONTRACT = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_totalprice", T.DoubleType()), T.StructField("o_orderpriority", T.StringType()), T.StructField("o_absent", T.StringType())])
 
 
 @query(
     "schema_contract",
-    """SELECT n AS name, CASE WHEN column_name IS NULL THEN 'missing' WHEN want <> data_type THEN 'changed' ELSE 'held' END AS state
-    FROM (VALUES ('r_name', 'VARCHAR'), ('r_regionkey', 'VARCHAR'), ('r_absent', 'VARCHAR')) c(n, want) LEFT JOIN (SELECT * FROM information_schema.columns WHERE table_name = 'region') ON column_name = n
-    UNION ALL SELECT column_name, 'extra' FROM information_schema.columns WHERE table_name = 'region' AND column_name NOT IN ('r_name', 'r_regionkey', 'r_absent')""",
+    """WITH f AS (SELECT o_orderkey % 4 AS part, count(*) AS n_rows FROM orders GROUP BY 1),
+    c AS (SELECT * FROM (VALUES ('o_orderkey', 'held', 'held'), ('o_totalprice', 'held', 'changed'), ('o_orderpriority', 'held', 'missing'), ('o_absent', 'missing', 'missing'),
+      ('o_custkey', 'extra', 'extra'), ('o_orderstatus', 'extra', 'extra'), ('o_orderdate', 'extra', 'extra'), ('o_note', NULL, 'extra')) t(name, whole, drifted))
+    SELECT CAST(part AS BIGINT) AS part, n_rows, name, CASE WHEN part = 3 THEN drifted ELSE whole END AS state FROM f, c WHERE part = 3 OR whole IS NOT NULL""",
 )
 def schema_contract(spark: SparkSession, d: str) -> DataFrame:
-    """FIL01, ZON01, S12: a table's columns against a contract."""
-    contract = T.StructType([T.StructField(n, T.StringType()) for n in ("r_name", "r_regionkey", "r_absent")])
-    missing, changed, extra = checks.schema_drift(read(spark, d, "region").schema, contract)
-    changed = [c.split(":")[0] for c in changed]
-    rows = [(n, "missing") for n in missing] + [(n, "changed") for n in changed] + [(n, "extra") for n in extra]
-    rows += [(n, "held") for n in contract.names if n not in missing and n not in changed]
-    return tables.parameter_rows(spark, rows, "name string, state string")
+    """FIL01, ZON01, S12: the footer of every file of a table against a contract; one file has drifted."""
+    at, orders = _place(spark, "drift"), read(spark, d, "orders")
+    for i in range(4):
+        rows = orders.filter(F.col("o_orderkey") % 4 == i)
+        rows = rows if i < 3 else rows.withColumn("o_totalprice", F.col("o_totalprice").cast("string")).withColumnRenamed("o_orderpriority", "o_note")
+        rows.coalesce(1).write.parquet(f"{at}/part-{i}")
+    found = footers.states(footers.footers(footers.files(spark, at)), CONTRACT)
+    return found.select(F.regexp_extract("file", "/part-([0-9])/", 1).cast("long").alias("part"), "n_rows", "name", "state")
+
+
+@query("sqlite_scan", "SELECT c_custkey, c_name, c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
+def sqlite_scan(spark: SparkSession, d: str) -> DataFrame:
+    """SQLite files of a table, each written by a task, read in equal shares of rows."""
+    folder = _place(spark, "sqlite").removeprefix("file:")
+    rows = read(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey").repartition(3, "c_custkey")
+    paths = [r[0] for r in sqlite.write(rows, folder, "customer").collect()]  # one a partition
+    return sqlite.scan(spark, paths, "customer", 256).drop("rowid_")
+
+
+@query("control_lookup", "SELECT CAST(count(*) * 1000 * 31 AS BIGINT) AS control_total FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-01' AND o_orderstatus = 'F'")
+def control_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """A per-day figure with thousands separators from a report in CSV, times the days of the month."""
+    at = _place(spark, "report")
+    per = read(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("Month/Year"), F.col("o_orderstatus").alias("License Class")).agg(F.count("*").alias("n"))
+    per.select("`Month/Year`", "`License Class`", F.format_number(F.col("n") * 1000, 0).alias("Trips Per Day")).write.option("header", True).csv(at)
+    found = tables.lookup_number(tables.csv(spark, at), {"Month/Year": "1996-01", "License Class": "F"}, "Trips Per Day")
+    return found.select((F.col("value") * 31).alias("control_total"))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import lenient_time, normalised, right_closed_band
+from plumbline.functions.columns import holds, lenient_time, normalised, right_closed_band
 from plumbline.operators import copies
 from plumbline.operators import tables as t
 from plumbline.operators.neighbours import with_before
 from plumbline.plans.adapter import read
 from plumbline.plans.kpi_queries import query
 from plumbline.plans.rounding import rounded
-from plumbline.sources.tables import flattened, lookup_number, parameter_rows
+from plumbline.sources.tables import flattened, parameter_rows
 
 
 @query("left_join_dims", """SELECT c_custkey, n_name, r_name, n_nationkey IS NOT NULL AS nation_found FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 7) n ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""")
@@ -132,20 +132,21 @@ def conversation_order(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.count_if(F.col("turn") != F.col("p.turn") + 1).alias("n_jumps"))
 
 
-@query("control_lookup", "SELECT CAST(21500 * 31 AS BIGINT) AS control_total")
-def control_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """A per-day figure with thousands separators, times the days of the month."""
-    rows = [("2024-01", "Other", "1,000"), ("2024-01", "High Volume", "21,500"), ("2024-02", "High Volume", "22,750")]
-    report = parameter_rows(spark, rows, "`Month/Year` string, `License Class` string, `Trips Per Day` string")
-    found = lookup_number(report, {"Month/Year": "2024-01", "License Class": "High Volume"}, "Trips Per Day")
-    return found.select((F.col("value") * 31).alias("control_total"))
-
-
-@query("lenient_times", "SELECT id, CAST(CASE id WHEN 1 THEN TIMESTAMP '2024-01-02 03:04:05.5' WHEN 2 THEN TIMESTAMP '2024-01-02 03:04:00' END AS TIMESTAMP) AS at FROM (VALUES (1), (2), (3), (4)) t(id)")
+@query("lenient_times", "SELECT event_id, CAST(CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN date_trunc('minute', ts) END AS TIMESTAMP) AS at FROM events")
 def lenient_times(spark: SparkSession, d: str) -> DataFrame:
-    """Texts as times; what can't be read is null."""
-    rows = parameter_rows(spark, [(1, "2024-01-02T03:04:05.5"), (2, "2024-01-02 03:04"), (3, "soon"), (4, None)], "id int, raw string")
-    return rows.select("id", lenient_time("raw").alias("at"))
+    """Texts of several forms as times; what can't be read is null."""
+    forms = "CASE event_id % 4 WHEN 0 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") WHEN 1 THEN date_format(ts, 'yyyy-MM-dd HH:mm') WHEN 2 THEN concat('soon ', event_id) END"
+    return read(spark, d, "events").select("event_id", F.expr(forms).alias("raw")).select("event_id", lenient_time("raw").alias("at"))
+
+
+@query("texts_holding", """SELECT word, count(*) FILTER (WHERE contains(lower(p_name || ' ' || p_type), lower(word))) AS n_holding, count(*) FILTER (WHERE contains(lower(nullif(p_name, 'small ring')), lower(word))) AS n_named, count(*) AS n
+  FROM part, (VALUES ('Ring'), ('economy'), ('L'), ('zzz')) t(word) GROUP BY word""")
+def texts_holding(spark: SparkSession, d: str) -> DataFrame:
+    """Substring test: texts that hold a word in any case; a null text holds none. One pass counts for all words."""
+    rows, words = read(spark, d, "part").withColumn("named", F.expr("nullif(p_name, 'small ring')")), ("Ring", "economy", "L", "zzz")
+    whole = F.concat_ws(" ", "p_name", "p_type")
+    found = rows.agg(F.count("*").alias("n"), *[F.count_if(holds(c, w)).alias(f"{k}{i}") for i, w in enumerate(words) for k, c in (("a", whole), ("b", F.col("named")))])
+    return found.select(F.inline(F.array(*[F.struct(F.lit(w).alias("word"), F.col(f"a{i}").alias("n_holding"), F.col(f"b{i}").alias("n_named"), F.col("n").alias("n")) for i, w in enumerate(words)])))
 
 
 @query("grain_checks", " UNION ALL ".join(f"SELECT '{n}' AS table_name, '{k}' AS claimed_key, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys, count(*) = count(DISTINCT {k}) AS is_unique FROM {n}" for n, k in (("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("events", "event_id"), ("conversations", "conv_id"), ("documents", "doc_id"))))

@@ -34,6 +34,11 @@ def json_pages(spark: SparkSession, paths: Sequence[str], schema: T.StructType |
     return (reader.schema(schema) if schema is not None else reader).json(list(paths))
 
 
+def json_texts(rows: DataFrame, schema: str, column: str = "value") -> DataFrame:
+    """Rows of texts that each hold a JSON array of objects of a declared schema."""
+    return rows.select(F.inline(F.from_json(column, f"array<struct<{schema}>>")))
+
+
 def flattened(rows: DataFrame, array: str, keep: Sequence[str]) -> DataFrame:
     """One row for each element of an array of structs, parent columns carried down; empty arrays give none."""
     return rows.select(*keep, F.inline(array))

@@ -259,10 +259,52 @@ def test_sqlite_scan(spark, tmp_path):
         con.executemany("INSERT INTO orders VALUES (?, ?, ?, ?)", [(f"O{i % 40}", i, i / 2, None if i % 7 else str(i)) for i in range(100)])
         con.execute("CREATE TABLE empty_one (x INTEGER)")
     assert sqlite.table_names(path) == ["empty_one", "orders"]
-    rows = sqlite.scan(spark, path, "orders", 3)
+    rows = sqlite.scan(spark, path, "orders", 30)
     assert rows.dtypes == [("rowid_", "bigint"), ("order_id", "string"), ("n", "bigint"), ("km", "double"), ("at", "string")]
     assert sorted(r["n"] for r in rows.collect()) == list(range(100)) and rows.filter("at is null").count() == 85
     assert sorted(r["n"] for r in first_of_key(rows, ["order_id"], ["rowid_"]).collect()) == list(range(40))
     assert sqlite.scan(spark, path, "empty_one").count() == 0
     with pytest.raises(ValueError):
         sqlite.scan(spark, path, "absent")
+
+
+def test_sqlite_shares_are_equal_however_sparse_rowids_are(spark, tmp_path):
+    import sqlite3
+
+    from plumbline.sources import sqlite
+
+    paths = []
+    for k in range(2):
+        paths.append(str(tmp_path / f"{k}.db"))
+        with sqlite3.connect(paths[-1]) as con:
+            con.execute("CREATE TABLE t (x INTEGER)")
+            ids = [-(2**60), *range(5, 305), 2**40, 2**62 - k]
+            con.executemany("INSERT INTO t(rowid, x) VALUES (?, ?)", [(i, i) for i in ids])
+    with sqlite3.connect(paths[0]) as con:
+        cut = list(sqlite.shares(con, "t", 100))
+        assert [con.execute("SELECT count(*) FROM t WHERE rowid BETWEEN ? AND ?", c).fetchone()[0] for c in cut] == [100, 100, 100, 3]
+        assert list(sqlite.shares(con, "t", 303)) == [(-(2**60), 2**62)]
+    rows = sqlite.scan(spark, paths, "t", 100)
+    assert sorted(r["x"] for r in rows.collect()) == sorted(i for k in range(2) for i in [-(2**60), *range(5, 305), 2**40, 2**62 - k])
+    back = sqlite.write(spark.createDataFrame([(1, 2.5, "é", True), (None, None, None, None)], "a long, b double, `c d` string, e boolean").coalesce(1), str(tmp_path / "out"), "w")
+    [file] = [r[0] for r in back.collect()]
+    assert {tuple(r)[1:] for r in sqlite.scan(spark, file, "w").collect()} == {(1, 2.5, "é", "1"), (None, None, None, None)}
+
+
+def test_footers_of_many_files(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from plumbline.sources import footers
+
+    at = tmp_path / "t"
+    good = spark.createDataFrame([(1, 2.0, "x"), (2, None, "y")], "a long, b double, c string").withColumn("t", F.lit("2020-01-01").cast("timestamp_ntz"))
+    good.repartition(3).write.parquet(f"file://{at}/one")
+    good.withColumn("b", F.col("b").cast("float")).drop("c").withColumn("n", F.lit(1)).coalesce(1).write.parquet(f"file://{at}/two")
+    (at / "one" / "cut.parquet").write_bytes(b"PAR1 not whole")
+    found = footers.footers(footers.files(spark, f"file://{at}"))
+    judged = footers.states(found, T.StructType.fromDDL("a long, b double, c string, t timestamp_ntz"))
+    two = {(r["name"], r["type"], r["state"]) for r in judged.filter("file like '%/two/%'").collect()}
+    assert two == {("a", "bigint", "held"), ("b", "float", "changed"), ("c", None, "missing"), ("t", "timestamp_ntz", "held"), ("n", "int", "extra")}
+    got = {(r["status"], r["bad"], "cut" in r["file"]) for r in footers.verdicts(judged).collect()}
+    assert got == {("PASS", "", False), ("FAIL", "changed b, missing c", False), ("FAIL", "unreadable", True)}
+    assert found.agg(F.sum("n_rows")).first()[0] == 4
