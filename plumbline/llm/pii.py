@@ -1,8 +1,8 @@
 """Personal data by bootstrapped contextual extraction.
 
 Seeds are what four base patterns find. Every identifier-shaped token (one with digits or an at sign) is an instance,
-and what stands beside it gives its lexical patterns: words, pairs of words, a label before a colon, a word with the
-token's shape. Spark scores the graph of patterns and instances in rounds. A pattern's confidence for a kind is the mean
+and its shape and what stands beside it give its lexical patterns: the shape itself, words, pairs of words, a label before
+a colon, a word with the shape. Spark scores the graph of patterns and instances in rounds. A pattern's confidence for a kind is the mean
 belief in its instances: 1 for seeds, the best confidence of their patterns for tokens that confident ones hold, a prior
 for tokens that might be of the kind, 0 for all else. Tokens found in one round count as support in the next, so that
 patterns which no seed has are induced from them. Patterns that end with high confidence mark tokens as of their kind.
@@ -112,20 +112,39 @@ def _names(text: str) -> list[str]:
 
 
 def _beside(text: str, start: int, end: int) -> list[str]:
-    """A span's lexical patterns: L and LL the words before, R the word after, LR both, C a label, S the word before with the span's shape."""
-    before = text[max(0, start - REACH) : start]
+    """A span's lexical patterns: T its own shape, L and LL the words before, R the word after, LR both, C a label, S the
+    word before with the span's shape."""
+    before, own = text[max(0, start - REACH) : start], shape(text[start:end])
     left, right = _names(before)[-2:], _names(text[end : end + REACH])[:1]
-    out = [f"R {right[0]}"] if right else []
+    out = [f"T {own}"] + ([f"R {right[0]}"] if right else [])
     if left:
-        out += [f"L {left[-1]}", f"S {left[-1]} {shape(text[start:end])}"]
+        out += [f"L {left[-1]}", f"S {left[-1]} {own}"]
         out += [f"C {left[-1]}"] if _LABEL.search(before) else []
         out += [f"LR {left[-1]} {right[0]}"] if right else []
         out += [f"LL {left[0]} {left[1]}"] if len(left) > 1 else []
     return out
 
 
+def _run_together(text: str) -> Iterator[tuple[int, int]]:
+    """What a phone number may be that stands before further digits: the base pattern takes these with it and fails.
+
+    For each match with more than 15 digits the runs of its first words that have 9 to 15.
+    """
+    for m in _PHONE.finditer(text):
+        digits, at = 0, m.start()
+        if len(_digits(m[0])) <= 15:
+            continue
+        for word in _WORD.finditer(text, m.start(), m.end()):
+            digits += len(_digits(word[0]))
+            if digits > 15:
+                break
+            if digits >= 9 and word.end() < m.end():
+                yield at, word.end()
+
+
 def occurrences(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str | None, int, int, list[str]]]:
-    """(kind or None, start, end, patterns) of the seeds and of the other identifier-shaped tokens of a text."""
+    """(kind or None, start, end, patterns) of the seeds, of the other identifier-shaped tokens of a text, and of runs of
+    words that may be a phone number run together with what follows."""
     out: list[tuple[str | None, int, int, list[str]]] = [(k, a, b, _beside(text, a, b)) for k, a, b in base]
     if not ("@" in text or _DIGIT.search(text)):
         return out
@@ -140,9 +159,12 @@ def occurrences(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str |
         i = int(np.searchsorted(starts, b))
         if b > a and not any(x < b and y > a for x, y in taken[max(0, i - 3) : i]):
             out.append((None, a, b, _beside(text, a, b)))
+    if "+" in text:
+        out += [(None, a, b, _beside(text, a, b)) for a, b in _run_together(text)]
     return out
 
 
+_WORD = re.compile(r"\S+")
 _WORDY = re.compile(r"[^\W\d_]")
 _ADDRESS = re.compile(r"[0-9A-Fa-f]++(?:[.:][0-9A-Fa-f]*+){2,}+")
 
@@ -150,15 +172,17 @@ _ADDRESS = re.compile(r"[0-9A-Fa-f]++(?:[.:][0-9A-Fa-f]*+){2,}+")
 def may_be(token: str) -> list[str]:
     """The kinds that a token's characters allow, however it fails the base patterns and however long it is.
 
-    None but email for a token of few digits. Every test takes time in proportion to the token.
+    None but email for a token of few digits. What has the form of an address or a card number but fails its check isn't
+    one: that is known, not open. Every test takes time in proportion to the token.
     """
     digits = sum(c in "0123456789" for c in token)
     out = ["email"] if "@" in token else []
     if digits + token.count("@") < DIGITS:
         return out
-    out += ["ip"] if _ADDRESS.fullmatch(token) else []
+    out += ["ip"] if _ADDRESS.fullmatch(token) and not _IP.fullmatch(token) else []
     if not _WORDY.search(token):
-        out += ["card"] if digits >= 8 else []
+        failed = 13 <= digits <= 19 and _CARD.fullmatch(token)
+        out += ["card"] if digits >= 8 and not failed else []
         out += ["phone"] if digits >= 6 else []
     return out
 
