@@ -159,7 +159,7 @@ def test_hidden_seeds_are_found_where_contexts_tell_and_never_as_another_kind(sp
     noise = lambda: " ".join(f"w{rng.choice('abcdefgh')}{rng.choice('klmnop')}" for _ in range(3))
     told = [f"{noise()} please ring me on +1 (555) {i:04d}-{i * 7 % 10000:04d} {noise()}" for i in range(100)]
     told += [f"{noise()} server at 10.{i % 256}.3.{i * 3 % 256} {noise()}" for i in range(100)]
-    shaped = [f"q{i}x +44 555 {i:04d}-{i * 3 % 10000:04d} z{i}y" for i in range(100)]
+    shaped = [f"q{i}x +44 555 {i:03d}-{i * 3 % 10000:04d} z{i}y" for i in range(100)]
     number = lambda: "4" + "".join(rng.choice("0123456789") for _ in range(15))
     untold = [f"v{i}k {number()} u{i}k" for i in range(600)]  # one in ten passes the check of a card
     got = {r["kind"]: r for r in pii.held_out(frame(spark, told + shaped + untold)).collect()}
