@@ -5,16 +5,17 @@ A window walks through its words, one symbol out a step, and moves on when a ran
 again soon after an edit, so their outputs differ in few places. Some sampled places of the output make an LSH key;
 several walks with several samples each reach the recall, and what they bring together is aligned exactly.
 
-An item has windows from some of its words on, the rarest of the benchmark, so that some of them begin in step however
-an occurrence is edited. Their length is the power of two up to half the item's and at most 16, so that few edits fall
-into one. The first place of a walk is the window's first word and is part of every key: a window of a document whose
-first word begins no window of an item has no key to share, and needs no walk. No other index proposes anything.
+Windows are of the item's size. An item's go from some words of its first half to its end, from the rarest ones of the
+benchmark, so that some of them begin in step however an occurrence is edited; a document's go from each such word over
+as many words as the item has from there on. The first word is part of every key: a place of a document that begins no
+window of an item has no key to share, and needs no walk. No other index proposes anything.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import GOLDEN, mix64, tune, unit
+from plumbline.llm.common import GOLDEN, Scratch, mix64, tune, unit
 from plumbline.llm.text import Slice, Words, lower, slices, words
 
 #: An occurrence differs from the item by at most this share of the item's words, inserted, deleted or replaced.
@@ -30,8 +31,10 @@ EDITS = 0.2
 #: Walks, samples of each walk, and places in a sample beside the first. With half of a walk's places disturbed, one of
 #: the 30 keys of a window agrees with a probability of about 0.9, and an item has several windows.
 WALKS, SAMPLES, PLACES = 5, 6, 3
-#: Words of a window; windows of an item beside one for each edit that it allows.
-LENGTHS, MORE = (16, 8, 4, 2, 1), 3
+#: Windows of an item beside one for each edit that it allows.
+MORE = 3
+#: Symbols of walks that are held at a time.
+SYMBOLS = 1 << 21
 #: Items that a task holds at a time have at most so many characters; more are searched in several passes.
 ITEM_CHARS = 8 << 20
 
@@ -40,11 +43,6 @@ def allowed(n: int, edits: float = EDITS) -> int:
     return int(n * edits + 1e-9)
 
 
-def window_length(n: int) -> int:
-    """The words of a window of an item of n words."""
-    return next(c for c in LENGTHS if c <= max(1, n // 2))
-
-
 def _places(h: np.ndarray) -> np.ndarray:
     return (h & np.uint64((1 << 20) - 1)).astype(np.int64)
 
@@ -58,9 +56,11 @@ def _sieve(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Windows:
-    """The windows of one length: their first words, sorted, and keys, sorted, with the item and offset that each is from."""
+    """The windows of all items: their first words with the lengths that begin there, and keys with where each is from."""
 
     first: np.ndarray
+    bounds: np.ndarray
+    lengths: np.ndarray
     keys: np.ndarray
     sieve: np.ndarray
     item: np.ndarray
@@ -69,11 +69,11 @@ class Windows:
 
 @dataclass
 class Items:
-    """A part of the benchmark as every task holds it: ids, word hashes, windows by length, and a sieve for first words."""
+    """A part of the benchmark as every task holds it: ids, word hashes, windows, and a sieve for their first words."""
 
     ids: list[int]
     words: list[np.ndarray]
-    windows: dict[int, Windows]
+    windows: Windows | None
     sieve: np.ndarray
     plain: list[list[int]]
 
@@ -88,52 +88,71 @@ class Items:
                 hashes.append(h)
         sieve = _sieve(np.zeros(0, np.uint64))
         if not ids:
-            return Items([], [], {}, sieve, [])
+            return Items([], [], None, sieve, [])
         flat = np.concatenate(hashes)
         known, n = np.unique(flat, return_counts=True)
         begin = np.cumsum([0, *map(len, hashes)])
-        starts: dict[int, list[tuple[int, int]]] = {}
+        starts: list[tuple[int, int]] = []
         for j, h in enumerate(hashes):
-            c = window_length(len(h))
-            able = h[: len(h) - c + 1]
+            able = h[: len(h) // 2 + len(h) % 2]
             rare = np.lexsort((able, n[np.searchsorted(known, able)]))[: allowed(len(h), edits) + MORE]
-            starts.setdefault(c, []).extend((j, int(o)) for o in np.sort(rare))
-        windows = {}
-        for c, found in starts.items():
-            item, offset = (np.array(x, dtype=np.int64) for x in zip(*found))
-            at = begin[item] + offset
-            keys = embed_keys(flat, at, begin[item + 1], c)
-            order = np.argsort(keys.ravel(), kind="stable")
-            spread = lambda x: np.repeat(x, keys.shape[1])[order].astype(np.int32)  # noqa: B023, E731
-            windows[c] = Windows(np.unique(flat[at]), keys.ravel()[order], _sieve(keys.ravel()), spread(item), spread(offset))
-            sieve |= _sieve(flat[at])
-        return Items(ids, hashes, windows, sieve, [h.tolist() for h in hashes])
-
-
-def embed_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, c: int) -> np.ndarray:
-    """LSH keys, WALKS * SAMPLES a row, of the CGK walks of 2 * c steps over the c words of h from `start`, or up to `stop`.
-
-    Keys hold the length, the walk, the sample and the first word, so that equal keys come from equal ones of each.
-    """
-    n, steps = len(start), 2 * c
-    walk, sample = np.arange(WALKS, dtype=np.uint64), np.arange(SAMPLES, dtype=np.uint64)
-    padded = np.append(h, np.uint64(0))
+            starts.extend((j, int(o)) for o in np.sort(rare))
+        item, offset = (np.array(x, dtype=np.int64) for x in zip(*starts, strict=True))
+        at, stop = begin[item] + offset, begin[item + 1]
+        keys = embed_keys(flat, at, stop, stop - at)
+        order = np.argsort(keys.ravel(), kind="stable")
+        spread = lambda x: np.repeat(x, keys.shape[1])[order].astype(np.int32)
+        pairs = np.unique(np.stack((flat[at], (stop - at).astype(np.uint64)), axis=1), axis=0)
+        first, bounds = np.unique(pairs[:, 0], return_index=True)
+        found = Windows(first, np.append(bounds, len(pairs)), pairs[:, 1].astype(np.int64), keys.ravel()[order], _sieve(keys.ravel()), spread(item), spread(offset))
+        return Items(ids, hashes, found, _sieve(first), [h.tolist() for h in hashes])
+
+
+@cache
+def _drawn(c: int) -> tuple[np.ndarray, np.ndarray]:
+    """(walk, sample) -> name, and the places that are sampled from a walk of 2 * c steps, beyond where it is at its first word."""
+    walk, sample, steps = np.arange(WALKS, dtype=np.uint64), np.arange(SAMPLES, dtype=np.uint64), 2 * c
     with np.errstate(over="ignore"):
-        # places are drawn once for each length, walk and sample, beyond where a walk is still at its first word
         name = (np.uint64(c) * np.uint64(WALKS) + walk[:, None]) * np.uint64(SAMPLES) + sample
         draw = unit(mix64((name[:, :, None] * np.uint64(PLACES) + np.arange(PLACES, dtype=np.uint64)) * GOLDEN + np.uint64(99)))
         least = min(4, steps - 1)
-        places = np.sort((least + draw * (steps - least)).astype(np.int64), axis=2)
-        acc = mix64(padded[start][:, None, None] + mix64(name * GOLDEN))
-        pos, end = np.repeat(start[:, None], WALKS, axis=1), np.minimum(start + c, stop)[:, None]
-        for t in range(int(places.max()) + 1 if n else 0):
-            inside = pos < end
-            symbol = np.where(inside, padded[np.minimum(pos, len(h))], np.uint64(0x5BD1E995))
-            for w, k in zip(*np.nonzero((places == t).any(axis=2))):
-                acc[:, w, k] = mix64((acc[:, w, k] ^ symbol[:, w]) * GOLDEN + np.uint64(1))
-            coin = mix64(symbol + (walk * np.uint64(1 << 20) + np.uint64(t + 1)) * GOLDEN) & np.uint64(1)
-            pos = pos + (coin.astype(bool) & inside)
-    return acc.reshape(n, WALKS * SAMPLES)
+        return mix64(name * GOLDEN), np.sort((least + draw * (steps - least)).astype(np.int64), axis=2)
+
+
+def embed_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """LSH keys, WALKS * SAMPLES a row, of the CGK walks of 2 * size steps over size words of h from `start`, or up to `stop`.
+
+    Keys hold the size, the walk, the sample and the first word, so that equal keys come from equal ones of each.
+    """
+    n = len(start)
+    size = np.broadcast_to(np.asarray(size, dtype=np.int64), (n,))
+    lengths, which = np.unique(size, return_inverse=True)
+    drawn = [_drawn(int(c)) for c in lengths]
+    names, places = (np.stack([d[i] for d in drawn]) if drawn else np.zeros((0, WALKS, SAMPLES, PLACES)[: 3 + i], np.int64) for i in range(2))
+    walk, padded = np.arange(WALKS, dtype=np.uint64), np.append(h, np.uint64(0))
+    out, order, lo = np.empty((n, WALKS * SAMPLES), np.uint64), np.argsort(-size, kind="stable"), 0
+    while lo < n:  # rows by size from the longest, so that those still walking are the first of a part
+        steps = 2 * int(size[order[lo]])
+        rows = order[lo : lo + max(1, SYMBOLS // (WALKS * steps))]
+        lo += len(rows)
+        symbols = np.empty((steps, len(rows), WALKS), np.uint64)
+        longest, own = -2 * size[rows], which[rows]
+        pos, end = np.repeat(start[rows][:, None], WALKS, axis=1), np.minimum(start + size, stop)[rows][:, None]
+        with np.errstate(over="ignore"):
+            for t in range(int(places[own].max()) + 1):
+                live = int(np.searchsorted(longest, -t))
+                p = pos[:live]
+                inside = p < end[:live]
+                symbol = np.where(inside, padded[np.minimum(p, len(h))], np.uint64(0x5BD1E995))
+                symbols[t, :live] = symbol
+                coin = mix64(symbol + (walk * np.uint64(1 << 20) + np.uint64(t + 1)) * GOLDEN) & np.uint64(1)
+                p += coin.astype(bool) & inside
+            acc = mix64(padded[start[rows]][:, None, None] + names[own])
+            for k in range(PLACES):
+                seen = symbols[places[own][:, :, :, k], np.arange(len(rows))[:, None, None], np.arange(WALKS)[None, :, None]]
+                acc = mix64((acc ^ seen) * GOLDEN + np.uint64(1))
+        out[rows] = acc.reshape(len(rows), -1)
+    return out
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -157,13 +176,17 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 def candidates(h: np.ndarray, first: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, item, word at which the item would begin) of windows that share an LSH key, for the documents of a slice."""
-    found = [np.zeros((0, 3), np.int64)]
-    sifted = np.flatnonzero(items.sieve[_places(h)])
-    for c, w in items.windows.items():
+    found, w = [np.zeros((0, 3), np.int64)], items.windows
+    sifted = np.flatnonzero(items.sieve[_places(h)]) if w else np.zeros(0, np.int64)
+    if len(sifted):
         at = np.minimum(np.searchsorted(w.first, h[sifted]), len(w.first) - 1)
-        every = sifted[w.first[at] == h[sifted]]
+        same = w.first[at] == h[sifted]
+        every, at = sifted[same], at[same]
+        many = w.bounds[at + 1] - w.bounds[at]
+        place = np.repeat(w.bounds[at], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        every, size = np.repeat(every, many), w.lengths[place]
         for i in range(0, len(every), 1 << 13):
-            p = every[i : i + (1 << 13)]
+            p, c = every[i : i + (1 << 13)], size[i : i + (1 << 13)]
             doc = np.searchsorted(first, p, "right") - 1
             keys = embed_keys(h, p, first[doc + 1], c).ravel()
             likely = np.flatnonzero(w.sieve[_places(keys)])
@@ -227,24 +250,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFr
     it is. No rows in, no rows out; other columns are ignored.
     """
     tune(docs.sparkSession)
-    out = None
-    for shared in _passes(benchmark, edits):
+    out, scratch = None, Scratch(docs.sparkSession, "leaks")
+    for shared, alone in _passes(benchmark, edits):
         found = _search(docs, shared, edits)
+        if not alone:
+            found = scratch.cut(found)
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _passes(benchmark: DataFrame, edits: float) -> Iterator[Broadcast]:
-    """The benchmark in parts that a task may hold, each as a broadcast of Items: one, unless the items outgrow that.
+def _passes(benchmark: DataFrame, edits: float) -> Iterator[tuple[Broadcast, bool]]:
+    """The benchmark in parts that a task may hold, each as a broadcast of Items, and whether it is the only one.
 
-    The driver holds one part at a time; what is broadcast it keeps as a file.
+    The driver holds one part at a time. Of several, a part's broadcast is destroyed once its result is written.
     """
     bench = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("text is not null")
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = max(1, -(-size // ITEM_CHARS))
     for i in range(passes):
         part = bench if passes == 1 else bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i)
-        yield bench.sparkSession.sparkContext.broadcast(Items.build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()], edits))
+        yield bench.sparkSession.sparkContext.broadcast(Items.build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()], edits)), passes == 1
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
@@ -254,8 +280,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -
     without a doc_id if they hold none. Repeated rows stay or go together. No rows or no items in: all rows out.
     """
     tune(docs.sparkSession)
-    at, out = docs.columns.index("text"), docs
-    for shared in _passes(benchmark, edits):
+    at, out, scratch = docs.columns.index("text"), docs, Scratch(docs.sparkSession, "clean")
+    for shared, alone in _passes(benchmark, edits):
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
@@ -267,4 +293,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -
                 yield batch.filter(pa.array(keep))
 
         out = out.mapInArrow(run, docs.schema)
+        if not alone:
+            out = scratch.cut(out)
+            shared.destroy()
     return out

@@ -93,28 +93,37 @@ def test_alignment_against_brute_force():
 
 
 @pytest.mark.parametrize("n", range(1, 70))
-def test_items_have_windows_that_fit(n):
-    items = d.Items.build([(1, " ".join(f"w{i % 40}" for i in range(n)))])
-    (c, w), = items.windows.items()
-    assert c == d.window_length(n) and 0 <= w.offset.min() and w.offset.max() + c <= n
-    assert len(set(w.offset.tolist())) == min(d.allowed(n) + d.MORE, n - c + 1) and len(w.keys) == d.WALKS * d.SAMPLES * len(set(w.offset.tolist()))
-
-
-def test_share_of_occurrences_that_windows_propose():
-    """Recall of the LSH alone, at the most edits that are allowed, against occurrences whose place is known."""
-    rng = random.Random(8)
-    items = [words(rng.randrange(10, 60), 500 + i, 3000) for i in range(60)]
+def test_items_have_windows_of_their_size(n):
+    w = d.Items.build([(1, " ".join(f"w{i % 40}" for i in range(n)))]).windows
+    offsets = set(w.offset.tolist())
+    assert 0 <= min(offsets) and max(offsets) <= (n - 1) // 2 and len(offsets) == min(d.allowed(n) + d.MORE, (n + 1) // 2)
+    assert set(w.lengths.tolist()) == {n - o for o in offsets} and min(w.lengths) >= n / 2 and len(w.keys) == d.WALKS * d.SAMPLES * len(offsets)
+
+
+@pytest.mark.parametrize("n", [6, 8, 10, 15, 20, 30, 60, 100, 200])
+def test_share_of_occurrences_that_windows_propose(n):
+    """Recall of the LSH alone by the item's length, at the most edits that are allowed, where places are known."""
+    rng = random.Random(n)
+    items = [words(n, 500 + i, 3000) for i in range(50)]
     built = d.Items.build([(i, " ".join(w)) for i, w in enumerate(items)])
-    hit = total = 0
-    for _ in range(5):
-        for j, item in enumerate(items):
-            part = edit(item, d.allowed(len(item)), rng)
-            raw = np.frombuffer(" ".join([*words(20, rng.randrange(10**6), 3000), *part, *words(20, rng.randrange(10**6), 3000)]).encode(), dtype=np.uint8)
-            w = d.words(d.lower(raw), np.array([0, len(raw)]))
-            near = [b for _, i, b in zip(*(x.tolist() for x in d.candidates(w.hash, w.first, built))) if i == j]
-            hit += any(abs(b - 20) <= 2 * d.allowed(len(item)) for b in near)
-            total += 1
-    assert hit >= 0.97 * total
+    hit = 0
+    for j, item in enumerate(items):
+        part = edit(item, d.allowed(n), rng)
+        raw = np.frombuffer(" ".join([*words(20, rng.randrange(10**6), 3000), *part, *words(20, rng.randrange(10**6), 3000)]).encode(), dtype=np.uint8)
+        w = d.words(d.lower(raw), np.array([0, len(raw)]))
+        near = [b for _, i, b in zip(*(x.tolist() for x in d.candidates(w.hash, w.first, built)), strict=True) if i == j]
+        hit += any(abs(b - 20) <= 2 * d.allowed(n) for b in near)
+    assert hit >= 0.96 * len(items)
+
+
+def test_keys_are_the_same_whatever_else_is_embedded(monkeypatch):
+    h = np.random.default_rng(3).integers(0, 2**63, 400).astype(np.uint64)
+    start, size = np.arange(0, 300, 7), np.arange(43) % 19 + 1
+    whole = d.embed_keys(h, start, start + 30, size)
+    monkeypatch.setattr(d, "SYMBOLS", 300)
+    assert (whole == d.embed_keys(h, start, start + 30, size)).all()
+    assert all((whole[i] == d.embed_keys(h, start[i : i + 1], start[i : i + 1] + 30, int(size[i]))[0]).all() for i in range(len(start)))
+    assert d.embed_keys(h, start[:0], start[:0], size[:0]).shape == (0, d.WALKS * d.SAMPLES)
 
 
 def test_walks_agree_on_equal_texts_and_differ_on_others():
