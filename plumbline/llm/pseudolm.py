@@ -286,3 +286,30 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     rows = coded(docs, vocabulary, scratch)
     shards = sharded(rows, scratch, rounds)
     return score(rows, shards, counts, train(shards, vocabulary.by_code, rounds))
+
+
+def held_out(docs: DataFrame, share: int = 5, rounds: int = ROUNDS) -> DataFrame:
+    """(n_tokens, mean_log_prob, unigram): one document in `share`, told by a hash of its text, under what is learned from the others.
+
+    unigram gives every word its share of all tokens learned from, contexts aside. Words that are in none of the documents
+    learned from count as seen once in their code, for both.
+    """
+    tune(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "lm-trial")
+    apart = F.coalesce(F.pmod(F.xxhash64(F.col("text").cast("string"), F.lit(1)), F.lit(share)) == 0, F.lit(False))
+    others, own = docs.filter(~apart), docs.filter(apart)
+    counts = scratch.cut(counted(others))
+    vocabulary = Vocabulary.of(counts)
+    net = train(sharded(coded(others, vocabulary, scratch), scratch, rounds), vocabulary.by_code, rounds)
+    rows = coded(own, vocabulary, scratch)
+    logs = np.log((vocabulary.by_code + 0.5) / (vocabulary.by_code.sum() + 0.5 * CODES))
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of_codes = [float(logs[np.frombuffer(x.as_py(), dtype="<u2")].sum()) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(of_codes, pa.float64()), batch.column(2)], names=["u_", "of_codes", "within"])
+
+    base = rows.select("row", "codes", "within").mapInArrow(plain, "u_ long, of_codes double, within long").join(_rest(rows, counts), F.col("u_") == F.col("r_"), "left")
+    base = base.agg(F.sum(F.col("of_codes") + (F.col("within") + F.coalesce("more", F.lit(0))) / (1 << LOG_FINE)).alias("base"))
+    found = score(rows, sharded(rows, scratch, rounds), counts, net).agg(F.sum("n_tokens").alias("n_tokens"), F.sum("log_prob").alias("total"))
+    return found.crossJoin(base).select("n_tokens", (F.col("total") / F.col("n_tokens")).alias("mean_log_prob"), (F.col("base") / F.col("n_tokens")).alias("unigram"))  # one row each

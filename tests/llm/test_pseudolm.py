@@ -199,3 +199,18 @@ def test_each_word_has_a_probability_of_its_own(spark, monkeypatch):
         assert abs(got[9] - got[15] - np.log(3)) < 1e-5 and got[9] < 0
         assert heavy == 1 or all(abs(got[i] - before[i]) < 1e-4 for i in got)
         before = got
+
+
+def test_contexts_tell_more_than_frequencies_of_rows_not_learned_from(spark):
+    rng = random.Random(9)
+    follows = {f"w{i}": [f"w{(i * 7 + k) % 60}" for k in range(3)] for i in range(60)}
+
+    def text():
+        out = ["w0"]
+        while len(out) < 400:
+            out.append(rng.choice(follows[out[-1]]))
+        return " ".join(out)
+
+    r = p.held_out(frame(spark, [text() for _ in range(400)])).first()
+    assert r["n_tokens"] > 20_000 and r["unigram"] < -3.5
+    assert r["mean_log_prob"] > r["unigram"] + 0.3
