@@ -28,9 +28,9 @@ def _prints(rows: DataFrame, columns: Sequence[str]) -> list[Column]:
 
 
 def copy_counts(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row (n_rows, n_copies): all rows, and those that equal another one which is counted already; one scan."""
+    """One row (n_rows, n_copies): rows that differ from each other, and those that repeat one of them; one scan."""
     each = rows.select(*_prints(rows, columns or rows.columns)).groupBy("h_", "g_").agg(F.count("*").alias("n_"))
-    return each.agg(F.coalesce(F.sum("n_"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("n_") - 1), F.lit(0)).alias("n_copies"))
+    return each.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(F.col("n_") - 1), F.lit(0)).alias("n_copies"))
 
 
 def repeated(rows: DataFrame, row_id: str, columns: Sequence[str] | None = None) -> DataFrame:

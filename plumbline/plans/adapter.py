@@ -6,6 +6,8 @@ SQL holds the same definitions for the oracle.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,13 +94,26 @@ def aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.aggregates(final(spark, sf_dir), 600)
 
 
-def table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The aggregates as a table, for metrics that read them several times: a row for each segment, computed once.
+def place(spark: SparkSession, name: str) -> str:
+    """A new folder that all machines see: only where everything runs on one may it be below the warehouse."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/plumbline-sources/{name}-{uuid.uuid4().hex}"
+
 
-    A run over months reads them back from the warehouse instead.
-    """
-    agg = aggregates(spark, sf_dir)
-    return spark.createDataFrame(agg.toArrow(), schema=agg.schema)
+def kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """rows written to the shared folder once, for queries that read them several times."""
+    at = place(spark, name)
+    rows.write.parquet(at)
+    return spark.read.schema(rows.schema).parquet(at)
+
+
+def table_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregates as a table, for metrics that read them several times; a run over months reads its warehouse instead."""
+    return kept(spark, aggregates(spark, sf_dir), "aggregates")
 
 
 def kpi(spark: SparkSession, agg: DataFrame) -> DataFrame:

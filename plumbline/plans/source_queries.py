@@ -2,31 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.plans.adapter import read
+from plumbline.plans.adapter import place, read
 from plumbline.plans.kpi_queries import query
 from plumbline.sources import footers, sqlite, tables
 
 
-def _place(spark: SparkSession, name: str) -> str:
-    """A new folder that all machines see: only where everything runs on one may it be below the warehouse."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-        shared = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/plumbline-sources/{name}-{uuid.uuid4().hex}"
-
-
 @query("csv_typed", "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_acctbal AS DOUBLE) AS c_acctbal FROM customer")
 def csv_typed(spark: SparkSession, d: str) -> DataFrame:
     """CSV with a header by a contract of types."""
-    at = _place(spark, "typed")
+    at = place(spark, "typed")
     read(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal").write.option("header", True).csv(at)
     return tables.csv(spark, at, "c_custkey long, c_name string, c_acctbal double")
 
@@ -34,7 +22,7 @@ def csv_typed(spark: SparkSession, d: str) -> DataFrame:
 @query("csv_text", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders")
 def csv_text(spark: SparkSession, d: str) -> DataFrame:
     """CSV as text, empty fields null."""
-    at = _place(spark, "text")
+    at = place(spark, "text")
     read(spark, d, "orders").select("o_orderkey", F.expr("nullif(o_orderstatus, 'P')").alias("o_orderstatus")).write.option("header", True).csv(at)
     return tables.csv(spark, at)
 
@@ -42,7 +30,7 @@ def csv_text(spark: SparkSession, d: str) -> DataFrame:
 @query("json_array_pages", "SELECT c_custkey AS key, c_name AS name FROM customer")
 def json_array_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages of an API that each hold an array, read as one frame."""
-    at = _place(spark, "pages")
+    at = place(spark, "pages")
     rows = read(spark, d, "customer").withColumn("page", F.floor(F.col("c_custkey") / 100))
     pages = rows.groupBy("page").agg(F.to_json(F.collect_list(F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")))).alias("value"))  # a hundred rows a page
     pages.repartition(16, "page").select("value").write.text(at)
@@ -62,7 +50,7 @@ CONTRACT = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructFiel
 )
 def schema_contract(spark: SparkSession, d: str) -> DataFrame:
     """FIL01, ZON01, S12: the footer of every file of a table against a contract; one file has drifted."""
-    at, orders = _place(spark, "drift"), read(spark, d, "orders")
+    at, orders = place(spark, "drift"), read(spark, d, "orders")
     for i in range(4):
         rows = orders.filter(F.col("o_orderkey") % 4 == i)
         rows = rows if i < 3 else rows.withColumn("o_totalprice", F.col("o_totalprice").cast("string")).withColumnRenamed("o_orderpriority", "o_note")
@@ -74,7 +62,7 @@ def schema_contract(spark: SparkSession, d: str) -> DataFrame:
 @query("sqlite_scan", "SELECT c_custkey, c_name, c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
 def sqlite_scan(spark: SparkSession, d: str) -> DataFrame:
     """SQLite files of a table, each written by a task, read in equal shares of rows."""
-    folder = _place(spark, "sqlite").removeprefix("file:")
+    folder = place(spark, "sqlite").removeprefix("file:")
     rows = read(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey").repartition(3, "c_custkey")
     paths = [r[0] for r in sqlite.write(rows, folder, "customer").collect()]  # one a partition
     return sqlite.scan(spark, paths, "customer", 256).drop("rowid_")
@@ -83,7 +71,7 @@ def sqlite_scan(spark: SparkSession, d: str) -> DataFrame:
 @query("control_lookup", "SELECT CAST(count(*) * 1000 * 31 AS BIGINT) AS control_total FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-01' AND o_orderstatus = 'F'")
 def control_lookup(spark: SparkSession, d: str) -> DataFrame:
     """A per-day figure with thousands separators from a report in CSV, times the days of the month."""
-    at = _place(spark, "report")
+    at = place(spark, "report")
     per = read(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("Month/Year"), F.col("o_orderstatus").alias("License Class")).agg(F.count("*").alias("n"))
     per.select("`Month/Year`", "`License Class`", F.format_number(F.col("n") * 1000, 0).alias("Trips Per Day")).write.option("header", True).csv(at)
     found = tables.lookup_number(tables.csv(spark, at), {"Month/Year": "1996-01", "License Class": "F"}, "Trips Per Day")

@@ -25,7 +25,7 @@ LATER = [("L1", "Clack", "K1"), ("L2", "View", "K2"), ("L3", "Purchase", "K3"),
 )
 def names_as_of(spark: SparkSession, d: str) -> DataFrame:
     """A month keeps the brands that it was published with; two of them change between two months."""
-    agg = a.aggregates(spark, d).filter("level = 'dispatcher'").select("month", "hvfhs_license_num", "wav_requested", "n_records", "n_clean")
+    agg = a.table_of(spark, d).filter("level = 'dispatcher'").select("month", "hvfhs_license_num", "wav_requested", "n_records", "n_clean")
     both = agg.unionByName(agg.withColumns({"month": F.lit("2024-02"), "n_records": F.col("n_records") * 2}))
     seen = [("2024-01", x, y) for x, y, _ in a.LICENSEES] + [("2024-02", x, y) for x, y, _ in LATER]
     brands = v.versions(parameter_rows(spark, seen, "month string, hvfhs_license_num string, brand string"), ["hvfhs_license_num"], "month", ["brand"])
