@@ -7,6 +7,7 @@ import uuid
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -53,6 +54,21 @@ def keep_freed(top: int = 64 << 20, block: int = 32 << 20) -> None:
     mallopt(_MAP, block)
 
 
+@cache
+def _trimmer():
+    """glibc's malloc_trim, or something that does nothing."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError, TypeError):
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Return memory that this worker has freed to the machine; workers stay alive between tasks with what they hold."""
+    pa.default_memory_pool().release_unused()
+    _trimmer()(0)
+
+
 def unused(name: str, columns: list[str]) -> str:
     """The name, with as many underscores behind it as it takes to be none of the columns."""
     taken = {c.lower() for c in columns}

@@ -288,24 +288,34 @@ def _joined(scanned: DataFrame, row: str, patterns: DataFrame) -> DataFrame:
     return by.select("pii_r_", F.transform("added", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("pii_added_"))
 
 
-def _found(docs: DataFrame, carried: Sequence[str], scratch: Scratch) -> DataFrame:
-    """The carried columns with base spans in pii_base_ and those that the method adds in pii_added_. Texts are scanned once."""
+def _found(docs: DataFrame, carried: Sequence[str], scratch: Scratch, finish=None, schema: T.StructType | None = None) -> DataFrame:
+    """The carried columns with base spans in pii_base_ and those that the method adds in pii_added_. Texts are scanned once.
+
+    finish(columns, base, added) may make a batch of `schema` of them instead, in the same pass.
+    """
     scanned = scratch.cut(scan(docs, carried).withColumn("pii_row_", F.monotonically_increasing_id()))
     table = bootstrap(graph_of(scanned, scratch), scratch)
-    patterns = _held(table)
+    patterns, n = _held(table), len(carried)
+    rows, last = scanned.drop("pii_row_"), "pii_seen_"
     if patterns is None:
         joined = scanned.drop("pii_seen_").join(_joined(scanned, "pii_row_", table), F.col("pii_row_") == F.col("pii_r_"), "left").drop("pii_r_", "pii_row_")
-        return joined.withColumn("pii_added_", F.coalesce("pii_added_", F.array().cast(_SPANS)))
-    rows = scanned.drop("pii_row_")
-    schema = T.StructType([*rows.drop("pii_seen_").schema, *T.StructType.fromDDL(f"pii_added_ {_SPANS}")])
+        rows, last = joined.withColumn("pii_added_", F.coalesce("pii_added_", F.array().cast(_SPANS))), "pii_added_"
+    kept = T.StructType([*rows.drop(last).schema, *T.StructType.fromDDL(f"pii_added_ {_SPANS}")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = batch.column(batch.num_columns - 1)
-            added = [[{"kind": k, "start": a, "end": b} for k, a, b in _marked(s.as_py(), patterns)] if patterns else [] for s in seen]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(added, _FOUND)], names=schema.names)
+            base, seen = batch.column(n), batch.column(n + 1)
+            added = seen
+            if patterns is not None:
+                added = pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in _marked(s.as_py(), patterns)] if patterns else [] for s in seen], _FOUND)
+            if finish:
+                yield finish(batch.columns[:n], base, added)
+            else:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], added], names=kept.names)
 
-    return rows.mapInArrow(run, schema)
+    if patterns is None and not finish:
+        return rows
+    return rows.mapInArrow(run, schema or kept)
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -337,7 +347,6 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     schema, at = docs.schema, docs.columns.index("text")
     plain = [f"c{i}" if i != at else "text" for i in range(len(schema))]  # none of the names that are used within
-    rows = _found(docs.toDF(*plain), plain, Scratch(docs.sparkSession, "redact"))
 
     def clean(text: str, spans: list[dict]) -> str:
         parts, end = [], 0
@@ -347,11 +356,9 @@ def redact(docs: DataFrame) -> DataFrame:
             end = max(end, s["end"])
         return "".join(parts) + text[end:]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            base, added = batch.columns[len(schema) :]
-            text = [clean(t.as_py(), spans) if (spans := b.as_py() + a.as_py()) else t.as_py() for t, b, a in zip(batch.column(at), base, added)]
-            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if i == at else c for i, c in enumerate(batch.columns[: len(schema)])], names=schema.names)
+    def finish(columns: list[pa.Array], base: pa.Array, added: pa.Array) -> pa.RecordBatch:
+        text = [clean(t.as_py(), spans) if (spans := b.as_py() + a.as_py()) else t.as_py() for t, b, a in zip(columns[at], base, added, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(text, pa.string()) if i == at else c for i, c in enumerate(columns)], names=schema.names)
 
-    out = rows.mapInArrow(run, schema)
+    out = _found(docs.toDF(*plain), plain, Scratch(docs.sparkSession, "redact"), finish, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

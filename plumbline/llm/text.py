@@ -9,7 +9,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-from plumbline.llm.common import GOLDEN, mix64
+from plumbline.llm.common import GOLDEN, give_back, mix64
 
 #: ASCII white space: space and U+0009 to U+000D.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -91,6 +91,7 @@ def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[Slice]:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         yield Slice(lo, hi, whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         lo = hi
+    give_back()
 
 
 class Words(NamedTuple):
