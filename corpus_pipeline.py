@@ -14,27 +14,42 @@ NEAR = (80, 100)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised: texts without a letter and ambiguous ones go."""
+    """Documents whose language is recognised: texts without a letter and ambiguous ones go.
+
+    Null, empty and blank texts have no letter. Repeated rows stay or go together; no rows in, no rows out.
+    """
     return langid.recognised(docs, langid.train(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicate texts at a similarity of 0.8: that of the least doc_id, if it has any."""
+    """One row of each group of near-duplicate texts at a similarity of 0.8: that of the least doc_id, if it has any.
+
+    Null and blank texts are near nothing: such rows stay, but for repeated ones of one doc_id. No rows in, no rows out.
+    """
     return dedup.survivors(docs, *NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found.
+
+    Null, empty and blank texts hold none. Without items all documents stay; no rows in, no rows out.
+    """
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind in brackets and n_chars counted again."""
+    """All documents, personal data replaced by its kind in brackets and n_chars counted again.
+
+    Null texts stay null and empty ones empty; repeated rows repeat; no rows in, no rows out.
+    """
     return pii.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and the sequences they lie in."""
+    """The pieces of all documents and the sequences they lie in.
+
+    Null and empty texts are the one id that ends a document. Repeated rows repeat; no rows in, no rows out.
+    """
     return packing.sequences(docs)
 
 
