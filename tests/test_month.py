@@ -132,3 +132,19 @@ def test_driver_rounds_as_spark_does(spark):
     values = [0.00005, 2.5, 1.00005, 0.12345, -0.00005, 1 / 3, 2 / 3, 0.89995, 1e-9, 123456.78905, 0.0, None]
     got = spark.createDataFrame([(v,) for v in values], "x double").select(F.round("x", 4)).collect()
     assert [r[0] for r in got] == [half_up(v, 4) for v in values]
+
+
+def test_a_month_on_another_file_system(spark, settings, tmp_path):
+    """Warehouse, shared files and pages behind viewfs, which only Hadoop's clients can read."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.month.link./m", f"file://{tmp_path}/far")
+    far = settings.override({"paths.warehouse": "viewfs://month/m/wh", "paths.shared": "viewfs://month/m/shared"})
+    (tmp_path / "far").mkdir()
+    server = serve(far, tmp_path)
+    got = go(spark, far, server)
+    assert got["status"] == "OK", got
+    assert (tmp_path / "far" / "wh" / "commits" / "0000000001.json").exists() and not (tmp_path / "wh").exists()
+    again = go(spark, far, None, offline=True)
+    assert again["status"] == "OK" and again["months"]["2026-02"]["retrieval_status"] == "RECONCILED"
+    w = Engine(spark, far, offline=True).warehouse
+    assert w.root.startswith("viewfs:") and w.table("fct_wav_trip").count() == 31 and w.commits() == [1, 2]
+    assert {r["brand"] for r in w.reference("dim_licensee").collect()} >= {"Uber", "Lyft"}
