@@ -119,6 +119,14 @@ def _drawn(c: int) -> tuple[np.ndarray, np.ndarray]:
         return mix64(name * GOLDEN), np.sort((least + draw * (steps - least)).astype(np.int64), axis=2)
 
 
+@cache
+def _moves(steps: int) -> np.ndarray:
+    """(step, walk) -> an odd number. A word's hash times it has a first bit, which is whether a walk moves on from the word."""
+    with np.errstate(over="ignore"):
+        at = np.arange(1, steps + 1, dtype=np.uint64)[:, None] + np.arange(WALKS, dtype=np.uint64) * np.uint64(1 << 20)
+        return mix64(at * GOLDEN) | np.uint64(1)
+
+
 def embed_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, size: np.ndarray | int) -> np.ndarray:
     """LSH keys, WALKS * SAMPLES a row, of the CGK walks of 2 * size steps over size words of h from `start`, or up to `stop`.
 
@@ -129,7 +137,7 @@ def embed_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, size: np.ndar
     lengths, which = np.unique(size, return_inverse=True)
     drawn = [_drawn(int(c)) for c in lengths]
     names, places = (np.stack([d[i] for d in drawn]) if drawn else np.zeros((0, WALKS, SAMPLES, PLACES)[: 3 + i], np.int64) for i in range(2))
-    walk, padded = np.arange(WALKS, dtype=np.uint64), np.append(h, np.uint64(0))
+    padded = np.append(h, np.uint64(0))
     out, order, lo = np.empty((n, WALKS * SAMPLES), np.uint64), np.argsort(-size, kind="stable"), 0
     while lo < n:  # rows by size from the longest, so that those still walking are the first of a part
         steps = 2 * int(size[order[lo]])
@@ -138,6 +146,7 @@ def embed_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, size: np.ndar
         symbols = np.empty((steps, len(rows), WALKS), np.uint64)
         longest, own = -2 * size[rows], which[rows]
         pos, end = np.repeat(start[rows][:, None], WALKS, axis=1), np.minimum(start + size, stop)[rows][:, None]
+        moves = _moves(steps)
         with np.errstate(over="ignore"):
             for t in range(int(places[own].max()) + 1):
                 live = int(np.searchsorted(longest, -t))
@@ -145,8 +154,7 @@ def embed_keys(h: np.ndarray, start: np.ndarray, stop: np.ndarray, size: np.ndar
                 inside = p < end[:live]
                 symbol = np.where(inside, padded[np.minimum(p, len(h))], np.uint64(0x5BD1E995))
                 symbols[t, :live] = symbol
-                coin = mix64(symbol + (walk * np.uint64(1 << 20) + np.uint64(t + 1)) * GOLDEN) & np.uint64(1)
-                p += coin.astype(bool) & inside
+                p += ((symbol * moves[t]) >> np.uint64(63)).astype(bool) & inside
             acc = mix64(padded[start[rows]][:, None, None] + names[own])
             for k in range(PLACES):
                 seen = symbols[places[own][:, :, :, k], np.arange(len(rows))[:, None, None], np.arange(WALKS)[None, :, None]]
