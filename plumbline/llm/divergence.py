@@ -32,7 +32,7 @@ SCALE, SMOOTH = 10**9, 5
 #: Ranks of favoured terms that are reported.
 TOP = 50
 #: A task holds at most about so many partial counts before it gives them out.
-HELD = 1 << 19
+HELD = 3 << 18
 #: Rows of an Arrow batch that is given out.
 OUT = 1 << 16
 #: Distances of so many sources at most are summed within a task; of more, within a batch.

@@ -36,7 +36,7 @@ def graphs():
     yield []
 
 
-@pytest.mark.parametrize("edges", graphs())
+@pytest.mark.parametrize("edges", list(graphs()))
 def test_labels_are_the_least_node_that_is_reached(spark, edges):
     found = components(spark.createDataFrame(edges, "a long, b long").repartition(3), Scratch(spark, "t")).collect()
     assert len(found) == len({r["node"] for r in found}) and {tuple(r) for r in found} == plain(edges)
