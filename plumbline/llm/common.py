@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import time
 import uuid
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -69,6 +71,33 @@ def give_back() -> None:
     _trimmer()(0)
 
 
+#: The driver's JVM is asked to return memory no more often than every so many seconds; when it last was.
+EVERY, _last = 5.0, [-1e9]
+
+
+def settle(spark: SparkSession) -> bool:
+    """Return memory that the driver's Python and JVM have freed to the machine; whether the JVM did now.
+
+    The hundreds of threads that a driver runs jobs with leave freed blocks in as many as eight pools a core of the C
+    library, which keeps them. HotSpot has a command against that since 17.0.9; other JVMs keep their ways.
+    """
+    give_back()
+    if time.monotonic() - _last[0] < EVERY:
+        return False
+    _last[0] = time.monotonic()
+    context = spark.sparkContext
+    jvm = context._jvm
+    try:
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        call = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        given = context._gateway.new_array(jvm.java.lang.Object, 4)  # the command takes nothing: no values, no types
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        call.invoke(server, given)
+    except Py4JError:
+        return False
+    return True
+
+
 def unused(name: str, columns: list[str]) -> str:
     """The name, with as many underscores behind it as it takes to be none of the columns."""
     taken = {c.lower() for c in columns}
@@ -127,6 +156,7 @@ class Scratch:
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         self.__dict__.setdefault("_keep", []).append(out)
+        settle(self.spark)
         return out
 
     def drop(self, *tables: DataFrame) -> None:

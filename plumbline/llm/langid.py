@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import tune
+from plumbline.llm.common import settle, tune
 from plumbline.llm.sampling import fold, per_class
 from plumbline.llm.text import lower, slices
 
@@ -128,10 +128,24 @@ def fit(x: np.ndarray, langs: np.ndarray, steps: int = 150, rate: float = 0.5, d
     return Model(names, code, w, b.astype(float), np.clip(trust, 0.05, None) / np.clip(trust, 0.05, None).mean())
 
 
+def packed(x: np.ndarray) -> bytes:
+    """A row of features as half floats: which of them aren't zero, a bit each, and these."""
+    half = x.astype(np.float16)
+    held = half != 0
+    return np.packbits(held).tobytes() + half[held].tobytes()
+
+
+def unpack(row: bytes | pa.Buffer, into: np.ndarray) -> None:
+    """Fill a row of zeros with what packed() was given, to the precision of half floats."""
+    raw, bits = np.frombuffer(row, dtype=np.uint8), -(-len(into) // 8)
+    into[np.unpackbits(raw[:bits], count=len(into)).view(bool)] = raw[bits:].view(np.float16)
+
+
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on text and lang of a bounded sample: rows with both, outside the held-out fold, first by a hash of doc_id.
 
-    The sample is put in order before it is fitted, so that the layout of the rows makes no difference.
+    The sample is put in order before it is fitted, so that the layout of the rows makes no difference. It comes to the
+    driver packed, and is held there once as what is fitted; what the driver has freed by then goes back to the machine.
     """
     usable = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     usable = usable.filter("text is not null and lang is not null and doc_id is not null").filter(fold("doc_id", 5) != 0)
@@ -145,12 +159,18 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in slices(batch.column(1)):
-                rows = [x.astype(np.float16).tobytes() for x in ngram_counts(s.data, s.offsets)]
+                rows = [packed(x) for x in ngram_counts(s.data, s.offsets)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.lo, s.hi - s.lo), pa.array(rows, pa.binary())], names=["lang", "x"])
 
     got = sample.select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow().sort_by([("lang", "ascending"), ("x", "ascending")])
-    x = np.stack([np.frombuffer(v.as_buffer(), dtype=np.float16) for v in got["x"]]).astype(np.float32)
-    return fit(x, np.array(got["lang"].to_pylist()))
+    x, langs = np.zeros((got.num_rows, 1 << BITS), np.float32), np.array(got["lang"].to_pylist())
+    for row, into in zip(got["x"], x, strict=True):
+        unpack(row.as_buffer(), into)
+    del got, picked, sample
+    model = fit(x, langs)
+    del x, into
+    settle(docs.sparkSession)
+    return model
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
