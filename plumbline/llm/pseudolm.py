@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -103,13 +104,32 @@ class Vocabulary:
         order = np.argsort(word)
         return Vocabulary(word[order], code(word[order]), _logs(n[order]), by_code)
 
+    @cached_property
+    def _begins(self) -> tuple[np.uint64, np.ndarray]:
+        """A shift, and where the words begin that are no less than each number that it leaves, put back: hashes are
+        spread evenly, so that few words lie between two such places."""
+        bits = len(self.words).bit_length()
+        shift = np.uint64(64 - bits)
+        return shift, np.searchsorted(self.words, np.arange(1 << bits, dtype=np.uint64) << shift).astype(np.int32)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """For each hash the place of the first word that is no less, or of the last word, as by binary search."""
+        shift, begins = self._begins
+        last = len(self.words) - 1
+        at = np.minimum(begins[(h >> shift).astype(np.int64)], last)
+        less = np.flatnonzero((self.words[at] < h) & (at < last))
+        while len(less):
+            at[less] += 1
+            less = less[(self.words[at[less]] < h[less]) & (at[less] < last)]
+        return at
+
     def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For word hashes: codes; the whole logarithm of each word's share of its code, without the counts of those not held; which those are."""
         whole = _logs(np.maximum(self.by_code, 1))
         code = hashed(h)
         if not len(self.words):
             return code.astype(np.uint16), -whole[code], np.ones(len(h), dtype=bool)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        at = self._find(h)
         held = self.words[at] == h
         code = np.where(held, self.codes[at], code)
         return code.astype(np.uint16), np.where(held, self.logs[at], 0) - whole[code], ~held

@@ -63,32 +63,32 @@ class Network:
 
     def hidden(self, near: np.ndarray) -> np.ndarray:
         """The hidden layer at places REACH to len(near) - REACH of the neighbours' vectors `near`."""
-        n = len(near) - 2 * REACH
-        z, part = np.tile(self.bias, (n, 1)), np.empty((n, HIDDEN), np.float32)
-        for o, d in zip(OFFSETS, self.scale):
-            z += np.multiply(near[REACH + o : REACH + o + n], d, out=part)
-        return np.tanh(z, out=z)
+        z = np.tile(self.bias, (len(near) - 2 * REACH, 1))
+        wide, part = np.tile(self.scale, (1, WIDE)), np.empty((4 * BLOCK, HIDDEN), np.float32)
+        for lo, hi in _blocks(0, len(z), len(part)):
+            for o, d in zip(OFFSETS, wide):
+                z[lo:hi] += _scaled(near[REACH + o + lo : REACH + o + hi], d, part)
+            np.tanh(z[lo:hi], out=z[lo:hi])
+        return z
+
+    def _near(self, stream: np.ndarray) -> np.ndarray:
+        """The vectors of a stream's codes."""
+        return np.take(self.vectors, stream.astype(np.int64), axis=0)
+
+    def _layers(self, t: _Targets) -> list[tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]]:
+        """For members and for classes: weights, the biases as their last row; what is to be predicted; and (weights, from,
+        to) of the runs of targets that have the same ones."""
+        to_member = np.concatenate((self.to_member, self.member_bias[:, None]), axis=1)
+        to_class = np.concatenate((self.to_class, self.class_bias[None]))[None]
+        return [(to_member, t.member, t.runs), (to_class, t.cls, [(0, 0, len(t.cls))])]
 
     def log_probs(self, stream: np.ndarray) -> np.ndarray:
         """The log-probability of each code of a stream but the first and last REACH; 0 where it is OUTSIDE."""
-        h = self.hidden(self.vectors[stream])
-        goal = stream[REACH : len(stream) - REACH]
-        t = _Targets.of(goal)
-        out = np.zeros(len(goal), np.float32)
-        h = h[t.places]
-        out[t.places] = _log_softmax_at(self._classes(h), t.cls) + _log_softmax_at(self._members(h, t), t.member)
-        return out
-
-    def _classes(self, h: np.ndarray) -> np.ndarray:
-        out = h @ self.to_class
-        out += self.class_bias
-        return out
-
-    def _members(self, h: np.ndarray, t: _Targets) -> np.ndarray:
-        """Logits of the members of each target's class."""
-        out = self.member_bias[t.cls]
-        for c, lo, hi in t.runs:
-            out[lo:hi] += h[lo:hi] @ self.to_member[c]
+        t = _Targets.of(stream[REACH : len(stream) - REACH])
+        h = t.sorted(self.hidden(self._near(stream)))
+        lp = sum(_log_softmax_at(_logits(h, weights, runs), at) for weights, at, runs in self._layers(t))
+        out = np.zeros(len(t.order), np.float32)
+        out[t.order[: len(h)]] = lp
         return out
 
     def gradients(self, stream: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]] | None:
@@ -96,51 +96,68 @@ class Network:
 
         The first gradient has a row for each of those codes. None if nothing in the stream is predicted.
         """
-        near = self.vectors[stream]
-        h_all = self.hidden(near)
         t = _Targets.of(stream[REACH : len(stream) - REACH])
-        if not len(t.places):
+        n = len(t.cls)
+        if not n:
             return None
-        h = h_all[t.places]
-        g = _error(self._classes(h), t.cls)
-        g_class, g_class_bias, gh = h.T @ g, g.sum(axis=0), g @ self.to_class.T
-        g = _error(self._members(h, t), t.member)
-        g_member, g_member_bias = np.zeros_like(self.to_member), np.zeros_like(self.member_bias)
-        for c, lo, hi in t.runs:
-            np.matmul(h[lo:hi].T, g[lo:hi], out=g_member[c])
-            gh[lo:hi] += g[lo:hi] @ self.to_member[c].T
-        g_member_bias[[c for c, _, _ in t.runs]] = np.add.reduceat(g, [lo for _, lo, _ in t.runs])
-        gz = np.zeros_like(h_all)
-        gz[t.places] = gh * (1 - h * h)
+        near = self._near(stream)
+        h = t.sorted(self.hidden(near))
+        gh, part = np.zeros((len(t.order), HIDDEN), np.float32), np.empty((n, HIDDEN), np.float32)
+        found = []
+        for weights, at, runs in self._layers(t):
+            x, grad = _logits(h, weights, runs), np.zeros_like(weights)
+            share = _errors(x, at)[:, None]
+            scaled = h * share
+            for c, lo, hi in runs:
+                np.matmul(scaled[lo:hi].T, x[lo:hi], out=grad[c])
+                np.matmul(x[lo:hi], weights[c, :HIDDEN].T, out=part[lo:hi])
+            part *= share
+            gh[:n] += part
+            found.append(grad)
+        h = h[:, :HIDDEN]
+        gh[:n] *= 1 - h * h
+        gz = t.placed(gh)
         g_near, g_scale = np.zeros_like(near), np.empty_like(self.scale)
-        part = np.empty_like(gz)
+        wide, part, ones = np.tile(self.scale, (1, WIDE)), np.empty_like(gz), np.ones(len(gz), np.float32)
         for i, o in enumerate(OFFSETS):
             at = slice(REACH + o, REACH + o + len(gz))
-            g_near[at] += np.multiply(gz, self.scale[i], out=part)
-            g_scale[i] = np.einsum("ij,ij->j", gz, near[at])
-        order = np.argsort(stream, kind="stable")
-        codes, first = np.unique(stream[order], return_index=True)
-        return codes, [np.add.reduceat(g_near[order], first), g_scale, gz.sum(axis=0), g_class, g_class_bias, g_member, g_member_bias]
+            g_near[at] += _scaled(gz, wide[i], part)
+            g_scale[i] = ones @ np.multiply(gz, near[at], out=part)
+        at = stream.astype(np.int64)
+        codes = np.flatnonzero(np.bincount(at, minlength=CODES + 1))
+        g_vectors = np.stack([np.bincount(at, g, CODES + 1)[codes] for g in np.ascontiguousarray(g_near.T)], axis=1).astype(np.float32)
+        g_member, g_class = found
+        return codes, [g_vectors, g_scale, ones @ gz, g_class[0, :HIDDEN], g_class[0, HIDDEN], g_member[:, :HIDDEN], g_member[:, HIDDEN]]
 
 
 @dataclass
 class _Targets:
-    """What a stream's places predict, by class: places, class and member of each, and (class, from, to) of its run."""
+    """What a stream's places predict: places by class, those outside last; class and member of each that is predicted,
+    and (class, from, to) of the run of each class."""
 
-    places: np.ndarray
+    order: np.ndarray
     cls: np.ndarray
     member: np.ndarray
     runs: list[tuple[int, int, int]]
 
     @staticmethod
     def of(goal: np.ndarray) -> _Targets:
-        places = np.flatnonzero(goal != OUTSIDE)
-        cls = (goal[places] // MEMBERS).astype(np.uint8)
-        order = np.argsort(cls, kind="stable")
-        places, cls = places[order], cls[order]
-        ends = (np.flatnonzero(np.diff(cls.astype(np.int16), append=-1)) + 1).tolist() if len(cls) else []
-        runs = [(int(cls[hi - 1]), lo, hi) for lo, hi in zip([0, *ends], ends)]
-        return _Targets(places, cls, (goal[places] % MEMBERS).astype(np.int64), runs)
+        order = np.argsort((goal // MEMBERS).astype(np.uint8), kind="stable")  # OUTSIDE is beyond all classes
+        cls, member = np.divmod(goal[order[: np.count_nonzero(goal != OUTSIDE)]].astype(np.int64), MEMBERS)
+        ends = np.cumsum(np.bincount(cls, minlength=CLASSES)).tolist()
+        return _Targets(order, cls, member, [(c, lo, hi) for c, (lo, hi) in enumerate(zip([0, *ends], ends)) if hi > lo])
+
+    def sorted(self, rows: np.ndarray) -> np.ndarray:
+        """The rows of places that are predicted in the order of classes, and a column of ones, which biases are weights of."""
+        out = np.ones((len(self.cls), HIDDEN + 1), np.float32)
+        out[:, :HIDDEN] = np.take(rows, self.order[: len(self.cls)], axis=0)
+        return out
+
+    def placed(self, rows: np.ndarray) -> np.ndarray:
+        """Rows in the order of classes, those of places outside last, at their places."""
+        at = np.empty_like(self.order)
+        at[self.order] = np.arange(len(at))
+        return np.take(rows, at, axis=0)
 
 
 class Learner:
@@ -172,20 +189,58 @@ class Learner:
 
 #: Logits are held below this, so that their exponentials stay finite without a search for each row's largest.
 TOP = np.float32(60)
+#: Places that are worked on at once where a core's cache then holds what is looked at several times; rows taken as one.
+BLOCK, WIDE = 1024, 16
+_ONES = np.ones(max(CLASSES, MEMBERS), np.float32)
+
+
+def _blocks(lo: int, hi: int, size: int = BLOCK) -> Iterator[tuple[int, int]]:
+    return ((x, min(hi, x + size)) for x in range(lo, hi, size))
+
+
+def _scaled(rows: np.ndarray, wide: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Each row times a vector, of which `wide` is WIDE copies, in the first rows of `out`; numpy is fast on long rows."""
+    out, many = out[: len(rows)], len(rows) // WIDE * WIDE
+    np.multiply(rows[:many].reshape(-1, WIDE * HIDDEN), wide, out=out[:many].reshape(-1, WIDE * HIDDEN))
+    np.multiply(rows[many:], wide[:HIDDEN], out=out[many:])
+    return out
+
+
+def _held(x: np.ndarray) -> np.ndarray:
+    return np.minimum(x, TOP, out=x) if x.max() > TOP else x
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Turn logits into exponentials; the sum of each row's."""
+    return np.exp(x, out=x) @ _ONES[: x.shape[1]]
+
+
+def _errors(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What each row of x has to be multiplied by to be the gradient of the mean negative log-softmax at `at` by the logits x.
+
+    The logits are overwritten. Their products with weights and hidden layers, which are smaller, can be multiplied instead.
+    """
+    total = np.concatenate([_sums(_held(x[lo:hi])) for lo, hi in _blocks(0, len(x))])
+    x[np.arange(len(x)), at] -= total
+    return 1 / (total * np.float32(len(x)))
 
 
-def _error(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The gradient of the mean negative log-softmax at `at` by the logits x, which are overwritten."""
-    np.exp(np.minimum(x, TOP, out=x), out=x)
-    x /= x.sum(axis=1, keepdims=True) * len(x)
-    x[np.arange(len(x)), at] -= np.float32(1 / len(x))
+def _logits(h: np.ndarray, weights: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+    """A row of logits for each row of h, from the weights of its run."""
+    x = np.empty((len(h), weights.shape[2]), np.float32)
+    for c, lo, hi in runs:
+        np.matmul(h[lo:hi], weights[c], out=x[lo:hi])
     return x
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    np.minimum(x, TOP, out=x)
-    picked = x[np.arange(len(x)), at]
-    return picked - np.log(np.exp(x, out=x).sum(axis=1))
+    """The log-softmax at `at` of the logits x, which are overwritten."""
+    out = np.empty(len(x), np.float32)
+    for lo, hi in _blocks(0, len(x)):
+        part = _held(x[lo:hi])
+        picked = part[np.arange(hi - lo), at[lo:hi]]
+        out[lo:hi] = picked - np.log(_sums(part))
+    return out
 
 
 def joined(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

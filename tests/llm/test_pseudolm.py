@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import timeit
 from collections import Counter
 
 import numpy as np
@@ -214,3 +215,72 @@ def test_contexts_tell_more_than_frequencies_of_rows_not_learned_from(spark):
     r = p.held_out(frame(spark, [text() for _ in range(400)])).first()
     assert r["n_tokens"] > 20_000 and r["unigram"] < -3.5
     assert r["mean_log_prob"] > r["unigram"] + 0.3
+
+
+def vocabulary(held, seed=1):
+    rng = np.random.default_rng(seed)
+    return p.Vocabulary(held, rng.integers(0, w.CODES, len(held)), rng.integers(1, 1 << 40, len(held)), rng.integers(1, 10**6, w.CODES))
+
+
+@pytest.mark.parametrize("spread", ["evenly", "close", "one", "ends"])
+def test_words_are_found_however_their_hashes_lie(spread):
+    """Codes, logarithms and which words are held, against a dictionary."""
+    rng = np.random.default_rng(2)
+    top = (1 << 64) - 1
+    held = {"evenly": rng.integers(0, top, 5000, np.uint64, True), "close": rng.integers(0, 9000, 3000, np.uint64), "one": np.array([77], np.uint64), "ends": np.array([0, top], np.uint64)}[spread]
+    held = np.unique(held)
+    v = vocabulary(held)
+    asked = np.concatenate((held, held + np.uint64(1), held - np.uint64(1), rng.integers(0, top, 500, np.uint64, True), np.array([0, top], np.uint64)))
+    code, part, lacks = v.look(asked)
+    place, whole = {int(x): i for i, x in enumerate(held)}, p._logs(v.by_code)
+    for i, h in enumerate(asked.tolist()):
+        k = place.get(h)
+        assert lacks[i] == (k is None) and code[i] == (p.hashed(asked[i : i + 1])[0] if k is None else v.codes[k])
+        assert part[i] == (0 if k is None else v.logs[k]) - whole[code[i]]
+
+
+def test_words_are_looked_up_in_less_time_than_a_binary_search_takes():
+    """As many words as tasks hold at most; each of a slice's words is looked up, so this is paid for every token."""
+    rng = np.random.default_rng(3)
+    held = np.unique(rng.integers(0, (1 << 64) - 1, p.HEAVY, np.uint64))
+    v, asked = vocabulary(held), rng.choice(held, 1 << 18)
+    v.look(asked)
+    cost = lambda f: min(timeit.repeat(f, number=1, repeat=7))
+    assert cost(lambda: v.look(asked)) < cost(lambda: np.searchsorted(held, asked))
+
+
+@pytest.mark.parametrize("width", [1, 40])
+def test_steps_of_many_blocks_follow_the_definition(width):
+    """Gradients and scores of a stream longer than what is worked on at once against plain double precision, with
+    logits on both sides of their bound, and classes that are not there."""
+    net, rng = noisy(8), np.random.default_rng(9)
+    net.to_member *= width
+    net.to_class *= width
+    stream, _ = stream_of([rng.integers(0, 5 * w.MEMBERS, n) for n in (4 * w.BLOCK + 17, 0, 1, w.BLOCK)])
+    goal = stream[w.REACH : -w.REACH].astype(int)
+    at = np.flatnonzero(goal != w.OUTSIDE)
+    h = np.tanh(net.bias + sum(net.vectors[stream[w.REACH + o : w.REACH + o + len(goal)]].astype(float) * d for o, d in zip(w.OFFSETS, net.scale)))[at]
+    cls, member = np.divmod(goal[at], w.MEMBERS)
+    want, errors = 0, []
+    for logits, k in ((h @ net.to_class + net.class_bias, cls), (np.einsum("ij,ijk->ik", h, net.to_member[cls].astype(float)) + net.member_bias[cls], member)):
+        logits = np.minimum(logits, w.TOP)
+        e = np.exp(logits - logits.max(axis=1, keepdims=True))
+        e /= e.sum(axis=1, keepdims=True)
+        want = want + np.log(e[np.arange(len(at)), k])
+        e[np.arange(len(at)), k] -= 1
+        errors.append(e / len(at))
+    np.testing.assert_allclose(net.log_probs(stream)[at], want, rtol=1e-4, atol=2e-3)
+    codes, (g_vectors, _, g_bias, g_class, g_class_bias, g_member, g_member_bias) = net.gradients(stream)
+    near = lambda a, b: np.testing.assert_allclose(a, b, atol=1e-3 * np.abs(b).max())
+    near(g_class, h.T @ errors[0])
+    near(g_class_bias, errors[0].sum(axis=0))
+    for c in (0, 4):
+        near(g_member[c], h[cls == c].T @ errors[1][cls == c])
+        near(g_member_bias[c], errors[1][cls == c].sum(axis=0))
+    assert not g_member[5:].any() and not g_member_bias[5:].any()
+    gz = (errors[0] @ net.to_class.T + np.einsum("ik,ijk->ij", errors[1], net.to_member[cls].astype(float))) * (1 - h * h)
+    near(g_bias, gz.sum(axis=0))
+    full = np.zeros((w.CODES + 1, w.HIDDEN))
+    for o, d in zip(w.OFFSETS, net.scale.astype(float)):
+        np.add.at(full, stream[w.REACH + o + at], gz * d)
+    near(g_vectors, full[codes])
